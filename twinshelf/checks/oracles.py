@@ -71,8 +71,10 @@ LSH_HITS = f"""
         FROM buckets q JOIN buckets d USING (category, t, bucket)
     ),
     enough AS (
-        SELECT q_id, category FROM near GROUP BY ALL
-        HAVING count(*) >= least(10, (SELECT count(*) FROM v WHERE v.category = near.category))
+        SELECT q_id, category
+        FROM (SELECT q_id, category, count(*) AS n FROM near GROUP BY q_id, category)
+        JOIN (SELECT category, count(*) AS size FROM v GROUP BY category) USING (category)
+        WHERE n >= least(10, size)
     ),
     pairs AS (
         SELECT category, q_id, db_id FROM near SEMI JOIN enough USING (category, q_id)

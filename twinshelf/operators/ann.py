@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from twinshelf.kernels import to_matrix
 from twinshelf.operators.knn import knn_join, top_k
-from twinshelf.operators.rows import By, guard_groups
+from twinshelf.operators.rows import By, guard_groups, matching
 from twinshelf.session import cut
 from twinshelf.sources.tables import exists
 
@@ -240,9 +240,10 @@ def complete(
     )
     if short.isEmpty():
         return hits
-    on_q = [q[c] == short[n] for c, _, n in by] + [q[q_id] == short[q_id]]
+    left = matching(q, short, {**{c: n for c, _, n in by}, q_id: q_id})
     exact = knn_join(
-        q.join(short, on_q, "left_semi"), db, k=k, q_vec=q_vec, db_vec=db_vec, q_id=q_id,
-        db_id=db_id, by=by, block_rows=block_rows, exclude_self=exclude_self, score=score,
+        left, db, k=k, q_vec=q_vec, db_vec=db_vec, q_id=q_id, db_id=db_id, by=by,
+        block_rows=block_rows, exclude_self=exclude_self, score=score,
     )
-    return hits.join(short, [*names, q_id], "left_anti").unionByName(exact)
+    keys = {c: c for c in (*names, q_id)}
+    return matching(hits, short, keys, "left_anti").unionByName(exact)

@@ -49,16 +49,14 @@ def batch_encoder(factory: Callable[[], Callable[[pa.Array], np.ndarray]]) -> En
 
 def word_buckets(text: Column, dim: int, ngram: int = 0, max_words: int | None = None) -> Column:
     """Hash bucket of every word, or of every ``ngram`` of ``<word>``."""
-    units = words(text if max_words is None else first_words(text, max_words))
+    if max_words is not None:
+        text = first_words(text, max_words)
     if ngram:
-        def grams(word: Column) -> Column:
-            marked = F.concat(F.lit("<"), word, F.lit(">"))
-            last = F.greatest(F.length(marked) - ngram + 1, F.lit(1))
-            return F.transform(
-                F.sequence(F.lit(1), last), lambda i: F.substring(marked, i, F.lit(ngram))
-            )
-
-        units = F.flatten(F.transform(units, grams))
+        marked = F.concat(F.lit("<"), F.regexp_replace(text, r"\s+", "> <"), F.lit(">"))
+        # a lookahead consumes nothing, so the matches overlap
+        units = F.regexp_extract_all(marked, F.lit(rf"(?=(\S{{{ngram}}}))"), F.lit(1))
+    else:
+        units = words(text)
     return F.transform(
         units,
         lambda u: F.pmod(F.conv(F.substring(F.md5(u), 1, 7), 16, 10).cast("int"), F.lit(dim)),

@@ -178,5 +178,5 @@ def with_payload(
     names = {c: f"_p_{i}" for i, c in enumerate(on.values())}
     payload = side.select(*[F.col(c).alias(n) for c, n in names.items()],
                           *[c for c in columns if c not in hits.columns])
-    condition = [hits[h] == payload[names[s]] for h, s in on.items()]
+    condition = [F.col(h) == F.col(names[s]) for h, s in on.items()]
     return hits.join(payload, condition, how).drop(*names.values())

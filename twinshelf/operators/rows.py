@@ -119,6 +119,16 @@ def group_sizes(
     return sizes.where((F.col("n_q") >= min_rows) & (F.col("n_db") >= min_rows))
 
 
+def matching(df: DataFrame, keys: DataFrame, on: dict[str, str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is (``left_semi``) or is not (``left_anti``) in ``keys``.
+
+    ``on`` maps columns of ``df`` to columns of ``keys``, which may share a source.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(on.values())}
+    right = keys.select(*[F.col(k).alias(n) for k, n in names.items()])
+    return df.join(right, [F.col(c) == F.col(names[k]) for c, k in on.items()], how)
+
+
 def guard_groups(
     q: DataFrame, db: DataFrame, by: By, min_rows: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -127,8 +137,8 @@ def guard_groups(
         return q, db
     names = [n for _, _, n in by]
     groups = cut(group_sizes(q, db, [c for c, _, _ in by], [c for _, c, _ in by], names, min_rows))
-    q = q.join(groups, [q[c] == groups[n] for c, _, n in by], "left_semi")
-    db = db.join(groups, [db[c] == groups[n] for _, c, n in by], "left_semi")
+    q = matching(q, groups, {c: n for c, _, n in by})
+    db = matching(db, groups, {c: n for _, c, n in by})
     return q, db
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinshelf.operators.rows import matching
 from twinshelf.sources.tables import read_or_none
 
 
@@ -17,8 +18,8 @@ def pending_categories(q: DataFrame, category: str, out: str) -> DataFrame:
     if done is None:
         return q
     kind = q.schema[category].dataType
-    finished = done.select(F.col("category").cast(kind).alias("_done")).distinct()
-    return q.join(finished, q[category] == finished["_done"], "left_anti")
+    finished = done.select(F.col("category").cast(kind)).distinct()
+    return matching(q, finished, {category: "category"}, "left_anti")
 
 
 def pending_queries(q: DataFrame, row_id: str, category: str, out: str) -> DataFrame:
@@ -27,8 +28,6 @@ def pending_queries(q: DataFrame, row_id: str, category: str, out: str) -> DataF
     if done is None:
         return q
     finished = done.select(
-        F.col("category").cast(q.schema[category].dataType).alias("_category"),
-        F.col(row_id).alias("_id"),
+        F.col("category").cast(q.schema[category].dataType), row_id
     ).distinct()
-    on = [q[category] == finished["_category"], q[row_id] == finished["_id"]]
-    return q.join(finished, on, "left_anti")
+    return matching(q, finished, {category: "category", row_id: row_id}, "left_anti")

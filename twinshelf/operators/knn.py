@@ -26,8 +26,10 @@ from twinshelf.session import cut
 
 # Up to this many groups, their sizes are fetched to the driver in one job.
 GROUPS_FETCHED = 5_000
-# Beyond it, group sizes are broadcast only below this many bytes, else joined by shuffle.
-SIZES_BROADCAST_BYTES = 8 << 20
+# Beyond it, group sizes are broadcast only below this many bytes.  Still larger
+# ones are joined by shuffle, with every group spread over this many salts.
+SIZES_BROADCAST_BYTES = 32 << 20
+SALTS = 64
 # Scored pairs per task: the lower value spreads small inputs over the cores, the
 # upper one keeps tasks of large inputs in the range of seconds.
 PAIRS_TO_SPREAD = 1_000_000
@@ -84,8 +86,12 @@ def knn_join(
         # null vectors are left to the scorer: a filter on an encoder's output would
         # make Spark run the encoder once more below the filter
         rows = rows.where(F.col("_id").isNotNull())
-        if by:
-            rows = rows.join(grid, names)
+        if by and total.broadcast:
+            rows = rows.join(F.broadcast(grid), names)
+        elif by:
+            salted = grid.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            salt = F.pmod(F.xxhash64(F.lit("salt"), "_id"), F.lit(SALTS)).cast("int")
+            rows = rows.withColumn("_salt", salt).join(salted, [*names, "_salt"])
         else:
             # one group: its size is known here, and too small a one has no cells
             rows = rows.where(F.lit(total.cells > 0)).withColumns(
@@ -126,6 +132,7 @@ class GridTotal:
     gd: int
     cells: int
     pairs: float
+    broadcast: bool = True
 
 
 def group_grid(
@@ -148,17 +155,14 @@ def group_grid(
         cells = int((gq.astype("int64") * gd).sum())
         total = GridTotal(int(gq.max(initial=1)), int(gd.max(initial=1)), cells, float(pairs.sum()))
         local = sizes.sparkSession.createDataFrame(few.drop_columns("pairs"))
-        return F.broadcast(local), total
+        return local, total
     grid = cut(grid)
     key_bytes = sum((F.octet_length(F.col(n).cast("string")) for n in names), F.lit(32))
     row = grid.agg(
         F.max("gq"), F.max("gd"), F.sum(F.col("gq").cast("long") * F.col("gd")),
         F.sum("pairs"), F.sum(key_bytes),
     ).first()
-    grid = grid.drop("pairs")
-    if row[4] <= SIZES_BROADCAST_BYTES:
-        grid = F.broadcast(grid)
-    return grid, GridTotal(*row[:4])
+    return grid.drop("pairs"), GridTotal(*row[:4], broadcast=row[4] <= SIZES_BROADCAST_BYTES)
 
 
 def top_k(hits: DataFrame, keys: Sequence[str], k: int, score: str, tie: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinshelf.plans.extract import category_map, days_before
+from twinshelf.session import cut
 
 HORIZONS = (30, 60, 90)
 LEVELS_3 = [f"level{i}_global_be_category" for i in range(1, 4)]
@@ -56,7 +57,9 @@ def coverage_stats(
     The total includes categories without a cluster, which are dropped after it.
     A category with nothing in the last 30 days has null ratios.
     """
-    counts = with_cluster(category_counts(orders, levels, as_of), map_snapshots)
+    # one row per category, used twice: without the cut Spark would scan the orders
+    # once for the rows and once more for their total
+    counts = cut(with_cluster(category_counts(orders, levels, as_of), map_snapshots))
     total = counts.agg(F.sum("total_items_90d")).scalar()
     return (
         counts.withColumn("pct_90d", F.col("total_items_90d") / total)

@@ -1,3 +1,6 @@
+import re
+from unittest import mock
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -6,7 +9,8 @@ from hypothesis import strategies as st
 from hypothesis.extra import numpy as hnp
 
 from twinshelf.kernels import (
-    CHANNEL_MEAN, CHANNEL_STD, best_columns, prepared_pixels, rounded, to_matrix, vectors_to_arrow,
+    CHANNEL_MEAN, CHANNEL_STD, best_columns, hashed_counts, prepared_pixels, rounded, to_matrix,
+    unit_bucket, vectors_to_arrow, word_units,
 )
 
 
@@ -82,3 +86,29 @@ def test_alpha_is_dropped():
     out = prepared_pixels(_images(pixels), 1)[0, :, 0, 0]
     want = [(7 / 255 - m) / s for m, s in zip(CHANNEL_MEAN, CHANNEL_STD)]
     assert out == pytest.approx(want, abs=1e-6)
+
+
+def test_units_of_a_word():
+    assert word_units("cde", 0) == ["cde"]
+    assert word_units("cde", 3) == ["<cd", "cde", "de>"]
+    assert word_units("", 3) == []
+
+
+@settings(deadline=None)
+@given(st.lists(st.text("ab c\t", max_size=30), min_size=1, max_size=8),
+       st.sampled_from([0, 3]), st.sampled_from([None, 2]), st.sampled_from([1, 10, 1 << 20]))
+def test_counts_of_whole_texts(texts, ngram, max_words, buffer):
+    want = np.zeros((len(texts), 16))
+    for i, t in enumerate(texts):
+        # a leading space makes an empty first word, which counts towards the limit
+        words = re.split(r"\s+", t)[:max_words]
+        for u in (u for w in words if w for u in word_units(w, ngram)):
+            want[i, unit_bucket(u, 16)] += 1
+    with mock.patch("twinshelf.kernels.TEXT_BUFFER", buffer):
+        assert hashed_counts(pa.array(texts), 16, ngram, max_words).tolist() == want.tolist()
+
+
+def test_long_texts_are_counted_to_the_end():
+    text = " ".join(f"w{i}" for i in range(30_000))
+    counts = hashed_counts(pa.array([text, text + " tail"]), 64, 0, None)
+    assert counts.sum(axis=1).tolist() == [30_000, 30_001]

@@ -18,7 +18,7 @@ from twinshelf.operators.encode import (
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.nest import explode_hits, nest_hits
 from twinshelf.plans import coverage, export, extract, match, prepare, rerank
-from twinshelf.session import scratch_path
+from twinshelf.session import cut, scratch_path
 from twinshelf.sources import images, tables
 from twinshelf.sources import vectors as vector_tables
 from twinshelf.streaming.match_stream import match_stream
@@ -30,7 +30,9 @@ IMAGE_URL = "http://images.example/file/"
 
 
 def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return s.vectors(spark, d, "q"), s.vectors(spark, d, "db")
+    vectors = s.table(spark, d, "embeddings").select("vec_id", "label", "embedding")
+    q, db = (vectors.toDF(f"{m}_id", f"{m}_label", f"{m}_vec") for m in ("q", "db"))
+    return q, db
 
 
 def points(score: str) -> Column:
@@ -235,8 +237,8 @@ def one_category(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    docs = s.table(spark, d, "documents").select("doc_id", "text")
-    return docs.transform(prepare.add_clean_text, "text").drop("text")
+    docs = s.documents(spark, d).transform(prepare.add_clean_text, "text")
+    return docs.select("doc_id", "text_clean")
 
 
 def truncate_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -450,8 +452,7 @@ HASH_DIM = 64
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = s.table(spark, d, "documents").select("doc_id", "lang", "text")
-    clean = docs.transform(prepare.add_clean_text, "text")
+    clean = s.documents(spark, d).transform(prepare.add_clean_text, "text")
     return embed(clean, "text_clean", "vec", word_hash(HASH_DIM)).drop("text", "text_clean")
 
 
@@ -462,7 +463,8 @@ def text_hash_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_knn(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
+    # one set of vectors for both sides
+    docs = cut(_documents(spark, d))
     q, db = (docs.toDF(f"{m}_id", f"{m}_lang", f"{m}_vec") for m in ("q", "db"))
     return knn_join(q, db, k=s.K, by=[("q_lang", "db_lang", "category")], min_group_size=2, **VECS)
 
@@ -484,8 +486,7 @@ def pca_knn(spark: SparkSession, d: str) -> DataFrame:
 
 def embed_once_documents(spark: SparkSession, d: str) -> DataFrame:
     """English first, then everything: the second run embeds the rest only."""
-    docs = s.table(spark, d, "documents").select("doc_id", "lang", "text")
-    clean = docs.transform(prepare.add_clean_text, "text").drop("text")
+    clean = s.documents(spark, d).transform(prepare.add_clean_text, "text").drop("text")
     path = scratch_path(spark, "vectors")
     args = dict(key="doc_id", input_col="text_clean", out_col="vec", encoder=word_hash(HASH_DIM))
     embed_once(clean.where("lang = 'en'"), path, **args)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinshelf.functions.vectors import l2_normalize
+from twinshelf.sources.tables import read_spread
 
 # Dates of the stand-in warehouse.  Sales dates are those of the line items;
 # catalogue snapshots are yearly, so that one snapshot day holds many rows.
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_spread(spark, f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+
+
 def vectors(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     """``<side>_id``, ``<side>_label``, ``<side>_vec``; every vector is on both sides."""
     return table(spark, sf_dir, "embeddings").select(

@@ -8,15 +8,9 @@ from pyspark.sql import functions as F
 
 def clean_text(text: Column) -> Column:
     """Drop links, punctuation and emoji; one space between words; lower case."""
-    text = F.regexp_replace(text, r"https?://\S+", " ")
-    text = F.regexp_replace(text, r"[^\p{L}\p{N}\s]", " ")
-    text = F.regexp_replace(text, r"\s+", " ")
-    return F.trim(F.lower(text))
-
-
-def words(text: Column) -> Column:
-    """Whitespace-separated words; an empty text has none."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    # a link starts with a letter, so both alternatives can be found in one pass
+    text = F.regexp_replace(text, r"https?://\S+|[^\p{L}\p{N}]+", " ")
+    return F.trim(F.lower(F.regexp_replace(text, " +", " ")))
 
 
 def first_words(text: Column, n: int) -> Column:

@@ -5,6 +5,7 @@ Nothing here imports Spark, so a fresh Python worker starts quickly.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -13,6 +14,8 @@ import pyarrow.compute as pc
 
 # Scores held at a time inside a task.
 SCORE_BUFFER = 4_000_000
+# Bytes of text split at a time inside a task.
+TEXT_BUFFER = 32 << 20
 
 # Channel means and deviations of the public ImageNet statistics.
 CHANNEL_MEAN = (0.485, 0.456, 0.406)
@@ -101,6 +104,56 @@ def vectors_to_arrow(matrix: np.ndarray, valid: np.ndarray | None = None) -> pa.
     )
 
 
+def unit_bucket(unit: str, dim: int) -> int:
+    """Bucket of a word or gram: the first 28 bits of its md5, modulo ``dim``."""
+    return int(hashlib.md5(unit.encode()).hexdigest()[:7], 16) % dim
+
+
+def word_units(word: str, ngram: int) -> list[str]:
+    """The word itself, or every ``ngram`` of ``<word>``."""
+    if not ngram:
+        return [word]
+    marked = f"<{word}>"
+    return [marked[i:i + ngram] for i in range(len(marked) - ngram + 1)]
+
+
+def hashed_counts(texts: pa.Array, dim: int, ngram: int, max_words: int | None) -> np.ndarray:
+    """Units per text and bucket.
+
+    Arrow splits the texts; only distinct words are hashed, and all occurrences
+    are counted by one ``bincount``.  Long batches are done in parts.
+    """
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    parts, start = [np.zeros((0, dim))], 0
+    while start < len(texts):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + TEXT_BUFFER, side="right")))
+        parts.append(_counts(texts.slice(start, stop - start), dim, ngram, max_words))
+        start = stop
+    return np.concatenate(parts)
+
+
+def _counts(texts: pa.Array, dim: int, ngram: int, max_words: int | None) -> np.ndarray:
+    split = pc.split_pattern_regex(texts, r"\s+")
+    if max_words is not None:
+        split = pc.list_slice(split, 0, max_words)
+    row = pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
+    words = split.flatten().dictionary_encode()
+    buckets = [
+        [unit_bucket(u, dim) for u in word_units(w, ngram)] if w else []
+        for w in words.dictionary.to_pylist()
+    ]
+    sizes = np.array([len(b) for b in buckets], dtype=np.int64)
+    flat = np.array([b for bs in buckets for b in bs], dtype=np.int64)
+    word = words.indices.to_numpy(zero_copy_only=False)
+    # every occurrence of a word stands for the run of its buckets in ``flat``
+    runs = sizes[word]
+    first = (np.cumsum(sizes) - sizes)[word]
+    place = np.repeat(first - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
+    cell = np.repeat(row, runs) * dim + flat[place]
+    return np.bincount(cell, minlength=len(texts) * dim).reshape(len(texts), dim)
+
+
 def prepared_pixels(images: pa.StructArray, size: int) -> np.ndarray:
     """(n, 3, size, size): RGB, centre crop, scaled to [0, 1], standardised.
 

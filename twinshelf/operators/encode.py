@@ -16,9 +16,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinshelf.functions.text import first_words, words
 from twinshelf.functions.vectors import l2_normalize
-from twinshelf.kernels import CHANNEL_MEAN, CHANNEL_STD, prepared_pixels, vectors_to_arrow
+from twinshelf.kernels import (
+    CHANNEL_MEAN, CHANNEL_STD, hashed_counts, prepared_pixels, vectors_to_arrow,
+)
 from twinshelf.session import cut
 from twinshelf.sources.tables import read_or_none
 
@@ -47,39 +48,12 @@ def batch_encoder(factory: Callable[[], Callable[[pa.Array], np.ndarray]]) -> En
     return encode
 
 
-def word_buckets(text: Column, dim: int, ngram: int = 0, max_words: int | None = None) -> Column:
-    """Hash bucket of every word, or of every ``ngram`` of ``<word>``."""
-    if max_words is not None:
-        text = first_words(text, max_words)
-    if ngram:
-        marked = F.concat(F.lit("<"), F.regexp_replace(text, r"\s+", "> <"), F.lit(">"))
-        # a lookahead consumes nothing, so the matches overlap
-        units = F.regexp_extract_all(marked, F.lit(rf"(?=(\S{{{ngram}}}))"), F.lit(1))
-    else:
-        units = words(text)
-    return F.transform(
-        units,
-        lambda u: F.pmod(F.conv(F.substring(F.md5(u), 1, 7), 16, 10).cast("int"), F.lit(dim)),
-    )
-
-
 def word_hash(dim: int = 256, ngram: int = 0, max_words: int | None = None) -> Encoder:
-    """Hashed bag of words; needs no model.
+    """Hashed bag of words, or of the ``ngram``s of ``<word>``; needs no model.
 
-    Splitting and hashing run in the JVM, counting is one ``bincount`` per Arrow
-    batch, and nothing is shuffled.
+    Whole texts are counted unless ``max_words`` cuts them.  Nothing is shuffled.
     """
-
-    @F.arrow_udf("array<float>")
-    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for buckets in batches:
-            lengths = buckets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(buckets)), lengths)
-            flat = row * dim + buckets.flatten().to_numpy(zero_copy_only=False)
-            counts = np.bincount(flat, minlength=len(buckets) * dim)
-            yield vectors_to_arrow(counts.reshape(len(buckets), dim).astype(np.float64))
-
-    return lambda text: count(word_buckets(text, dim, ngram, max_words))
+    return batch_encoder(lambda: lambda texts: hashed_counts(texts, dim, ngram, max_words))
 
 
 def image_encoder(model: Callable[[np.ndarray], np.ndarray], size: int = IMAGE_SIZE) -> Encoder:

@@ -16,6 +16,17 @@ def read_column(spark: SparkSession, path: str, column: str) -> DataFrame:
     return spark.read.parquet(path).select(column)
 
 
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """A table for work that is heavy per row.
+
+    A scan with fewer splits than the session has cores, such as a single file,
+    is spread over the cores; a large table is read as it is.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_group(spark: SparkSession, path: str, column: str, value) -> DataFrame:
     """Rows of one category; the filter reaches the scan.  Null is no category."""
     return spark.read.parquet(path).where(F.col(column) == value)

@@ -6,9 +6,9 @@ from compare import connect, differences, duckdb_result, spark_result
 from __spark_entry__ import entry, oracle_sql, queries
 
 QUERIES, ORACLES = queries(), oracle_sql()
-# k-means, principal components and model vectors have no SQL; they are tested
-# against brute force elsewhere
-WITHOUT_SQL = {"ivf_cells", "knn_ivf", "knn_ivf_recall", "match_by_image", "pca_knn"}
+# k-means and principal components have no SQL; they are tested against brute
+# force elsewhere
+WITHOUT_SQL = {"ivf_cells", "knn_ivf", "knn_ivf_recall", "pca_knn"}
 
 
 @pytest.fixture(scope="module")

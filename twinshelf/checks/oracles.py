@@ -168,6 +168,24 @@ _COMPARED = HALVES + """,
     )
 """
 
+
+def _channel(byte: str, mean: float, std: float) -> str:
+    """Standardised colour channel in single precision."""
+    return (f"list_transform(bytes, lambda b: (({byte} / 255.0::DOUBLE)::FLOAT "
+            f"- {mean}::FLOAT) / {std}::FLOAT)")
+
+
+_PIXELS = " || ".join((
+    _channel("b", 0.485, 0.229), _channel("(255 - b)", 0.456, 0.224),
+    _channel("(b * 0 + 64)", 0.406, 0.225),
+))
+_PICTURES = f"""
+    SELECT id, category, {_unit('pixels')} AS vec FROM (
+        SELECT id, category, list_transform({_PIXELS}, lambda x: x::DOUBLE) AS pixels FROM (
+            SELECT vec_id AS id, label::VARCHAR AS category, list_transform(embedding,
+                       lambda x: floor((x::DOUBLE + 1) * 127.5)) AS bytes FROM embeddings))
+"""
+
 _CLEAN = (
     "trim(lower(regexp_replace(regexp_replace(regexp_replace({0}, 'https?://\\S+', ' ', 'g'), "
     "'[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"
@@ -328,7 +346,7 @@ ORACLES = {
         SELECT category, q_id, db_id, score, rank AS score_rank FROM hits""",
     "ivf_totals": """
         SELECT count(*) AS n_rows, max(len(embedding)) AS dim,
-               sum(len(embedding)) * 4 AS n_bytes FROM embeddings""",
+               CAST(sum(len(embedding)) * 4 AS BIGINT) AS n_bytes FROM embeddings""",
     "ivf_reused": f"SELECT {_ONE_ROW} AS n_rows",
     "knn_ivf_all_cells": EXACT,
     "knn_lsh": LSH_HITS + "SELECT * FROM lsh",
@@ -401,6 +419,10 @@ ORACLES = {
         FROM embeddings e CROSS JOIN range(24) d(dim)
         JOIN norms USING (vec_id)
         LEFT JOIN counts c ON c.vec_id = e.vec_id AND c.dim = d.dim""",
+    "match_by_image": _knn(_PICTURES, 5, guard=2) + """
+        SELECT category, q_id AS q_item_id, category AS q_category, db_id AS db_item_id,
+               category AS db_category, score AS score_image_embed, rank
+        FROM hits""",
     "first_image_url": f"""
         SELECT item_id, item_name, shop_id, level1_global_be_category, images,
                'http://images.example/file/' || string_split(images, ',')[1] AS image_url
@@ -465,7 +487,7 @@ ORACLES = {
                {_clean('d.p_name')} AS db_item_name_clean, score AS score_text_embed, rank
         FROM hits JOIN part q ON q.p_partkey = q_id JOIN part d ON d.p_partkey = db_id""",
     "embed_once_documents": f"""
-        SELECT id AS doc_id, len(vec) AS dim,
+        SELECT id AS doc_id, CAST(len(vec) AS INTEGER) AS dim,
                round_even(list_dot_product(vec::DOUBLE[], vec::DOUBLE[]) * 1000, 0)::BIGINT
                AS squared_length
         FROM ({_DOC_VECTORS})""",
@@ -476,7 +498,8 @@ ORACLES = {
         FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS id FROM embeddings)""",
     "shard_concat": """
         SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // 40 AS shard FROM embeddings""",
-    "overwrite_target": "SELECT vec_id, len(embedding) AS dim FROM embeddings",
+    "overwrite_target": """
+        SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings""",
     "stream_match": _knn(EMBEDDINGS, 10) + "SELECT * FROM hits",
     "peek_head": "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 5",
     "peek_tail": "SELECT vec_id, label FROM embeddings ORDER BY vec_id DESC LIMIT 5",

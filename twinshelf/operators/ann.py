@@ -46,7 +46,8 @@ def matrix_udf(fn: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column], Col
             offsets = np.concatenate([[0], np.cumsum(valid * out.shape[1])]).astype(np.int32)
             yield pa.ListArray.from_arrays(offsets, pa.array(out.ravel()), mask=pa.array(~valid))
 
-    return apply
+    # see batch_encoder: keeps Spark from evaluating it again in derived filters
+    return apply.asNondeterministic()
 
 
 def nearest_cells(centroids: np.ndarray, n: int) -> Callable[[Column], Column]:
@@ -152,7 +153,8 @@ def knn_cells(
     """Top-k join against the ``nprobe`` nearest cells of each query."""
     q, db = guard_groups(q, index.rows(), by, min_group_size)
     cells = nearest_cells(index.centroids(), nprobe)
-    probes = q.withColumn("_cell", F.explode(cells(F.col(q_vec))))
+    probes = q.withColumn("_cells", cells(F.col(q_vec)))
+    probes = probes.withColumn("_cell", F.explode("_cells")).drop("_cells")
     common = dict(k=k, q_vec=q_vec, db_vec=db_vec, q_id=q_id, db_id=db_id,
                   block_rows=block_rows, exclude_self=exclude_self, score=score)
     found = knn_join(probes, db, by=[*by, ("_cell", "cell", "cell")], **common)
@@ -198,7 +200,8 @@ def knn_planes(
     buckets = plane_buckets(sign_planes(tables, bits, width))
 
     def bucketed(df: DataFrame, vec: str) -> DataFrame:
-        return df.select("*", F.posexplode(buckets(F.col(vec))).alias("_table", "_bucket"))
+        held = df.withColumn("_buckets", buckets(F.col(vec)))
+        return held.select("*", F.posexplode("_buckets").alias("_table", "_bucket"))
 
     common = dict(k=k, q_vec=q_vec, db_vec=db_vec, q_id=q_id, db_id=db_id,
                   block_rows=block_rows, exclude_self=exclude_self, score=score)

@@ -45,7 +45,9 @@ def batch_encoder(factory: Callable[[], Callable[[pa.Array], np.ndarray]]) -> En
             matrix[valid] = encoded
             yield vectors_to_arrow(matrix, valid)
 
-    return encode
+    # Declared non-deterministic only so that Spark does not copy the call into
+    # filters it derives (for an explode, say) and run the model twice.
+    return encode.asNondeterministic()
 
 
 def word_hash(dim: int = 256, ngram: int = 0, max_words: int | None = None) -> Encoder:

@@ -9,23 +9,44 @@ from hypothesis import strategies as st
 from hypothesis.extra import numpy as hnp
 
 from twinshelf.kernels import (
-    CHANNEL_MEAN, CHANNEL_STD, best_columns, hashed_counts, prepared_pixels, rounded, to_matrix,
+    CHANNEL_MEAN, CHANNEL_STD, best_columns, cell_scorer, hashed_counts, prepared_pixels, rounded, to_matrix,
     unit_bucket, vectors_to_arrow, word_units,
 )
 
 
-@settings(deadline=None)
+SCORES = st.one_of(
+    st.sampled_from([0.0, 0.1, 0.2, 1.0, 1.04, 1.05, 1.06, 2.0, float("-inf")]),
+    # neighbours that round to the same or to the next value
+    st.builds(lambda base, step: base + step * 1e-6,
+              st.sampled_from([0.3, 0.999995, 1.0, 1.05, -0.5]), st.integers(-30, 30)),
+)
+
+
+@settings(deadline=None, max_examples=300)
 @given(
-    hnp.arrays(np.float64, st.tuples(st.integers(1, 6), st.integers(1, 12)),
-               elements=st.sampled_from([0.0, 0.1, 0.2, 0.5, 1.0, float("nan"), float("-inf")])),
-    st.integers(1, 14),
+    hnp.arrays(np.float64, st.tuples(st.integers(1, 5), st.integers(1, 14)), elements=SCORES),
+    st.integers(1, 16),
 )
-def test_best_columns_is_a_sort_by_score_then_column(scores, k):
-    row, col = best_columns(scores, k)
+def test_best_columns_is_a_sort_by_rounded_score_then_column(scores, k):
+    row, col, value = best_columns(scores, k)
+    whole = rounded(scores)
     for r in range(len(scores)):
         usable = [c for c in range(scores.shape[1]) if scores[r, c] > -np.inf]
-        want = sorted(usable, key=lambda c: (-scores[r, c], c))[:k]
+        want = sorted(usable, key=lambda c: (-whole[r, c], c))[:k]
         assert list(col[row == r]) == want
+        assert list(value[row == r]) == [whole[r, c] for c in want]
+
+
+def test_a_score_that_is_no_number_is_no_hit():
+    schema = pa.schema([("q_id", pa.int64()), ("db_id", pa.int64()), ("score", pa.float64()),
+                        ("rank", pa.int32())])
+    vec = pa.list_(pa.float32())
+    q = pa.table({"_id": [1, 2], "_vec": pa.array([[1.0, 0.0], [float("nan"), 1.0]], vec)})
+    db = pa.table({"_id": [9, 8], "_vec": pa.array([[1.0, 0.0], [float("inf"), 0.0]], vec)})
+    hits = cell_scorer([], 5, False, schema)(q, db).to_pylist()
+    # inf times 0 is no number, inf times 1 is a score
+    assert [(h["q_id"], h["db_id"], h["score"]) for h in hits] == [
+        (1, 8, float("inf")), (1, 9, 1.0)]
 
 
 def test_rounding_rule():

@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Scores held at a time inside a task.
-SCORE_BUFFER = 4_000_000
+# Scores held at a time inside a task; few enough to stay in the processor cache.
+SCORE_BUFFER = 1_000_000
 # Bytes of text split at a time inside a task.
 TEXT_BUFFER = 32 << 20
 
@@ -42,29 +42,33 @@ def rounded(scores: np.ndarray) -> np.ndarray:
     return np.where(scores <= 1, np.round(scores, 5), np.round(scores, 1))
 
 
-def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k highest scores per row, best first.
+def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and rounded score of the k best entries per row, best first.
 
-    Equal scores go to the lower column.  All columns that tie with the k-th
-    score are looked at before the cut, so ties are resolved exactly.  NaN is
-    never a hit.
+    Best is by rounded score, then by lower column.  Rounding keeps the order, so
+    the k-th score is found first and only entries that can round to as much are
+    rounded; all of them are compared before the cut.  -inf is never a hit.
     """
     n = scores.shape[1]
-    scores = np.where(np.isnan(scores), -np.inf, scores)
     k = min(k, n)
-    kth = np.partition(scores, n - k, axis=1)[:, n - k, None]
-    row, col = np.nonzero((scores >= kth) & (scores > -np.inf))
-    order = np.lexsort((col, -scores[row, col], row))
-    row, col = row[order], col[order]
+    kth = np.partition(scores, n - k, axis=1)[:, n - k]
+    # a little more than one rounding step below the k-th score
+    least = kth - np.where(kth <= 1, 1.1e-5, 0.11)
+    row, col = np.nonzero(scores >= least[:, None])
+    value = rounded(scores[row, col])
+    hit = value > -np.inf
+    row, col, value = row[hit], col[hit], value[hit]
+    order = np.lexsort((col, -value, row))
+    row, col, value = row[order], col[order], value[order]
     starts = np.searchsorted(row, np.arange(scores.shape[0]))
     keep = np.arange(len(row)) - starts[row] < k
-    return row[keep], col[keep]
+    return row[keep], col[keep], value[keep]
 
 
 def cell_scorer(
     keys: Sequence[str], k: int, exclude_self: bool, schema: pa.Schema
 ) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Function that scores one cell."""
+    """Function that scores one cell.  A score that is no number is never a hit."""
 
     def score(q: pa.Table, db: pa.Table) -> pa.Table:
         q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
@@ -72,18 +76,21 @@ def cell_scorer(
             return schema.empty_table()
         db = db.take(pc.sort_indices(db["_id"]))
         q_matrix, db_matrix = to_matrix(q["_vec"]), to_matrix(db["_vec"])
+        finite = np.isfinite(q_matrix).all() and np.isfinite(db_matrix).all()
         step = max(1, SCORE_BUFFER // db.num_rows)
         parts = []
         for start in range(0, q.num_rows, step):
-            scores = rounded(q_matrix[start:start + step] @ db_matrix.T)
+            scores = q_matrix[start:start + step] @ db_matrix.T
+            if not finite:
+                scores[np.isnan(scores)] = -np.inf
             if exclude_self:
                 same = pc.index_in(q["_id"].slice(start, step), value_set=db["_id"].combine_chunks())
                 same = same.combine_chunks() if isinstance(same, pa.ChunkedArray) else same
                 hit = np.flatnonzero(same.is_valid().to_numpy(zero_copy_only=False))
                 scores[hit, same.drop_null().to_numpy()] = -np.inf
-            row, col = best_columns(scores, k)
+            row, col, value = best_columns(scores, k)
             rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
-            parts.append((row + start, col, scores[row, col], rank))
+            parts.append((row + start, col, value, rank))
         row, col, value, rank = (np.concatenate(p) for p in zip(*parts))
         columns = [q[name].take(pa.array(row)) for name in keys]
         columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),

@@ -25,9 +25,8 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> D
     are checkpointed first: range bounds are sampled, so a partition computed
     twice could otherwise disagree with the counts.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     local = cut(
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         # partition number in the upper 31 bits, position inside it in the lower 33
         .withColumn("_local", F.monotonically_increasing_id())

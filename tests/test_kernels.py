@@ -9,8 +9,8 @@ from hypothesis import strategies as st
 from hypothesis.extra import numpy as hnp
 
 from twinshelf.kernels import (
-    CHANNEL_MEAN, CHANNEL_STD, best_columns, cell_scorer, hashed_counts, prepared_pixels, rounded, to_matrix,
-    unit_bucket, vectors_to_arrow, word_units,
+    CHANNEL_MEAN, CHANNEL_STD, Scorer, best_columns, by_group, hashed_counts, in_blocks,
+    prepared_pixels, rounded, to_matrix, unit_bucket, vectors_to_arrow, word_units,
 )
 
 
@@ -43,7 +43,7 @@ def test_a_score_that_is_no_number_is_no_hit():
     vec = pa.list_(pa.float32())
     q = pa.table({"_id": [1, 2], "_vec": pa.array([[1.0, 0.0], [float("nan"), 1.0]], vec)})
     db = pa.table({"_id": [9, 8], "_vec": pa.array([[1.0, 0.0], [float("inf"), 0.0]], vec)})
-    hits = cell_scorer([], 5, False, schema)(q, db).to_pylist()
+    hits = Scorer([], 5, False, schema).score(q, db).to_pylist()
     # inf times 0 is no number, inf times 1 is a score
     assert [(h["q_id"], h["db_id"], h["score"]) for h in hits] == [
         (1, 8, float("inf")), (1, 9, 1.0)]
@@ -133,3 +133,12 @@ def test_long_texts_are_counted_to_the_end():
     text = " ".join(f"w{i}" for i in range(30_000))
     counts = hashed_counts(pa.array([text, text + " tail"]), 64, 0, None)
     assert counts.sum(axis=1).tolist() == [30_000, 30_001]
+
+
+def test_groups_and_blocks():
+    table = pa.table({"a": ["x", "y", "x", None], "b": [1, 1, 1, 1], "v": [1, 2, 3, 4]})
+    parts = {k: t["v"].to_pylist() for k, t in by_group(table, ["a", "b"]).items()}
+    assert parts == {("x", 1): [1, 3], ("y", 1): [2], (None, 1): [4]}
+    assert by_group(table, [])[()] is table
+    blocks = [t["v"].to_pylist() for t in in_blocks(iter(table.to_batches(1)), 3)]
+    assert blocks == [[1, 2, 3], [4]]

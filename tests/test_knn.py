@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from twinshelf.operators import knn
+from twinshelf.operators import knn, small
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.nest import explode_hits, nest_hits
 
@@ -58,27 +58,38 @@ def skewed():
     return q, db
 
 
-@pytest.mark.parametrize("block_rows", [1000, 20, 7, 1])
+# the database is held, the query side is held, grids of one and of several blocks
+@pytest.mark.parametrize("block_rows", [1000, 80, 20, 7, 1])
 def test_same_for_every_block_size(spark, skewed, block_rows):
     q, db = skewed
     got = join(table(spark, "q", q), table(spark, "db", db), k=4, block_rows=block_rows)
     assert rows(got) == brute_force(q, db, 4)
 
 
+def test_scanned_side_is_spread_when_the_work_is_large(spark, skewed, monkeypatch):
+    monkeypatch.setattr(knn, "PAIRS_TO_SPREAD", 100)
+    monkeypatch.setattr(knn, "ROWS_WORTH_A_SHUFFLE", 1)
+    q, db = skewed
+    got = join(table(spark, "q", q).coalesce(1), table(spark, "db", db), k=4)
+    assert "RoundRobinPartitioning(8)" in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == brute_force(q, db, 4)
+
+
 def test_same_for_every_partitioning(spark, skewed):
     q, db = skewed
     got = join(table(spark, "q", q).repartition(5), table(spark, "db", db).repartition(3), k=4)
     assert rows(got) == brute_force(q, db, 4)
 
 
+@pytest.mark.parametrize("block_rows", [1000, 10])
 @pytest.mark.parametrize("fetched, broadcast_bytes", [(0, 1 << 20), (0, 0)])
-def test_grids_too_large_for_the_driver_or_a_broadcast(
-    spark, skewed, monkeypatch, fetched, broadcast_bytes
+def test_too_many_groups_for_the_driver_or_a_broadcast(
+    spark, skewed, monkeypatch, fetched, broadcast_bytes, block_rows
 ):
-    monkeypatch.setattr(knn, "GROUPS_FETCHED", fetched)
-    monkeypatch.setattr(knn, "SIZES_BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(small, "ROWS_FETCHED", fetched)
+    monkeypatch.setattr(small, "BROADCAST_BYTES", broadcast_bytes)
     q, db = skewed
-    got = join(table(spark, "q", q), table(spark, "db", db), k=4, block_rows=10)
+    got = join(table(spark, "q", q), table(spark, "db", db), k=4, block_rows=block_rows)
     assert rows(got) == brute_force(q, db, 4)
 
 
@@ -115,7 +126,7 @@ def test_text_ids(spark):
     assert rows(got) == [("a", "x", "y", 0.0, 1), ("a", "y", "x", 0.0, 1)]
 
 
-@pytest.mark.parametrize("block_rows", [100, 3])
+@pytest.mark.parametrize("block_rows", [1000, 80, 3])
 def test_without_categories(spark, skewed, block_rows):
     q, db = ([(i, "all", v) for i, _, v in side] for side in skewed)
     got = join(table(spark, "q", q), table(spark, "db", db), k=3, by=(), block_rows=block_rows)
@@ -157,8 +168,8 @@ def test_only_needed_columns_are_scanned_and_no_cross_join(spark, sf_dir, fresh)
     wide.write.parquet(path)
     q = spark.read.parquet(path).withColumnsRenamed({"vec_id": "q_id", "embedding": "q_vec"})
     db = spark.read.parquet(path).withColumnsRenamed({"vec_id": "db_id", "embedding": "db_vec"})
-    for by in ([("label", "label", "category")], ()):
-        plan = join(q, db, by=by)._jdf.queryExecution().executedPlan().toString()
+    for by, block_rows in ([("label", "label", "category")], 1000), ((), 1000), ((), 20):
+        plan = join(q, db, by=by, block_rows=block_rows)._jdf.queryExecution().executedPlan().toString()
         assert "payload" not in plan
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 

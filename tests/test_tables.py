@@ -139,8 +139,11 @@ def test_encoder_runs_once_per_row_in_a_match(spark):
     q, db = (spark.createDataFrame([(1, "a", "x"), (2, "b", "x")],
                                    f"{m}_item_id long, {m}_item_name_clean string, {m}_category string")
              for m in ("q", "db"))
-    plan = match(q, db)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 2         # one per side
+    # in the grid once per side; of two sides of one block, one is encoded beforehand
+    for block_rows, calls in ((1, 2), (1000, 1)):
+        hits = match(q, db, MatchConfig(block_rows=block_rows))
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == calls
 
 
 # ---- images -------------------------------------------------------------------

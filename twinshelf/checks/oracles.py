@@ -449,7 +449,8 @@ ORACLES = {
     "latest_snapshot": """
         SELECT event_id, event_type, user_id, ts::DATE AS day FROM events
         WHERE ts::DATE IN (SELECT max(ts::DATE) FROM events)""",
-    "catalogue_extract": _extract("'FMCG'"),
+    "catalogue_extract": _extract("'FMCG'") + """
+        ORDER BY ALL LIMIT 100000""",
     "sample_limit": _extract("'FMCG', 'ELHA'") + """
         ORDER BY o.item_id, o.shop_id, cat.cluster LIMIT 1500""",
     "extract_materialised": f"""

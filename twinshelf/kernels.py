@@ -6,7 +6,8 @@ Nothing here imports Spark, so a fresh Python worker starts quickly.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ import pyarrow.compute as pc
 
 # Scores held at a time inside a task; few enough to stay in the processor cache.
 SCORE_BUFFER = 1_000_000
+# Rows of a scanned side scored together.
+SCAN_ROWS = 16_384
 # Bytes of text split at a time inside a task.
 TEXT_BUFFER = 32 << 20
 
@@ -65,39 +68,91 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
     return row[keep], col[keep], value[keep]
 
 
-def cell_scorer(
-    keys: Sequence[str], k: int, exclude_self: bool, schema: pa.Schema
-) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Function that scores one cell.  A score that is no number is never a hit."""
-
-    def score(q: pa.Table, db: pa.Table) -> pa.Table:
+def by_group(table: pa.Table, keys: Sequence[str]) -> dict[tuple, pa.Table]:
+    """Rows of each combination of the key columns."""
+    if not keys:
+        return {(): table}
+    numbered = table.select(keys).append_column("_row", pa.array(np.arange(table.num_rows)))
+    grouped = numbered.group_by(keys).aggregate([("_row", "list")])
+    names = zip(*(grouped[k].to_pylist() for k in keys))
+    return {name: table.take(rows.values) for name, rows in zip(names, grouped["_row_list"])}
+
+
+def in_blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Consecutive batches put together until they have at least ``rows`` rows."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """Scores tables with the columns ``keys``, ``_id`` and ``_vec``."""
+
+    keys: Sequence[str]
+    k: int
+    exclude_self: bool
+    schema: pa.Schema
+
+    def cell(self) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        """Function of the query and database rows of one cell."""
+        return lambda q, db: self.score(q, db)
+
+    def against(self, held, held_is_db: bool) -> Callable:
+        """Function of the batches of one side, with the other side broadcast."""
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            partners = by_group(held.value, self.keys)
+            for block in in_blocks(batches, SCAN_ROWS):
+                for name, rows in by_group(block, self.keys).items():
+                    if name in partners:
+                        pair = (rows, partners[name]) if held_is_db else (partners[name], rows)
+                        yield from self.score(*pair).to_batches()
+
+        return scan
+
+    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+        """The k best database rows per query; a score that is no number is no hit."""
         q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
         if q.num_rows == 0 or db.num_rows == 0:
-            return schema.empty_table()
+            return self.schema.empty_table()
         db = db.take(pc.sort_indices(db["_id"]))
         q_matrix, db_matrix = to_matrix(q["_vec"]), to_matrix(db["_vec"])
+        if q_matrix.shape[1] != db_matrix.shape[1]:
+            raise ValueError(
+                f"vectors of different lengths: {q_matrix.shape[1]} and {db_matrix.shape[1]}"
+            )
         finite = np.isfinite(q_matrix).all() and np.isfinite(db_matrix).all()
+        own = self.own_columns(q, db) if self.exclude_self else None
         step = max(1, SCORE_BUFFER // db.num_rows)
         parts = []
         for start in range(0, q.num_rows, step):
             scores = q_matrix[start:start + step] @ db_matrix.T
             if not finite:
                 scores[np.isnan(scores)] = -np.inf
-            if exclude_self:
-                same = pc.index_in(q["_id"].slice(start, step), value_set=db["_id"].combine_chunks())
-                same = same.combine_chunks() if isinstance(same, pa.ChunkedArray) else same
-                hit = np.flatnonzero(same.is_valid().to_numpy(zero_copy_only=False))
-                scores[hit, same.drop_null().to_numpy()] = -np.inf
-            row, col, value = best_columns(scores, k)
+            if own is not None:
+                mine = own[start:start + step]
+                scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
+            row, col, value = best_columns(scores, self.k)
             rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
             parts.append((row + start, col, value, rank))
         row, col, value, rank = (np.concatenate(p) for p in zip(*parts))
-        columns = [q[name].take(pa.array(row)) for name in keys]
+        columns = [q[name].take(pa.array(row)) for name in self.keys]
         columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
                     pa.array(value), pa.array(rank.astype(np.int32))]
-        return pa.Table.from_arrays(columns, names=schema.names).cast(schema)
+        return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
 
-    return score
+    @staticmethod
+    def own_columns(q: pa.Table, db: pa.Table) -> np.ndarray:
+        """Position of each query among the database rows, -1 if it is not there."""
+        found = pc.index_in(q["_id"].combine_chunks(), value_set=db["_id"].combine_chunks())
+        return found.fill_null(-1).to_numpy(zero_copy_only=False)
 
 
 def vectors_to_arrow(matrix: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:

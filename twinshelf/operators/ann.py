@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from twinshelf.kernels import to_matrix
 from twinshelf.operators.knn import knn_join, top_k
 from twinshelf.operators.rows import By, guard_groups, matching
+from twinshelf.operators.small import measured
 from twinshelf.session import cut
 from twinshelf.sources.tables import exists
 
@@ -233,7 +234,7 @@ def complete(
     queries = q.select(*[F.col(c).alias(n) for c, _, n in by], F.col(q_id))
     if names:
         sizes = usable.select(*groups).groupBy(*names).agg(reachable.alias("_reachable"))
-        queries = queries.join(sizes, names)
+        queries = queries.join(measured(sizes).for_join(), names)
     else:
         queries = queries.withColumn("_reachable", usable.agg(reachable).scalar())
     short = cut(

@@ -1,11 +1,12 @@
 """Exact top-k join by inner product inside groups.
 
-Every group is laid out as a grid: its query rows are hashed into ``gq`` blocks,
-its database rows into ``gd`` blocks, and each of the ``gq * gd`` cells is one
-unit of work with a bounded number of rows on both sides.  A group that holds a
-third of the table becomes many cells, a small one is a single cell.  A cell
-returns its k best rows per query, never its pairs; cells of the same query are
-merged by rank.
+A side of at most one block is sent to every task, and the other side is scored
+where it lies.  Otherwise every group is laid out as a grid: its query rows are
+hashed into ``gq`` blocks, its database rows into ``gd`` blocks, and each of the
+``gq * gd`` cells is one unit of work with a bounded number of rows on both sides.
+A group that holds a third of the table becomes many cells, a small one is a single
+cell.  A cell returns its k best rows per query, never its pairs; cells of the same
+query are merged by rank.
 """
 
 from __future__ import annotations
@@ -20,20 +21,19 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from twinshelf.config import require_columns
-from twinshelf.kernels import cell_scorer
+from twinshelf.kernels import Scorer
 from twinshelf.operators.rows import group_sizes
-from twinshelf.session import cut
+from twinshelf.operators.small import Small, measured
 
-# Up to this many groups, their sizes are fetched to the driver in one job.
-GROUPS_FETCHED = 5_000
-# Beyond it, group sizes are broadcast only below this many bytes.  Still larger
-# ones are joined by shuffle, with every group spread over this many salts.
-SIZES_BROADCAST_BYTES = 32 << 20
+# Group sizes too large to broadcast are joined by shuffle, each group spread over
+# this many salts.
 SALTS = 64
 # Scored pairs per task: the lower value spreads small inputs over the cores, the
 # upper one keeps tasks of large inputs in the range of seconds.
 PAIRS_TO_SPREAD = 1_000_000
 PAIRS_PER_TASK = 200_000_000
+# Spreading the scanned side over more tasks pays if each of its rows meets this many.
+ROWS_WORTH_A_SHUFFLE = 1_000
 
 
 def knn_join(
@@ -71,43 +71,6 @@ def knn_join(
     q_rows = side(q, [c for c, _, _ in by], q_id, q_vec)
     db_rows = side(db, [c for _, c, _ in by], db_id, db_vec)
 
-    grid, total = group_grid(
-        group_sizes(q_rows, db_rows, names, names, names, min_group_size), names, block_rows
-    )
-    cores = q.sparkSession.sparkContext.defaultParallelism
-    tasks = max(min(cores, math.ceil(total.pairs / PAIRS_TO_SPREAD)),
-                math.ceil(total.pairs / PAIRS_PER_TASK))
-    tasks = max(1, min(tasks, total.cells))
-
-    cell = [*names, "_qb", "_db"]
-
-    def laid_out(rows: DataFrame, own: str, own_blocks: str, other: str, other_blocks: str):
-        copies = F.sequence(F.lit(0), F.col(other_blocks) - 1)
-        # null vectors are left to the scorer: a filter on an encoder's output would
-        # make Spark run the encoder once more below the filter
-        rows = rows.where(F.col("_id").isNotNull())
-        if by and total.broadcast:
-            rows = rows.join(F.broadcast(grid), names)
-        elif by:
-            salted = grid.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            salt = F.pmod(F.xxhash64(F.lit("salt"), "_id"), F.lit(SALTS)).cast("int")
-            rows = rows.withColumn("_salt", salt).join(salted, [*names, "_salt"])
-        else:
-            # one group: its size is known here, and too small a one has no cells
-            rows = rows.where(F.lit(total.cells > 0)).withColumns(
-                {"gq": F.lit(total.gq), "gd": F.lit(total.gd)}
-            )
-        rows = (
-            rows.withColumn(own, F.pmod(F.xxhash64("_id"), F.col(own_blocks)).cast("int"))
-            .withColumn(other, F.explode(copies))
-            .select(*cell, "_id", "_vec")
-        )
-        # work grows with pairs, not with bytes, so the number of tasks is set here
-        return rows.repartition(tasks, *cell) if tasks > 1 else rows
-
-    q_cells = laid_out(q_rows, "_qb", "gq", "_db", "gd")
-    db_cells = laid_out(db_rows, "_db", "gd", "_qb", "gq")
-
     schema = T.StructType([
         *[T.StructField(n, q_rows.schema[n].dataType) for n in names],
         T.StructField(q_id, q_rows.schema["_id"].dataType),
@@ -115,54 +78,114 @@ def knn_join(
         T.StructField(score, T.DoubleType()),
         T.StructField("rank", T.IntegerType()),
     ])
-    scorer = cell_scorer(names, k, exclude_self, to_arrow_schema(schema))
-    hits = q_cells.groupBy(*cell).cogroup(db_cells.groupBy(*cell)).applyInArrow(scorer, schema)
+    scorer = Scorer(names, k, exclude_self, to_arrow_schema(schema))
 
-    # With one database block per group the rank inside the cell is final.
-    if total.gd > 1:
-        hits = top_k(hits, [*names, q_id], k, score, db_id)
-    return hits
+    sizes, total = group_totals(
+        group_sizes(q_rows, db_rows, names, names, names, min_group_size), block_rows
+    )
+    # Rows without id have no hits.  Null vectors are left to the scorer: a filter on
+    # an encoder's output would make Spark run the encoder once more for the filter.
+    q_rows, db_rows = (
+        rows.where(F.col("_id").isNotNull() & F.lit(total.cells > 0)) for rows in (q_rows, db_rows)
+    )
+    if total.n_db <= block_rows:
+        # every query meets all its rows in one task, so ranks are final
+        return scan_against(q_rows, db_rows, sizes, total, scorer, schema, held_is_db=True)
+    if total.n_q <= block_rows:
+        hits = scan_against(db_rows, q_rows, sizes, total, scorer, schema, held_is_db=False)
+        return top_k(hits, [*names, q_id], k, score, db_id)
+    hits = score_grid(q_rows, db_rows, sizes, total, scorer, schema, block_rows)
+    # with one database block per group the rank inside the cell is final
+    return top_k(hits, [*names, q_id], k, score, db_id) if total.gd > 1 else hits
 
 
 @dataclass(frozen=True)
-class GridTotal:
-    """Size of the whole grid; ``gq`` and ``gd`` are the largest of any group."""
+class Totals:
+    """Rows, cells and pairs of all groups; ``gd`` is the most blocks of a group."""
 
-    gq: int
+    n_q: int
+    n_db: int
     gd: int
     cells: int
     pairs: float
-    broadcast: bool = True
+
+    def tasks(self, cores: int) -> int:
+        """Work grows with pairs, not with bytes, so Spark cannot tell."""
+        spread = min(cores, math.ceil(self.pairs / PAIRS_TO_SPREAD))
+        return max(1, spread, math.ceil(self.pairs / PAIRS_PER_TASK))
+
+
+def group_totals(sizes: DataFrame, block_rows: int) -> tuple[Small, Totals]:
+    """Group sizes, computed once, and their totals."""
+    gq, gd = (F.ceil(F.col(n) / block_rows) for n in ("n_q", "n_db"))
+    small = measured(sizes)
+    row = small.frame.agg(
+        F.sum("n_q"), F.sum("n_db"), F.max(gd), F.sum(gq * gd),
+        F.sum(F.col("n_q").cast("double") * F.col("n_db")),
+    ).first()
+    return small, Totals(*(value or 0 for value in row))
 
 
-def group_grid(
-    sizes: DataFrame, names: Sequence[str], block_rows: int
-) -> tuple[DataFrame, GridTotal]:
-    """Blocks per group and side, and their totals.
+def scan_against(
+    scanned: DataFrame, held: DataFrame, sizes: Small, total: Totals, scorer: Scorer,
+    schema: T.StructType, held_is_db: bool,
+) -> DataFrame:
+    """Score one side, where it lies, against the other, sent to every task.
 
-    A few thousand groups are fetched in one small job.  More stay in Spark: they
-    are computed once, and broadcast only if they are measured to be small.
+    Only for a held side of at most one block, all groups together.
     """
-    grid = sizes.select(
+    names = scorer.keys
+    if names:
+        held = held.join(sizes.for_join(), names, "left_semi")
+    spark = scanned.sparkSession
+    table = spark.sparkContext.broadcast(held.toArrow())
+    tasks = total.tasks(spark.sparkContext.defaultParallelism)
+    if tasks > 1 and (total.n_db if held_is_db else total.n_q) >= ROWS_WORTH_A_SHUFFLE:
+        scanned = scanned.repartition(tasks)
+    return scanned.mapInArrow(scorer.against(table, held_is_db), schema)
+
+
+def score_grid(
+    q_rows: DataFrame, db_rows: DataFrame, sizes: Small, total: Totals, scorer: Scorer,
+    schema: T.StructType, block_rows: int,
+) -> DataFrame:
+    """Score every query block of a group with every database block of it."""
+    names = scorer.keys
+    grid = sizes.frame.select(
         *names,
         F.ceil(F.col("n_q") / block_rows).cast("int").alias("gq"),
         F.ceil(F.col("n_db") / block_rows).cast("int").alias("gd"),
-        (F.col("n_q").cast("double") * F.col("n_db")).alias("pairs"),
     )
-    few = grid.limit(GROUPS_FETCHED + 1).toArrow()
-    if few.num_rows <= GROUPS_FETCHED:
-        gq, gd, pairs = (few[c].to_numpy() for c in ("gq", "gd", "pairs"))
-        cells = int((gq.astype("int64") * gd).sum())
-        total = GridTotal(int(gq.max(initial=1)), int(gd.max(initial=1)), cells, float(pairs.sum()))
-        local = sizes.sparkSession.createDataFrame(few.drop_columns("pairs"))
-        return local, total
-    grid = cut(grid)
-    key_bytes = sum((F.octet_length(F.col(n).cast("string")) for n in names), F.lit(32))
-    row = grid.agg(
-        F.max("gq"), F.max("gd"), F.sum(F.col("gq").cast("long") * F.col("gd")),
-        F.sum("pairs"), F.sum(key_bytes),
-    ).first()
-    return grid.drop("pairs"), GridTotal(*row[:4], broadcast=row[4] <= SIZES_BROADCAST_BYTES)
+    one = [math.ceil(n / block_rows) for n in (total.n_q, total.n_db)]
+    cores = q_rows.sparkSession.sparkContext.defaultParallelism
+    tasks = min(total.tasks(cores), total.cells)
+    cell = [*names, "_qb", "_db"]
+
+    def laid_out(rows: DataFrame, own: str, own_blocks: str, other: str, other_blocks: str):
+        copies = F.sequence(F.lit(0), F.col(other_blocks) - 1)
+        if names and sizes.fits:
+            rows = rows.join(F.broadcast(grid), names)
+        elif names:
+            salted = grid.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            salt = F.pmod(F.xxhash64(F.lit("salt"), "_id"), F.lit(SALTS)).cast("int")
+            rows = rows.withColumn("_salt", salt).join(salted, [*names, "_salt"])
+        else:
+            rows = rows.withColumns({"gq": F.lit(one[0]), "gd": F.lit(one[1])})
+        rows = (
+            rows.withColumn(own, F.pmod(F.xxhash64("_id"), F.col(own_blocks)).cast("int"))
+            .withColumn(other, F.explode(copies))
+            .select(*cell, "_id", "_vec")
+        )
+        return rows.repartition(tasks, *cell) if tasks > 1 else rows
+
+    q_cells = laid_out(q_rows, "_qb", "gq", "_db", "gd")
+    db_cells = laid_out(db_rows, "_db", "gd", "_qb", "gq")
+
+    return (
+        q_cells.groupBy(*cell)
+        .cogroup(db_cells.groupBy(*cell))
+        .applyInArrow(scorer.cell(), schema)
+    )
 
 
 def top_k(hits: DataFrame, keys: Sequence[str], k: int, score: str, tie: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinshelf.operators.small import Small, measured
 from twinshelf.session import cut
 
 # (query column, database column, output column) of each grouping column
@@ -118,13 +119,19 @@ def group_sizes(
     return sizes.where((F.col("n_q") >= min_rows) & (F.col("n_db") >= min_rows))
 
 
-def matching(df: DataFrame, keys: DataFrame, on: dict[str, str], how: str = "left_semi") -> DataFrame:
+def matching(
+    df: DataFrame, keys: DataFrame | Small, on: dict[str, str], how: str = "left_semi"
+) -> DataFrame:
     """Rows whose key is (``left_semi``) or is not (``left_anti``) in ``keys``.
 
     ``on`` maps columns of ``df`` to columns of ``keys``, which may share a source.
     """
     names = {k: f"_key{i}" for i, k in enumerate(on.values())}
-    right = keys.select(*[F.col(k).alias(n) for k, n in names.items()])
+    broadcast = isinstance(keys, Small) and keys.fits
+    frame = keys.frame if isinstance(keys, Small) else keys
+    right = frame.select(*[F.col(k).alias(n) for k, n in names.items()])
+    if broadcast:
+        right = F.broadcast(right)
     return df.join(right, [F.col(c) == F.col(names[k]) for c, k in on.items()], how)
 
 
@@ -135,7 +142,8 @@ def guard_groups(
     if not by or min_rows <= 1:
         return q, db
     names = [n for _, _, n in by]
-    groups = cut(group_sizes(q, db, [c for c, _, _ in by], [c for _, c, _ in by], names, min_rows))
+    sizes = group_sizes(q, db, [c for c, _, _ in by], [c for _, c, _ in by], names, min_rows)
+    groups = measured(sizes.select(*names))
     q = matching(q, groups, {c: n for c, _, n in by})
     db = matching(db, groups, {c: n for _, c, n in by})
     return q, db

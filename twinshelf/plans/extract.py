@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from twinshelf.functions.urls import first_of_list
 from twinshelf.operators.rows import first_rows, keep_first, latest_snapshot
+from twinshelf.operators.small import measured
 from twinshelf.sources.tables import extract_clusters
 
 
@@ -18,10 +19,13 @@ def days_before(as_of: date, n: int) -> Column:
 
 
 def category_map(snapshots: DataFrame) -> DataFrame:
-    """Category → cluster in the latest snapshot of the map."""
-    return latest_snapshot(snapshots, "ingestion_timestamp").select(
-        "level1_global", "cluster"
-    ).distinct()
+    """Category → cluster in the latest snapshot of the map.
+
+    Computed at once: joined while still unmeasured, a hot category would be
+    shuffled into one task.
+    """
+    latest = latest_snapshot(snapshots, "ingestion_timestamp")
+    return measured(latest.select("level1_global", "cluster").distinct()).for_join()
 
 
 def catalogue_extract(

@@ -153,6 +153,15 @@ def test_row_index_and_batches(spark, n):
     assert len({g[2] for g in got}) == -(-n // 50)
 
 
+def test_row_index_spreads_a_value_with_many_rows(spark):
+    df = spark.range(4000).select(F.lit("hot").alias("key"), F.col("id").alias("other"))
+    indexed = row_index(df, ["key"]).collect()
+    assert sorted(r["row_index"] for r in indexed) == list(range(4000))
+    assert {r["other"] for r in indexed} == set(range(4000))
+    tied = df.withColumn("_tie", F.xxhash64("key", "other")).repartitionByRange(4, "key", "_tie")
+    assert tied.groupBy(F.spark_partition_id()).count().count() == 4
+
+
 def test_first_and_last_rows(spark):
     df = spark.range(3000).select((F.lit(2999) - F.col("id")).alias("k"))
     for n in (5, 2000):     # merged in one task, and numbered in place

@@ -471,9 +471,12 @@ ORACLES = {
                    sum(round_even(value * 100, 0)::BIGINT) / count(*) / 100 AS time_index,
                    max(value) AS time_query, count(*)::VARCHAR AS data_size
             FROM events GROUP BY 1
+            UNION ALL
+            SELECT 'no index, ' || event_type, NULL, min(value), count(*)::VARCHAR
+            FROM events GROUP BY 1
         )
-        SELECT *, time_index / (SELECT min(time_index) FROM report) AS time_index_pct,
-               time_query / (SELECT min(time_query) FROM report) AS time_query_pct
+        SELECT *, time_index / nullif((SELECT min(time_index) FROM report), 0) AS time_index_pct,
+               time_query / nullif((SELECT min(time_query) FROM report), 0) AS time_query_pct
         FROM report""",
     "text_hash_vectors": f"""
         SELECT id AS doc_id, CAST(dim - 1 AS INTEGER) AS dim, round_even(w::DOUBLE, 5) AS weight

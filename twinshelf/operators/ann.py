@@ -228,15 +228,16 @@ def complete(
     hits = cut(hits)
     counts = hits.groupBy(*names, q_id).agg(F.count(F.lit(1)).alias("_hits"))
     groups = [F.col(c).alias(n) for _, c, n in by]
-    usable = db.where(F.col(db_vec).isNotNull())
-    # a row may be barred from matching itself, so one row less may be reachable
+    # An upper bound from the group columns alone: rows without a vector only make
+    # some queries of tiny groups take the exact pass in vain.  A row may be barred
+    # from matching itself, so one row less may be reachable.
     reachable = F.count(F.lit(1)) - (1 if exclude_self else 0)
     queries = q.select(*[F.col(c).alias(n) for c, _, n in by], F.col(q_id))
     if names:
-        sizes = usable.select(*groups).groupBy(*names).agg(reachable.alias("_reachable"))
+        sizes = db.select(*groups).groupBy(*names).agg(reachable.alias("_reachable"))
         queries = queries.join(measured(sizes).for_join(), names)
     else:
-        queries = queries.withColumn("_reachable", usable.agg(reachable).scalar())
+        queries = queries.withColumn("_reachable", db.agg(reachable).scalar())
     short = cut(
         queries.join(counts, [*names, q_id], "left")
         .where(F.coalesce("_hits", F.lit(0)) < F.least(F.lit(k), F.col("_reachable")))

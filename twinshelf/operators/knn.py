@@ -117,8 +117,13 @@ class Totals:
 
 def group_totals(sizes: DataFrame, block_rows: int) -> tuple[Small, Totals]:
     """Group sizes, computed once, and their totals."""
-    gq, gd = (F.ceil(F.col(n) / block_rows) for n in ("n_q", "n_db"))
     small = measured(sizes)
+    if small.rows is not None:
+        q, db = (small.rows[n].to_numpy() for n in ("n_q", "n_db"))
+        gq, gd = -(-q // block_rows), -(-db // block_rows)
+        return small, Totals(int(q.sum()), int(db.sum()), int(gd.max(initial=0)),
+                             int((gq * gd).sum()), float((q.astype(float) * db).sum()))
+    gq, gd = (F.ceil(F.col(n) / block_rows) for n in ("n_q", "n_db"))
     row = small.frame.agg(
         F.sum("n_q"), F.sum("n_db"), F.max(gd), F.sum(gq * gd),
         F.sum(F.col("n_q").cast("double") * F.col("n_db")),

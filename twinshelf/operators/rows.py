@@ -19,7 +19,10 @@ MERGE_LIMIT = 1_000
 
 
 def row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Dense index 0, 1, 2, … in the order of ``order`` (which must be unique).
+    """Dense index 0, 1, 2, … in the order of ``order``.
+
+    Rows that are equal in ``order`` are told apart by a hash of all columns, so
+    that a value with many rows can be spread over several partitions.
 
     Rows are range-partitioned and sorted, and numbered inside their partition.
     The only thing gathered is one row count per partition.  The numbered rows
@@ -27,8 +30,10 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> D
     twice could otherwise disagree with the counts.
     """
     local = cut(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(*order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
         # partition number in the upper 31 bits, position inside it in the lower 33
         .withColumn("_local", F.monotonically_increasing_id())
     )

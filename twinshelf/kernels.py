@@ -42,7 +42,10 @@ def to_matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def rounded(scores: np.ndarray) -> np.ndarray:
     """Same rule as ``functions.scores.round_score``."""
-    return np.where(scores <= 1, np.round(scores, 5), np.round(scores, 1))
+    out = np.round(scores, 5)
+    large = scores > 1
+    out[large] = np.round(scores[large], 1)
+    return out
 
 
 def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,22 +53,27 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
 
     Best is by rounded score, then by lower column.  Rounding keeps the order, so
     the k-th score is found first and only entries that can round to as much are
-    rounded; all of them are compared before the cut.  -inf is never a hit.
+    rounded.  Entries above the k-th rounded score are all in; those level with it
+    fill up by column, so many copies of a vector cost no sort.  -inf is no hit.
     """
-    n = scores.shape[1]
+    rows, n = scores.shape
     k = min(k, n)
     kth = np.partition(scores, n - k, axis=1)[:, n - k]
     # a little more than one rounding step below the k-th score
     least = kth - np.where(kth <= 1, 1.1e-5, 0.11)
     row, col = np.nonzero(scores >= least[:, None])
     value = rounded(scores[row, col])
-    hit = value > -np.inf
-    row, col, value = row[hit], col[hit], value[hit]
+    bar = rounded(kth)[row]
+    above = np.flatnonzero(value > bar)
+    level = np.flatnonzero((value == bar) & (value > -np.inf))
+    free = k - np.bincount(row[above], minlength=rows)
+    # entries come in column order, so the place among the level ones is a count
+    counts = np.bincount(row[level], minlength=rows)
+    place = np.arange(len(level)) - np.repeat(np.cumsum(counts) - counts, counts)
+    best = np.concatenate([above, level[place < np.repeat(free, counts)]])
+    row, col, value = row[best], col[best], value[best]
     order = np.lexsort((col, -value, row))
-    row, col, value = row[order], col[order], value[order]
-    starts = np.searchsorted(row, np.arange(scores.shape[0]))
-    keep = np.arange(len(row)) - starts[row] < k
-    return row[keep], col[keep], value[keep]
+    return row[order], col[order], value[order]
 
 
 def by_group(table: pa.Table, keys: Sequence[str]) -> dict[tuple, pa.Table]:

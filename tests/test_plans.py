@@ -5,6 +5,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import rows
+from test_knn import random_rows
 from twinshelf import MatchConfig, export_review, match, prepare_image_side, prepare_text_side
 from twinshelf.operators import evaluate
 from twinshelf.operators.rows import (
@@ -331,7 +332,33 @@ def test_match_by_text_end_to_end(spark):
     assert picked == [(1, 7, 4.0, 1.0), (2, 8, 5.0, 0.5)]
 
 
+@pytest.mark.parametrize("approximate", [
+    dict(method="cells", n_cells=4, nprobe=4),
+    dict(method="cells", n_cells=4, nprobe=1),
+    dict(method="planes", vector_width=8, plane_tables=2, plane_bits=2),
+])
+def test_match_by_approximate_methods(spark, fresh, approximate):
+    data = random_rows(5, {"a": 30, "b": 9, "one": 1})
+    q, db = (spark.createDataFrame(
+        data, f"{m}_item_id long, {m}_category string, text_embed array<float>")
+        for m in ("q", "db"))
+    exact = match(q, db, MatchConfig(top_k=5))
+    config = MatchConfig(top_k=5, index_path=fresh(), **approximate)
+    got = match(q, db, config)
+    assert got.columns == exact.columns
+    assert got.count() == exact.count()      # no query comes back short
+    if approximate.get("nprobe") == 4:
+        assert rows(got) == rows(exact)
+        assert rows(match(q, db, config)) == rows(exact)    # the index is reused
+    found = evaluate.recall(got, exact, ["category", "q_item_id", "db_item_id"]).first()
+    assert found["recall"] > 0.4
+
+
 def test_config_is_checked():
+    with pytest.raises(ValueError):
+        MatchConfig(method="guess")
+    with pytest.raises(ValueError, match="vector_width"):
+        MatchConfig(method="planes")
     with pytest.raises(ValueError):
         MatchConfig(match_by="sound")
     with pytest.raises(ValueError):

@@ -125,21 +125,18 @@ HALVES = f"WITH {_half_ctes(1, 32, 'text')}, {_half_ctes(33, 64, 'image')}"
 
 def _fused(text_category: str, image_category: str) -> str:
     return HALVES + f""",
-    base AS (
-        SELECT {text_category} AS category, q_id, db_id, 'score_text' AS match_type, score
+    scored AS (
+        SELECT {text_category} AS category, q_id, db_id, score AS text, NULL AS image
         FROM text_hits
         UNION ALL
-        SELECT {image_category}, q_id, db_id, 'score_image', score FROM image_hits
-    ),
-    pivoted AS (
-        PIVOT base ON match_type IN ('score_image', 'score_text') USING sum(score)
-        GROUP BY category, q_id, db_id
+        SELECT {image_category}, q_id, db_id, NULL, score FROM image_hits
     ),
     fused AS (
         SELECT category, q_id AS q_item_id, 'item ' || q_id AS q_item_name,
-               db_id AS db_item_id, 'item ' || db_id AS db_item_name, score_image, score_text,
+               db_id AS db_item_id, 'item ' || db_id AS db_item_name,
+               sum(image) AS score_image, sum(text) AS score_text,
                coalesce((score_text + score_image) / 2, score_text, score_image) AS score_mean
-        FROM pivoted
+        FROM scored GROUP BY category, q_id, db_id
     )
     """
 
@@ -256,8 +253,8 @@ def _level_names(n: int) -> str:
 
 def _coverage(n: int) -> str:
     counts = ", ".join(
-        f"count(DISTINCT CASE WHEN o.grass_date >= DATE '2001-11-04' - {d} "
-        f"THEN o.item_id END) AS total_items_{d}d" for d in (30, 60, 90)
+        f"count(DISTINCT item_id) FILTER (grass_date >= DATE '2001-11-04' - {d}) "
+        f"AS total_items_{d}d" for d in (30, 60, 90)
     )
     return f"""
     WITH {_CAT},
@@ -328,6 +325,12 @@ _STORED_TEXT = HALVES + """
     FROM text_hits
 """
 
+MATCHED_TEXT = HALVES + """
+    SELECT category, q_id AS q_item_id, 'item ' || q_id AS q_item_name,
+           category AS q_category, db_id AS db_item_id, 'item ' || db_id AS db_item_name,
+           category AS db_category, score AS score_text_embed, rank
+    FROM text_hits"""
+
 ORACLES = {
     "knn_exact_by_category": EXACT,
     "knn_small_blocks": EXACT,
@@ -354,11 +357,8 @@ ORACLES = {
         SELECT count(*) AS n_exact, count(l.db_id) AS n_found,
                count(l.db_id) / count(*) AS recall
         FROM ({EXACT}) e LEFT JOIN lsh l USING (category, q_id, db_id)""",
-    "match_by_text": HALVES + """
-        SELECT category, q_id AS q_item_id, 'item ' || q_id AS q_item_name,
-               category AS q_category, db_id AS db_item_id, 'item ' || db_id AS db_item_name,
-               category AS db_category, score AS score_text_embed, rank
-        FROM text_hits""",
+    "match_by_text": MATCHED_TEXT,
+    "match_by_cells": MATCHED_TEXT,
     "rerank_fusion": FUSED,
     "rerank_one_modality": _fused(_TEXT_CATEGORY, _IMAGE_CATEGORY) + _RANKED,
     "rerank_written": FUSED,

@@ -166,6 +166,15 @@ def match_by_text(spark: SparkSession, d: str) -> DataFrame:
     return _half_match(spark, d, "text")
 
 
+def match_by_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The same through a stored index, all of whose cells are probed."""
+    q, db = s.half_vectors(spark, d, "q", "text"), s.half_vectors(spark, d, "db", "text")
+    config = MatchConfig(
+        method="cells", n_cells=8, nprobe=8, index_path=scratch_path(spark, "index")
+    )
+    return match.match(q, db, config)
+
+
 def rerank_fusion(spark: SparkSession, d: str) -> DataFrame:
     return rerank.rerank(_half_match(spark, d, "text"), _half_match(spark, d, "image"))
 
@@ -622,7 +631,7 @@ def stage_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = [
     knn_exact_by_category, knn_small_blocks, knn_global, knn_self, knn_exclude_self, knn_cosine,
     knn_payload, knn_nested, exploded_hits, ivf_cells, ivf_totals, ivf_reused, knn_ivf,
-    knn_ivf_all_cells, knn_ivf_recall, knn_lsh, knn_lsh_recall, match_by_text, rerank_fusion,
+    knn_ivf_all_cells, knn_ivf_recall, knn_lsh, knn_lsh_recall, match_by_text, match_by_cells, rerank_fusion,
     rerank_one_modality, rerank_written, category_union, encoder_hits, encoder_overlap,
     category_list, category_guard, one_category, clean_text, truncate_tokens, prepare_side,
     row_index, asset_manifest_join, image_scan, image_embed, match_by_image, first_image_url,

@@ -30,8 +30,22 @@ class MatchConfig:
     block_rows: int = 16_384
     encoder: str | None = None
     exclude_self: bool = False
+    # "exact", or approximate by the nearest k-means "cells" or by hyperplane "planes"
+    method: str = "exact"
+    # Where the cells are kept; an index that is already there is used as it is.
+    index_path: str | None = None
+    n_cells: int = 1024
+    nprobe: int = 16
+    plane_tables: int = 4
+    plane_bits: int = 8
+    # Vector length, needed for hyperplanes.
+    vector_width: int | None = None
 
     def __post_init__(self) -> None:
+        if self.method not in ("exact", "cells", "planes"):
+            raise ValueError(f"method must be exact, cells or planes, not {self.method!r}")
+        if self.method == "planes" and self.vector_width is None:
+            raise ValueError("matching by planes needs vector_width")
         if self.match_by not in ("text", "image"):
             raise ValueError(f"match_by must be 'text' or 'image', not {self.match_by!r}")
         if self.top_k < 1 or self.block_rows < 1:

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinshelf.config import DATABASE, QUERY, MatchConfig, require_columns
+from twinshelf.operators.ann import build_cells, knn_cells, knn_planes
 from twinshelf.operators.encode import embed, embed_once
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.rows import guard_groups
 from twinshelf.plans.resume import pending_categories, pending_queries
+from twinshelf.session import scratch_path
 from twinshelf.sources.images import read_images
 from twinshelf.sources.tables import write_by_category
 
@@ -41,6 +43,31 @@ def with_vectors(
     return side.drop("image")
 
 
+def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
+    """Hits by the configured method: category, both ids, score and rank."""
+    common = dict(
+        k=config.top_k,
+        q_vec=config.vector_col,
+        db_vec=config.vector_col,
+        q_id=config.side(QUERY, config.id_col),
+        db_id=config.side(DATABASE, config.id_col),
+        by=[(config.side(QUERY, config.category), config.side(DATABASE, config.category),
+             "category")],
+        min_group_size=config.min_group_size,
+        block_rows=config.block_rows,
+        exclude_self=config.exclude_self,
+        score=config.score_col,
+    )
+    if config.method == "cells":
+        path = config.index_path or scratch_path(db.sparkSession, "cells")
+        index = build_cells(db, path, vec=config.vector_col, n_cells=config.n_cells)
+        return knn_cells(q, index, nprobe=config.nprobe, **common)
+    if config.method == "planes":
+        return knn_planes(q, db, width=config.vector_width, tables=config.plane_tables,
+                          bits=config.plane_bits, **common)
+    return knn_join(q, db, **common)
+
+
 def match(
     q: DataFrame,
     db: DataFrame,
@@ -59,19 +86,12 @@ def match(
     require_columns(q, [q_id, q_cat], "query side")
     require_columns(db, [db_id, db_cat], "database side")
     q_table, db_table = vector_tables or (None, None)
-    hits = knn_join(
-        with_vectors(q, QUERY, config, images, q_table),
-        with_vectors(db, DATABASE, config, images, db_table),
-        k=config.top_k,
-        q_vec=config.vector_col,
-        db_vec=config.vector_col,
-        q_id=q_id,
-        db_id=db_id,
-        by=[(q_cat, db_cat, "category")],
-        min_group_size=config.min_group_size,
-        block_rows=config.block_rows,
-        exclude_self=config.exclude_self,
-        score=config.score_col,
+    hits = nearest(
+        with_vectors(q, QUERY, config, images, q_table).select(q_id, q_cat, config.vector_col),
+        with_vectors(db, DATABASE, config, images, db_table).select(
+            db_id, db_cat, config.vector_col
+        ),
+        config,
     )
     q_cols = [c for c in q.columns if c != config.vector_col]
     db_cols = [c for c in db.columns if c != config.vector_col]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from test_knn import BY, brute_force, random_rows, table
-from twinshelf import MatchConfig, match, run_match
+from twinshelf import MatchConfig, match, prepare_image_side, run_match
 from twinshelf.checks import standins
 from twinshelf.operators import encode
 from twinshelf.operators.encode import batch_encoder, embed, embed_once, register_encoder, word_hash
@@ -204,6 +204,29 @@ def test_match_by_image_against_brute_force(spark, sf_dir):
         assert mine == pytest.approx(sorted(-s for s, _ in best), abs=2e-5)
 
 
+def test_image_files_to_matches(spark, sf_dir, pictures, fresh):
+    """Raw rows, image files by row index, both sides prepared, matched and written."""
+    raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("item_id"), F.lit("Some NAME").alias("item_name"),
+        F.lit("http://host/picture").alias("image_url"), F.col("label").cast("string").alias("kind"))
+    manifest = images.image_manifest(spark, pictures)
+    paths = {}
+    for side in ("q", "db"):
+        paths[side] = fresh()
+        prepare_image_side(raw, manifest, side).write.parquet(paths[side])
+    out = fresh()
+    register_encoder("raster", lambda: encode.grid_mean(grid=8, size=8))
+    config = MatchConfig(match_by="image", category="kind", top_k=1, encoder="raster")
+    took = run_match(spark, paths["q"], paths["db"], out, config, image_folder=pictures)
+    assert set(took) == {"time_perf_image"}
+    got = spark.read.parquet(out)
+    # the nearest picture is the picture itself
+    assert got.where("q_item_id = db_item_id AND score_image_embed = 1.0").count() == 500
+    assert got.where("q_item_name_clean <> 'some name'").count() == 0
+    with pytest.raises(ValueError, match="images"):
+        run_match(spark, paths["q"], paths["db"], fresh(), config)
+
+
 # ---- resume and stream --------------------------------------------------------
 
 

@@ -205,7 +205,9 @@ def with_payload(
 ) -> DataFrame:
     """Attach chosen columns of a side to its hits by key (never by position).
 
-    ``on`` maps columns of ``hits`` to columns of ``side``.
+    ``on`` maps columns of ``hits`` to columns of ``side``.  A row that is a hit of
+    very many queries makes a skewed key; keys of ``side`` are unique, so Spark's
+    adaptive skew join can split the hits of such a key over tasks.
     """
     names = {c: f"_p_{i}" for i, c in enumerate(on.values())}
     payload = side.select(*[F.col(c).alias(n) for c, n in names.items()],

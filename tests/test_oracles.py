@@ -6,8 +6,7 @@ from compare import connect, differences, duckdb_result, spark_result
 from __spark_entry__ import entry, oracle_sql, queries
 
 QUERIES, ORACLES = queries(), oracle_sql()
-# k-means and principal components have no SQL; they are tested against brute
-# force elsewhere
+# k-means and principal components have no SQL; see test_ann.py
 WITHOUT_SQL = {"ivf_cells", "knn_ivf", "knn_ivf_recall", "pca_knn"}
 
 

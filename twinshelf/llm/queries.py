@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from twinshelf.llm import token_counts
+from twinshelf.llm import exact_dedup, token_counts
 
-MODULES = [token_counts]
+MODULES = [exact_dedup, token_counts]
 
 QUERIES: list[Callable] = [query for module in MODULES for query in module.QUERIES]
 ORACLES: dict[str, str] = {

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from twinshelf.llm import exact_dedup, language_id, token_counts
+from twinshelf.llm import exact_dedup, language_id, simhash, token_counts
 
-MODULES = [exact_dedup, language_id, token_counts]
+MODULES = [exact_dedup, language_id, simhash, token_counts]
 
 QUERIES: list[Callable] = [query for module in MODULES for query in module.QUERIES]
 ORACLES: dict[str, str] = {

@@ -21,7 +21,8 @@ an empty result; other columns are ignored here and kept by ``drop_duplicates``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,12 @@ from pyspark.sql import functions as F
 from twinshelf.llm.common import SPACE, stored, table
 from twinshelf.session import scratch_path
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # no space is claimed ahead of need, or each state partition would take 4 MB at once
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text_col: str) -> Column:
@@ -46,29 +52,46 @@ def digests_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """The settings of the state store, for the stream and for reading its state."""
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def stream_state(arrivals: DataFrame, path: str) -> DataFrame:
     """The final state of the stream over the files in ``path``: one row per digest."""
     spark = arrivals.sparkSession
     state = scratch_path(spark, "digest-state")
     best = F.min(F.struct((-F.col("points")).alias("rank"), "id", "locator")).alias("best")
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    try:
-        stream = (
-            spark.readStream.schema(arrivals.schema).parquet(path)
-            .groupBy("digest").agg(best, F.count("*").alias("size"))
-        )
-        query = (
-            stream.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
-            .option("checkpointLocation", state).start()
-        )
-        query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    return spark.read.format("statestore").load(state)
+    stream = (
+        spark.readStream.schema(arrivals.schema).parquet(path)
+        .groupBy("digest").agg(best, F.count("*").alias("size"))
+    )
+    query = (
+        stream.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
+        .option("checkpointLocation", state).start()
+    )
+    query.awaitTermination()
+    held = spark.read.format("statestore").load(state)
+    # the state's value has one field per aggregate: the least struct, then the count
+    best, size = (f"value.`{name}`" for name in held.schema["value"].dataType.names)
+    return held.select(
+        F.col("key.digest").alias("digest"),
+        F.col(f"{best}.id").alias("keep_id"),
+        (-F.col(f"{best}.rank")).alias("keep_points"),
+        F.col(f"{best}.locator").alias("keep_locator"),
+        F.col(size).alias("size"),
+    )
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,19 +107,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "keep_id": F.lit(None).cast(kind), "keep_points": F.lit(0),
             "keep_locator": F.lit(""), "size": F.lit(0).cast("long"),
         })
-    held = stream_state(arrivals, path)
-    # the state's value has one field per aggregate: the least struct, then the count
-    best, size = (f"value.`{name}`" for name in held.schema["value"].dataType.names)
-    groups = stored(
-        held.select(
-            F.col("key.digest").alias("digest"),
-            F.col(f"{best}.id").alias("keep_id"),
-            (-F.col(f"{best}.rank")).alias("keep_points"),
-            F.col(f"{best}.locator").alias("keep_locator"),
-            F.col(size).alias("size"),
-        ),
-        "digest-groups",
-    )
+    with state_on_disk(spark):
+        groups = stored(stream_state(arrivals, path), "digest-groups")
     check_bytes(docs, groups, id_col, text_col)
     return arrivals.drop("locator").join(groups, "digest")
 

@@ -2,8 +2,8 @@
 
 A token is a word or a word's prefix of 3 to 7 letters. Its weight is the log-odds ratio of
 toxic against clean labelled texts under a Dirichlet prior that has the token's counts in all
-documents. Words score the weight of their strongest token above ``MIN_Z`` standard
-errors, less a drift; all other words score minus the drift, so that passages end. One
+documents; weights below ``MIN_Z`` standard errors are dropped. Words score the weight of
+their heaviest token, less a drift; all other words score minus the drift, so that passages end. One
 pass over a text finds all its maximal segments (Ruzzo and Tompa), in time linear in its
 length. Under the null a segment of score S in n words has E-value K n exp(-lambda S):
 lambda solves the moment equation of the word scores in clean texts, K is the likelihood
@@ -40,7 +40,7 @@ MAX_TOKENS = 100_000
 MIN_COUNT = 4
 MIN_Z = 3.0
 PREFIXES = range(3, 8)
-PRIOR_WORDS = 50_000.0  # weight of the prior, in words
+PRIOR_WORDS = 10_000.0  # weight of the prior, in words
 DRIFT = 0.5
 CACHE_SIZE = 300_000
 WORD = re.compile(r"\w+")
@@ -73,8 +73,7 @@ class WordScores(dict):
 
     def __missing__(self, word: str) -> float:
         known = [x for x in map(self.weight.get, tokens_of(word)) if x]
-        best = max(known, key=lambda x: x[1], default=(0.0, 0.0))
-        score = best[0] - DRIFT if best[1] >= MIN_Z else -DRIFT
+        score = max((x[0] for x in known), default=0.0) - DRIFT
         if len(self) >= CACHE_SIZE:
             self.clear()
         self[word] = score
@@ -150,33 +149,39 @@ def label_sample(labels: DataFrame, learnable: Column, id_col: str, label_col: s
 
 
 def token_counts(texts: DataFrame, label) -> DataFrame:
-    """(token, toxic, clean): labelled texts with the token, so that one text that repeats
-    itself weighs as one."""
+    """(token, toxic, clean): in how many labelled texts each word is, summed for prefixes;
+    a text that repeats itself weighs no more than another."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if (y := label.value.get(i)) is not None:
-                    seen[bool(y)].update({t for w in set(words_of(text)) for t in tokens_of(w)})
+                    seen[bool(y)].update(set(words_of(text)))
             if len(seen[0]) + len(seen[1]) > CACHE_SIZE:
                 yield counted(seen)
                 seen = (Counter(), Counter())
         yield counted(seen)
 
     def counted(seen) -> pa.RecordBatch:
-        tokens = list(seen[0] | seen[1])
+        words = list(seen[0] | seen[1])
         return _batches(
-            {"token": tokens, "toxic": [seen[1][w] for w in tokens], "clean": [seen[0][w] for w in tokens]},
-            [("token", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())],
+            {"word": words, "toxic": [seen[1][w] for w in words], "clean": [seen[0][w] for w in words]},
+            [("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())],
         )
 
-    tokens = texts.mapInArrow(count, "token string, toxic long, clean long")
-    return tokens.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    words = texts.mapInArrow(count, "word string, toxic long, clean long")
+    words = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    tokens = F.array(
+        F.col("word"),
+        *(F.when(F.length("word") >= n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in PREFIXES),
+    )
+    expanded = words.select(F.explode(tokens).alias("token"), "toxic", "clean").filter("token is not null")
+    return expanded.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def prior_counts(texts: DataFrame, wanted) -> tuple[dict[str, int], int]:
-    """Occurrences of the wanted tokens in all texts, and of all words."""
+    """The same counts for the wanted tokens in all texts, and their sum over all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, total, seen = Counter(), 0, Counter()
@@ -190,7 +195,7 @@ def prior_counts(texts: DataFrame, wanted) -> tuple[dict[str, int], int]:
 
         for batch in batches:
             for text in batch.column(1).to_pylist():
-                words = words_of(text)
+                words = set(words_of(text))
                 seen.update(words)
                 total += len(words)
             if len(seen) > CACHE_SIZE:

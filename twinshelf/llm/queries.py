@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from twinshelf.llm import exact_dedup, language_id, simhash, token_counts, toxicity
+from twinshelf.llm import exact_dedup, language_id, simhash, substring_dedup, token_counts, toxicity
 
-MODULES = [exact_dedup, language_id, simhash, token_counts, toxicity]
+MODULES = [exact_dedup, language_id, simhash, substring_dedup, token_counts, toxicity]
 
 QUERIES: list[Callable] = [query for module in MODULES for query in module.QUERIES]
 ORACLES: dict[str, str] = {

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from twinshelf.llm import hashing
 from twinshelf.llm.common import partitions, table
+from twinshelf.llm.regroup import FOUND, Outbox, by_document, slots_for
 
 CHUNK = 1 << 22
 BUCKET_BYTES = 32 << 20
@@ -108,47 +109,37 @@ def repeated_in(h: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def repeats(rows: DataFrame) -> DataFrame:
-    """(id, places): places of repeated windows, some per row, of each document."""
-
-    def by_document(ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(ids, kind="stable")
-        ids, places = ids[order], places[order]
-        cuts = np.flatnonzero(np.diff(ids)) + 1
-        parts = [x.tobytes() for x in np.split(places, cuts)] if len(ids) else []
-        own = ids[np.concatenate([[0], cuts]).astype(np.int64)] if len(ids) else ids
-        return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(parts, pa.binary())], names=["id", "places"])
+    """Places of repeated windows, one row per document that has any."""
+    slots = slots_for(rows)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts, ids, places, held = None, [], [], [], 0
+        bucket, parts, out = None, [], Outbox(slots)
 
-        def close() -> int:
-            if not parts:
-                return 0
+        def close() -> None:
             h = np.zeros((sum(p[0] for p in parts), 8), np.uint8)
             h[:, :7] = np.frombuffer(b"".join(p[1] for p in parts), np.uint8).reshape(-1, 7)
-            own = np.concatenate([np.cumsum(unpacked(p[2], np.int64)) for p in parts])
-            gone = repeated_in(h.view(np.uint64).reshape(-1), own)
-            ids.append(own[gone])
-            places.append(np.concatenate([unpacked(p[3], np.uint32) for p in parts])[gone])
+            ids = np.concatenate([np.cumsum(unpacked(p[2], np.int64)) for p in parts])
+            places = np.concatenate([unpacked(p[3], np.uint32) for p in parts])
+            gone = repeated_in(h.view(np.uint64).reshape(-1), ids)
+            out.add(ids[gone], places[gone], np.ones(int(gone.sum()), np.int64))
             parts.clear()
-            return int(gone.sum())
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] != bucket:
-                    held += close()
+                    if parts:
+                        close()
                     bucket = row[0]
-                    if held > 2_000_000:
-                        yield by_document(np.concatenate(ids), np.concatenate(places))
-                        ids, places, held = [], [], 0
+                    if out.full():
+                        yield out.send()
                 parts.append(row[1:])
-        held += close()
-        if held:
-            yield by_document(np.concatenate(ids), np.concatenate(places))
+        if parts:
+            close()
+        yield out.send()
 
     n = partitions(rows.sparkSession)
     dealt = rows.repartition(n, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(judge, "id long, places binary")
+    return by_document(dealt.mapInArrow(judge, FOUND))
 
 
 def intervals(places: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -168,8 +159,8 @@ def remove_repeats(docs: DataFrame, *, size: int = 13, id_col: str = "doc_id", t
     )
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(FEWEST_BITS, math.ceil(math.log2(max(total, 1) / BUCKET_BYTES)))
-    found = repeats(window_rows(texts, size, bits)).groupBy("id").agg(F.collect_list("places").alias("places"))
-    sent = found.withColumnRenamed("id", "__id")
+    found = repeats(window_rows(texts, size, bits))
+    sent = found.select(F.col("id").alias("__id"), F.col("starts").alias("places"))
     met = texts.join(sent, F.coalesce("id", F.lit(int(NO_ID))) == F.col("__id"), "left").select("id", "text", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +168,7 @@ def remove_repeats(docs: DataFrame, *, size: int = 13, id_col: str = "doc_id", t
             out: dict[str, list] = {"n_words": [], "intervals": [], "kept": []}
             for text, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = text.encode().split()
-                spans = intervals(np.frombuffer(b"".join(places or []), np.uint32), size)
+                spans = intervals(np.frombuffer(places or b"", np.uint32), size)
                 spans = [(a, min(b, len(words))) for a, b in spans if a < len(words)]
                 out["n_words"].append(len(words))
                 out["intervals"].append([{"start": a, "end": b} for a, b in spans])

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from twinshelf.llm import hashing
 from twinshelf.llm.common import partitions, stored, table
+from twinshelf.llm.regroup import FOUND, Outbox, by_document, slots_for
 from twinshelf.llm.substring_dedup import BUCKET_BYTES, CHUNK, FEWEST_BITS, NO_ID, chunk_rows, packed, unpacked
 
 SIZE = 200
@@ -335,40 +336,49 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def judge_fragments(rows: DataFrame, size: int) -> DataFrame:
-    """(id, start, n) of repeated windows, and (id, start, body) of hot anchors."""
-
-    def drain(shards: Shards) -> pa.RecordBatch:
-        done = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (list(zip(*shards.done)) or [()] * 3)]
-        hot = shards.hot
-        shards.done, shards.hot = [], []
-        return pa.RecordBatch.from_arrays(
-            [pa.array([*done[0].tolist(), *(x[0] for x in hot)], pa.int64()),
-             pa.array([*done[1].tolist(), *(x[1] for x in hot)], pa.int64()),
-             pa.array([*done[2].tolist(), *[None] * len(hot)], pa.int32()),
-             pa.array([*[None] * len(done[0]), *(x[2] for x in hot)], pa.binary())],
-            names=["id", "start", "n", "body"],
-        )
+    """Repeated windows by slot of their document, and (id, start, body) of hot anchors."""
+    slots = slots_for(rows)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, anchor = Shards(size), None
+        shards, anchor, out = Shards(size), None, Outbox(slots)
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            for found in shards.done:
+                out.add(*found)
+            hot, shards.done, shards.hot = shards.hot, [], []
+            if hot:
+                rest = [pa.nulls(len(hot), k) for k in (pa.int32(), *[pa.binary()] * 3)]
+                own = [pa.array(c, k) for c, k in zip(zip(*hot), (pa.int64(), pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([*rest, *own], names=names)
+
+        def send() -> pa.RecordBatch:
+            sent = out.send()
+            rest = [pa.nulls(sent.num_rows, k) for k in (pa.int64(), pa.int64(), pa.binary())]
+            return pa.RecordBatch.from_arrays([*sent.columns, *rest], names=names)
+
         for batch in batches:
             for key, tied, body, ids, starts in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != anchor:
                     shards.close()
                     anchor = key
                 shards.add(tied, body, np.frombuffer(ids, np.int64), np.frombuffer(starts, np.uint32))
-            yield drain(shards)
+            yield from drain()
+            if out.full():
+                yield send()
         shards.close()
         shards.sort()
-        yield drain(shards)
+        yield from drain()
+        yield send()
 
+    names = ["slot", "ids", "starts", "counts", "id", "start", "body"]
     n = partitions(rows.sparkSession)
     dealt = rows.repartition(n, "anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(judge, "id long, start long, n int, body binary")
+    return dealt.mapInArrow(judge, f"{FOUND}, id long, start long, body binary")
 
 
 def count_windows(hot: DataFrame, size: int, bits: int) -> DataFrame:
-    """(id, start, n) of the windows of ``hot`` (id, start, body) that occur more than once."""
+    """Windows of ``hot`` (id, start, body) that occur more than once, by slot."""
+    slots = slots_for(hot)
     names = ["bucket", "n", "h", "ids", "places"]
 
     def flush(waiting: list) -> pa.RecordBatch:
@@ -397,9 +407,9 @@ def count_windows(hot: DataFrame, size: int, bits: int) -> DataFrame:
         yield flush(waiting)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts = None, []
+        bucket, parts, out = None, [], Outbox(slots)
 
-        def close() -> pa.RecordBatch:
+        def close() -> None:
             low = np.frombuffer(b"".join(p[1] for p in parts), np.uint8).reshape(-1, 7)
             h = np.zeros((len(low), 8), np.uint8)
             h[:, :7] = low
@@ -408,25 +418,24 @@ def count_windows(hot: DataFrame, size: int, bits: int) -> DataFrame:
             parts.clear()
             _, where, n = np.unique(h.view(np.uint64).reshape(-1), return_inverse=True, return_counts=True)
             keep = n[where] > 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids[keep], pa.int64()), pa.array(places[keep].astype(np.int64)),
-                 pa.array(np.ones(int(keep.sum()), np.int32))],
-                names=["id", "start", "n"],
-            )
+            out.add(ids[keep], places[keep], np.ones(int(keep.sum()), np.int64))
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] != bucket:
                     if parts:
-                        yield close()
+                        close()
                     bucket = row[0]
+                    if out.full():
+                        yield out.send()
                 parts.append(row[1:])
         if parts:
-            yield close()
+            close()
+        yield out.send()
 
     dealt = hot.mapInArrow(deal, "bucket int, n int, h binary, ids binary, places binary")
     dealt = dealt.repartition(partitions(hot.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(judge, "id long, start long, n int")
+    return dealt.mapInArrow(judge, FOUND)
 
 
 def spans(starts: np.ndarray, counts: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -449,20 +458,21 @@ def remove_repeats(
     found = repeated_runs(run_rows(texts, size, gram, bits))
     judged = stored(judge_fragments(fragments(texts, found, size), size), "judged-windows")
     hot = judged.filter("body is not null").select("id", "start", "body")
-    gone = judged.filter("body is null").select("id", "start", "n").union(count_windows(hot, size, FEWEST_BITS))
-    by_id = gone.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("start", "n")).alias("gone"))
-    met = texts.join(by_id, F.coalesce("id", F.lit(int(NO_ID))) == F.col("__id"), "left").select("id", "text", "gone")
+    gone = judged.filter("slot is not null").select("slot", "ids", "starts", "counts")
+    by_id = by_document(gone.union(count_windows(hot, size, FEWEST_BITS))).withColumnRenamed("id", "__id")
+    met = texts.join(by_id, F.coalesce("id", F.lit(int(NO_ID))) == F.col("__id"), "left").select(
+        "id", "text", "starts", "counts"
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {"n_bytes": [], "spans": [], "kept": []}
-            gone_column = batch.column(2)
-            for at, text in enumerate(batch.column(1)):
+            gone = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for text, blobs in zip(batch.column(1), gone):
                 data = text.as_buffer().to_pybytes()
                 found = []
-                if gone_column[at].is_valid:
-                    values = gone_column[at].values
-                    starts, n = (values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                if blobs[0]:
+                    starts, n = (np.frombuffer(b, np.uint32).astype(np.int64) for b in blobs)
                     found = [(a, min(b, len(data))) for a, b in spans(starts, n, size) if a < len(data)]
                 edges = [0, *(x for s in found for x in s), len(data)]
                 out["n_bytes"].append(len(data))

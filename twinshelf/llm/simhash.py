@@ -18,10 +18,10 @@ and its size is bounded:
 * ``link_similar`` (a similarity of whole texts): similar texts share most of 8 minima of
   hashed shingles, so these are shard keys. A key with more than ``MAX_SHARD`` nodes is
   replaced by pairs of such keys, then by fours, then by all eight; the nodes of a last
-  key are dealt over salts first, and only what doesn't match inside its salt meets again.
-  Links are confirmed on 512 bits in all, with a standard error of 0.035 in similarity.
+  key are dealt over salts first, and only what has no sure match inside its salt meets again.
+  512 bits in all tell what may be similar enough; whole shingle sets then confirm each link.
 
-Trees return at most one link per pair of local components, never all pairs of a group.
+Trees link to local components or to leaders, never all pairs of a group of copies.
 
 Cases: a null text counts as empty; texts without words have fingerprint zero and are
 linked like any other; fewer words than a shingle make one shingle; repeated rows give
@@ -171,21 +171,28 @@ class ExactShard:
 
 
 class LeaderShard:
-    """Links a node to the first leader that is similar, or makes it a leader."""
+    """Links a node to all leaders that may be similar; it becomes one of them unless it is
+    so close to one that their similarity is beyond doubt."""
 
-    def __init__(self, radius: int, most_bits: int) -> None:
-        self.radius, self.most_bits, self.tree = radius, most_bits, BKTree()
+    def __init__(self, radius: int, most_bits: int, sure_bits: int) -> None:
+        self.radius, self.most_bits, self.sure_bits, self.tree = radius, most_bits, sure_bits, BKTree()
         self.more: list[int] = []
 
     def links(self, value: int, more: bytes) -> list[int]:
-        own = int.from_bytes(more, "little")
+        own, found, sure = int.from_bytes(more, "little"), [], False
         for at in sorted(self.tree.search(value, self.radius)):
             differing = (self.tree.values[at] ^ value).bit_count() + (self.more[at] ^ own).bit_count()
+            if differing <= self.sure_bits:
+                found, sure = [at], True
+                break
             if differing <= self.most_bits:
-                return [self.tree.values[at]]
-        self.tree.add(value)
-        self.more.append(own)
-        return [value]
+                found.append(at)
+        found = [self.tree.values[x] for x in found]
+        if not sure:
+            self.tree.add(value)
+            self.more.append(own)
+            found.append(value)
+        return found
 
 
 def link_shards(keyed: DataFrame, new_shard: Callable[[], object]) -> DataFrame:
@@ -247,11 +254,11 @@ def similarity_bits(similarity: float, bits: int) -> float:
 
 
 def link_similar(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Links of ``nodes`` (fp, more, minima) whose similarity is estimated as enough."""
-    most_bits = int(similarity_bits(similarity, 64 * WORDS))
-    spread = math.sqrt(64 * 0.25)
-    radius = int(similarity_bits(similarity, 64) + 2.5 * spread)
-    new_shard = lambda: LeaderShard(radius, most_bits)
+    """Links of ``nodes`` (fp, more, minima) whose similarity may be enough, by estimate."""
+    expected, deviation = similarity_bits(similarity, 64 * WORDS), math.sqrt(64 * WORDS * 0.13)
+    most_bits, sure_bits = int(expected + 2 * deviation), int(expected - 4 * deviation)
+    radius = int(similarity_bits(similarity, 64) + 4 * math.sqrt(64 * 0.13))
+    new_shard = lambda: LeaderShard(radius, most_bits, sure_bits)
     single = [
         F.xxhash64(F.lit(k), F.col("minima")[k]) for k in range(MINIMA)
     ]
@@ -315,14 +322,51 @@ def drop_near_duplicates(
     prints = stored(
         fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col, sketch=True), "sketches"
     )
-    # rows of one fingerprint are one node; the sketch of any of them stands for it
-    nodes = stored(prints.groupBy("fp").agg(F.min(F.struct("more", "minima")).alias("s"))
-                   .select("fp", "s.more", "s.minima"), "nodes")
-    found = classes(prints.select("id", "fp"), link_similar(nodes, similarity))
+    # rows of one fingerprint are one node; one of them stands for it
+    nodes = stored(prints.groupBy("fp").agg(F.min(F.struct("id", "more", "minima")).alias("s"))
+                   .select("fp", "s.*"), "nodes")
+    links = confirmed(docs, nodes, link_similar(nodes, similarity), shingle, similarity, id_col, text_col)
+    found = classes(prints.select("id", "fp"), links)
     stays = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id")).distinct()
     return docs.join(stays, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
 
 
+def jaccard(a: str, b: str, shingle: int) -> float:
+    """Similarity of the sets of shingles; two texts without words are equal."""
+    x, y = (np.unique(shingle_hashes(t, shingle)) for t in (a, b))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def confirmed(
+    docs: DataFrame, nodes: DataFrame, links: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str,
+) -> DataFrame:
+    """The links whose texts are as similar as that, by their whole shingle sets."""
+    pairs = stored(
+        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+        "similar-pairs",
+    )
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"))
+    texts = stored(
+        docs.join(wanted, F.col(id_col).eqNullSafe(F.col("__id")))
+        .groupBy("fp").agg(F.min(F.coalesce(F.col(text_col), F.lit(""))).alias("body")),
+        "similar-texts",
+    )
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = [jaccard(x, y, shingle) >= similarity for x, y in texts]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    met = (
+        pairs.join(texts.select(F.col("fp").alias("a"), F.col("body").alias("body_a")), "a")
+        .join(texts.select(F.col("fp").alias("b"), F.col("body").alias("body_b")), "b")
+    )
+    return met.select("a", "b", "body_a", "body_b").mapInArrow(check, "a long, b long")
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document: 3-word shingles, links at 2 bits or fewer."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)

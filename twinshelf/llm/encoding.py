@@ -18,15 +18,19 @@ from functools import lru_cache
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 NUMBERS = "0-9²³¹¼-¾"
 #: The splits that the two vocabularies name in their files, for the
-#: characters above.
+#: characters above; alternatives that begin differently are in the order of their use.
 GPT_SPLIT = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+    rf" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 )
-WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
+WORD_SPLIT = re.compile(rf"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
 #: Controls that are space to some libraries only, the dotted capital I, and all beyond Latin.
 UNUSUAL = re.compile("[^\x00-\x1b\x20-\x84\x86-įı-ſ‐-‧‰-⁞]")
 CACHE_SIZE = 500_000
 CACHED_CHARS = 64
+#: Byte-level vocabularies write a byte as the Latin-1 character, and the bytes that have none
+#: to be seen as the characters from U+0100 on, in turn.
+_HIDDEN = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
+BYTE_LEVEL = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 
 
 class Encoder(dict):
@@ -38,6 +42,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.special = [x["content"] for x in described["added_tokens"]]
@@ -53,7 +58,9 @@ class Encoder(dict):
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.of_library(piece)
+        # the library's model takes a pre-token as it is, without another split
+        shown = piece.encode().decode("latin-1").translate(BYTE_LEVEL)
+        ids = array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHE_SIZE:
                 self.clear()

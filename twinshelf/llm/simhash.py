@@ -15,10 +15,10 @@ and its size is bounded:
   blocks of the fingerprint, so blocks are shard keys. A shard with more than
   ``MAX_SHARD`` nodes is replaced by keys of 10 out of 12 blocks, 53 or more bits, so
   that none can have more than 2,048 nodes.
-* ``link_similar`` (a similarity of whole texts): similar texts share most of 8 minima of
-  hashed shingles, so these are shard keys. A key with more than ``MAX_SHARD`` nodes is
-  replaced by pairs of such keys, then by fours, then by all eight; the nodes of a last
-  key are dealt over salts first, and only what has no sure match inside its salt meets again.
+* ``link_similar`` (a similarity of whole texts): similar texts share most of 6 minima of
+  hashed shingles, so these are shard keys. Keys with more than ``MAX_SHARD`` nodes are
+  replaced by triples of such keys; the nodes of a triple that is still too large are dealt over
+  salts first, and only what has no sure match inside its salt meets again.
   512 bits in all tell what may be similar enough; whole shingle sets then confirm each link.
 
 Trees link to local components or to leaders, never all pairs of a group of copies.
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -47,7 +48,8 @@ from twinshelf.llm.components import components
 SEED = 42
 MAX_SHARD = 512
 WORDS = 8  # of 64 bits: one fingerprint and seven to confirm similarity
-MINIMA = 8
+MINIMA = 6
+LONGER = 3  # minima in the keys that replace a key that too many nodes share
 SALTS = 64
 #: Odd multipliers for derived hashes, by a rule: multiples of the 64-bit golden ratio.
 MIX = (np.arange(1, 32, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -102,7 +104,7 @@ def fingerprints(
                 if sketch:
                     derived = [remixed(hashes, k) for k in range(1, WORDS)]
                     out["more"].append(np.array([majority(x) for x in derived], np.uint64).tobytes())
-                    lows = [int((x * MIX[20]).min()) if len(x) else 0 for x in [hashes, *derived]]
+                    lows = [int((x * MIX[20]).min()) if len(x) else 0 for x in [hashes, *derived][:MINIMA]]
                     out["minima"].append(np.array(lows, np.uint64).view(np.int64))
             arrays = [batch.column(0), pa.array(np.array(out["fp"], np.uint64).view(np.int64))]
             if sketch:
@@ -266,31 +268,26 @@ def link_similar(nodes: DataFrame, similarity: float) -> DataFrame:
     level = rows.select(F.explode("minima").alias("key"), "fp", "more")
     small, large = without_large(level)
     links = [link_shards(small, new_shard)]
-    # minima of a node whose shards are too large; only these take part in longer keys
+    # minima of a node whose shards are too large; only these make up longer keys
     hot = (
         level.drop("more").join(large, "key").groupBy("fp").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     )
-    for size in (2, 4, MINIMA):
-        choices = list(combinations(range(MINIMA), size))
-        keys = [
-            F.when(F.size("keys") > max(c), F.xxhash64(*(F.col("keys")[i] for i in c))) for c in choices
-        ]
-        longer = (
-            hot.select("fp", F.explode(F.array(*keys)).alias("key")).filter("key is not null")
-            .join(nodes.select("fp", "more"), "fp").select("key", "fp", "more")
-        )
-        if size < MINIMA:
-            small, _ = without_large(longer)
-            links.append(link_shards(small, new_shard))
-            continue
-        salted = longer.withColumn("key", F.xxhash64("key", F.pmod(F.xxhash64("fp"), F.lit(SALTS))))
-        first = stored(link_shards(salted, new_shard), "salted-links")
-        leaders = first.filter("a = b").select(F.col("a").alias("fp")).distinct()
-        links += [first, link_shards(longer.join(leaders, "fp", "left_semi"), new_shard)]
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return out
+    choices = list(combinations(range(MINIMA), LONGER))
+    keys = [F.when(F.size("keys") > max(c), F.xxhash64(*(F.col("keys")[i] for i in c))) for c in choices]
+    longer = stored(
+        hot.select("fp", F.explode(F.array(*keys)).alias("key")).filter("key is not null")
+        .join(nodes.select("fp", "more"), "fp").select("key", "fp", "more"),
+        "longer-keys",
+    )
+    small, large = without_large(longer)
+    links.append(link_shards(small, new_shard))
+    # what is still too large is dealt over salts; the leaders that are left meet again
+    rest = longer.join(large, "key", "left_semi")
+    salted = rest.withColumn("key", F.xxhash64("key", F.pmod(F.xxhash64("fp"), F.lit(SALTS))))
+    first = stored(link_shards(salted, new_shard), "salted-links")
+    leaders = first.filter("a = b").select(F.col("a").alias("fp")).distinct()
+    links += [first, link_shards(rest.join(leaders, "fp", "left_semi").select("key", "fp", "more"), new_shard)]
+    return reduce(DataFrame.union, links)
 
 
 def classes(prints: DataFrame, links: DataFrame) -> DataFrame:
@@ -348,9 +345,9 @@ def confirmed(
     )
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"))
+    bodies = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("body"))
     texts = stored(
-        docs.join(wanted, F.col(id_col).eqNullSafe(F.col("__id")))
-        .groupBy("fp").agg(F.min(F.coalesce(F.col(text_col), F.lit(""))).alias("body")),
+        bodies.join(wanted, F.col("id").eqNullSafe(F.col("__id"))).groupBy("fp").agg(F.min("body").alias("body")),
         "similar-texts",
     )
 

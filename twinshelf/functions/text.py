@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def clean_text(text: Column) -> Column:
-    """Drop links, punctuation and emoji; one space between words; lower case."""
+    """Drop links, punctuation and emoji, keep letters with their marks; one space between words; lower case."""
     # a link starts with a letter, so both alternatives can be found in one pass
-    text = F.regexp_replace(text, r"https?://\S+|[^\p{L}\p{N}]+", " ")
+    text = F.regexp_replace(text, r"https?://\S+|[^\p{L}\p{M}\p{N}]+", " ")
     return F.trim(F.lower(F.regexp_replace(text, " +", " ")))
 
 

@@ -55,19 +55,22 @@ def row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> D
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in the order of ``order``."""
+    """The first ``n`` rows in the order of ``order``, then of a hash of all columns."""
     if n <= MERGE_LIMIT:
-        return df.orderBy(*order).limit(n)
+        tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+        return tied.orderBy(*order, "_tie").limit(n).drop("_tie")
     return row_index(df, order, "_row").where(F.col("_row") < n).drop("_row")
 
 
 def last_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The last ``n`` rows in the order of ``order``."""
+    """The last ``n`` rows in that order, and returned in it."""
     if n <= MERGE_LIMIT:
-        return df.orderBy(*[F.desc(c) for c in order]).limit(n)
+        tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+        last = tied.orderBy(*[F.desc(c) for c in (*order, "_tie")]).limit(n)
+        return last.orderBy(*order, "_tie").drop("_tie")
     indexed = row_index(df, order, "_row")
     size = indexed.agg(F.max("_row") + 1).scalar()
-    return indexed.where(F.col("_row") >= size - n).drop("_row")
+    return indexed.where(F.col("_row") >= size - n).orderBy("_row").drop("_row")
 
 
 def batch_number(index: Column, size: int) -> Column:

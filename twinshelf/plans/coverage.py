@@ -66,7 +66,7 @@ def coverage_stats(
         .withColumn("dif_60", F.try_divide("total_items_60d", "total_items_30d"))
         .withColumn("dif_90", F.try_divide("total_items_90d", "total_items_30d"))
         .where("cluster IS NOT NULL")
-        .orderBy(levels[0])
+        .orderBy(*levels)
     )
 
 

@@ -30,12 +30,13 @@ def category_map(snapshots: DataFrame) -> DataFrame:
 
 def catalogue_extract(
     orders: DataFrame, map_snapshots: DataFrame, item_ext: DataFrame, as_of: date,
-    clusters: Sequence[str], limit: int | None = 100_000,
+    clusters: Sequence[str], limit: int | None = None,
 ) -> DataFrame:
     """Items sold officially the day before, with cluster and images if known.
 
     Every input is made distinct before it is joined: repeated orders of one
     popular item collapse map-side, and the joined rows are distinct already.
+    All rows are returned unless a ``limit`` is asked for.
     """
     sold = orders.where(
         (F.col("grass_date") == days_before(as_of, 1))

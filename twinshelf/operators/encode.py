@@ -55,7 +55,9 @@ def word_hash(dim: int = 256, ngram: int = 0, max_words: int | None = None) -> E
 
     Whole texts are counted unless ``max_words`` cuts them.  Nothing is shuffled.
     """
-    return batch_encoder(lambda: lambda texts: hashed_counts(texts, dim, ngram, max_words))
+    made = batch_encoder(lambda: lambda texts: hashed_counts(texts, dim, ngram, max_words))
+    made.encoder_key = f"word_hash-{dim}-{ngram}-{max_words}"
+    return made
 
 
 def image_encoder(model: Callable[[np.ndarray], np.ndarray], size: int = IMAGE_SIZE) -> Encoder:
@@ -123,38 +125,60 @@ def embed(df: DataFrame, input_col: str, out_col: str, encoder: str | Encoder) -
     return df.withColumn(out_col, get_encoder(encoder)(F.col(input_col)))
 
 
-def reduce_dimensions(df: DataFrame, vec: str, k: int) -> DataFrame:
+def reduce_dimensions(df: DataFrame, vec: str, k: int, double: bool = False) -> DataFrame:
     """Replace vectors by their first ``k`` principal components, unit length.
 
-    Only a width × width covariance matrix reaches the driver.
+    Only a width × width covariance matrix reaches the driver.  ``double`` keeps the
+    projection as it is, in double precision.
     """
     rows = df.where(F.col(vec).isNotNull())
     rows = rows.withColumn("_in", array_to_vector(F.col(vec).cast("array<double>")))
     model = PCA(k=k, inputCol="_in", outputCol="_out").fit(rows)
-    reduced = model.transform(rows).withColumn(vec, l2_normalize(vector_to_array("_out")))
+    out = vector_to_array("_out")
+    reduced = model.transform(rows).withColumn(vec, out if double else l2_normalize(out))
     return reduced.drop("_in", "_out")
 
 
+def encoder_key(encoder: str | Encoder) -> str:
+    """What tells the vectors of one encoder from those of another in a table."""
+    if isinstance(encoder, str):
+        return encoder
+    if getattr(encoder, "encoder_key", None) is None:
+        raise ValueError("give an encoder that is not named an encoder_key")
+    return encoder.encoder_key
+
+
 def embed_once(
-    df: DataFrame, table: str, *, key: str, input_col: str, out_col: str, encoder: str | Encoder
+    df: DataFrame, table: str, *, key: str, input_col: str, out_col: str, encoder: str | Encoder,
+    version: str | None = None,
 ) -> DataFrame:
     """Vectors for all rows of ``df``, computing only those the table lacks.
 
-    The table is keyed by id and content hash, so a row whose text changed is
-    embedded again and an interrupted run leaves nothing wrong behind.
+    The table is keyed by id, content hash and encoder (its name, or ``version``), so a
+    row whose text changed or whose encoder did is embedded again and an interrupted run
+    leaves nothing wrong behind.  Repeated rows are embedded once, and a vector that two
+    runs have both appended is read once.
     """
     spark = df.sparkSession
-    wanted = df.select(key, input_col).withColumn("content_hash", F.xxhash64(input_col))
+    named = F.lit(version or encoder_key(encoder))
+    wanted = df.select(key, input_col).withColumns(
+        {"content_hash": F.xxhash64(input_col), "encoder": named}
+    )
     schema = f"{key} {df.schema[key].dataType.simpleString()}, content_hash bigint, " \
-             f"{out_col} array<float>"
-    on = [key, "content_hash"]
+             f"encoder string, {out_col} array<float>"
+    on = [key, "content_hash", "encoder"]
     stored = read_or_none(spark, table, schema)
-    missing = wanted
+    missing = wanted.dropDuplicates(on)
     if stored is not None:
-        missing = wanted.join(stored.select(*on), on, "left_anti")
+        missing = missing.join(stored.select(*on), on, "left_anti")
     # computed once: the table read here must not be the table written to
     fresh = cut(embed(missing, input_col, out_col, encoder).select(*on, out_col))
     fresh.write.mode("append").parquet(table)
-    vectors = spark.read.schema(schema).parquet(table)
+    vectors = spark.read.schema(schema).parquet(table).where(F.col("encoder") == named)
+    vectors = vectors.drop("encoder").dropDuplicates([key, "content_hash"])
     hashed = df.withColumn("content_hash", F.xxhash64(input_col))
-    return hashed.join(vectors, on, "left").drop("content_hash")
+    joined = hashed.join(
+        vectors.withColumnsRenamed({key: "_key", "content_hash": "_hash"}),
+        F.col(key).eqNullSafe(F.col("_key")) & F.col("content_hash").eqNullSafe(F.col("_hash")), "left",
+    )
+    return joined.drop("content_hash", "_key", "_hash")

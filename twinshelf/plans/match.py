@@ -14,9 +14,9 @@ from twinshelf.operators.encode import embed, embed_once
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.rows import guard_groups
 from twinshelf.plans.resume import pending_categories, pending_queries
-from twinshelf.session import scratch_path
+from twinshelf.session import cut, scratch_path
 from twinshelf.sources.images import read_images
-from twinshelf.sources.tables import write_by_category
+from twinshelf.sources.tables import append_by_category, write_by_category
 
 
 def with_vectors(
@@ -31,8 +31,7 @@ def with_vectors(
     if config.match_by == "image":
         if images is None:
             raise ValueError("matching by image needs the decoded images")
-        side = side.join(images.withColumnRenamed("file_path", source), source)
-        source = "image"
+        return side.join(image_vectors(side, source, config, images, vector_table), source, "left")
     if vector_table is None:
         side = embed(side, source, config.vector_col, config.encoder_name)
     else:
@@ -40,7 +39,28 @@ def with_vectors(
             side, vector_table, key=config.side(mode, config.id_col), input_col=source,
             out_col=config.vector_col, encoder=config.encoder_name,
         )
-    return side.drop("image")
+    return side
+
+
+def image_vectors(
+    side: DataFrame, source: str, config: MatchConfig, images: DataFrame, vector_table: str | None
+) -> DataFrame:
+    """Path and vector of the side's images, embedded where they are read.
+
+    Only paths and vectors are shuffled; an image that is missing or cannot be decoded
+    leaves its row without a vector.
+    """
+    paths = side.select(source).where(F.col(source).isNotNull()).distinct()
+    named = images.withColumnRenamed("file_path", source)
+    if vector_table is None:
+        made = embed(named, "image", config.vector_col, config.encoder_name)
+        return made.select(source, config.vector_col).join(paths, source, "left_semi")
+    wanted = named.join(paths, source, "left_semi")
+    made = embed_once(
+        wanted, vector_table, key=source, input_col="image", out_col=config.vector_col,
+        encoder=config.encoder_name,
+    )
+    return made.select(source, config.vector_col)
 
 
 def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
@@ -58,6 +78,9 @@ def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
         exclude_self=config.exclude_self,
         score=config.score_col,
     )
+    if config.method != "exact":
+        # these look at the vectors several times: the encoder must not run as often
+        q, db = cut(q), cut(db)
     if config.method == "cells":
         path = config.index_path or scratch_path(db.sparkSession, "cells")
         index = build_cells(db, path, vec=config.vector_col, n_cells=config.n_cells)
@@ -134,10 +157,5 @@ def run_match(
     if resume == "category":
         write_by_category(hits, out)
     else:
-        hits.hint("rebalance", "category").write.mode("append").partitionBy("category").parquet(out)
+        append_by_category(hits, out)
     return {f"time_perf_{config.match_by}": time.perf_counter() - start}
-
-
-def review_hits(hits: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """Hits in reading order: category, query, rank."""
-    return hits.orderBy("category", F.col(config.side(QUERY, config.id_col)), "rank")

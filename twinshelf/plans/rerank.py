@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from twinshelf.config import DATABASE, QUERY, MatchConfig, require_columns
 from twinshelf.operators.fuse import fuse
 from twinshelf.plans.resume import pending_categories
-from twinshelf.sources.tables import read_or_none, write_by_category
+from twinshelf.sources.tables import read_by_category, write_by_category
 
 
 def rerank(text: DataFrame, image: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
@@ -38,7 +38,7 @@ def run_rerank(
     config: MatchConfig = MatchConfig(),
 ) -> None:
     """Fuse two result tables, one partition per category, skipping finished ones."""
-    text, image = read_or_none(spark, path_text), read_or_none(spark, path_image)
+    text, image = read_by_category(spark, path_text), read_by_category(spark, path_image)
     if text is None and image is None:
         raise ValueError(f"no matches at {path_text} or {path_image}")
     if text is None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinshelf.operators.rows import matching
-from twinshelf.sources.tables import read_or_none
+from twinshelf.sources.tables import FOLDER, folder_key, read_by_category, read_or_none
 
 
 def pending_categories(q: DataFrame, category: str, out: str) -> DataFrame:
@@ -17,17 +17,15 @@ def pending_categories(q: DataFrame, category: str, out: str) -> DataFrame:
     done = read_or_none(q.sparkSession, out)
     if done is None:
         return q
-    kind = q.schema[category].dataType
-    finished = done.select(F.col("category").cast(kind)).distinct()
-    return matching(q, finished, {category: "category"}, "left_anti")
+    finished = done.select(F.col(FOLDER)).distinct()
+    keyed = q.withColumn("_folder", folder_key(F.col(category)))
+    return matching(keyed, finished, {"_folder": FOLDER}, "left_anti").drop("_folder")
 
 
 def pending_queries(q: DataFrame, row_id: str, category: str, out: str) -> DataFrame:
     """Query rows without a hit in the table at ``out``."""
-    done = read_or_none(q.sparkSession, out)
+    done = read_by_category(q.sparkSession, out)
     if done is None:
         return q
-    finished = done.select(
-        F.col("category").cast(q.schema[category].dataType), row_id
-    ).distinct()
+    finished = done.select("category", row_id).distinct()
     return matching(q, finished, {category: "category", row_id: row_id}, "left_anti")

@@ -39,14 +39,25 @@ def in_file_order(manifest: DataFrame) -> DataFrame:
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
-    """``file_path`` and the decoded ``image`` struct of every readable image."""
+    """``file_path`` and the decoded ``image`` struct of every file.
+
+    A file that cannot be decoded keeps its row, with a null image, and so has a null
+    vector and no hits; :func:`unreadable` lists such files.
+    """
     images = (
         spark.read.format("image")
-        .option("dropInvalid", True)
+        .option("dropInvalid", False)
         .option("recursiveFileLookup", True)
         .load(folder)
     )
-    return images.select(plain_path(F.col("image.origin")).alias("file_path"), "image")
+    # the source gives what it cannot decode a negative height
+    readable = F.when(F.col("image.height") > 0, F.col("image")).alias("image")
+    return images.select(plain_path(F.col("image.origin")).alias("file_path"), readable)
+
+
+def unreadable(images: DataFrame) -> DataFrame:
+    """Paths of the files that could not be decoded."""
+    return images.where(F.col("image").isNull()).select("file_path")
 
 
 def write_files(df: DataFrame, folder: str, path_col: str, content_col: str) -> int:
@@ -56,8 +67,16 @@ def write_files(df: DataFrame, folder: str, path_col: str, content_col: str) ->
     retried task writes the same names again, so nothing is left half done.
     """
 
+    # a path without a scheme is one of the cluster's default file system
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    located = store.makeQualified(path).toString()
+    if located.startswith("file:"):
+        located = "file:///" + located.removeprefix("file:").lstrip("/")
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        target, root = fs.FileSystem.from_uri(located)
         for batch in batches:
             for name, content in zip(batch[0].to_pylist(), batch[1].to_pylist()):
                 path = f"{root}/{name}"

@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinshelf.functions.text import file_number
 
 
+# Column that names the folder of a category.
+FOLDER = "category_folder"
+
+
 def read_column(spark: SparkSession, path: str, column: str) -> DataFrame:
     """One column of a table; the scan reads nothing else."""
     return spark.read.parquet(path).select(column)
@@ -46,9 +50,10 @@ def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> D
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished write left its table there.
 
-    A write that did not finish has no files outside its temporary folder.
+    A write that broke off may leave a folder or files; only a finished one is marked.
     """
-    return read_or_none(spark, path) is not None
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def read_shards(spark: SparkSession, path: str, part: int = 0, in_folder: bool = False) -> DataFrame:
@@ -65,8 +70,9 @@ def read_shards(spark: SparkSession, path: str, part: int = 0, in_folder: bool =
 
 
 def write_if_absent(df: DataFrame, path: str) -> DataFrame:
-    """Materialise an extract unless it is already there, and read it back."""
-    df.write.mode("ignore").parquet(path)
+    """Materialise an extract unless a finished one is there, and read it back."""
+    if not exists(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -80,17 +86,36 @@ def write_by_category(df: DataFrame, path: str, category: str = "category",
                       dynamic: bool = True) -> None:
     """One folder per category; only categories present in ``df`` are replaced.
 
-    Rebalancing gives a small category one file and splits a large one.
+    Rebalancing gives a small category one file and splits a large one.  The folders are
+    named by :func:`folder_key`; the category itself stays a column of the files.
     """
     (
-        df.hint("rebalance", category)
+        df.withColumn(FOLDER, folder_key(F.col(category)))
+        .hint("rebalance", FOLDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(category)
+        .partitionBy(FOLDER)
         .parquet(path)
     )
 
 
+def append_by_category(df: DataFrame, path: str, category: str = "category") -> None:
+    """Add rows to the folders of their categories."""
+    keyed = df.withColumn(FOLDER, folder_key(F.col(category))).hint("rebalance", FOLDER)
+    keyed.write.mode("append").partitionBy(FOLDER).parquet(path)
+
+
+def read_by_category(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table written by category, as it was; None if there is none."""
+    stored = read_or_none(spark, path)
+    return None if stored is None else stored.drop(FOLDER)
+
+
+def folder_key(category: Column) -> Column:
+    """A folder name that can be taken for nothing but text: never a number, a date or empty."""
+    return F.concat(F.lit("c_"), F.url_encode(category.cast("string")))
+
+
 def write_if_any(df: DataFrame, path: str) -> bool:
     """Write only a result that has rows; tells whether it was written."""
     if df.isEmpty():

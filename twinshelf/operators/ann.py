@@ -27,7 +27,9 @@ from twinshelf.session import cut
 from twinshelf.sources.tables import exists
 
 # Centroids travel with every task; more than this is refused.
-CENTROID_BYTES = 64 << 20
+CENTROID_BYTES = 512 << 20
+# Distances of some rows to all centroids that a task holds at once.
+DISTANCE_BYTES = 32 << 20
 
 
 def matrix_udf(fn: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
@@ -52,45 +54,51 @@ def matrix_udf(fn: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column], Col
 
 
 def nearest_cells(centroids: np.ndarray, n: int) -> Callable[[Column], Column]:
-    """Numbers of the ``n`` nearest centroids, nearest first."""
+    """Numbers of the ``n`` nearest centroids, nearest first.
+
+    Rows are taken so many at a time that their distances stay under ``DISTANCE_BYTES``,
+    and only the n nearest are put in order.
+    """
     centroids = np.asarray(centroids, dtype=np.float64)
     half_norms = (centroids**2).sum(axis=1) / 2
     n = min(n, len(centroids))
+    rows = max(1, DISTANCE_BYTES // (8 * max(len(centroids), 1)))
 
     def nearest(vectors: np.ndarray) -> np.ndarray:
-        # argmin |x - c|² = argmax (x·c - |c|²/2)
-        closeness = vectors @ centroids.T - half_norms
-        return np.argsort(-closeness, axis=1, kind="stable")[:, :n]
+        out = np.empty((len(vectors), n), dtype=np.int64)
+        for at in range(0, len(vectors), rows):
+            # argmin |x - c|² = argmin (|c|²/2 - x·c)
+            distance = half_norms - vectors[at:at + rows] @ centroids.T
+            near = np.sort(np.argpartition(distance, n - 1, axis=1)[:, :n], axis=1)
+            order = np.argsort(np.take_along_axis(distance, near, axis=1), axis=1, kind="stable")
+            out[at:at + rows] = np.take_along_axis(near, order, axis=1)
+        return out
 
     return matrix_udf(nearest)
 
 
 def train_centroids(
-    vectors: DataFrame, vec: str, n_cells: int, sample_rows: int | None = None,
-    max_iter: int = 10, seed: int = 7,
+    vectors: DataFrame, vec: str, n_cells: int, max_iter: int = 10, seed: int = 7,
 ) -> np.ndarray:
-    """Coarse centroids by k-means on a sample.
-
-    The sample only decides where cells lie; every row is assigned to a cell.
-    """
+    """Coarse centroids by k-means on all vectors."""
+    check_centroids(n_cells, vectors, vec)
     rows = vectors.where(F.col(vec).isNotNull())
-    total = rows.count()
-    sample_rows = sample_rows or 256 * n_cells
-    if total > sample_rows:
-        rows = rows.sample(fraction=sample_rows / total, seed=seed)
     points = rows.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
     model = KMeans(k=n_cells, maxIter=max_iter, seed=seed, initMode="random").fit(points)
-    centroids = np.stack(model.clusterCenters())
-    check_centroids(centroids)
-    return centroids
+    return np.stack(model.clusterCenters())
+
 
+def check_centroids(n_cells: int, vectors: DataFrame, vec: str) -> None:
+    """Refuse a number of cells whose centroids don't fit into every task, before any work.
 
-def check_centroids(centroids: np.ndarray) -> None:
-    if centroids.nbytes > CENTROID_BYTES:
-        raise ValueError(
-            f"{len(centroids)} centroids take {centroids.nbytes} bytes, "
-            f"more than the {CENTROID_BYTES} sent to every task; use fewer cells"
-        )
+    A larger database has more rows per cell, and a large cell is scored as a grid, so
+    fewer cells give the same result with more work.
+    """
+    first = vectors.where(F.col(vec).isNotNull()).select(F.size(vec)).first()
+    width = first[0] if first else 1
+    if 8 * n_cells * width > CENTROID_BYTES:
+        most = CENTROID_BYTES // (8 * width)
+        raise ValueError(f"{n_cells} cells of width {width} are more than every task can hold; use at most {most}")
 
 
 @dataclass(frozen=True)
@@ -101,38 +109,50 @@ class CellIndex:
     path: str
 
     def rows(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/rows")
+        return self.spark.read.parquet(f"{self.path}/rows").drop("_row_key")
 
     def centroids(self) -> np.ndarray:
         stored = self.spark.read.parquet(f"{self.path}/centroids")
-        matrix = np.array([r["centroid"] for r in stored.orderBy("cell").collect()])
-        check_centroids(matrix)
-        return matrix
+        return np.array([r["centroid"] for r in stored.orderBy("cell").collect()])
 
 
 def build_cells(
-    db: DataFrame, path: str, *, vec: str, n_cells: int,
-    sample_rows: int | None = None, max_iter: int = 10, seed: int = 7,
+    db: DataFrame, path: str, *, vec: str, n_cells: int, max_iter: int = 10, seed: int = 7,
 ) -> CellIndex:
-    """Write ``db`` by cell, or reuse what an earlier run has finished.
+    """Write ``db`` by cell, or bring what an earlier run has left there up to date.
 
-    The centroids are written before the rows and read back, so a run that
-    stopped in between continues with the same cells.
+    The centroids are written before the rows and read back, so a run that stopped in
+    between continues with the same cells.  Rows of ``db`` that the index lacks are added;
+    if it has rows that are no longer in ``db``, all rows are assigned again.  An index
+    with another number of cells is refused.
     """
     spark = db.sparkSession
     index = CellIndex(spark, path)
     if not exists(spark, f"{path}/centroids"):
-        centroids = train_centroids(db, vec, n_cells, sample_rows, max_iter, seed)
-        rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
-        table = spark.createDataFrame(rows, "cell int, centroid array<double>")
+        centroids = train_centroids(db, vec, n_cells, max_iter, seed)
+        rows = [(i, [float(x) for x in c], n_cells) for i, c in enumerate(centroids)]
+        table = spark.createDataFrame(rows, "cell int, centroid array<double>, n_cells int")
         table.coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
-    if not exists(spark, f"{path}/rows"):
-        cell = F.get(nearest_cells(index.centroids(), 1)(F.col(vec)), F.lit(0))
-        assigned = db.withColumn("cell", cell).where(F.col("cell").isNotNull())
-        # rebalance: one file per small cell, several for a large one
-        assigned.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(
-            f"{path}/rows"
-        )
+    built_for = spark.read.parquet(f"{path}/centroids").first()["n_cells"]
+    if built_for != n_cells:
+        raise ValueError(f"the index at {path} has {built_for} cells, not {n_cells}")
+    cell = F.get(nearest_cells(index.centroids(), 1)(F.col(vec)), F.lit(0))
+    # the key tells rows apart by all their columns; rows without a vector have no cell
+    keyed = db.where(F.col(vec).isNotNull()).withColumn("_row_key", F.xxhash64(*db.columns))
+    mode = "overwrite"
+    if exists(spark, f"{path}/rows"):
+        stored = spark.read.parquet(f"{path}/rows").select("_row_key")
+        state = [
+            tuple(keys.agg(F.count(F.lit(1)), F.sum(F.col("_row_key").cast("decimal(38,0)"))).first())
+            for keys in (keyed, stored)
+        ]
+        if state[0] == state[1]:
+            return index
+        if stored.join(keyed.select("_row_key"), "_row_key", "left_anti").isEmpty():
+            keyed, mode = cut(keyed.join(stored, "_row_key", "left_anti")), "append"
+    assigned = keyed.withColumn("cell", cell).where(F.col("cell").isNotNull())
+    # rebalance: one file per small cell, several for a large one
+    assigned.hint("rebalance", "cell").write.mode(mode).partitionBy("cell").parquet(f"{path}/rows")
     return index
 
 

@@ -22,7 +22,12 @@ def match_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        match_batch(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # a match looks at its queries several times; the source is read once
+        batch.persist()
+        try:
+            match_batch(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = queries.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

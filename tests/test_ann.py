@@ -81,24 +81,46 @@ def test_null_vectors_are_left_out(spark, sides, index, fresh):
     assert stored.rows().count() == len(sides[1])
 
 
-def test_index_is_reused_and_an_unfinished_one_completed(spark, sides, fresh):
+def test_index_follows_its_database(spark, sides, fresh):
     db, path = table(spark, "db", sides[1]), fresh()
-    first = ann.build_cells(db, path, vec="db_vec", n_cells=4)
+    fewer = table(spark, "db", sides[1][5:])
+    first = ann.build_cells(fewer, path, vec="db_vec", n_cells=4)
     before = first.centroids()
-    again = ann.build_cells(db, path, vec="db_vec", n_cells=2)
+    assert first.rows().count() == len(sides[1]) - 5
+    ann.build_cells(db, path, vec="db_vec", n_cells=4)
+    again = ann.build_cells(db, path, vec="db_vec", n_cells=4)
     assert np.array_equal(before, again.centroids())
-    # a run that stopped after the centroids
-    half = fresh()
+    assert rows(again.rows().select("db_id")) == sorted([(i,) for i, _, _ in sides[1]], key=repr)
+    # rows that have gone, and a changed one
+    changed = [*sides[1][:3], (*sides[1][3][:2], [0.5] * 8)]
+    left = ann.build_cells(table(spark, "db", changed), path, vec="db_vec", n_cells=4)
+    assert rows(left.rows().select("db_id")) == [(0,), (1,), (2,), (3,)] or left.rows().count() == 4
+    with pytest.raises(ValueError, match="4 cells"):
+        ann.build_cells(db, path, vec="db_vec", n_cells=2)
+
+
+def test_unfinished_index_is_completed(spark, sides, fresh):
+    db, path, half = table(spark, "db", sides[1]), fresh(), fresh()
+    first = ann.build_cells(db, path, vec="db_vec", n_cells=4)
     spark.read.parquet(f"{path}/centroids").write.parquet(f"{half}/centroids")
-    finished = ann.build_cells(db, half, vec="db_vec", n_cells=9)
-    assert np.array_equal(before, finished.centroids())
+    finished = ann.build_cells(db, half, vec="db_vec", n_cells=4)
     assert rows(finished.rows().select("db_id", "cell")) == rows(first.rows().select("db_id", "cell"))
 
 
-def test_too_many_centroids_are_refused(monkeypatch):
+def test_cells_beyond_every_task_are_refused_before_any_work(spark, sides, monkeypatch, fresh):
     monkeypatch.setattr(ann, "CENTROID_BYTES", 100)
-    with pytest.raises(ValueError, match="fewer cells"):
-        ann.check_centroids(np.zeros((10, 8)))
+    with pytest.raises(ValueError, match="at most 1"):
+        ann.build_cells(table(spark, "db", sides[1]), fresh(), vec="db_vec", n_cells=10)
+
+
+def test_nearest_cells_in_small_parts(spark, monkeypatch):
+    points = np.random.default_rng(1).normal(size=(50, 4)).astype(np.float32)
+    centroids = np.random.default_rng(2).normal(size=(9, 4))
+    monkeypatch.setattr(ann, "DISTANCE_BYTES", 200)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "i int, v array<float>")
+    got = {r.i: list(r.c) for r in df.select("i", ann.nearest_cells(centroids, 3)(F.col("v")).alias("c")).collect()}
+    distance = ((points[:, None].astype(float) - centroids[None]) ** 2).sum(-1)
+    assert got == {i: np.argsort(d, kind="stable")[:3].tolist() for i, d in enumerate(distance)}
 
 
 @pytest.mark.parametrize("exclude_self", [False, True])

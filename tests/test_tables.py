@@ -11,6 +11,7 @@ from twinshelf.checks import standins
 from twinshelf.operators import encode
 from twinshelf.operators.encode import batch_encoder, embed, embed_once, register_encoder, word_hash
 from twinshelf.operators.knn import knn_join
+from twinshelf.plans import match as match_plan
 from twinshelf.plans import resume
 from twinshelf.session import scratch_path, scratch_root
 from twinshelf.sources import images, tables
@@ -134,6 +135,43 @@ def test_only_missing_vectors_are_computed(spark, fresh):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_repeated_rows_and_other_encoders(spark, fresh):
+    path = fresh()
+    args = dict(key="id", input_col="t", out_col="v")
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, None, "x"), (None, "b", "x")],
+                               "id long, t string, c string")
+    embed_once(df, path, encoder=word_hash(4), **args)
+    got = embed_once(df, path, encoder=word_hash(16), **args)
+    assert rows(got) == rows(embed(df, "t", "v", word_hash(16)))
+    # two runs that both appended the same rows
+    stored = spark.read.parquet(path)
+    again = fresh()
+    stored.union(stored).write.parquet(again)
+    assert rows(embed_once(df, again, encoder=word_hash(16), **args)) == rows(got)
+    with pytest.raises(ValueError, match="encoder_key"):
+        embed_once(df, path, encoder=batch_encoder(lambda: None), **args)
+
+
+@pytest.mark.parametrize("method", ["exact", "cells", "planes"])
+def test_encoder_sees_each_row_once(spark, method):
+    seen = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def lengths(values):
+            seen.add(len(values))
+            return np.array([[len(v.as_py()), i % 3 + 1.0] for i, v in enumerate(values)])
+
+        return lengths
+
+    register_encoder("counted", lambda: batch_encoder(factory))
+    q, db = (spark.createDataFrame([(i, "n" * (i % 17 + 1), "x") for i in range(400)],
+                                   f"{m}_item_id long, {m}_item_name_clean string, {m}_category string")
+             for m in ("q", "db"))
+    config = MatchConfig(encoder="counted", method=method, vector_width=2, n_cells=4, nprobe=2)
+    match(q, db, config).collect()
+    assert seen.value == 800
+
+
 def test_encoder_runs_once_per_row_in_a_match(spark):
     """The vector is neither recomputed for a filter nor for the payload."""
     q, db = (spark.createDataFrame([(1, "a", "x"), (2, "b", "x")],
@@ -174,10 +212,15 @@ def test_pictures_are_decoded(spark, sf_dir, pictures):
     assert pixels[..., 1].tolist() == (255 - want).tolist()
 
 
-def test_a_file_that_is_no_image_is_dropped(spark, tmp_path):
+def test_a_file_that_is_no_image_keeps_its_row(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "0_x.jpg").write_bytes(b"no image")
-    assert images.read_images(spark, str(tmp_path)).count() == 0
+    read = images.read_images(spark, str(tmp_path))
+    assert [(r.file_path, r.image) for r in read.collect()] == [(f"{tmp_path}/a/0_x.jpg", None)]
+    assert images.unreadable(read).count() == 1
+    side = spark.createDataFrame([(1, "c", f"{tmp_path}/a/0_x.jpg")], "q_item_id long, q_category string, q_file_path string")
+    with_vectors = match_plan.with_vectors(side, "q", MatchConfig(match_by="image"), read)
+    assert [r.image_embed for r in with_vectors.collect()] == [None]
     assert images.image_manifest(spark, str(tmp_path)).count() == 1
 
 
@@ -266,6 +309,24 @@ def test_resumed_run_equals_a_fresh_one(spark, fresh, mode):
         run_match(spark, paths["q"], paths["db"], out, config, resume="never")
 
 
+@pytest.mark.parametrize("mode", ["category", "query"])
+def test_odd_categories_survive_a_resumed_run(spark, fresh, mode):
+    odd = ["01", "1.0", "", "a/b", "2021-01-01", "1e3", "c_1", " x", "%41"]
+    paths, out = {}, fresh()
+    for side in ("q", "db"):
+        paths[side] = fresh()
+        data = [(10 * k + i, c, [1.0, float(i)]) for k, c in enumerate(odd) for i in range(3)]
+        spark.createDataFrame(
+            data, f"{side}_item_id long, {side}_category string, text_embed array<float>"
+        ).write.parquet(paths[side])
+    counts = []
+    for _ in range(3):
+        run_match(spark, paths["q"], paths["db"], out, MatchConfig(top_k=2), resume=mode)
+        counts.append(tables.read_by_category(spark, out).count())
+    assert counts == [2 * 3 * len(odd)] * 3
+    assert {r.category for r in tables.read_by_category(spark, out).collect()} == set(odd)
+
+
 def test_finished_categories_are_not_matched_again(spark, fresh):
     paths, out = _inputs(spark, fresh), fresh()
     run_match(spark, paths["q"], paths["db"], out)

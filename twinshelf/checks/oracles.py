@@ -185,7 +185,7 @@ _PICTURES = f"""
 
 _CLEAN = (
     "trim(lower(regexp_replace(regexp_replace(regexp_replace({0}, 'https?://\\S+', ' ', 'g'), "
-    "'[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"
+    "'[^\\p{{L}}\\p{{M}}\\p{{N}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"
 )
 
 
@@ -320,9 +320,13 @@ def _extract(clusters: str) -> str:
 
 
 _ONE_ROW = "(SELECT count(*) FROM embeddings)"
-_STORED_TEXT = HALVES + """
-    SELECT category, q_id AS q_item_id, db_id AS db_item_id, score AS score_text_embed, rank
-    FROM text_hits
+# categories that a folder name could turn into something else
+ODD_CATEGORIES = ["01", "", "1e3", "a/b", "2021-01-01", "1.0", "c_1", " x", "%41", "é"]
+_ODD = "[" + ", ".join(f"'{c}'" for c in ODD_CATEGORIES) + "][label % 10 + 1]"
+_STORED_WHOLE = _knn(
+    f"SELECT vec_id AS id, {_ODD} AS category, embedding AS vec FROM embeddings", 10, guard=2
+) + """
+    SELECT category, q_id AS q_item_id, db_id AS db_item_id, score AS score_text_embed, rank FROM hits
 """
 
 MATCHED_TEXT = HALVES + """
@@ -449,8 +453,7 @@ ORACLES = {
     "latest_snapshot": """
         SELECT event_id, event_type, user_id, ts::DATE AS day FROM events
         WHERE ts::DATE IN (SELECT max(ts::DATE) FROM events)""",
-    "catalogue_extract": _extract("'FMCG'") + """
-        ORDER BY ALL LIMIT 100000""",
+    "catalogue_extract": _extract("'FMCG'"),
     "sample_limit": _extract("'FMCG', 'ELHA'") + """
         ORDER BY o.item_id, o.shop_id, cat.cluster LIMIT 1500""",
     "extract_materialised": f"""
@@ -491,19 +494,26 @@ ORACLES = {
                {_clean('d.p_name')} AS db_item_name_clean, score AS score_text_embed, rank
         FROM hits JOIN part q ON q.p_partkey = q_id JOIN part d ON d.p_partkey = db_id""",
     "embed_once_documents": f"""
-        SELECT id AS doc_id, CAST(len(vec) AS INTEGER) AS dim,
-               round_even(list_dot_product(vec::DOUBLE[], vec::DOUBLE[]) * 1000, 0)::BIGINT
-               AS squared_length
-        FROM ({_DOC_VECTORS})""",
-    "match_resume": _STORED_TEXT,
-    "match_resume_queries": _STORED_TEXT,
+        WITH entries AS (
+            SELECT id AS doc_id, CAST(unnest(range(len(vec))) AS INTEGER) AS dim, unnest(vec)::DOUBLE AS weight
+            FROM ({_DOC_VECTORS})
+        )
+        SELECT doc_id, dim, round_even(weight, 5) AS weight FROM entries WHERE weight <> 0""",
+    "match_resume": _STORED_WHOLE,
+    "match_resume_queries": _STORED_WHOLE,
     "batch_assign": """
         SELECT vec_id, id, id // 50 AS batch
         FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS id FROM embeddings)""",
+    "pca_rotation": EXACT,
+    "ivf_facts": "SELECT count(*) AS n_rows, 0::BIGINT AS misplaced, 0::BIGINT AS lost FROM embeddings",
     "shard_concat": """
-        SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // 40 AS shard FROM embeddings""",
+        SELECT vec_id, shard, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim,
+               unnest(embedding)::DOUBLE AS value
+        FROM (SELECT *, (row_number() OVER (ORDER BY vec_id) - 1) // 40 AS shard FROM embeddings)""",
     "overwrite_target": """
-        SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings""",
+        SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim,
+               unnest(embedding)::DOUBLE AS value
+        FROM embeddings""",
     "stream_match": _knn(EMBEDDINGS, 10) + "SELECT * FROM hits",
     "peek_head": "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 5",
     "peek_tail": "SELECT vec_id, label FROM embeddings ORDER BY vec_id DESC LIMIT 5",

@@ -15,7 +15,7 @@ from twinshelf.operators.columns import replace_columns
 from twinshelf.operators.encode import (
     embed, embed_once, grid_mean, histogram, reduce_dimensions, register_encoder, word_hash,
 )
-from twinshelf.operators.knn import knn_join, with_payload
+from twinshelf.operators.knn import knn_join, top_k, with_payload
 from twinshelf.operators.nest import explode_hits, nest_hits
 from twinshelf.plans import coverage, export, extract, match, prepare, rerank
 from twinshelf.session import cut, scratch_path
@@ -120,12 +120,13 @@ def ivf_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ivf_reused(spark: SparkSession, d: str) -> DataFrame:
-    """A second build finds the stored index and leaves it as it is."""
-    first = _cells(spark, d)
-    again = ann.build_cells(s.vectors(spark, d, "db"), first.path, vec="db_vec", n_cells=3)
-    a, b = ann.index_info(first, "db_vec"), ann.index_info(again, "db_vec")
-    same = a.join(b, ["cell", "n_rows", "dim", "n_bytes"]).agg(F.sum("n_rows").alias("n_rows"))
-    return same
+    """An index built on fewer rows is completed, and then left as it is."""
+    db, path = s.vectors(spark, d, "db"), scratch_path(spark, "cells")
+    args = dict(vec="db_vec", n_cells=16, max_iter=5)
+    ann.build_cells(db.where("db_label < 4"), path, **args)
+    ann.build_cells(db, path, **args)
+    index = ann.build_cells(db, path, **args)
+    return index.rows().agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def knn_ivf(spark: SparkSession, d: str) -> DataFrame:
@@ -201,8 +202,7 @@ def rerank_written(spark: SparkSession, d: str) -> DataFrame:
     tables.write_by_category(_half_match(spark, d, "text"), text_out)
     tables.write_by_category(_half_match(spark, d, "image"), image_out)
     rerank.run_rerank(spark, text_out, image_out, out)
-    fused = rerank.in_rank_order(tables.read_or_none(spark, out))
-    return fused.withColumn("category", F.col("category").cast("string"))
+    return rerank.in_rank_order(tables.read_by_category(spark, out))
 
 
 def category_union(spark: SparkSession, d: str) -> DataFrame:
@@ -399,7 +399,7 @@ def sample_limit(spark: SparkSession, d: str) -> DataFrame:
     """The extract cut to a sample larger than one task merges."""
     everything = extract.catalogue_extract(
         s.order_snapshots(spark, d), s.map_snapshots(spark, d), s.item_ext(spark, d),
-        s.EXTRACT_AS_OF, ["FMCG", "ELHA"], limit=None,
+        s.EXTRACT_AS_OF, ["FMCG", "ELHA"],
     )
     return rows.first_rows(everything, ["item_id", "shop_id", "cluster"], 1_500)
 
@@ -498,54 +498,79 @@ def pca_knn(spark: SparkSession, d: str) -> DataFrame:
     return knn_join(reduced, db, k=s.K, by=LABEL, **VECS)
 
 
+def pca_rotation(spark: SparkSession, d: str) -> DataFrame:
+    """All components are a rotation, which leaves every score as it was."""
+    rotated = reduce_dimensions(s.vectors(spark, d, "q"), "q_vec", 64, double=True)
+    db = rotated.toDF("db_id", "db_label", "db_vec")
+    return knn_join(rotated, db, k=s.K, by=LABEL, min_group_size=2, **VECS)
+
+
+def ivf_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the index, rows not in their nearest cell, and hits of a probe that are missing.
+
+    Distances to the centroids are computed by SQL functions here; a query's hits must be the
+    best rows of the cells that it probes.
+    """
+    index = _cells(spark, d)
+    centroids = F.array(*(F.lit(c.tolist()) for c in index.centroids()))
+    squares = lambda x, c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, y: t + y)
+    distances = F.transform(centroids, lambda c, i: F.struct(squares(F.col("x"), c).alias("d"), i.alias("cell")))
+    queries = s.vectors(spark, d, "q").withColumn("x", F.col("q_vec").cast("array<double>"))
+    near = queries.select("q_id", "q_vec", F.slice(F.sort_array(distances), 1, 8).alias("near"))
+    placed = index.rows().select(F.col("db_id").alias("q_id"), "cell").join(near, "q_id")
+    probes = near.select("q_id", "q_vec", F.explode("near.cell").alias("probe"))
+    by_cell = knn_join(probes, index.rows(), k=s.K, by=[("probe", "cell", "cell")], **VECS).drop("rank", "cell")
+    best = top_k(by_cell, ["q_id"], s.K, "score", "db_id")
+    found = ann.knn_cells(s.vectors(spark, d, "q"), index, k=s.K, nprobe=8, **VECS)
+    lost = best.join(found, ["q_id", "db_id", "score", "rank"], "left_anti")
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    facts = index.rows().select(one.alias("n_rows"), none.alias("misplaced"), none.alias("lost"))
+    facts = facts.union(placed.where(F.col("near")[0]["cell"] != F.col("cell")).select(none, one, none))
+    facts = facts.union(lost.select(none, none, one))
+    return facts.agg(*(F.sum(c).alias(c) for c in ("n_rows", "misplaced", "lost")))
+
+
 def embed_once_documents(spark: SparkSession, d: str) -> DataFrame:
-    """English first, then everything: the second run embeds the rest only."""
+    """Other texts and another encoder first, then rows twice over, then the documents."""
     clean = s.documents(spark, d).transform(prepare.add_clean_text, "text").drop("text")
     path = scratch_path(spark, "vectors")
-    args = dict(key="doc_id", input_col="text_clean", out_col="vec", encoder=word_hash(HASH_DIM))
-    embed_once(clean.where("lang = 'en'"), path, **args)
-    vectors = embed_once(clean, path, **args)
-    return vectors.select(
-        "doc_id", F.size("vec").alias("dim"),
-        F.rint(dot(F.col("vec"), F.col("vec")) * 1000).cast("long").alias("squared_length"),
-    )
+    args = dict(key="doc_id", input_col="text_clean", out_col="vec")
+    changed = clean.withColumn("text_clean", F.concat("text_clean", F.lit(" changed")))
+    embed_once(changed, path, encoder=word_hash(HASH_DIM), **args)
+    embed_once(clean, path, encoder=word_hash(8), **args)
+    english = clean.where("lang = 'en'")
+    embed_once(english.union(english), path, encoder=word_hash(HASH_DIM), **args)
+    vectors = embed_once(clean, path, encoder=word_hash(HASH_DIM), **args)
+    entries = vectors.select("doc_id", F.posexplode("vec").alias("dim", "weight")).where("weight <> 0")
+    weight = scores.round_half_even(F.col("weight").cast("double"), 5)
+    return entries.select("doc_id", "dim", weight.alias("weight"))
 
 
 # ---- tables, batches, resume --------------------------------------------------
 
 
 def match_resume(spark: SparkSession, d: str) -> DataFrame:
-    """A run over some categories, then one over all, which skips those."""
-    config = MatchConfig(match_by="text")
-    out, paths = scratch_path(spark, "result"), {}
-    for side in ("q", "db"):
-        paths[side] = scratch_path(spark, side)
-        s.half_vectors(spark, d, side, "text").write.parquet(paths[side])
-    some = scratch_path(spark, "some")
-    spark.read.parquet(paths["q"]).where("q_category < '5'").write.parquet(some)
-    match.run_match(spark, some, paths["db"], out, config)
-    match.run_match(spark, paths["q"], paths["db"], out, config)
-    return _stored_hits(spark, out)
+    """A run over some categories, one over all, which skips those, and one that finds nothing to do."""
+    return _resumed(spark, d, "category")
 
 
 def match_resume_queries(spark: SparkSession, d: str) -> DataFrame:
-    """The same by query row: rows of the first run are not matched again."""
+    """The same by query row: rows that have hits are not matched again."""
+    return _resumed(spark, d, "query")
+
+
+def _resumed(spark: SparkSession, d: str, resume: str) -> DataFrame:
     config = MatchConfig(match_by="text")
     out, paths = scratch_path(spark, "result"), {}
     for side in ("q", "db"):
         paths[side] = scratch_path(spark, side)
-        s.half_vectors(spark, d, side, "text").write.parquet(paths[side])
+        s.odd_vectors(spark, d, side).write.parquet(paths[side])
     some = scratch_path(spark, "some")
-    spark.read.parquet(paths["q"]).where("q_category < '5'").write.parquet(some)
-    match.run_match(spark, some, paths["db"], out, config, resume="query")
-    match.run_match(spark, paths["q"], paths["db"], out, config, resume="query")
-    return _stored_hits(spark, out)
-
-
-def _stored_hits(spark: SparkSession, out: str) -> DataFrame:
-    return tables.read_or_none(spark, out).select(
-        F.col("category").cast("string").alias("category"), "q_item_id", "db_item_id",
-        "score_text_embed", "rank",
+    spark.read.parquet(paths["q"]).where("q_category < '1.5'").write.parquet(some)
+    for path in (some, paths["q"], paths["q"]):
+        match.run_match(spark, path, paths["db"], out, config, resume=resume)
+    return tables.read_by_category(spark, out).select(
+        "category", "q_item_id", "db_item_id", "score_text_embed", "rank"
     )
 
 
@@ -554,14 +579,20 @@ def batch_assign(spark: SparkSession, d: str) -> DataFrame:
     return indexed.withColumn("batch", rows.batch_number(F.col("id"), 50))
 
 
+def _elements(df: DataFrame, *ids: str) -> DataFrame:
+    """One row per vector element."""
+    exploded = df.select(*ids, F.posexplode("embedding").alias("dim", "value"))
+    return exploded.withColumn("value", F.col("value").cast("double"))
+
+
 def shard_concat(spark: SparkSession, d: str) -> DataFrame:
     """Vectors written as numbered shards and read as one table."""
     path = scratch_path(spark, "shards")
-    indexed = rows.row_index(s.table(spark, d, "embeddings").select("vec_id"), ["vec_id"], "id")
+    indexed = rows.row_index(s.table(spark, d, "embeddings").select("vec_id", "embedding"), ["vec_id"], "id")
     batch = rows.batch_number(F.col("id"), 40)
     name = F.concat(F.lit("result_"), batch.cast("string")).alias("part")
-    indexed.select("vec_id", name).write.partitionBy("part").parquet(path)
-    return tables.read_shards(spark, path, part=1, in_folder=True).select("vec_id", "shard")
+    indexed.select("vec_id", "embedding", name).write.partitionBy("part").parquet(path)
+    return _elements(tables.read_shards(spark, path, part=1, in_folder=True), "vec_id", "shard")
 
 
 def overwrite_target(spark: SparkSession, d: str) -> DataFrame:
@@ -570,7 +601,7 @@ def overwrite_target(spark: SparkSession, d: str) -> DataFrame:
     tables.recreate(s.table(spark, d, "part").select("p_partkey"), path)
     vector_tables.write_vectors(s.table(spark, d, "embeddings"), path, "vec_id", "embedding")
     stored = vector_tables.read_vectors(spark, path, "embedding", 64)
-    return stored.select("vec_id", F.size(to_float32(F.col("embedding"))).alias("dim"))
+    return _elements(stored.withColumn("embedding", to_float32(F.col("embedding"))), "vec_id")
 
 
 def stream_match(spark: SparkSession, d: str) -> DataFrame:
@@ -580,7 +611,8 @@ def stream_match(spark: SparkSession, d: str) -> DataFrame:
         spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(d)
         .toDF("q_id", "q_vec", "q_label")
     )
-    db = s.vectors(spark, d, "db")
+    # prepared once, not by every micro-batch
+    db = cut(s.vectors(spark, d, "db"))
     out = scratch_path(spark, "stream")
 
     def batch(new: DataFrame) -> DataFrame:
@@ -638,7 +670,7 @@ QUERIES = [
     duplicate_keys, distinct_columns, category_leaf, path_rewrite, export_columns,
     csv_round_trip, latest_snapshot, catalogue_extract, sample_limit, extract_materialised,
     coverage_stats_l3, coverage_stats_l5, coverage_grouping_sets, brand_list,
-    ratio_to_min_report, text_hash_vectors, text_knn, match_names, pca_knn,
+    ratio_to_min_report, text_hash_vectors, text_knn, match_names, pca_knn, pca_rotation, ivf_facts,
     embed_once_documents, match_resume, match_resume_queries, batch_assign, shard_concat,
     overwrite_target, stream_match, peek_head, peek_tail, format_score, round_scores,
     stage_counts,

@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinshelf.checks.oracles import ODD_CATEGORIES
 from twinshelf.functions.vectors import l2_normalize
 from twinshelf.sources.tables import read_spread
 
@@ -52,6 +53,17 @@ def half_vectors(spark: SparkSession, sf_dir: str, side: str, half: str) -> Data
     )
 
 
+def odd_vectors(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
+    """A match input with whole vectors, in categories that are hard to keep in folder names."""
+    names = F.array(*(F.lit(c) for c in ODD_CATEGORIES))
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias(f"{side}_item_id"),
+        F.concat(F.lit("item "), F.col("vec_id").cast("string")).alias(f"{side}_item_name"),
+        F.element_at(names, (F.col("label") % 10 + 1).cast("int")).alias(f"{side}_category"),
+        F.col("embedding").alias("text_embed"),
+    )
+
+
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with a comma-separated image list made of their name."""
     part = table(spark, sf_dir, "part")

@@ -3,6 +3,7 @@ from unittest import mock
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -142,3 +143,30 @@ def test_groups_and_blocks():
     assert by_group(table, [])[()] is table
     blocks = [t["v"].to_pylist() for t in in_blocks(iter(table.to_batches(1)), 3)]
     assert blocks == [[1, 2, 3], [4]]
+
+
+def test_a_scan_keeps_k_rows_per_query_over_many_blocks(monkeypatch):
+    from types import SimpleNamespace
+
+    from twinshelf import kernels
+
+    monkeypatch.setattr(kernels, "SCAN_ROWS", 5)
+    rng = np.random.default_rng(3)
+    schema = pa.schema([("category", pa.string()), ("q_id", pa.int64()), ("db_id", pa.int64()),
+                        ("score", pa.float64()), ("rank", pa.int32())])
+
+    def side(n, first):
+        return pa.table({
+            "category": pa.array(rng.choice(["a", "b"], n)), "_id": pa.array(np.arange(first, first + n)),
+            "_vec": pa.array(list(rng.normal(size=(n, 3)).astype(np.float32)), pa.list_(pa.float32())),
+        })
+
+    q, db = side(9, 0), side(40, 100)
+    scorer = kernels.Scorer(["category"], 4, False, schema)
+    got = pa.Table.from_batches(list(scorer.against(SimpleNamespace(value=q), False)(iter(db.to_batches(max_chunksize=3)))))
+    want = []
+    for name in ("a", "b"):
+        pair = (t.filter(pc.equal(t["category"], name)) for t in (q, db))
+        want += scorer.score(*pair).to_pylist()
+    order = lambda r: (r["category"], r["q_id"], r["rank"])
+    assert sorted(got.to_pylist(), key=order) == sorted(want, key=order)

@@ -117,14 +117,36 @@ class Scorer:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             partners = by_group(held.value, self.keys)
+            best: dict[tuple, pa.Table] = {}
             for block in in_blocks(batches, SCAN_ROWS):
                 for name, rows in by_group(block, self.keys).items():
-                    if name in partners:
-                        pair = (rows, partners[name]) if held_is_db else (partners[name], rows)
-                        yield from self.score(*pair).to_batches()
+                    if name not in partners:
+                        continue
+                    if held_is_db:  # a query meets all its rows at once
+                        yield from self.score(rows, partners[name]).to_batches()
+                        continue
+                    # the task keeps k rows per query, however many blocks it scans
+                    hits = self.score(partners[name], rows)
+                    best[name] = self.merged(best[name], hits) if name in best else hits
+            for hits in best.values():
+                yield from hits.to_batches()
 
         return scan
 
+    def merged(self, *tables: pa.Table) -> pa.Table:
+        """The k best hits per query of tables that score different database rows."""
+        q_id, db_id, score = self.schema.names[-4:-1]
+        hits = pa.concat_tables(tables)
+        hits = hits.take(pc.sort_indices(
+            hits, sort_keys=[(q_id, "ascending"), (score, "descending"), (db_id, "ascending")]
+        ))
+        if hits.num_rows == 0:
+            return hits
+        query = hits[q_id].combine_chunks().dictionary_encode().indices.to_numpy()
+        rank = np.arange(len(query)) - np.searchsorted(query, query) + 1
+        ranked = hits.set_column(hits.num_columns - 1, "rank", pa.array(rank.astype(np.int32)))
+        return ranked.filter(pa.array(rank <= self.k))
+
     def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
         """The k best database rows per query; a score that is no number is no hit."""
         q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))

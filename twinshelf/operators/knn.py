@@ -25,9 +25,13 @@ from twinshelf.kernels import Scorer
 from twinshelf.operators.rows import group_sizes
 from twinshelf.operators.small import Small, measured
 
-# Group sizes too large to broadcast are joined by shuffle, each group spread over
-# this many salts.
-SALTS = 64
+# A side of at most so many rows (and one block) is sent to every task: 64 MB of vectors
+# of 1,024 floats, whatever block size is asked for.
+HELD_ROWS = 16_384
+# Group sizes too large to broadcast are joined by shuffle, each group spread over salts:
+# one for so many rows of the larger side, within these bounds.
+ROWS_PER_SALT = 1_000_000
+SALTS = (64, 4096)
 # Scored pairs per task: the lower value spreads small inputs over the cores, the
 # upper one keeps tasks of large inputs in the range of seconds.
 PAIRS_TO_SPREAD = 1_000_000
@@ -88,10 +92,10 @@ def knn_join(
     q_rows, db_rows = (
         rows.where(F.col("_id").isNotNull() & F.lit(total.cells > 0)) for rows in (q_rows, db_rows)
     )
-    if total.n_db <= block_rows:
+    if total.n_db <= min(block_rows, HELD_ROWS):
         # every query meets all its rows in one task, so ranks are final
         return scan_against(q_rows, db_rows, sizes, total, scorer, schema, held_is_db=True)
-    if total.n_q <= block_rows:
+    if total.n_q <= min(block_rows, HELD_ROWS):
         hits = scan_against(db_rows, q_rows, sizes, total, scorer, schema, held_is_db=False)
         return top_k(hits, [*names, q_id], k, score, db_id)
     hits = score_grid(q_rows, db_rows, sizes, total, scorer, schema, block_rows)
@@ -137,7 +141,8 @@ def scan_against(
 ) -> DataFrame:
     """Score one side, where it lies, against the other, sent to every task.
 
-    Only for a held side of at most one block, all groups together.
+    Only for a held side of at most one block, all groups together.  A held query side
+    gives k rows per query and task.
     """
     names = scorer.keys
     if names:
@@ -161,6 +166,7 @@ def score_grid(
         F.ceil(F.col("n_q") / block_rows).cast("int").alias("gq"),
         F.ceil(F.col("n_db") / block_rows).cast("int").alias("gd"),
     )
+    salts = min(max(SALTS[0], max(total.n_q, total.n_db) // ROWS_PER_SALT), SALTS[1])
     one = [math.ceil(n / block_rows) for n in (total.n_q, total.n_db)]
     cores = q_rows.sparkSession.sparkContext.defaultParallelism
     tasks = min(total.tasks(cores), total.cells)
@@ -171,8 +177,8 @@ def score_grid(
         if names and sizes.fits:
             rows = rows.join(F.broadcast(grid), names)
         elif names:
-            salted = grid.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            salt = F.pmod(F.xxhash64(F.lit("salt"), "_id"), F.lit(SALTS)).cast("int")
+            salted = grid.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            salt = F.pmod(F.xxhash64(F.lit("salt"), "_id"), F.lit(salts)).cast("int")
             rows = rows.withColumn("_salt", salt).join(salted, [*names, "_salt"])
         else:
             rows = rows.withColumns({"gq": F.lit(one[0]), "gd": F.lit(one[1])})

@@ -2,8 +2,8 @@
 
 A token is a word or a word's prefix of 3 to 7 letters. Its weight is the log-odds ratio of
 toxic against clean labelled texts under a Dirichlet prior that has the token's counts in all
-documents; weights below ``MIN_Z`` standard errors are dropped. Words score the weight of
-their heaviest token, less a drift; all other words score minus the drift, so that passages end. One
+documents; weights below ``MIN_Z`` standard errors or twice the drift are dropped. Words score the weight of
+their heaviest token, less a drift, where they are first in a text; all other words score minus the drift, so that passages end. One
 pass over a text finds all its maximal segments (Ruzzo and Tompa), in time linear in its
 length. Under the null a segment of score S in n words has E-value K n exp(-lambda S):
 lambda solves the moment equation of the word scores in clean texts, K is the likelihood
@@ -108,7 +108,12 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
 
 def segments_of(words: list[str], scores: WordScores) -> list[tuple[int, int, float]]:
     """Segments in words; runs without a positive score are one step."""
-    points = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s > 0]
+    points, seen = [], set()
+    for i, s in enumerate(map(scores.__getitem__, words)):
+        # weights come from texts that have the word: its first place has the whole weight
+        if s > 0 and words[i] not in seen:
+            seen.add(words[i])
+            points.append((i, s))
     if not points:
         return []
     steps, starts, last = [], [], -1
@@ -123,11 +128,11 @@ def segments_of(words: list[str], scores: WordScores) -> list[tuple[int, int, fl
 
 
 def evidence(model: Model, n: int, found: list[tuple[int, int, float]]) -> list[float]:
-    """Best and summed normalised score of the segments, and the length."""
+    """Best and summed normalised score of the segments, and the length, on log scales."""
     base = math.log(max(model.k * n, 1e-9))
     above = [max(model.lam * s - base, 0.0) for _, _, s in found]
     best = max((model.lam * s for _, _, s in found), default=0.0)
-    return [1.0, best, sum(above), math.log1p(len(found)), math.log1p(n)]
+    return [1.0, math.log1p(best), math.log1p(sum(above)), math.log1p(n)]
 
 
 def score_of(model: Model, n: int, found: list[tuple[int, int, float]]) -> float:
@@ -218,7 +223,7 @@ def weigh(counts: list, prior: dict[str, int], words: int, n_toxic: int, n_clean
         odds = lambda n, of: (n + a) / max(of + PRIOR_WORDS - n - a, 1e-9)  # noqa: B023, E731
         delta = math.log(odds(toxic, n_toxic)) - math.log(odds(clean, n_clean))
         weight[token] = (delta, delta / math.sqrt(1 / (toxic + a) + 1 / (clean + a)))
-    return {k: v for k, v in weight.items() if v[1] >= MIN_Z}
+    return {k: v for k, v in weight.items() if v[1] >= MIN_Z and v[0] > 2 * DRIFT}
 
 
 def labelled_segments(texts: DataFrame, label, frozen) -> list:
@@ -234,7 +239,8 @@ def labelled_segments(texts: DataFrame, label, frozen) -> list:
                     out["y"].append(y)
                     out["n"].append(len(words))
                     out["found"].append([s for _, _, s in segments_of(words, scores)])
-                    out["points"].append([s for s in map(scores.__getitem__, words) if s > 0] if not y else [])
+                    first = dict.fromkeys(words) if not y else ()
+                    out["points"].append([s for s in map(scores.__getitem__, first) if s > 0])
             yield _batches(out, [("y", pa.int32()), ("n", pa.int64()), ("found", pa.list_(pa.float64())),
                                  ("points", pa.list_(pa.float64()))])
 

@@ -136,18 +136,20 @@ def check_bytes(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that another row stands for; all columns as they are."""
     groups = exact_groups(docs, id_col, text_col)
-    stays = groups.filter(
+    staying = groups.filter(
         F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
-    ).select(
-        F.col("digest").alias("__stay_digest"), F.col("id").alias("__stay_id"),
-    ).distinct()
+    ).groupBy("digest", "id").count()
+    stays = staying.select(F.col("digest").alias("__stay_digest"), F.col("id").alias("__stay_id"))
     marked = docs.withColumn("__digest", F.unhex(F.sha2(normalised(text_col), 256)))
     found = marked.join(
         stays,
         (F.col("__digest") == F.col("__stay_digest")) & F.col(id_col).eqNullSafe(F.col("__stay_id")),
         "left_semi",
     )
-    return found.dropDuplicates(["__digest"]).select(*docs.columns)
+    # only where a document that stays is there in several rows are texts compared once more
+    if staying.filter("count > 1").take(1):
+        found = found.dropDuplicates(["__digest"])
+    return found.select(*docs.columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

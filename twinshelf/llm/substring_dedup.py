@@ -196,3 +196,29 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable] = [op7_substring_dedup]
+
+ORACLES = {
+    "op7_substring_dedup": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), words AS (
+          SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d
+        ), grams AS (
+          SELECT doc_id, place AS i, string_agg(word, ' ') OVER f AS gram, count(*) OVER f AS n
+          FROM words
+          WINDOW f AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+        ), firsts AS (
+          SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS least FROM grams WHERE n = 13
+        ), gone AS (
+          SELECT DISTINCT doc_id, i + k AS place FROM firsts, range(13) r(k) WHERE least < doc_id
+        ), kept AS (
+          SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS body
+          FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+        ), counts AS (
+          SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+               sha256(coalesce(body, '')) AS kept_sha256
+        FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+}

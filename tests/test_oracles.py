@@ -4,8 +4,11 @@ import pytest
 from compare import connect, differences, duckdb_result, spark_result
 
 from __spark_entry__ import entry, oracle_sql, queries
+from twinshelf.checks.oracles import ORACLES
+from twinshelf.checks.queries import QUERIES as FUNCTIONS
 
-QUERIES, ORACLES = queries(), oracle_sql()
+# those of the training-data operators are in tests/llm
+QUERIES = {f.__name__: queries()[f.__name__] for f in FUNCTIONS}
 # k-means and principal components have no SQL; see test_ann.py
 WITHOUT_SQL = {"ivf_cells", "knn_ivf", "knn_ivf_recall", "pca_knn"}
 
@@ -18,6 +21,7 @@ def con(sf_dir):
 def test_all_but_the_known_have_an_oracle():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert set(ORACLES) <= set(QUERIES)
+    assert set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -211,16 +211,16 @@ def check_bytes(got, docs, size):
 
 
 @pytest.mark.parametrize("distinct_limit", [256, 2])
-def test_byte_strings(odd_docs, odd_rows, monkeypatch, distinct_limit):
+def test_byte_strings(odd_docs, odd_rows, distinct_limit):
     """The lower bound sends most anchors to the count of whole windows."""
-    monkeypatch.setattr(suffix_dedup, "MAX_DISTINCT", distinct_limit)
-    rows = suffix_dedup.remove_repeats(odd_docs).collect()
+    rows = suffix_dedup.remove_repeats(odd_docs, max_distinct=distinct_limit).collect()
     assert len(rows) == len(odd_rows)
     check_bytes({r.doc_id: r for r in rows}, [(r[0], r[1]) for r in odd_rows], 200)
 
 
-def test_byte_strings_of_given_documents(given_docs):
-    rows = suffix_dedup.remove_repeats(given_docs).collect()
+@pytest.mark.parametrize("distinct_limit", [256, 1])
+def test_byte_strings_of_given_documents(given_docs, distinct_limit):
+    rows = suffix_dedup.remove_repeats(given_docs, max_distinct=distinct_limit).collect()
     check_bytes({r.doc_id: r for r in rows}, [(r.doc_id, r.text) for r in given_docs.collect()], 200)
 
 

@@ -54,14 +54,14 @@ def unpacked(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
-def chunk_rows(docs: list[tuple[int, np.ndarray]], bits: int) -> Iterator[tuple]:
-    """(bucket, n, hashes, ids, places) of the windows of some documents."""
+def chunk_rows(docs: list[tuple[int, np.ndarray, np.ndarray]], bits: int) -> Iterator[tuple]:
+    """(bucket, n, hashes, ids, places) of the windows of some documents (id, hashes, places)."""
     docs = [d for d in sorted(docs, key=lambda d: d[0]) if len(d[1])]
     if not docs:
         return
-    h = np.concatenate([x for _, x in docs])
-    ids = np.repeat(np.array([i for i, _ in docs], np.int64), [len(x) for _, x in docs])
-    places = np.concatenate([np.arange(len(x), dtype=np.uint32) for _, x in docs])
+    h = np.concatenate([x for _, x, _ in docs])
+    ids = np.repeat(np.array([i for i, _, _ in docs], np.int64), [len(x) for _, x, _ in docs])
+    places = np.concatenate([p for _, _, p in docs])
     bucket = (h >> np.uint64(64 - bits)).astype(np.uint32)
     order = np.argsort(bucket, kind="stable")
     bucket, h, ids, places = bucket[order], h[order], ids[order], places[order]
@@ -87,7 +87,8 @@ def window_rows(docs: DataFrame, size: int, bits: int) -> DataFrame:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = text.as_buffer()
                 _, words = hashing.words(data.to_pybytes())
-                waiting.append((NO_ID if i is None else i, hashing.windows(words, size)))
+                found = hashing.windows(words, size)
+                waiting.append((NO_ID if i is None else i, found, np.arange(len(found), dtype=np.uint32)))
                 held += data.size
                 if held >= CHUNK:
                     yield flush(waiting)

@@ -15,9 +15,9 @@ document or the same, is removed; strings are judged on the input.
    puts one more symbol in front of every fragment's suffix and inserts it where the
    collection's Burrows-Wheeler transform says, by one stable sequential pass over the transform,
    with the common prefixes of the new suffix and its successor updated from range minima.
-   A suffix that shares ``size`` bytes with a neighbour starts a repeated window. A collection
-   has at most ``MAX_FRAGMENTS`` fragments, so the two sequential files, the transform and the common
-   prefixes, are arrays of about half a megabyte; there is no need to keep them on disk.
+   A suffix that shares ``size`` bytes with a neighbour starts a repeated window. A collection is
+   sorted as soon as it has ``MAX_FRAGMENTS``, so the two sequential files, the transform and the
+   common prefixes, are arrays of some ten thousand bytes; there is no need to keep them on disk.
 4. *Hot anchors* with more than ``MAX_DISTINCT`` different fragments (a passage in very many
    documents, each with other words around it) have no bound there. Their windows are dealt
    out by a hash of all ``size`` bytes, many in a row, and counted.
@@ -47,7 +47,7 @@ GRAM = 64
 PIECE = 1 << 21  # bytes of a text taken at a time; a place in it takes 22 bits
 PLACE = np.uint64((1 << 22) - 1)
 MAX_DISTINCT = 256
-MAX_FRAGMENTS = 1536
+MAX_FRAGMENTS = 128
 END = 0xFF  # in no UTF-8 text
 
 
@@ -218,7 +218,7 @@ def sort_columns(bodies: list[bytes], size: int) -> np.ndarray:
     cap = np.uint8(size)
     for j in range(1, rounds + 1):
         order = np.argsort(bwt, kind="stable")
-        order = order[: len(order) - np.count_nonzero(bwt == END)]
+        order = order[: len(order) - np.count_nonzero(lengths < j)]
         fresh = np.zeros(len(bwt), bool)
         fresh[newest] = True
         fresh = fresh[order]
@@ -267,8 +267,8 @@ def sort_columns(bodies: list[bytes], size: int) -> np.ndarray:
 class Shards:
     """Judges the fragments of one anchor after another; results and leftovers are drained."""
 
-    def __init__(self, size: int) -> None:
-        self.size = size
+    def __init__(self, size: int, max_distinct: int = MAX_DISTINCT) -> None:
+        self.size, self.max_distinct = size, max_distinct
         self.waiting: list[tuple[bytes, list]] = []  # fragments to be sorted with others
         self.done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, first windows, windows
         self.hot: list[tuple[int, int, bytes]] = []  # id, first window, bytes
@@ -282,7 +282,7 @@ class Shards:
         self.tied |= tied
         if body in self.distinct:
             self.distinct[body].append((ids, starts))
-        elif len(self.distinct) < MAX_DISTINCT and not self.is_hot:
+        elif len(self.distinct) < self.max_distinct and not self.is_hot:
             self.distinct[body] = [(ids, starts)]
         else:
             if not self.is_hot:
@@ -335,12 +335,12 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.flatnonzero(edge == -1) - first
 
 
-def judge_fragments(rows: DataFrame, size: int) -> DataFrame:
+def judge_fragments(rows: DataFrame, size: int, max_distinct: int) -> DataFrame:
     """Repeated windows by slot of their document, and (id, start, body) of hot anchors."""
     slots = slots_for(rows)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, anchor, out = Shards(size), None, Outbox(slots)
+        shards, anchor, out = Shards(size, max_distinct), None, Outbox(slots)
 
         def drain() -> Iterator[pa.RecordBatch]:
             for found in shards.done:
@@ -449,14 +449,15 @@ def spans(starts: np.ndarray, counts: np.ndarray, size: int) -> list[tuple[int,
 
 
 def remove_repeats(
-    docs: DataFrame, *, size: int = SIZE, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, *, size: int = SIZE, gram: int = GRAM, max_distinct: int = MAX_DISTINCT,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Id, length in bytes, removed spans (first byte, byte after the last) and the kept bytes."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(FEWEST_BITS, math.ceil(math.log2(max(total, 1) / (16 * BUCKET_BYTES))))
     found = repeated_runs(run_rows(texts, size, gram, bits))
-    judged = stored(judge_fragments(fragments(texts, found, size), size), "judged-windows")
+    judged = stored(judge_fragments(fragments(texts, found, size), size, max_distinct), "judged-windows")
     hot = judged.filter("body is not null").select("id", "start", "body")
     gone = judged.filter("slot is not null").select("slot", "ids", "starts", "counts")
     by_id = by_document(gone.union(count_windows(hot, size, FEWEST_BITS))).withColumnRenamed("id", "__id")

@@ -34,6 +34,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from functools import reduce
+from heapq import nsmallest
 from itertools import combinations, repeat
 
 import numpy as np
@@ -49,6 +50,7 @@ SEED = 42
 MAX_SHARD = 512
 WORDS = 8  # of 64 bits: one fingerprint and seven to confirm similarity
 MINIMA = 6
+LINKS = 4
 LONGER = 3  # minima in the keys that replace a key that too many nodes share
 SALTS = 64
 #: Odd multipliers for derived hashes, by a rule: multiples of the 64-bit golden ratio.
@@ -173,28 +175,41 @@ class ExactShard:
 
 
 class LeaderShard:
-    """Links a node to all leaders that may be similar; it becomes one of them unless it is
-    so close to one that their similarity is beyond doubt."""
+    """Links a node to the ``LINKS`` nearest leaders of each local component that may be
+    similar. It becomes a leader itself unless it is so close to one that their similarity is
+    beyond doubt. So a group of copies has links in proportion to its size.
+    """
 
     def __init__(self, radius: int, most_bits: int, sure_bits: int) -> None:
         self.radius, self.most_bits, self.sure_bits, self.tree = radius, most_bits, sure_bits, BKTree()
         self.more: list[int] = []
+        self.parent: list[int] = []
+
+    def root(self, at: int) -> int:
+        while self.parent[at] != at:
+            self.parent[at] = self.parent[self.parent[at]]
+            at = self.parent[at]
+        return at
 
     def links(self, value: int, more: bytes) -> list[int]:
-        own, found, sure = int.from_bytes(more, "little"), [], False
-        for at in sorted(self.tree.search(value, self.radius)):
-            differing = (self.tree.values[at] ^ value).bit_count() + (self.more[at] ^ own).bit_count()
-            if differing <= self.sure_bits:
-                found, sure = [at], True
-                break
-            if differing <= self.most_bits:
-                found.append(at)
-        found = [self.tree.values[x] for x in found]
-        if not sure:
-            self.tree.add(value)
-            self.more.append(own)
-            found.append(value)
-        return found
+        own = int.from_bytes(more, "little")
+        near: dict[int, list[tuple[int, int]]] = {}  # local component: differing bits, leader
+        for at in self.tree.search(value, self.radius):
+            bits = (self.tree.values[at] ^ value).bit_count() + (self.more[at] ^ own).bit_count()
+            if bits <= self.most_bits:
+                near.setdefault(self.root(at), []).append((bits, at))
+        found = sorted(x for some in near.values() for x in nsmallest(LINKS, some))
+        linked = [self.tree.values[at] for _, at in found]
+        if found and found[0][0] <= self.sure_bits:
+            return linked
+        new = self.tree.add(value)
+        self.more.append(own)
+        self.parent.append(new)
+        for root, some in near.items():
+            # only likely links make one component of two
+            if min(some)[0] <= (self.most_bits + self.sure_bits) // 2:
+                self.parent[root] = new
+        return [*linked, value]
 
 
 def link_shards(keyed: DataFrame, new_shard: Callable[[], object]) -> DataFrame:

@@ -155,6 +155,26 @@ def test_similar_texts_leave_one(spark, monkeypatch, limit):
     assert kept == set(roots(near, texts).values())
 
 
+def kept_of(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+
+
+def true_roots(texts):
+    sets = {i: shingles(t) for i, t in texts.items()}
+    near = [(a, b) for a in texts for b in texts if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return set(roots(near, texts).values())
+
+
+def test_a_repeated_line_makes_no_near_copies(spark):
+    """Bodies unlike each other under one line, repeated often: fingerprints are equal, sets are not."""
+    pick = random.Random(5)
+    line = " ".join("line%d" % k for k in range(9))
+    texts = {i: " ".join([line] * 500 + ["w%d" % pick.randrange(9000) for _ in range(60)]) for i in range(6)}
+    assert len({fingerprint(t, 5) for t in texts.values()}) == 1
+    assert kept_of(spark, texts) == set(texts)
+
+
 def test_near_dedup_keeps_columns(odd_docs):
     kept = simhash.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

@@ -2,7 +2,8 @@
 
 A fingerprint has a bit for each bit of a 64-bit hash, set if it is set in over half of
 the hashes of the text's word shingles. Documents of one fingerprint are one node from
-the start; nodes within ``radius`` bits are linked.
+the start; nodes within ``radius`` bits are linked. Where a similarity of whole texts is asked for,
+documents of one set of shingles are one node; what only has equal fingerprints is compared.
 
 Linking is split into shards such that two nodes within reach meet in one of them. Each
 shard is a BK-tree: the children of a node are keyed by their Hamming distance to it, and
@@ -48,7 +49,7 @@ from twinshelf.llm.components import components
 
 SEED = 42
 MAX_SHARD = 512
-WORDS = 8  # of 64 bits: one fingerprint and seven to confirm similarity
+WORDS = 8  # of 64 bits, to tell what may be similar
 MINIMA = 6
 LINKS = 4
 LONGER = 3  # minima in the keys that replace a key that too many nodes share
@@ -84,6 +85,11 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
 
 
+def set_hash(unique: np.ndarray) -> int:
+    """One hash of a whole set of hashes, given in order."""
+    return xxhash.xxh64_intdigest(unique.tobytes(), SEED)
+
+
 def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
     """Another hash of each shingle, derived from the first."""
     mixed = (hashes ^ (hashes >> np.uint64(29))) * MIX[k]
@@ -95,17 +101,20 @@ def fingerprints(
     docs: DataFrame, *, shingle: int, id_col: str = "doc_id", text_col: str = "text",
     sketch: bool = False,
 ) -> DataFrame:
-    """``id`` and ``fp`` of each row; with ``sketch`` seven more words and the minima."""
+    """``id`` and ``fp`` of each row. With ``sketch``, ``fp`` is a hash of the whole set of
+    shingles (equal sets only have the same), and there are ``WORDS`` words and the minima."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {"fp": [], "more": [], "minima": []}
             for text in batch.column(1).to_pylist():
                 hashes = shingle_hashes(text, shingle)
-                out["fp"].append(majority(hashes))
-                if sketch:
+                if not sketch:
+                    out["fp"].append(majority(hashes))
+                else:
+                    out["fp"].append(set_hash(np.unique(hashes)))
                     derived = [remixed(hashes, k) for k in range(1, WORDS)]
-                    out["more"].append(np.array([majority(x) for x in derived], np.uint64).tobytes())
+                    out["more"].append(np.array([majority(x) for x in [hashes, *derived]], np.uint64).tobytes())
                     lows = [int((x * MIX[20]).min()) if len(x) else 0 for x in [hashes, *derived][:MINIMA]]
                     out["minima"].append(np.array(lows, np.uint64).view(np.int64))
             arrays = [batch.column(0), pa.array(np.array(out["fp"], np.uint64).view(np.int64))]
@@ -183,6 +192,7 @@ class LeaderShard:
     def __init__(self, radius: int, most_bits: int, sure_bits: int) -> None:
         self.radius, self.most_bits, self.sure_bits, self.tree = radius, most_bits, sure_bits, BKTree()
         self.more: list[int] = []
+        self.names: list[int] = []
         self.parent: list[int] = []
 
     def root(self, at: int) -> int:
@@ -193,17 +203,19 @@ class LeaderShard:
 
     def links(self, value: int, more: bytes) -> list[int]:
         own = int.from_bytes(more, "little")
+        word = own & 0xFFFFFFFFFFFFFFFF
         near: dict[int, list[tuple[int, int]]] = {}  # local component: differing bits, leader
-        for at in self.tree.search(value, self.radius):
-            bits = (self.tree.values[at] ^ value).bit_count() + (self.more[at] ^ own).bit_count()
+        for at in self.tree.search(word, self.radius):
+            bits = (self.more[at] ^ own).bit_count()
             if bits <= self.most_bits:
                 near.setdefault(self.root(at), []).append((bits, at))
         found = sorted(x for some in near.values() for x in nsmallest(LINKS, some))
-        linked = [self.tree.values[at] for _, at in found]
+        linked = [self.names[at] for _, at in found]
         if found and found[0][0] <= self.sure_bits:
             return linked
-        new = self.tree.add(value)
+        new = self.tree.add(word)
         self.more.append(own)
+        self.names.append(value)
         self.parent.append(new)
         for root, some in near.items():
             # only likely links make one component of two
@@ -334,7 +346,7 @@ def drop_near_duplicates(
     prints = stored(
         fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col, sketch=True), "sketches"
     )
-    # rows of one fingerprint are one node; one of them stands for it
+    # rows of one set of shingles are one node; one of them stands for it
     nodes = stored(prints.groupBy("fp").agg(F.min(F.struct("id", "more", "minima")).alias("s"))
                    .select("fp", "s.*"), "nodes")
     links = confirmed(docs, nodes, link_similar(nodes, similarity), shingle, similarity, id_col, text_col)

@@ -175,6 +175,20 @@ def test_a_repeated_line_makes_no_near_copies(spark):
     assert kept_of(spark, texts) == set(texts)
 
 
+def test_a_large_family_falls_into_its_true_classes(spark):
+    """Many candidates a node: none may take the place of one that is similar enough."""
+    pick = random.Random(8)
+    base = ["w%d" % pick.randrange(9000) for _ in range(400)]
+    texts = {}
+    for i in range(400):
+        own = list(base)
+        for at in pick.sample(range(400), pick.randint(1, 14)):
+            own[at] = "w%d" % pick.randrange(9000)
+        texts[i] = " ".join(own)
+    kept = kept_of(spark, texts)
+    assert kept == true_roots(texts)
+
+
 def test_near_dedup_keeps_columns(odd_docs):
     kept = simhash.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

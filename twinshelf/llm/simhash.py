@@ -18,11 +18,12 @@ and its size is bounded:
   that none can have more than 2,048 nodes.
 * ``link_similar`` (a similarity of whole texts): similar texts share most of 6 minima of
   hashed shingles, so these are shard keys. Keys with more than ``MAX_SHARD`` nodes are
-  replaced by triples of such keys; the nodes of a triple that is still too large are dealt over
-  salts first, and only what has no sure match inside its salt meets again.
-  512 bits in all tell what may be similar enough; whole shingle sets then confirm each link.
+  replaced by triples of such keys. In a shard every node is held against every other by
+  512 bits, which tell what may be similar enough: such bits differ too much for a tree to save
+  anything. Whole shingle sets then confirm each link, inside the groups of a shard that may be
+  similar; a pair is left out only if confirmed links already make it one class.
 
-Trees link to local components or to leaders, never all pairs of a group of copies.
+Links are of local components, never all pairs of a group of copies.
 
 Cases: a null text counts as empty; texts without words have fingerprint zero and are
 linked like any other; fewer words than a shingle make one shingle; repeated rows give
@@ -34,8 +35,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import reduce
-from heapq import nsmallest
 from itertools import combinations, repeat
 
 import numpy as np
@@ -51,9 +50,7 @@ SEED = 42
 MAX_SHARD = 512
 WORDS = 8  # of 64 bits, to tell what may be similar
 MINIMA = 6
-LINKS = 4
 LONGER = 3  # minima in the keys that replace a key that too many nodes share
-SALTS = 64
 #: Odd multipliers for derived hashes, by a rule: multiples of the 64-bit golden ratio.
 MIX = (np.arange(1, 32, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -162,6 +159,13 @@ class BKTree:
         return new
 
 
+def root_of(parent: list[int], at: int) -> int:
+    while parent[at] != at:
+        parent[at] = parent[parent[at]]
+        at = parent[at]
+    return at
+
+
 class ExactShard:
     """Links every node to the local components within reach of it."""
 
@@ -169,12 +173,9 @@ class ExactShard:
         self.radius, self.tree, self.parent = radius, BKTree(), []
 
     def root(self, at: int) -> int:
-        while self.parent[at] != at:
-            self.parent[at] = self.parent[self.parent[at]]
-            at = self.parent[at]
-        return at
+        return root_of(self.parent, at)
 
-    def links(self, value: int, _: bytes | None) -> list[int]:
+    def links(self, value: int) -> list[int]:
         near = {self.root(x) for x in self.tree.search(value, self.radius)}
         new = self.tree.add(value)
         self.parent.append(new)
@@ -183,64 +184,17 @@ class ExactShard:
         return [self.tree.values[x] for x in near]
 
 
-class LeaderShard:
-    """Links a node to the ``LINKS`` nearest leaders of each local component that may be
-    similar. It becomes a leader itself unless it is so close to one that their similarity is
-    beyond doubt. So a group of copies has links in proportion to its size.
-    """
-
-    def __init__(self, radius: int, most_bits: int, sure_bits: int) -> None:
-        self.radius, self.most_bits, self.sure_bits, self.tree = radius, most_bits, sure_bits, BKTree()
-        self.more: list[int] = []
-        self.names: list[int] = []
-        self.parent: list[int] = []
-
-    def root(self, at: int) -> int:
-        while self.parent[at] != at:
-            self.parent[at] = self.parent[self.parent[at]]
-            at = self.parent[at]
-        return at
-
-    def links(self, value: int, more: bytes) -> list[int]:
-        own = int.from_bytes(more, "little")
-        word = own & 0xFFFFFFFFFFFFFFFF
-        near: dict[int, list[tuple[int, int]]] = {}  # local component: differing bits, leader
-        for at in self.tree.search(word, self.radius):
-            bits = (self.more[at] ^ own).bit_count()
-            if bits <= self.most_bits:
-                near.setdefault(self.root(at), []).append((bits, at))
-        found = sorted(x for some in near.values() for x in nsmallest(LINKS, some))
-        linked = [self.names[at] for _, at in found]
-        if found and found[0][0] <= self.sure_bits:
-            return linked
-        new = self.tree.add(word)
-        self.more.append(own)
-        self.names.append(value)
-        self.parent.append(new)
-        for root, some in near.items():
-            # only likely links make one component of two
-            if min(some)[0] <= (self.most_bits + self.sure_bits) // 2:
-                self.parent[root] = new
-        return [*linked, value]
-
-
 def link_shards(keyed: DataFrame, new_shard: Callable[[], object]) -> DataFrame:
-    """Links (a, b) found in each shard of ``keyed`` (key, fp[, more])."""
-    sketched = "more" in keyed.columns
+    """Links (a, b) found in each shard of ``keyed`` (key, fp)."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, shard = None, None
         for batch in batches:
             a, b = [], []
-            rows = zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                batch.column(2).to_pylist() if sketched else repeat(None),
-            )
-            for k, fp, more in rows:
+            for k, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if k != key:
                     key, shard = k, new_shard()
-                value = fp & 0xFFFFFFFFFFFFFFFF
-                for other in shard.links(value, more):
+                for other in shard.links(fp & 0xFFFFFFFFFFFFFFFF):
                     a.append(fp)
                     b.append(other - (1 << 64) if other >> 63 else other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -282,39 +236,135 @@ def similarity_bits(similarity: float, bits: int) -> float:
     return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def link_similar(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Links of ``nodes`` (fp, more, minima) whose similarity may be enough, by estimate."""
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of one key after the other; rows come in the order of the first column, the key."""
+    rows: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if rows and rows[0][0] != row[0]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def near_places(more: list[bytes], most_bits: int) -> Iterator[tuple[int, list[int]]]:
+    """Each place, and all places before it within ``most_bits``, nearest first."""
+    words = np.frombuffer(b"".join(more), np.uint64).reshape(-1, WORDS)
+    for i in range(1, len(words)):
+        bits = np.bitwise_count(words[:i] ^ words[i]).sum(1, dtype=np.int64)
+        near = np.flatnonzero(bits <= most_bits)
+        yield i, near[np.argsort(bits[near], kind="stable")].tolist()
+
+
+def known_classes(known: list[int]) -> list[int]:
+    """For each place the first place of its class."""
+    first: dict[int, int] = {}
+    return [first.setdefault(c, at) for at, c in enumerate(known)]
+
+
+def candidates(keyed: DataFrame, most_bits: int) -> DataFrame:
+    """(fps): the nodes of each shard of ``keyed`` (key, fp, known, more) that may be similar by
+    their bits, one row for each local component; pairs of one class ``known`` do not count."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches):
+            if len(rows) == 1:
+                continue
+            _, fps, known, more = zip(*rows)
+            klass = known_classes(known)
+            parent = list(range(len(rows)))
+            for i, near in near_places(more, most_bits):
+                for j in near:
+                    if klass[i] != klass[j]:
+                        parent[root_of(parent, i)] = root_of(parent, j)
+            found: dict[int, list[int]] = {}
+            for at, fp in enumerate(fps):
+                found.setdefault(root_of(parent, at), []).append(fp)
+            out = [x for x in found.values() if len(x) > 1]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], names=["fps"])
+
+    dealt = keyed.select("key", "fp", "known", "more").repartition(partitions(keyed.sparkSession), "key")
+    return dealt.sortWithinPartitions("key", "fp").mapInArrow(find, "fps array<long>").dropDuplicates(["fps"])
+
+
+def confirmed(found: DataFrame, texts: DataFrame, shingle: int, similarity: float, most_bits: int) -> DataFrame:
+    """Links (a, b) of ``found`` (fps) by the whole shingle sets of ``texts`` (fp, known, more, body).
+
+    A pair is only left out if it is known, or links confirmed before it tell, that both are of one
+    class. So there are fewer links than nodes in a group, and none is lost.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches):
+            fps, known, more, sets = [], [], [], []
+            for _, fp, k, m, body in rows:
+                own = np.unique(shingle_hashes(body, shingle))
+                # rows of one id may have different texts; each node has one set
+                if set_hash(own) == fp & 0xFFFFFFFFFFFFFFFF and fp not in fps[-1:]:
+                    fps.append(fp)
+                    known.append(k)
+                    more.append(m)
+                    sets.append(own)
+            parent = known_classes(known)
+            a, b = [], []
+            for i, near in near_places(more, most_bits):
+                for j in near:
+                    if root_of(parent, i) != root_of(parent, j) and jaccard(sets[i], sets[j], similarity) >= similarity:
+                        parent[root_of(parent, i)] = root_of(parent, j)
+                        a.append(fps[i])
+                        b.append(fps[j])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    members = found.select(F.xxhash64("fps").alias("key"), F.explode("fps").alias("fp"))
+    dealt = members.join(texts, "fp").select("key", "fp", "known", "more", "body")
+    dealt = dealt.repartition(partitions(found.sparkSession), "key").sortWithinPartitions("key", "fp")
+    return dealt.mapInArrow(check, "a long, b long")
+
+
+def jaccard(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> float:
+    """Similarity of two sets; 0 if their sizes alone make it less than ``least``. Empty sets are equal."""
+    few, many = sorted((len(x), len(y)))
+    if not many:
+        return 1.0
+    if few / many < least:
+        return 0.0
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(fp, known, more, body) of the nodes in ``found`` (fps)."""
+    ends = found.select(F.explode("fps").alias("fp")).distinct()
+    wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"), F.col("fp").alias("known"), "more")
+    bodies = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("body"))
+    met = bodies.join(wanted, F.col("id").eqNullSafe(F.col("__id")))
+    return met.select("fp", "known", "more", "body").distinct()
+
+
+def link_similar(
+    docs: DataFrame, nodes: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str,
+) -> DataFrame:
+    """Links (a, b) of ``nodes`` (fp, id, more, minima) whose shingle sets are similar enough."""
     expected, deviation = similarity_bits(similarity, 64 * WORDS), math.sqrt(64 * WORDS * 0.13)
-    most_bits, sure_bits = int(expected + 2 * deviation), int(expected - 4 * deviation)
-    radius = int(similarity_bits(similarity, 64) + 4 * math.sqrt(64 * 0.13))
-    new_shard = lambda: LeaderShard(radius, most_bits, sure_bits)
-    single = [
-        F.xxhash64(F.lit(k), F.col("minima")[k]) for k in range(MINIMA)
-    ]
-    rows = nodes.select("fp", "more", F.array(*single).alias("minima"))
-    level = rows.select(F.explode("minima").alias("key"), "fp", "more")
+    most_bits = int(expected + 2 * deviation)
+    single = [F.xxhash64(F.lit(k), F.col("minima")[k]) for k in range(MINIMA)]
+    rows = nodes.select("fp", F.col("fp").alias("known"), "more", F.array(*single).alias("minima"))
+    level = rows.select(F.explode("minima").alias("key"), "fp", "known", "more")
     small, large = without_large(level)
-    links = [link_shards(small, new_shard)]
     # minima of a node whose shards are too large; only these make up longer keys
-    hot = (
-        level.drop("more").join(large, "key").groupBy("fp").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    )
+    hot = level.join(large, "key").groupBy("fp").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     choices = list(combinations(range(MINIMA), LONGER))
     keys = [F.when(F.size("keys") > max(c), F.xxhash64(*(F.col("keys")[i] for i in c))) for c in choices]
-    longer = stored(
+    longer = (
         hot.select("fp", F.explode(F.array(*keys)).alias("key")).filter("key is not null")
-        .join(nodes.select("fp", "more"), "fp").select("key", "fp", "more"),
-        "longer-keys",
+        .join(rows.drop("minima"), "fp").select("key", "fp", "known", "more")
     )
-    small, large = without_large(longer)
-    links.append(link_shards(small, new_shard))
-    # what is still too large is dealt over salts; the leaders that are left meet again
-    rest = longer.join(large, "key", "left_semi")
-    salted = rest.withColumn("key", F.xxhash64("key", F.pmod(F.xxhash64("fp"), F.lit(SALTS))))
-    first = stored(link_shards(salted, new_shard), "salted-links")
-    leaders = first.filter("a = b").select(F.col("a").alias("fp")).distinct()
-    links += [first, link_shards(rest.join(leaders, "fp", "left_semi").select("key", "fp", "more"), new_shard)]
-    return reduce(DataFrame.union, links)
+    found = stored(candidates(small.union(longer), most_bits), "similar-groups")
+    return confirmed(found, texts_of(docs, nodes, found, id_col, text_col), shingle, similarity, most_bits)
 
 
 def classes(prints: DataFrame, links: DataFrame) -> DataFrame:
@@ -349,48 +399,12 @@ def drop_near_duplicates(
     # rows of one set of shingles are one node; one of them stands for it
     nodes = stored(prints.groupBy("fp").agg(F.min(F.struct("id", "more", "minima")).alias("s"))
                    .select("fp", "s.*"), "nodes")
-    links = confirmed(docs, nodes, link_similar(nodes, similarity), shingle, similarity, id_col, text_col)
+    links = link_similar(docs, nodes, shingle, similarity, id_col, text_col)
     found = classes(prints.select("id", "fp"), links)
     stays = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id")).distinct()
     return docs.join(stays, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
 
 
-def jaccard(a: str, b: str, shingle: int) -> float:
-    """Similarity of the sets of shingles; two texts without words are equal."""
-    x, y = (np.unique(shingle_hashes(t, shingle)) for t in (a, b))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
-
-
-def confirmed(
-    docs: DataFrame, nodes: DataFrame, links: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str,
-) -> DataFrame:
-    """The links whose texts are as similar as that, by their whole shingle sets."""
-    pairs = stored(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "similar-pairs",
-    )
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"))
-    bodies = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("body"))
-    texts = stored(
-        bodies.join(wanted, F.col("id").eqNullSafe(F.col("__id"))).groupBy("fp").agg(F.min("body").alias("body")),
-        "similar-texts",
-    )
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            keep = [jaccard(x, y, shingle) >= similarity for x, y in texts]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    met = (
-        pairs.join(texts.select(F.col("fp").alias("a"), F.col("body").alias("body_a")), "a")
-        .join(texts.select(F.col("fp").alias("b"), F.col("body").alias("body_b")), "b")
-    )
-    return met.select("a", "b", "body_a", "body_b").mapInArrow(check, "a long, b long")
-
-
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document: 3-word shingles, links at 2 bits or fewer."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)

@@ -189,6 +189,21 @@ def test_a_large_family_falls_into_its_true_classes(spark):
     assert kept == true_roots(texts)
 
 
+def test_a_text_close_to_another_keeps_its_own_links(spark):
+    """Chains L-m-C: m is nearly L, C is similar to m and not to L, so m has the only link."""
+    pick = random.Random(12)
+    texts = {}
+    for _ in range(40):
+        first = ["w%d" % pick.randrange(90_000) for _ in range(400)]
+        middle, last = list(first), list(first)
+        middle[7] = last[7] = "middle%d" % len(texts)
+        for at in range(20, 20 + 8 * 6, 6):  # 356 of 436 shingles are middle's, 351 of 441 first's
+            last[at] = "w%d" % pick.randrange(90_000)
+        texts |= {len(texts) + k: " ".join(x) for k, x in enumerate((first, middle, last))}
+    kept = kept_of(spark, texts)
+    assert kept == true_roots(texts) and len(kept) == len(texts) // 3
+
+
 def test_near_dedup_keeps_columns(odd_docs):
     kept = simhash.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

@@ -204,6 +204,33 @@ def test_a_text_close_to_another_keeps_its_own_links(spark):
     assert kept == true_roots(texts) and len(kept) == len(texts) // 3
 
 
+def test_a_line_repeated_in_one_copy_only(spark):
+    """Repeats do not change the set of shingles: 1 against 5 and 20 times the same line."""
+    pick = random.Random(13)
+    texts = {}
+    for _ in range(10):
+        body = " ".join("w%d" % pick.randrange(9000) for _ in range(300))
+        line = " ".join("w%d" % pick.randrange(9000) for _ in range(9))
+        for n in (1, 5, 20):
+            texts[len(texts)] = " ".join([body, *[line] * n])
+    kept = kept_of(spark, texts)
+    assert kept == true_roots(texts) == set(range(0, 30, 3))
+
+
+def test_bits_reach_similar_texts():
+    """Pairs at 0.8 or little more, of small sets, too, are within the bits but for one in thousands."""
+    pick = np.random.default_rng(14)
+    most, lost = simhash.bits_in_reach(0.8), 0
+    for n in range(1500):
+        both = int(pick.choice([4, 8, 12, 40, 240]))
+        one = int(pick.integers(0, both // 4 + 1))
+        hashes = pick.integers(0, 1 << 63, both + both // 4, dtype=np.uint64) * np.uint64(2) + np.uint64(n % 2)
+        a, b = hashes[: both + one], np.concatenate([hashes[:both], hashes[both + one :]])
+        words = [[simhash.majority(h) for h in (x, *(simhash.remixed(x, k) for k in range(1, 8)))] for x in (a, b)]
+        lost += sum((x ^ y).bit_count() for x, y in zip(*words)) > most
+    assert lost <= 1
+
+
 def test_near_dedup_keeps_columns(odd_docs):
     kept = simhash.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

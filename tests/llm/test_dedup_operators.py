@@ -231,6 +231,34 @@ def test_bits_reach_similar_texts():
     assert lost <= 1
 
 
+def test_a_hot_passage_hides_no_near_copies(spark, monkeypatch):
+    """Pairs of similar texts that share little more than hot minima, one or two of them at most."""
+    monkeypatch.setattr(simhash, "MAX_SHARD", 8)
+    pick = random.Random(15)
+    passage = ["hot%d" % k for k in range(60)]
+    texts = {}
+    for _ in range(60):
+        body = ["w%d" % pick.randrange(9000) for _ in range(140)]
+        texts[len(texts)] = " ".join(passage + body)
+        for at in (10, 40, 70, 100):
+            body[at] = "w%d" % pick.randrange(9000)
+        texts[len(texts)] = " ".join(passage + body)
+    kept = kept_of(spark, texts)
+    assert kept == true_roots(texts) == set(range(0, 120, 2))
+
+
+def test_every_two_blocks_meet_once(spark, monkeypatch):
+    """Every two nodes of a large key meet, but those of its largest class; shards are bounded."""
+    monkeypatch.setattr(simhash, "MAX_SHARD", 8)
+    rows = [(1, k, 7 if k < 30 else k, b"") for k in range(90)] + [(2, k, 7, b"") for k in range(30)]
+    shards = {}
+    for r in simhash.block_pairs(spark.createDataFrame(rows, "key long, fp long, known long, more binary")).collect():
+        shards.setdefault(r.key, []).append(r.fp)
+    met = {(a, b) for fps in shards.values() for a in fps for b in fps if a < b}
+    assert met >= {(a, b) for b in range(30, 90) for a in range(b)}
+    assert all(len(fps) == len(set(fps)) <= 32 for fps in shards.values())
+
+
 def test_near_dedup_keeps_columns(odd_docs):
     kept = simhash.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

@@ -17,8 +17,11 @@ and its size is bounded:
   ``MAX_SHARD`` nodes is replaced by keys of 10 out of 12 blocks, 53 or more bits, so
   that none can have more than 2,048 nodes.
 * ``link_similar`` (a similarity of whole texts): similar texts share most of 6 minima of
-  hashed shingles, so these are shard keys. Keys with more than ``MAX_SHARD`` nodes are
-  replaced by triples of such keys. In a shard every node is held against every other by
+  hashed shingles, so these are shard keys. The nodes of a key with
+  more than ``MAX_SHARD`` are dealt over blocks. A first round searches each block, blocks
+  differing from key to key; in a second every two blocks of a key meet once, where pairs of one class of the
+  first are left out. That is quadratic in the number of classes that share a key, in tasks of
+  two blocks. In a shard every node is held against every other by
   512 bits, which tell what may be similar enough: such bits differ too much for a tree to save
   anything. Whole shingle sets then confirm each link, inside the groups of a shard that may be
   similar; a pair is left out only if confirmed links already make it one class.
@@ -40,7 +43,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinshelf.llm.common import partitions, stored, table
@@ -50,7 +53,6 @@ SEED = 42
 MAX_SHARD = 512
 WORDS = 8  # of 64 bits, to tell what may be similar
 MINIMA = 6
-LONGER = 3  # minima in the keys that replace a key that too many nodes share
 #: Odd multipliers for derived hashes, by a rule: multiples of the 64-bit golden ratio.
 MIX = (np.arange(1, 32, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -348,31 +350,66 @@ def jaccard(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> float:
 def texts_of(docs: DataFrame, nodes: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(fp, known, more, body) of the nodes in ``found`` (fps)."""
     ends = found.select(F.explode("fps").alias("fp")).distinct()
-    wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"), F.col("fp").alias("known"), "more")
+    wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"), "known", "more")
     bodies = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("body"))
     met = bodies.join(wanted, F.col("id").eqNullSafe(F.col("__id")))
     return met.select("fp", "known", "more", "body").distinct()
 
 
+def block_of(count: Column, salt: Column | str) -> Column:
+    """A block of ``MAX_SHARD / 2`` nodes or so, of a key with ``count`` nodes."""
+    return F.pmod(F.xxhash64("fp", salt), F.greatest(F.ceil(count / (MAX_SHARD // 2)), F.lit(1)))
+
+
+def block_pairs(hot: DataFrame) -> DataFrame:
+    """Shards for keys of ``hot`` (key, fp, known, more) with too many nodes: every two blocks of a
+    key meet once. Nodes of the largest class that is known are not held against each other."""
+    sizes = hot.groupBy("key", "known").count()
+    plan = stored(
+        sizes.groupBy("key").agg(F.max(F.struct("count", "known")).alias("most"), F.sum("count").alias("n"))
+        .select("key", F.col("most.known").alias("main"), F.col("most.count").alias("n_main"),
+                (F.col("n") - F.col("most.count")).alias("n_rest"))
+        .filter("n_rest > 0"),
+        "large-key-blocks",
+    )
+    rest, mains = (F.ceil(F.col(c) / (MAX_SHARD // 2)) for c in ("n_rest", "n_main"))
+    placed = hot.join(plan, "key").withColumn("in_main", F.col("known") == F.col("main"))
+    placed = placed.withColumn("block", F.when(F.col("in_main"), rest + block_of(F.col("n_main"), "key")).otherwise(
+        block_of(F.col("n_rest"), "key")
+    )).withColumn("other", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("in_main"), rest - 1).otherwise(rest + mains - 1)
+    )))
+    pair = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    return placed.select(pair.alias("key"), "fp", "known", "more")
+
+
 def link_similar(
     docs: DataFrame, nodes: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str,
 ) -> DataFrame:
     """Links (a, b) of ``nodes`` (fp, id, more, minima) whose shingle sets are similar enough."""
     most_bits = bits_in_reach(similarity)
+
+    def links(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
+        found = stored(candidates(keyed, most_bits), "similar-groups")
+        texts = texts_of(docs, nodes, found, id_col, text_col)
+        return stored(confirmed(found, texts, shingle, similarity, most_bits), "similar-links")
+
+    nodes = nodes.withColumn("known", F.col("fp"))
     single = [F.xxhash64(F.lit(k), F.col("minima")[k]) for k in range(MINIMA)]
-    rows = nodes.select("fp", F.col("fp").alias("known"), "more", F.array(*single).alias("minima"))
-    level = rows.select(F.explode("minima").alias("key"), "fp", "known", "more")
+    level = nodes.withColumn("key", F.explode(F.array(*single))).select("key", "fp", "known", "more")
     small, large = without_large(level)
-    # minima of a node whose shards are too large; only these make up longer keys
-    hot = level.join(large, "key").groupBy("fp").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    choices = list(combinations(range(MINIMA), LONGER))
-    keys = [F.when(F.size("keys") > max(c), F.xxhash64(*(F.col("keys")[i] for i in c))) for c in choices]
-    longer = (
-        hot.select("fp", F.explode(F.array(*keys)).alias("key")).filter("key is not null")
-        .join(rows.drop("minima"), "fp").select("key", "fp", "known", "more")
-    )
-    found = stored(candidates(small.union(longer), most_bits), "similar-groups")
-    return confirmed(found, texts_of(docs, nodes, found, id_col, text_col), shingle, similarity, most_bits)
+    if large.isEmpty():
+        return links(small, nodes)
+    # blocks differ from key to key, so the first round leaves few classes of a family of copies
+    sizes = stored(level.groupBy("key").count().join(large, "key"), "large-sizes")
+    hot = level.join(sizes, "key")
+    blocks = hot.withColumn("key", F.xxhash64("key", block_of(F.col("count"), "key"))).select(*level.columns)
+    first = links(small.union(blocks), nodes)
+    roots = stored(components(first).withColumnRenamed("node", "fp"), "first-classes")
+    nodes = nodes.join(roots, "fp", "left").withColumn("known", F.coalesce("root", "fp")).drop("root")
+    known = hot.drop("known", "count").join(roots, "fp", "left").withColumn("known", F.coalesce("root", "fp"))
+    hot = stored(known.select(*level.columns), "large-keys-known")
+    return first.union(links(block_pairs(hot), nodes))
 
 
 def classes(prints: DataFrame, links: DataFrame) -> DataFrame:

@@ -142,6 +142,23 @@ def test_contamination_and_slots(spark):
     assert {r.windows for r in found if r.doc_id in (1, 2)} == {len(ITEM.split()) - 7}
 
 
+def test_slots_count_under_the_windows_that_hit(spark):
+    """Parts of an item, items with a word put in or left out, and short items inside documents."""
+    item = ("the old mill by the river was sold for 70 coins to a man who came from far away and said "
+            "that nothing in the whole wide valley had ever cost him more than those 70 coins did")
+    w = item.split()
+    docs = [
+        (1, "Before. " + " ".join(w[:17]) + " then quite other words follow here until there is nothing left of them to tell"),
+        (2, " ".join([*w[:20], "really", *w[20:]])), (3, " ".join(w[:20] + w[21:])), (4, "unlike words only, " * 9),
+        (5, "long before this a green parrot sang loudly and then there was silence all around"),
+        (6, "a green parrot sang badly and then there was nothing but silence all around"),
+        (7, " ".join(w).replace("70", "12", 1).replace("70", "31")),
+    ]
+    items = spark.createDataFrame([(1, item), (2, "A green parrot sang loudly.")], "item_id long, text string")
+    found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (3, 1), (5, 2), (7, 1)}
+
+
 def test_contamination_of_odd_and_no_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
     none = items.limit(0)

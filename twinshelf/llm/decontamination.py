@@ -4,16 +4,17 @@ A text's words become template tokens: numbers, names and units turn into typed
 placeholders, punctuation around words goes, letters are lower-cased. Every window of
 ``size`` template tokens of the benchmark items that has at least ``MIN_LITERALS`` plain
 words is hashed, and the windows of all documents meet them in one hash join. Hits of
-one document and item at one alignment are then held against the item's slots: a slot
-value of the item must stand for one value of the document throughout, in at least half
-of the item's slot values. Verbatim copies satisfy that as they are, re-parameterised
+one document and item at one alignment are then held against the item's slots under the
+windows that hit: a slot value of the item must stand for one value of the document
+throughout, in at least half of these slot values. Where that fails, windows with the item's own slot
+values still count. Verbatim copies satisfy that as they are, re-parameterised
 questions by one consistent substitution; look-alikes by chance don't.
 
 Everything is a DataFrame or SQL operation; no Python runs on the executors. A document's
 windows are hashed where it is read; only ids and hashes that hit go further.
 
 Cases: null and empty texts and items never match; an item shorter than a window is one
-window, matched by its own length; repeated rows of a document count once; rows with one
+window, matched by its own length anywhere in a document; repeated rows of a document count once; rows with one
 id are one document; null ids are kept by ``drop_contaminated`` and never reported; empty tables
 give an empty result or the documents as they are; other columns are ignored or kept.
 """
@@ -86,10 +87,14 @@ def contaminated(
     known = stored(benchmark_windows(items, size, item_col, item_text_col), "benchmark-windows")
     tokens = texts.select("id", words(template(F.col("text"))).alias("tokens"))
     own = tokens.select("id", F.posexplode(windows(F.col("tokens"), size)).alias("at", "h"))
+    item_words = F.size(words(template(F.col(item_text_col))))
+    for short, in items.select(item_words).filter(item_words.between(1, size - 1)).distinct().collect():
+        longer = tokens.filter(F.size("tokens") > short)  # a document of that length has its one window already
+        own = own.union(longer.select("id", F.posexplode(windows(F.col("tokens"), short)).alias("at", "h")))
     hits = own.join(known, "h").select("id", "item", "item_at", "n", (F.col("at") - F.col("item_at")).alias("shift"))
     # a document that repeats a passage has it at more than one alignment
     found = stored(
-        hits.groupBy("id", "item", "shift").agg(F.countDistinct("item_at").alias("hit"), F.first("n").alias("n")),
+        hits.groupBy("id", "item", "shift").agg(F.collect_set("item_at").alias("places"), F.first("n").alias("n")),
         "template-hits",
     )
     slots = items.select(
@@ -101,16 +106,23 @@ def contaminated(
         lambda x: x["token"].rlike(SLOT),
     ).alias("slots"))
     raw = texts.join(found.select("id").distinct(), "id", "left_semi").select("id", words(F.col("text")).alias("words"))
+    within = lambda s, p: (s["at"] >= p) & (s["at"] < p + size)
+    doc_word = lambda s: F.try_element_at("words", (s["at"] + F.col("shift") + 1).cast("int"))
     aligned = found.join(slots, "item").join(raw, "id").withColumn(
         "pairs",
         F.array_distinct(F.transform(
-            F.filter("slots", lambda s: (s["at"] + F.col("shift") >= 0) & (s["at"] + F.col("shift") < F.size("words"))),
-            lambda s: F.struct(s["value"].alias("item"), F.element_at("words", s["at"] + F.col("shift") + 1).alias("doc")),
+            F.filter("slots", lambda s: F.exists("places", lambda p: within(s, p))),
+            lambda s: F.struct(s["value"].alias("item"), doc_word(s).alias("doc")),
         )),
     )
     values = F.array_distinct(F.transform("pairs", lambda p: p["item"]))
     single = F.size(F.filter(values, lambda v: F.size(F.filter("pairs", lambda p: p["item"] == v)) == 1))
-    judged = aligned.withColumns({"values": F.size(values), "single": single}).filter("2 * single >= values")
+    verbatim = F.filter("places", lambda p: F.forall(
+        "slots", lambda s: ~within(s, p) | s["value"].eqNullSafe(doc_word(s))
+    ))
+    judged = aligned.withColumns({"values": F.size(values), "single": single}).withColumn(
+        "hit", F.size(F.when(F.expr("2 * single >= values"), F.col("places")).otherwise(verbatim))
+    ).filter("hit > 0")
     # repeated rows of a document align alike: they count once
     per_shift = judged.groupBy("id", "item", "shift").agg(
         F.max("hit").alias("hit"), F.max("n").alias("n"), F.max("single").alias("single")

@@ -87,6 +87,18 @@ def test_toxicity_on_given_labels(spark, sf_dir):
     assert (sum(ranks) - n * (n - 1) / 2) / (n * m) > 0.8  # area under the curve
 
 
+def test_a_later_dense_passage_is_a_segment():
+    """Toxic words that came scattered before, or a passage that comes again, take no weight from it."""
+    scores = toxicity.WordScores({w: (3.0, 9.0) for w in ("vile", "nasty", "scornful", "base")})
+    dense = "vile nasty scornful base".split()
+    alone = toxicity.segments_of(dense, scores)
+    assert alone == [(0, 4, 10.0)]
+    scattered = [w for x in dense for w in [x, *["calm"] * 40]]
+    assert toxicity.segments_of(scattered + dense, scores)[-1] == (len(scattered), len(scattered) + 4, 10.0)
+    assert toxicity.segments_of([*dense, *["calm"] * 90, *dense], scores) == [(0, 4, 10.0), (94, 98, 10.0)]
+    assert toxicity.segments_of(["vile"] * 9, scores)[0][2] == 2.5
+
+
 def test_context_probabilities_add_up():
     counts = np.random.default_rng(0).poisson(0.4, (6, 6, 6))
     counts[2] = 0

@@ -3,9 +3,9 @@
 A token is a word or a word's prefix of 3 to 7 letters. Its weight is the log-odds ratio of
 toxic against clean labelled texts under a Dirichlet prior that has the token's counts in all
 documents; weights below ``MIN_Z`` standard errors or twice the drift are dropped. Words score the weight of
-their heaviest token, less a drift, where they are first in a text; all other words score minus the drift, so that passages end. One
+their heaviest token, less a drift, wherever they are; all other words score minus the drift, so that passages end. One
 pass over a text finds all its maximal segments (Ruzzo and Tompa), in time linear in its
-length. Under the null a segment of score S in n words has E-value K n exp(-lambda S):
+length. Inside each segment, repeats of a word score minus the drift, and its best part is its score. Under the null a segment of score S in n words has E-value K n exp(-lambda S):
 lambda solves the moment equation of the word scores in clean texts, K is the likelihood
 estimate from their best segments. A text's evidence is its best and its summed normalised
 scores; a logistic curve fitted on the labelled texts turns that into a score from 0 to 1.
@@ -106,16 +106,8 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
-def segments_of(words: list[str], scores: WordScores) -> list[tuple[int, int, float]]:
-    """Segments in words; runs without a positive score are one step."""
-    points, seen = [], set()
-    for i, s in enumerate(map(scores.__getitem__, words)):
-        # weights come from texts that have the word: its first place has the whole weight
-        if s > 0 and words[i] not in seen:
-            seen.add(words[i])
-            points.append((i, s))
-    if not points:
-        return []
+def joined(points: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
+    """Segments (start, end, score) of places with positive scores; runs between them are one step."""
     steps, starts, last = [], [], -1
     for i, s in points:
         if steps:
@@ -127,6 +119,24 @@ def segments_of(words: list[str], scores: WordScores) -> list[tuple[int, int, fl
     return [(starts[a], starts[b - 1] + 1, s) for a, b, s in maximal_segments(steps)]
 
 
+def segments_of(words: list[str], scores: WordScores) -> list[tuple[int, int, float]]:
+    """Segments in words, by all places; the score of each is the best with its repeats damped.
+
+    Weights come from texts that have a word, so only its first place in a segment has the whole
+    weight; what comes before the segment does not matter.
+    """
+    points = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s > 0]
+    out, k = [], 0
+    for a, b, _ in joined(points):
+        first: dict[str, tuple[int, float]] = {}
+        while k < len(points) and points[k][0] < b:
+            if points[k][0] >= a:
+                first.setdefault(words[points[k][0]], points[k])
+            k += 1
+        out.append((a, b, max(s for _, _, s in joined(list(first.values())))))
+    return out
+
+
 def evidence(model: Model, n: int, found: list[tuple[int, int, float]]) -> list[float]:
     """Best and summed normalised score of the segments, and the length, on log scales."""
     base = math.log(max(model.k * n, 1e-9))

@@ -40,8 +40,3 @@ def fresh(spark):
     from twinshelf.session import scratch_path
 
     return lambda name="table": scratch_path(spark, name)
-
-
-def rows(df, *order):
-    """Rows of a frame as tuples, sorted."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

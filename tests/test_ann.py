@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from test_knn import BY, brute_force, random_rows, table
 from twinshelf.operators import ann, evaluate
 from twinshelf.operators.knn import knn_join

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from twinshelf.operators import knn, small
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.nest import explode_hits, nest_hits

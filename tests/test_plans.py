@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from test_knn import random_rows
 from twinshelf import MatchConfig, export_review, match, prepare_image_side, prepare_text_side
 from twinshelf.operators import evaluate

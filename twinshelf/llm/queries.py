@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from twinshelf.llm import decontamination, exact_dedup, language_id, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
+from twinshelf.llm import (
+    decontamination, exact_dedup, hard_negatives, importance, language_id, packing, simhash,
+    substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc,
+)
 
-MODULES = [decontamination, exact_dedup, language_id, packing, simhash, substring_dedup, suffix_dedup, token_counts, token_files, toxicity]
+MODULES = [
+    decontamination, exact_dedup, hard_negatives, importance, language_id, packing, simhash,
+    substring_dedup, suffix_dedup, token_counts, token_files, toxicity, warc,
+]
 
 QUERIES: list[Callable] = [query for module in MODULES for query in module.QUERIES]
 ORACLES: dict[str, str] = {

@@ -10,7 +10,7 @@ from twinshelf.checks.queries import QUERIES as FUNCTIONS
 # those of the training-data operators are in tests/llm
 QUERIES = {f.__name__: queries()[f.__name__] for f in FUNCTIONS}
 # k-means and principal components have no SQL; see test_ann.py
-WITHOUT_SQL = {"ivf_cells", "knn_ivf", "knn_ivf_recall", "pca_knn"}
+WITHOUT_SQL = {"ivf_cells", "pca_knn"}
 
 
 @pytest.fixture(scope="module")

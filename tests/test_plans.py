@@ -335,7 +335,10 @@ def test_match_by_text_end_to_end(spark):
 @pytest.mark.parametrize("approximate", [
     dict(method="cells", n_cells=4, nprobe=4),
     dict(method="cells", n_cells=4, nprobe=1),
+    dict(method="cells"),
+    dict(method="bounded", nprobe=4),
     dict(method="planes", vector_width=8, plane_tables=2, plane_bits=2),
+    dict(method="planes", vector_width=8),
 ])
 def test_match_by_approximate_methods(spark, fresh, approximate):
     data = random_rows(5, {"a": 30, "b": 9, "one": 1})
@@ -359,6 +362,8 @@ def test_config_is_checked():
         MatchConfig(method="guess")
     with pytest.raises(ValueError, match="vector_width"):
         MatchConfig(method="planes")
+    with pytest.raises(ValueError, match="target_recall"):
+        MatchConfig(target_recall=0.0)
     with pytest.raises(ValueError):
         MatchConfig(match_by="sound")
     with pytest.raises(ValueError):

@@ -53,22 +53,37 @@ COSINE = _knn(
     f"FROM (SELECT *, {_STRETCHED} AS stretched FROM embeddings)", 5, category=None,
 ) + "SELECT * FROM hits"
 
-# Row order of the hyperplane signs follows the place in the vector.
-LSH_HITS = f"""
+def _lsh(tables: int, bits: int, probes: int, category: str) -> str:
+    """CTEs up to ``lsh``: in each table a query probes the buckets of least cost, the sum of
+    squared margins of the bits in which they differ from its own.
+
+    Row order of the hyperplane signs follows the place in the vector.
+    """
+    return f"""
     WITH planes AS (
         SELECT t, b, list(CASE WHEN substr(md5(t || ':' || b || ':' || i), 1, 1) < '8'
                                THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END ORDER BY i) AS plane
-        FROM range(4) t(t), range(4) b(b), range(64) i(i) GROUP BY t, b
+        FROM range({tables}) t(t), range({bits}) b(b), range(64) i(i) GROUP BY t, b
     ),
-    v AS (SELECT vec_id AS id, label AS category, embedding::DOUBLE[] AS vec FROM embeddings),
+    v AS (SELECT vec_id AS id, {category} AS category, embedding::DOUBLE[] AS vec FROM embeddings),
     buckets AS (
-        SELECT id, category, t,
-               sum(CASE WHEN list_dot_product(vec, plane) > 0 THEN 1 << b ELSE 0 END) AS bucket
-        FROM v, planes GROUP BY id, category, t
+        SELECT id, category, t, sum(CASE WHEN side > 0 THEN 1 << b ELSE 0 END)::BIGINT AS bucket,
+               list(side * side ORDER BY b) AS margins
+        FROM (SELECT id, category, t, b, list_dot_product(vec, plane) AS side FROM v, planes)
+        GROUP BY id, category, t
+    ),
+    costs AS (
+        SELECT id, category, t, code, list_sum([
+            margins[b + 1] * ((xor(bucket, code) >> b) & 1) FOR b IN range({bits})]) AS cost
+        FROM buckets, range({1 << bits}) c(code)
+    ),
+    probed AS (
+        SELECT id, category, t, code FROM costs
+        QUALIFY row_number() OVER (PARTITION BY id, category, t ORDER BY cost) <= {probes}
     ),
     near AS (
         SELECT DISTINCT q.category, q.id AS q_id, d.id AS db_id
-        FROM buckets q JOIN buckets d USING (category, t, bucket)
+        FROM probed q JOIN buckets d ON q.category = d.category AND q.t = d.t AND q.code = d.bucket
     ),
     enough AS (
         SELECT q_id, category
@@ -94,7 +109,11 @@ LSH_HITS = f"""
             FROM scored
         ) WHERE rank <= 10
     )
-"""
+    """
+
+
+LSH_HITS = _lsh(6, 8, 60, "label")
+LSH_GLOBAL = _lsh(6, 10, 130, "0")
 
 
 def _half_ctes(first: int, last: int, name: str) -> str:
@@ -329,7 +348,7 @@ _STORED_WHOLE = _knn(
     SELECT category, q_id AS q_item_id, db_id AS db_item_id, score AS score_text_embed, rank FROM hits
 """
 
-MATCHED_TEXT = HALVES + """
+MATCHED_TEXT = f"WITH {_half_ctes(1, 64, 'text')}" + """
     SELECT category, q_id AS q_item_id, 'item ' || q_id AS q_item_name,
            category AS q_category, db_id AS db_item_id, 'item ' || db_id AS db_item_name,
            category AS db_category, score AS score_text_embed, rank
@@ -355,7 +374,12 @@ ORACLES = {
         SELECT count(*) AS n_rows, max(len(embedding)) AS dim,
                CAST(sum(len(embedding)) * 4 AS BIGINT) AS n_bytes FROM embeddings""",
     "ivf_reused": f"SELECT {_ONE_ROW} AS n_rows",
+    "knn_ivf": GLOBAL,
     "knn_ivf_all_cells": EXACT,
+    "knn_ivf_bounded": EXACT,
+    "knn_ivf_recall": f"SELECT count(*) AS n_exact, count(*) AS n_found, 1.0::DOUBLE AS recall FROM ({GLOBAL})",
+    "knn_ivf_tuned": f"SELECT count(*) AS n_exact, true AS reached FROM ({GLOBAL})",
+    "knn_lsh_global": LSH_GLOBAL + "SELECT q_id, db_id, score, rank FROM lsh",
     "knn_lsh": LSH_HITS + "SELECT * FROM lsh",
     "knn_lsh_recall": LSH_HITS + f"""
         SELECT count(*) AS n_exact, count(l.db_id) AS n_found,

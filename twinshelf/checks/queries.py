@@ -130,8 +130,23 @@ def ivf_reused(spark: SparkSession, d: str) -> DataFrame:
 
 
 def knn_ivf(spark: SparkSession, d: str) -> DataFrame:
+    """Eight cells first, then all whose bound reaches the k-th score: nothing is missed."""
     q = s.vectors(spark, d, "q")
-    return ann.knn_cells(q, _cells(spark, d), k=s.K, nprobe=8, **VECS)
+    return ann.knn_cells(q, _cells(spark, d), k=s.K, nprobe=8, exact=True, **VECS)
+
+
+def knn_ivf_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """The same inside categories, one cell first; the index chooses its number of cells."""
+    q, db = sides(spark, d)
+    index = ann.build_cells(db, scratch_path(spark, "cells"), vec="db_vec")
+    return ann.knn_cells(q, index, k=s.K, nprobe=1, exact=True, by=LABEL, min_group_size=2, **VECS)
+
+
+def knn_ivf_tuned(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a number of probes chosen from sampled queries finds nine of ten hits of all queries."""
+    found = ann.knn_cells(s.vectors(spark, d, "q"), _cells(spark, d), k=s.K, target_recall=0.95, **VECS)
+    recall = evaluate.recall(found, knn_global(spark, d), ["q_id", "db_id"])
+    return recall.select("n_exact", (F.col("recall") >= 0.9).alias("reached"))
 
 
 def knn_ivf_all_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -147,7 +162,13 @@ def knn_ivf_recall(spark: SparkSession, d: str) -> DataFrame:
 
 def knn_lsh(spark: SparkSession, d: str) -> DataFrame:
     q, db = sides(spark, d)
-    return ann.knn_planes(q, db, k=s.K, width=64, tables=4, bits=4, by=LABEL, **VECS)
+    return ann.knn_planes(q, db, k=s.K, width=64, tables=6, bits=8, probes=60, by=LABEL, **VECS)
+
+
+def knn_lsh_global(spark: SparkSession, d: str) -> DataFrame:
+    """Without categories."""
+    q, db = s.vectors(spark, d, "q"), s.vectors(spark, d, "db")
+    return ann.knn_planes(q, db, k=s.K, width=64, tables=6, bits=10, probes=130, **VECS)
 
 
 def knn_lsh_recall(spark: SparkSession, d: str) -> DataFrame:
@@ -164,12 +185,13 @@ def _half_match(spark: SparkSession, d: str, half: str) -> DataFrame:
 
 
 def match_by_text(spark: SparkSession, d: str) -> DataFrame:
-    return _half_match(spark, d, "text")
+    q, db = (s.named_vectors(spark, d, side, "text") for side in ("q", "db"))
+    return match.match(q, db, MatchConfig())
 
 
 def match_by_cells(spark: SparkSession, d: str) -> DataFrame:
     """The same through a stored index, all of whose cells are probed."""
-    q, db = s.half_vectors(spark, d, "q", "text"), s.half_vectors(spark, d, "db", "text")
+    q, db = (s.named_vectors(spark, d, side, "text") for side in ("q", "db"))
     config = MatchConfig(
         method="cells", n_cells=8, nprobe=8, index_path=scratch_path(spark, "index")
     )
@@ -663,7 +685,8 @@ def stage_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = [
     knn_exact_by_category, knn_small_blocks, knn_global, knn_self, knn_exclude_self, knn_cosine,
     knn_payload, knn_nested, exploded_hits, ivf_cells, ivf_totals, ivf_reused, knn_ivf,
-    knn_ivf_all_cells, knn_ivf_recall, knn_lsh, knn_lsh_recall, match_by_text, match_by_cells, rerank_fusion,
+    knn_ivf_all_cells, knn_ivf_bounded, knn_ivf_recall, knn_ivf_tuned, knn_lsh, knn_lsh_global,
+    knn_lsh_recall, match_by_text, match_by_cells, rerank_fusion,
     rerank_one_modality, rerank_written, category_union, encoder_hits, encoder_overlap,
     category_list, category_guard, one_category, clean_text, truncate_tokens, prepare_side,
     row_index, asset_manifest_join, image_scan, image_embed, match_by_image, first_image_url,

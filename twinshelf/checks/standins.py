@@ -44,12 +44,18 @@ def half_vectors(spark: SparkSession, sf_dir: str, side: str, half: str) -> Data
 
     Elements 1–32 stand for text, 33–64 for an image.
     """
-    start = {"text": 1, "image": 33}[half]
+    return named_vectors(spark, sf_dir, side, half, {"text": 1, "image": 33}[half], 32)
+
+
+def named_vectors(
+    spark: SparkSession, sf_dir: str, side: str, kind: str, start: int = 1, length: int = 64,
+) -> DataFrame:
+    """A match input whose vector of ``kind`` is a part of the embedding, unit length again."""
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias(f"{side}_item_id"),
         F.concat(F.lit("item "), F.col("vec_id").cast("string")).alias(f"{side}_item_name"),
         F.col("label").cast("string").alias(f"{side}_category"),
-        l2_normalize(F.slice("embedding", start, 32)).alias(f"{half}_embed"),
+        l2_normalize(F.slice("embedding", start, length)).alias(f"{kind}_embed"),
     )
 
 

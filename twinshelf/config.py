@@ -30,20 +30,27 @@ class MatchConfig:
     block_rows: int = 16_384
     encoder: str | None = None
     exclude_self: bool = False
-    # "exact", or approximate by the nearest k-means "cells" or by hyperplane "planes"
+    # "exact"; "bounded", as exact, but cells that can hold no hit are not read; or approximate
+    # by the nearest k-means "cells" or by hyperplane "planes"
     method: str = "exact"
     # Where the cells are kept; an index that is already there is used as it is.
     index_path: str | None = None
-    n_cells: int = 1024
-    nprobe: int = 16
-    plane_tables: int = 4
-    plane_bits: int = 8
+    # What is None is chosen from the data: cells from the number of rows, the rest so that
+    # sampled queries find this share of their exact hits.
+    target_recall: float = 0.95
+    n_cells: int | None = None
+    nprobe: int | None = None
+    plane_tables: int | None = None
+    plane_bits: int | None = None
+    plane_probes: int | None = None
     # Vector length, needed for hyperplanes.
     vector_width: int | None = None
 
     def __post_init__(self) -> None:
-        if self.method not in ("exact", "cells", "planes"):
-            raise ValueError(f"method must be exact, cells or planes, not {self.method!r}")
+        if self.method not in ("exact", "bounded", "cells", "planes"):
+            raise ValueError(f"method must be exact, bounded, cells or planes, not {self.method!r}")
+        if not 0 < self.target_recall <= 1:
+            raise ValueError("target_recall must be above 0 and at most 1")
         if self.method == "planes" and self.vector_width is None:
             raise ValueError("matching by planes needs vector_width")
         if self.match_by not in ("text", "image"):

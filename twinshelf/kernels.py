@@ -185,6 +185,92 @@ class Scorer:
         return found.fill_null(-1).to_numpy(zero_copy_only=False)
 
 
+def least_sums(values: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` least sums of subsets of each row, in order, all of them if there are fewer.
+
+    No value is negative, so the least sums with one value more are among the least
+    ones without it, each with and without the new value.
+    """
+    sums = np.zeros((len(values), 1))
+    for column in values.T:
+        sums = np.concatenate([sums, sums + column[:, None]], axis=1)
+        if sums.shape[1] > n:
+            sums = np.partition(sums, n - 1, axis=1)[:, :n]
+    return np.sort(sums, axis=1)
+
+
+@dataclass(frozen=True)
+class ProbeScorer(Scorer):
+    """Scores only rows in buckets that the query probes.
+
+    The database side has a bucket's ``_code``, the query side ``_limit``, the largest cost of a
+    bucket that it probes; the key column ``table`` tells which of the ``planes`` apply.
+    """
+
+    planes: np.ndarray = None
+    table: str = ""
+
+    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+        q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
+        if q.num_rows == 0 or db.num_rows == 0:
+            return self.schema.empty_table()
+        db = db.take(pc.sort_indices(db, sort_keys=[("_code", "ascending"), ("_id", "ascending")]))
+        queries, rows = to_matrix(q["_vec"]), to_matrix(db["_vec"])
+        planes = self.planes[q[self.table][0].as_py()]
+        code = db["_code"].to_numpy()
+        firsts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        sizes = np.diff(np.r_[firsts, len(code)])
+        buckets = ((code[firsts][:, None] >> np.arange(len(planes))) & 1).astype(np.float64)
+        limits = q["_limit"].to_numpy()
+        own = self.own_columns(q, db) if self.exclude_self else np.full(q.num_rows, -1)
+        place = pc.rank(db["_id"], sort_keys="ascending", tiebreaker="first").to_numpy().astype(np.int64)
+        parts, step = [], max(1, SCORE_BUFFER // max(len(firsts), 1))
+        for at in range(0, len(queries), step):
+            some = queries[at:at + step]
+            sides = some @ planes.T
+            positive, margins = sides > 0, sides**2
+            cost = (margins * positive).sum(axis=1)[:, None] + (margins * (1 - 2 * positive)) @ buckets.T
+            row, bucket = np.nonzero(cost <= limits[at:at + step, None])
+            for lo, hi in self.in_parts(sizes[bucket], row):
+                parts.append(self.best_pairs(some, rows, row[lo:hi], firsts[bucket[lo:hi]], sizes[bucket[lo:hi]],
+                                             own[at:at + step], place, at))
+        row, col, value, rank = (np.concatenate(p) for p in zip(*parts)) if parts else [np.empty(0, np.int64)] * 4
+        columns = [q[name].take(pa.array(row)) for name in self.keys]
+        columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
+                    pa.array(value, pa.float64()), pa.array(rank.astype(np.int32))]
+        return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
+
+    @staticmethod
+    def in_parts(sizes: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Stretches of whole rows with about ``SCORE_BUFFER`` / 8 pairs."""
+        ends = np.cumsum(sizes)
+        lo = 0
+        while lo < len(row):
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + SCORE_BUFFER // 8, side="right")))
+            hi = int(np.searchsorted(row, row[hi - 1], side="right"))
+            yield lo, hi
+            lo = hi
+
+    def best_pairs(self, queries, rows, row, first, size, own, place, at) -> tuple[np.ndarray, ...]:
+        """The k best of the pairs given as runs of database rows."""
+        ends = np.cumsum(size)
+        pair = np.repeat(row, size)
+        col = np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(first, size)
+        scores = np.concatenate([
+            np.einsum("ij,ij->i", queries[pair[i:i + SCAN_ROWS]], rows[col[i:i + SCAN_ROWS]])
+            for i in range(0, len(pair), SCAN_ROWS)
+        ])
+        # a score that is no number is no hit, nor is the row itself where that is barred
+        fit = (scores > -np.inf) & (col != own[pair])
+        pair, col, value = pair[fit], col[fit], rounded(scores[fit])
+        order = np.lexsort((place[col], -value, pair))
+        pair, col, value = pair[order], col[order], value[order]
+        rank = np.arange(len(pair)) - np.searchsorted(pair, pair) + 1
+        best = rank <= self.k
+        return pair[best] + at, col[best], value[best], rank[best]
+
+
 def vectors_to_arrow(matrix: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
     """Unit float32 rows; zero and invalid rows become null."""
     norms = np.linalg.norm(matrix.astype(np.float64), axis=1)

@@ -12,7 +12,7 @@ query are merged by rank.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -25,9 +25,12 @@ from twinshelf.kernels import Scorer
 from twinshelf.operators.rows import group_sizes
 from twinshelf.operators.small import Small, measured
 
-# A side of at most so many rows (and one block) is sent to every task: 64 MB of vectors
-# of 1,024 floats, whatever block size is asked for.
+# A side of at most so many rows (and one block) is sent to every task, whatever block size
+# is asked for, if its vectors take no more bytes than that.
 HELD_ROWS = 16_384
+HELD_BYTES = 64 << 20
+# With so few rows the width of the vectors is not looked at.
+ROWS_SURELY_HELD = 1_024
 # Group sizes too large to broadcast are joined by shuffle, each group spread over salts:
 # one for so many rows of the larger side, within these bounds.
 ROWS_PER_SALT = 1_000_000
@@ -54,13 +57,17 @@ def knn_join(
     block_rows: int = 16_384,
     exclude_self: bool = False,
     score: str = "score",
+    q_more: Sequence[str] = (),
+    db_more: Sequence[str] = (),
+    scorer: Callable[..., Scorer] = Scorer,
 ) -> DataFrame:
     """For each query row, its k best database rows in the same group.
 
     ``by`` lists ``(query column, database column, output column)``; without it
     all rows form one group.  Rows with a null in group, id or vector have no
     hits.  Ids are unique inside a group.  Ranking is by rounded score, then by
-    database id; a group with fewer than k rows returns them all.
+    database id; a group with fewer than k rows returns them all.  Another ``scorer``
+    may leave pairs out; it gets the columns ``q_more`` and ``db_more`` as well.
 
     Returns the group columns, ``q_id``, ``db_id``, ``score`` and ``rank``.
     """
@@ -68,12 +75,12 @@ def knn_join(
     require_columns(db, [c for _, c, _ in by] + [db_id, db_vec], "database side")
     names = [name for _, _, name in by]
 
-    def side(df: DataFrame, keys: Sequence[str], row_id: str, vec: str) -> DataFrame:
+    def side(df: DataFrame, keys: Sequence[str], row_id: str, vec: str, more: Sequence[str]) -> DataFrame:
         groups = [F.col(c).alias(n) for c, n in zip(keys, names)]
-        return df.select(*groups, F.col(row_id).alias("_id"), F.col(vec).alias("_vec"))
+        return df.select(*groups, F.col(row_id).alias("_id"), F.col(vec).alias("_vec"), *more)
 
-    q_rows = side(q, [c for c, _, _ in by], q_id, q_vec)
-    db_rows = side(db, [c for _, c, _ in by], db_id, db_vec)
+    q_rows = side(q, [c for c, _, _ in by], q_id, q_vec, q_more)
+    db_rows = side(db, [c for _, c, _ in by], db_id, db_vec, db_more)
 
     schema = T.StructType([
         *[T.StructField(n, q_rows.schema[n].dataType) for n in names],
@@ -82,7 +89,7 @@ def knn_join(
         T.StructField(score, T.DoubleType()),
         T.StructField("rank", T.IntegerType()),
     ])
-    scorer = Scorer(names, k, exclude_self, to_arrow_schema(schema))
+    score_cells = scorer(names, k, exclude_self, to_arrow_schema(schema))
 
     sizes, total = group_totals(
         group_sizes(q_rows, db_rows, names, names, names, min_group_size), block_rows
@@ -92,17 +99,25 @@ def knn_join(
     q_rows, db_rows = (
         rows.where(F.col("_id").isNotNull() & F.lit(total.cells > 0)) for rows in (q_rows, db_rows)
     )
-    if total.n_db <= min(block_rows, HELD_ROWS):
+    if total.n_db <= min(block_rows, HELD_ROWS) and fits_tasks(db_rows, total.n_db):
         # every query meets all its rows in one task, so ranks are final
-        return scan_against(q_rows, db_rows, sizes, total, scorer, schema, held_is_db=True)
-    if total.n_q <= min(block_rows, HELD_ROWS):
-        hits = scan_against(db_rows, q_rows, sizes, total, scorer, schema, held_is_db=False)
+        return scan_against(q_rows, db_rows, sizes, total, score_cells, schema, held_is_db=True)
+    if total.n_q <= min(block_rows, HELD_ROWS) and fits_tasks(q_rows, total.n_q):
+        hits = scan_against(db_rows, q_rows, sizes, total, score_cells, schema, held_is_db=False)
         return top_k(hits, [*names, q_id], k, score, db_id)
-    hits = score_grid(q_rows, db_rows, sizes, total, scorer, schema, block_rows)
+    hits = score_grid(q_rows, db_rows, sizes, total, score_cells, schema, block_rows)
     # with one database block per group the rank inside the cell is final
     return top_k(hits, [*names, q_id], k, score, db_id) if total.gd > 1 else hits
 
 
+def fits_tasks(rows: DataFrame, n: int) -> bool:
+    """Whether ``n`` vectors as wide as the first one take few enough bytes."""
+    if n <= ROWS_SURELY_HELD:
+        return True
+    first = rows.select(F.size("_vec")).first()
+    return 4 * n * max(first[0] or 0, 1) <= HELD_BYTES if first else True
+
+
 @dataclass(frozen=True)
 class Totals:
     """Rows, cells and pairs of all groups; ``gd`` is the most blocks of a group."""
@@ -185,7 +200,7 @@ def score_grid(
         rows = (
             rows.withColumn(own, F.pmod(F.xxhash64("_id"), F.col(own_blocks)).cast("int"))
             .withColumn(other, F.explode(copies))
-            .select(*cell, "_id", "_vec")
+            .drop("gq", "gd", "_salt")
         )
         return rows.repartition(tasks, *cell) if tasks > 1 else rows
 

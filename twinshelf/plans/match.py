@@ -81,13 +81,15 @@ def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
     if config.method != "exact":
         # these look at the vectors several times: the encoder must not run as often
         q, db = cut(q), cut(db)
-    if config.method == "cells":
+    if config.method in ("cells", "bounded"):
         path = config.index_path or scratch_path(db.sparkSession, "cells")
         index = build_cells(db, path, vec=config.vector_col, n_cells=config.n_cells)
-        return knn_cells(q, index, nprobe=config.nprobe, **common)
+        return knn_cells(q, index, nprobe=config.nprobe, exact=config.method == "bounded",
+                         target_recall=config.target_recall, **common)
     if config.method == "planes":
         return knn_planes(q, db, width=config.vector_width, tables=config.plane_tables,
-                          bits=config.plane_bits, **common)
+                          bits=config.plane_bits, probes=config.plane_probes,
+                          target_recall=config.target_recall, **common)
     return knn_join(q, db, **common)
 
 

@@ -538,6 +538,7 @@ ORACLES = {
         SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim,
                unnest(embedding)::DOUBLE AS value
         FROM embeddings""",
+    "stream_match_db": _knn(EMBEDDINGS, 10) + "SELECT * FROM hits",
     "stream_match": _knn(EMBEDDINGS, 10) + "SELECT * FROM hits",
     "peek_head": "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 5",
     "peek_tail": "SELECT vec_id, label FROM embeddings ORDER BY vec_id DESC LIMIT 5",

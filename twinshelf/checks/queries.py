@@ -17,10 +17,11 @@ from twinshelf.operators.encode import (
 )
 from twinshelf.operators.knn import knn_join, top_k, with_payload
 from twinshelf.operators.nest import explode_hits, nest_hits
-from twinshelf.plans import coverage, export, extract, match, prepare, rerank
+from twinshelf.plans import coverage, export, extract, ledger, match, prepare, rerank
 from twinshelf.session import cut, scratch_path
 from twinshelf.sources import images, tables
 from twinshelf.sources import vectors as vector_tables
+from twinshelf.streaming.database_stream import match_database_stream, read_state
 from twinshelf.streaming.match_stream import match_stream
 
 LABEL = [("q_label", "db_label", "category")]
@@ -577,7 +578,7 @@ def match_resume(spark: SparkSession, d: str) -> DataFrame:
 
 
 def match_resume_queries(spark: SparkSession, d: str) -> DataFrame:
-    """The same by query row: rows that have hits are not matched again."""
+    """The same by query row: rows that were matched, with or without hits, are not matched again."""
     return _resumed(spark, d, "query")
 
 
@@ -591,9 +592,8 @@ def _resumed(spark: SparkSession, d: str, resume: str) -> DataFrame:
     spark.read.parquet(paths["q"]).where("q_category < '1.5'").write.parquet(some)
     for path in (some, paths["q"], paths["q"]):
         match.run_match(spark, path, paths["db"], out, config, resume=resume)
-    return tables.read_by_category(spark, out).select(
-        "category", "q_item_id", "db_item_id", "score_text_embed", "rank"
-    )
+    read = ledger.read_matched if resume == "query" else tables.read_by_category
+    return read(spark, out).select("category", "q_item_id", "db_item_id", "score_text_embed", "rank")
 
 
 def batch_assign(spark: SparkSession, d: str) -> DataFrame:
@@ -644,6 +644,20 @@ def stream_match(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch_id")
 
 
+def stream_match_db(spark: SparkSession, d: str) -> DataFrame:
+    """Stored queries, and database vectors that arrive in several batches."""
+    folder, state = scratch_path(spark, "arrivals"), scratch_path(spark, "state")
+    db = s.vectors(spark, d, "db")
+    db.repartition(6, "db_id").write.parquet(folder)
+    q = cut(s.vectors(spark, d, "q"))
+    arriving = spark.readStream.schema(db.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    match_database_stream(
+        arriving, lambda new: knn_join(q, new, k=s.K, by=LABEL, **VECS), state, scratch_path(spark, "progress"),
+        k=s.K, query=["category", "q_id"],
+    ).awaitTermination()
+    return read_state(spark, state).select("category", "q_id", "db_id", "score", "rank")
+
+
 def peek_head(spark: SparkSession, d: str) -> DataFrame:
     return rows.first_rows(s.table(spark, d, "embeddings").select("vec_id", "label"), ["vec_id"], 5)
 
@@ -695,6 +709,6 @@ QUERIES = [
     coverage_stats_l3, coverage_stats_l5, coverage_grouping_sets, brand_list,
     ratio_to_min_report, text_hash_vectors, text_knn, match_names, pca_knn, pca_rotation, ivf_facts,
     embed_once_documents, match_resume, match_resume_queries, batch_assign, shard_concat,
-    overwrite_target, stream_match, peek_head, peek_tail, format_score, round_scores,
+    overwrite_target, stream_match, stream_match_db, peek_head, peek_tail, format_score, round_scores,
     stage_counts,
 ]

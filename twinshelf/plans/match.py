@@ -13,10 +13,11 @@ from twinshelf.operators.ann import build_cells, knn_cells, knn_planes
 from twinshelf.operators.encode import embed, embed_once
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.rows import guard_groups
-from twinshelf.plans.resume import pending_categories, pending_queries
+from twinshelf.plans.ledger import Ledger, config_key
+from twinshelf.plans.resume import pending_categories
 from twinshelf.session import cut, scratch_path
 from twinshelf.sources.images import read_images
-from twinshelf.sources.tables import append_by_category, write_by_category
+from twinshelf.sources.tables import write_by_category
 
 
 def with_vectors(
@@ -138,26 +139,27 @@ def run_match(
 ) -> dict[str, float]:
     """Read both sides, match, and write one partition per category.
 
-    ``resume="category"`` skips categories that already have a result;
-    ``resume="query"`` skips query rows that have one, and appends.
+    ``resume="category"`` skips categories that already have a result; ``resume="query"`` skips
+    query rows that a run with the same settings has matched, whether they have hits or
+    not, and adds the hits of the others; read them with :func:`read_matched`.
     Returns the elapsed seconds.
     """
     start = time.perf_counter()
     q, db = spark.read.parquet(path_q), spark.read.parquet(path_db)
     q_cat, db_cat = config.side(QUERY, config.category), config.side(DATABASE, config.category)
     images = read_images(spark, image_folder) if image_folder else None
-    if resume == "category":
-        q = pending_categories(q, q_cat, out)
-    elif resume == "query":
-        # whether a category is large enough must not depend on what is left of it
-        q, db = guard_groups(q, db, [(q_cat, db_cat, "category")], config.min_group_size)
-        config = replace(config, min_group_size=1)
-        q = pending_queries(q, config.side(QUERY, config.id_col), q_cat, out)
-    else:
+    if resume not in ("category", "query"):
         raise ValueError(f"resume must be 'category' or 'query', not {resume!r}")
-    hits = match(q, db, config, images=images, vector_tables=vector_tables)
     if resume == "category":
+        hits = match(pending_categories(q, q_cat, out), db, config, images=images, vector_tables=vector_tables)
         write_by_category(hits, out)
     else:
-        append_by_category(hits, out)
+        key = config_key(config, path_db)
+        # whether a category is large enough must not depend on what is left of it
+        q, db = guard_groups(q, db, [(q_cat, db_cat, "category")], config.min_group_size)
+        config = replace(config, min_group_size=1)
+        Ledger(spark, out).run(
+            q, key, config.side(QUERY, config.id_col), q_cat,
+            lambda left: match(left, db, config, images=images, vector_tables=vector_tables), write_by_category,
+        )
     return {f"time_perf_{config.match_by}": time.perf_counter() - start}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twinshelf.config import DATABASE, QUERY, MatchConfig, require_columns
 from twinshelf.operators.fuse import fuse
+from twinshelf.plans.ledger import read_matched
 from twinshelf.plans.resume import pending_categories
 from twinshelf.sources.tables import read_by_category, write_by_category
 
@@ -33,12 +34,18 @@ def all_categories(text: DataFrame, image: DataFrame) -> DataFrame:
     return text.select("category").union(image.select("category")).distinct()
 
 
+def read_results(spark: SparkSession, path: str) -> DataFrame | None:
+    """Hits of finished runs, whether they were resumed by query or by category."""
+    matched = read_matched(spark, path)
+    return read_by_category(spark, path) if matched is None else matched
+
+
 def run_rerank(
     spark: SparkSession, path_text: str, path_image: str, out: str,
     config: MatchConfig = MatchConfig(),
 ) -> None:
     """Fuse two result tables, one partition per category, skipping finished ones."""
-    text, image = read_by_category(spark, path_text), read_by_category(spark, path_image)
+    text, image = (read_results(spark, path) for path in (path_text, path_image))
     if text is None and image is None:
         raise ValueError(f"no matches at {path_text} or {path_image}")
     if text is None:

@@ -43,6 +43,7 @@ TUNING_QUERIES = 200
 # A score is rounded; a row that rounds to the k-th score may be this much below it.
 ROUNDING, COARSE_ROUNDING = 1.1e-5, 0.11
 MOST_TABLES, MOST_BITS = 16, 20
+CENTROIDS = "cell int, centroid array<double>, n_cells int"
 # Cells that a query goes on to at once; every further step takes four times as many.
 FIRST_STEP = 4
 
@@ -175,7 +176,7 @@ class CellIndex:
         return out
 
     def centroids(self) -> np.ndarray:
-        stored = self.spark.read.parquet(f"{self.path}/centroids")
+        stored = self.spark.read.schema(CENTROIDS).parquet(f"{self.path}/centroids")
         return np.array([r["centroid"] for r in stored.orderBy("cell").collect()])
 
 
@@ -184,8 +185,8 @@ def build_cells(
 ) -> CellIndex:
     """Write ``db`` by cell, or bring what an earlier run has left there up to date.
 
-    The centroids are written before the rows and read back, so a run that stopped in
-    between continues with the same cells.  Rows of ``db`` that the index lacks are added;
+    The centroids are written before the rows, so a run that stopped in between continues with
+    the same cells.  Rows of ``db`` that the index lacks are added;
     if it has rows that are no longer in ``db``, all rows are assigned again.  An index
     with another number of cells is refused; without a number, a stored index keeps its own.
     """
@@ -194,13 +195,17 @@ def build_cells(
     if not exists(spark, f"{path}/centroids"):
         n_cells = cells_for(db, vec) if n_cells is None else n_cells
         centroids = train_centroids(db, vec, n_cells, max_iter, seed)
-        rows = [(i, [float(x) for x in c], n_cells) for i, c in enumerate(centroids)]
-        table = spark.createDataFrame(rows, "cell int, centroid array<double>, n_cells int")
-        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
-    built_for = spark.read.parquet(f"{path}/centroids").first()["n_cells"]
-    if n_cells is not None and built_for != n_cells:
-        raise ValueError(f"the index at {path} has {built_for} cells, not {n_cells}")
-    placed = place_in_cells(index.centroids())(F.col(vec))
+        table = pa.table({
+            "cell": pa.array(range(len(centroids)), pa.int32()), "centroid": pa.array(centroids.tolist(), pa.list_(pa.float64())),
+            "n_cells": pa.array([n_cells] * len(centroids), pa.int32()),
+        })
+        spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    else:
+        stored = spark.read.schema(CENTROIDS).parquet(f"{path}/centroids")
+        built_for = stored.first()["n_cells"]
+        if n_cells is not None and built_for != n_cells:
+            raise ValueError(f"the index at {path} has {built_for} cells, not {n_cells}")
+        centroids = index.centroids()
     # the key tells rows apart by all their columns; rows without a vector have no cell
     keyed = db.where(F.col(vec).isNotNull()).withColumn("_row_key", F.xxhash64(*db.columns))
     mode = "overwrite"
@@ -214,6 +219,7 @@ def build_cells(
             return index
         if stored.join(keyed.select("_row_key"), "_row_key", "left_anti").isEmpty():
             keyed, mode = cut(keyed.join(stored, "_row_key", "left_anti")), "append"
+    placed = place_in_cells(centroids)(F.col(vec))
     assigned = keyed.withColumn("_placed", placed).where(F.col("_placed").isNotNull())
     assigned = assigned.select(*keyed.columns, "_placed.cell", "_placed._far")
     # rebalance: one file per small cell, several for a large one

@@ -308,27 +308,31 @@ def confirmed(found: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     class. So there are fewer links than nodes in a group, and none is lost.
     """
 
+    def linked(fps: list[int], known: list[int], more: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+        parent = known_classes(known)
+        a, b = [], []
+        for i, near in near_places(more, most_bits) if len(fps) > 1 else ():
+            for j in near:
+                if root_of(parent, i) != root_of(parent, j) and jaccard(sets[i], sets[j], similarity) >= similarity:
+                    parent[root_of(parent, i)] = root_of(parent, j)
+                    a.append(fps[i])
+                    b.append(fps[j])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches):
-            fps, known, more, sets = [], [], [], []
-            for _, fp, k, m, body in rows:
-                own = np.unique(shingle_hashes(body, shingle))
+        key, held = None, ([], [], [], [])
+        for batch in batches:
+            for *row, body in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(4)):
+                if row[0] != key:
+                    yield linked(*held)
+                    key, held = row[0], ([], [], [], [])
+                # a text is let go as soon as its set of shingles is known
+                own = np.unique(shingle_hashes(body.as_py(), shingle))
                 # rows of one id may have different texts; each node has one set
-                if set_hash(own) == fp & 0xFFFFFFFFFFFFFFFF and fp not in fps[-1:]:
-                    fps.append(fp)
-                    known.append(k)
-                    more.append(m)
-                    sets.append(own)
-            parent = known_classes(known)
-            a, b = [], []
-            for i, near in near_places(more, most_bits):
-                for j in near:
-                    if root_of(parent, i) != root_of(parent, j) and jaccard(sets[i], sets[j], similarity) >= similarity:
-                        parent[root_of(parent, i)] = root_of(parent, j)
-                        a.append(fps[i])
-                        b.append(fps[j])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                if set_hash(own) == row[1] & 0xFFFFFFFFFFFFFFFF and row[1] not in held[0][-1:]:
+                    for column, value in zip(held, (*row[1:], own)):
+                        column.append(value)
+        yield linked(*held)
 
     members = found.select(F.xxhash64("fps").alias("key"), F.explode("fps").alias("fp"))
     dealt = members.join(texts, "fp").select("key", "fp", "known", "more", "body")
@@ -362,7 +366,7 @@ def block_of(count: Column, salt: Column | str) -> Column:
 
 
 def block_pairs(hot: DataFrame) -> DataFrame:
-    """Shards for keys of ``hot`` (key, fp, known, more) with too many nodes: every two blocks of a
+    """Shards (key, fp) for keys of ``hot`` (key, fp, known) with too many nodes: every two blocks of a
     key meet once. Nodes of the largest class that is known are not held against each other."""
     sizes = hot.groupBy("key", "known").count()
     plan = stored(
@@ -380,7 +384,7 @@ def block_pairs(hot: DataFrame) -> DataFrame:
         F.lit(0), F.when(F.col("in_main"), rest - 1).otherwise(rest + mains - 1)
     )))
     pair = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    return placed.select(pair.alias("key"), "fp", "known", "more")
+    return placed.select(pair.alias("key"), "fp")
 
 
 def link_similar(
@@ -394,22 +398,28 @@ def link_similar(
         texts = texts_of(docs, nodes, found, id_col, text_col)
         return stored(confirmed(found, texts, shingle, similarity, most_bits), "similar-links")
 
-    nodes = nodes.withColumn("known", F.col("fp"))
     single = [F.xxhash64(F.lit(k), F.col("minima")[k]) for k in range(MINIMA)]
-    level = nodes.withColumn("key", F.explode(F.array(*single))).select("key", "fp", "known", "more")
-    small, large = without_large(level)
-    if large.isEmpty():
-        return links(small, nodes)
-    # blocks differ from key to key, so the first round leaves few classes of a family of copies
-    sizes = stored(level.groupBy("key").count().join(large, "key"), "large-sizes")
-    hot = level.join(sizes, "key")
-    blocks = hot.withColumn("key", F.xxhash64("key", block_of(F.col("count"), "key"))).select(*level.columns)
-    first = links(small.union(blocks), nodes)
+    # narrow, and written once; a minimum that no other node has is no shard
+    keys = stored(nodes.select(F.explode(F.array(*single)).alias("key"), "fp").distinct(), "minima")
+    sizes = stored(keys.groupBy("key").count().filter("count > 1"), "shard-sizes")
+    nodes = nodes.drop("minima").withColumn("known", F.col("fp"))
+
+    def sketched(placed: DataFrame, nodes: DataFrame) -> DataFrame:
+        return placed.join(nodes.select("fp", "known", "more"), "fp").select("key", "fp", "known", "more")
+
+    # blocks of a large key differ from key to key, so the first round leaves few classes of a family of copies
+    large = F.col("count") > MAX_SHARD
+    block = F.xxhash64("key", block_of(F.col("count"), "key"))
+    met = keys.join(sizes, "key")
+    first = links(sketched(met.select(F.when(large, block).otherwise(F.col("key")).alias("key"), "fp"), nodes), nodes)
+    hot = stored(met.filter(large).select("key", "fp"), "large-keys")
+    if hot.isEmpty():
+        return first
     roots = stored(components(first).withColumnRenamed("node", "fp"), "first-classes")
     nodes = nodes.join(roots, "fp", "left").withColumn("known", F.coalesce("root", "fp")).drop("root")
-    known = hot.drop("known", "count").join(roots, "fp", "left").withColumn("known", F.coalesce("root", "fp"))
-    hot = stored(known.select(*level.columns), "large-keys-known")
-    return first.union(links(block_pairs(hot), nodes))
+    nodes = stored(nodes, "nodes-known")
+    placed = block_pairs(stored(hot.join(nodes.select("fp", "known"), "fp"), "large-keys-known"))
+    return first.union(links(sketched(placed, nodes), nodes))
 
 
 def classes(prints: DataFrame, links: DataFrame) -> DataFrame:

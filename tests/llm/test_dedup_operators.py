@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from twinshelf.llm import exact_dedup, simhash, substring_dedup, suffix_dedup
 from twinshelf.llm.components import components
@@ -48,6 +50,18 @@ def test_exact_dedup_of_no_rows(no_docs):
     assert exact_dedup.drop_duplicates(no_docs).count() == 0
 
 
+def test_many_repeated_rows_that_stay(spark):
+    """Rows of one id and text, and rows without an id, all stay as one: the check must not pair them."""
+    docs = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, "a row that is repeated").otherwise("and one without an id").alias("text"),
+    )
+    began = time.monotonic()
+    got = exact_dedup.exact_groups(docs).groupBy("keep_id", "size").count().collect()
+    assert {tuple(r) for r in got} == {(7, 20_000, 20_000), (None, 20_000, 20_000)}
+    assert time.monotonic() - began < 60
+
+
 def test_null_ids_are_least(spark):
     docs = spark.createDataFrame([(None, "a b"), (1, "a b"), (2, "ab")], "doc_id long, text string")
     rows = exact_dedup.exact_groups(docs).collect()

@@ -35,6 +35,9 @@ STATE_STORE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # no space is claimed ahead of need, or each state partition would take 4 MB at once
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # all state partitions of an executor share one cache and one write buffer; without a bound each has its own
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "192",
 }
 
 
@@ -124,9 +127,12 @@ def check_bytes(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
         ).join(groups.filter("size > 1").select("digest", "keep_id", "keep_points"), "digest"),
         "digest-hits",
     )
-    staying = (
+    # one line a digest, however often the row that stays is repeated; written, so that the join has
+    # no aggregate on this side and a hot digest can be split
+    staying = stored(
         hits.filter(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")))
-        .select("digest", F.col("body").alias("kept_body"))
+        .select("digest", F.col("body").alias("kept_body")).dropDuplicates(["digest"]),
+        "digest-staying",
     )
     unequal = hits.join(staying, "digest").filter("body <> kept_body")
     if unequal.take(1):

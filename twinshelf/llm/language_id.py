@@ -19,7 +19,6 @@ in pieces; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -34,7 +33,6 @@ from twinshelf.llm.common import held_out, table
 MAX_SYMBOLS = 128
 PIECE = 1 << 20
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 class Model(NamedTuple):
@@ -150,7 +148,7 @@ def code_lengths(model: Model, text: str) -> np.ndarray:
 
 
 def classify(model: Model, text: str | None) -> tuple[str, float]:
-    if text is None or not model.languages or not LETTER.search(text):
+    if text is None or not model.languages or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
     lengths = code_lengths(model, text)
     best = int(lengths.argmin())

@@ -342,6 +342,22 @@ def test_byte_strings_of_given_documents(given_docs, distinct_limit):
     check_bytes({r.doc_id: r for r in rows}, [(r.doc_id, r.text) for r in given_docs.collect()], 200)
 
 
+@pytest.mark.parametrize("distinct_limit", [256, 1])
+def test_byte_strings_of_rows_without_an_id(spark, distinct_limit):
+    """Each text without an id is judged by itself; the same one twice repeats itself."""
+    pick = random.Random(8)
+    shared, other, twice, least = ("".join(pick.choices("abcdefgh ", k=n)) for n in (400, 900, 300, 250))
+    rows = [(None, shared + "x" + other[:300]), (None, other[300:]), (5, "start " + shared), (None, twice),
+            (None, twice), (None, None), (None, ""), (-(1 << 61), least)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(docs, max_distinct=distinct_limit).collect()
+    kept = Counter((r.doc_id, r.n_bytes, bytes(r.kept).decode()) for r in got)
+    assert kept == Counter([
+        (None, 701, "x" + other[:300]), (None, 600, other[300:]), (5, 406, "start "), (None, 300, ""), (None, 300, ""),
+        (None, 0, ""), (None, 0, ""), (-(1 << 61), 250, least),
+    ])
+
+
 def test_byte_strings_of_no_rows(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 

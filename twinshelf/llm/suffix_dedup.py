@@ -23,8 +23,9 @@ document or the same, is removed; strings are judged on the input.
    out by a hash of all ``size`` bytes, many in a row, and counted.
 
 Cases: a null text is empty; texts shorter than a window lose nothing; repeated rows repeat
-each other; rows of one id must have one text; a null id is a document like any other;
-an empty table gives an empty result; other columns are ignored. Ids are integers.
+each other; rows of one id must have one text; a row without an id is a document of its own
+text (inside, its key is below any id of more than -2^62); an empty table gives an empty result;
+other columns are ignored. Ids are integers.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from twinshelf.llm import hashing
 from twinshelf.llm.common import partitions, stored, table
 from twinshelf.llm.regroup import FOUND, Outbox, by_document, slots_for
-from twinshelf.llm.substring_dedup import BUCKET_BYTES, CHUNK, FEWEST_BITS, NO_ID, chunk_rows, packed, unpacked
+from twinshelf.llm.substring_dedup import BUCKET_BYTES, CHUNK, FEWEST_BITS, chunk_rows, packed, unpacked
 
 SIZE = 200
 GRAM = 64
@@ -117,7 +118,7 @@ def run_rows(texts: DataFrame, size: int, gram: int, bits: int) -> DataFrame:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
                 for found in runs(data, size, gram):
-                    waiting.append((NO_ID if i is None else i, *found))
+                    waiting.append((i, *found))
                 held += len(data)
                 if held >= 4 * CHUNK:
                     yield flush(waiting)
@@ -169,12 +170,17 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(judge, "id long, anchors binary, starts binary, sizes binary")
 
 
+def document_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, text): the id is the key; rows without one are told apart by their texts."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    own = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(-(1 << 63))
+    return texts.select("id", F.coalesce("id", own).alias("key"), "text")
+
+
 def fragments(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """(anchor, tied, n, body, ids, starts): bytes under the runs, equal ones of a batch once."""
     gathered = found.groupBy("id").agg(*(F.collect_list(c).alias(c) for c in ("anchors", "starts", "sizes")))
-    met = texts.join(
-        gathered.withColumnRenamed("id", "__id"), F.coalesce("id", F.lit(int(NO_ID))) == F.col("__id")
-    ).select("__id", "text", "anchors", "starts", "sizes")
+    met = texts.join(gathered.withColumnRenamed("id", "key"), "key").select("key", "text", "anchors", "starts", "sizes")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -453,17 +459,15 @@ def remove_repeats(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Id, length in bytes, removed spans (first byte, byte after the last) and the kept bytes."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = document_key(docs, id_col, text_col)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(FEWEST_BITS, math.ceil(math.log2(max(total, 1) / (16 * BUCKET_BYTES))))
-    found = repeated_runs(run_rows(texts, size, gram, bits))
+    found = repeated_runs(run_rows(texts.select("key", "text"), size, gram, bits))
     judged = stored(judge_fragments(fragments(texts, found, size), size, max_distinct), "judged-windows")
     hot = judged.filter("body is not null").select("id", "start", "body")
     gone = judged.filter("slot is not null").select("slot", "ids", "starts", "counts")
-    by_id = by_document(gone.union(count_windows(hot, size, FEWEST_BITS))).withColumnRenamed("id", "__id")
-    met = texts.join(by_id, F.coalesce("id", F.lit(int(NO_ID))) == F.col("__id"), "left").select(
-        "id", "text", "starts", "counts"
-    )
+    by_id = by_document(gone.union(count_windows(hot, size, FEWEST_BITS))).withColumnRenamed("id", "key")
+    met = texts.join(by_id, "key", "left").select("id", "text", "starts", "counts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

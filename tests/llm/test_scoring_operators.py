@@ -125,6 +125,13 @@ def test_language_of_odd_texts(odd_docs, no_docs, odd_rows):
     assert {r.lang_pred for r in language_id.identify(odd_docs, F.lit(False)).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters(spark):
+    texts = ["25 ½", "x² 4", "① Ⅷ", "12.5 %", "è", "字"]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, F.lit(True)).collect()}
+    assert [got[k] for k in range(6)] == ["und", "en", "und", "und", "en", "en"]
+
+
 ITEM = "In the spring of 1999 the clever engineer Alice measured 12 km of road and told Bob that 12 km was far too long"
 
 

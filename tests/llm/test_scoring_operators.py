@@ -1,10 +1,14 @@
 """Toxicity, language and decontamination; the pipeline as a whole."""
 
+import collections
+import functools
 import itertools
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from twinshelf.llm import decontamination, language_id, toxicity
@@ -99,11 +103,72 @@ def test_a_later_dense_passage_is_a_segment():
     assert toxicity.segments_of(["vile"] * 9, scores)[0][2] == 2.5
 
 
-def test_context_probabilities_add_up():
-    counts = np.random.default_rng(0).poisson(0.4, (6, 6, 6))
-    counts[2] = 0
-    counts[3, 1] = 5
-    assert np.allclose(language_id.escape_chain(counts).sum(-1), 1)
+def plain_ppm(texts, share, order):
+    """Prediction by partial matching as its definition says it, one byte at a time."""
+    counts = collections.defaultdict(collections.Counter)
+    for text in texts:
+        data = b"\n" * order + text.encode()
+        for i in range(order, len(data)):
+            for size in range(order + 1):
+                counts[data[i - size : i]][data[i]] += 1
+    whole = sum(counts[b""].values())
+    kept = {c: {x: n for x, n in seen.items() if n * share >= whole} for c, seen in counts.items()}
+
+    @functools.cache
+    def chances(context):
+        lower = chances(context[1:]) if context else [1 / 256] * 256
+        own = kept.get(context)
+        if not own:
+            return lower
+        rare = sum(counts[context].values()) - sum(own.values())
+        escape = 0 if len(own) == 256 else len(own) + rare
+        whole, left = sum(own.values()) + escape, 1 - sum(lower[x] for x in own)
+        return [own[x] / whole if x in own else escape / whole * lower[x] / left for x in range(256)]
+
+    def nats(text):
+        data = b"\n" * order + text.encode()
+        return -sum(math.log(chances(data[i - order : i])[data[i]]) for i in range(order, len(data)))
+
+    return nats
+
+
+@pytest.mark.parametrize("entries", [1 << 19, 3_000])
+def test_code_lengths_equal_a_plain_ppm(spark, given_docs, odd_rows, entries, monkeypatch):
+    monkeypatch.setattr(language_id, "ENTRIES", entries)
+    rows = given_docs.where("n_chars < 3000").orderBy("doc_id").select("lang", "text").collect()
+    every_byte = "".join(map(chr, range(1, 0x900))) + "\U0001f642\U00040000\U00100000"
+    rows = [*((r.lang, r.text) for r in rows if r.lang), ("en", every_byte)]
+    model = language_id.learn(spark.createDataFrame(rows, "lang string, text string").repartition(5))
+    assert model.languages == sorted({lang for lang, _ in rows}) and len(model.languages) > 2
+    share = entries // len(model.languages)
+    for size in range(language_id.ORDER + 1):
+        assert sum(len(tree[size].pairs) for tree in model.trees) <= entries
+    asked = [text for _, text in rows[::2]] + [r[1] for r in odd_rows if r[1] and len(r[1]) < 3000]
+    assert len(asked) > 90
+    got = language_id.code_lengths(model, asked)
+    for i, lang in enumerate(model.languages):
+        plain = plain_ppm([text for own, text in rows if own == lang], share, language_id.ORDER)
+        assert np.allclose(got[:, i], [plain(text) for text in asked], rtol=1e-5, atol=1e-4)
+
+
+def test_chances_of_all_bytes_add_up_to_one(spark):
+    texts = ["abracadabra " * 9, "the cat sat on the mat", "日本語 ünïcode"]
+    model = language_id.learn(spark.createDataFrame([("x", t) for t in texts], "lang string, text string"))
+    for before in (b"abra", b"n th", b"zzzz", b"\n\n\n\n", "日".encode() + b" "):
+        codes = np.array([int.from_bytes(before + bytes([x]), "big") for x in range(256)], np.uint64)
+        assert np.isclose(np.exp(-language_id.cost_of(model.trees[0], codes, language_id.ORDER)).sum(), 1, rtol=1e-5)
+
+
+def test_code_lengths_do_not_depend_on_what_is_coded_together(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "PIECE", 50)
+    monkeypatch.setattr(language_id, "HELD", 20)
+    texts = ["one two three " * 40, "x", "", "four five six " * 7]
+    docs = spark.createDataFrame([("a", t) for t in texts] + [("b", "seven eight")], "lang string, text string")
+    model = language_id.learn(docs)
+    together = language_id.code_lengths(model, texts)
+    assert (together == np.concatenate([language_id.code_lengths(model, [t]) for t in texts])).all()
+    monkeypatch.setattr(language_id, "PIECE", 1 << 20)
+    assert np.allclose(together, language_id.code_lengths(language_id.learn(docs), texts), rtol=1e-6)
 
 
 def test_language_on_given_documents(given_docs):

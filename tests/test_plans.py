@@ -337,6 +337,8 @@ def test_match_by_text_end_to_end(spark):
     dict(method="cells", n_cells=4, nprobe=1),
     dict(method="cells"),
     dict(method="bounded", nprobe=4),
+    dict(method="tree", n_cells=4, beam=2, nprobe=4),
+    dict(method="tree"),
     dict(method="planes", vector_width=8, plane_tables=2, plane_bits=2),
     dict(method="planes", vector_width=8),
 ])

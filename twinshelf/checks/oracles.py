@@ -377,6 +377,9 @@ ORACLES = {
     "knn_ivf": GLOBAL,
     "knn_ivf_all_cells": EXACT,
     "knn_ivf_bounded": EXACT,
+    "knn_tree_all_cells": EXACT,
+    "knn_tree_tuned": f"SELECT count(*) AS n_exact, true AS reached FROM ({GLOBAL})",
+    "tree_facts": "SELECT count(*) AS n_rows, 0::BIGINT AS misplaced FROM embeddings",
     "knn_ivf_recall": f"SELECT count(*) AS n_exact, count(*) AS n_found, 1.0::DOUBLE AS recall FROM ({GLOBAL})",
     "knn_ivf_tuned": f"SELECT count(*) AS n_exact, true AS reached FROM ({GLOBAL})",
     "knn_lsh_global": LSH_GLOBAL + "SELECT q_id, db_id, score, rank FROM lsh",

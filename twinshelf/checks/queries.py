@@ -10,7 +10,7 @@ from twinshelf.checks import standins as s
 from twinshelf.config import MatchConfig
 from twinshelf.functions import scores, text
 from twinshelf.functions.vectors import dot, l2_normalize, to_float32
-from twinshelf.operators import ann, evaluate, rows
+from twinshelf.operators import ann, cell_tree, evaluate, rows
 from twinshelf.operators.columns import replace_columns
 from twinshelf.operators.encode import (
     embed, embed_once, grid_mean, histogram, reduce_dimensions, register_encoder, word_hash,
@@ -161,6 +161,44 @@ def knn_ivf_recall(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.recall(knn_ivf(spark, d), knn_global(spark, d), ["q_id", "db_id"])
 
 
+def _tree(spark: SparkSession, db: DataFrame) -> cell_tree.CellTree:
+    return cell_tree.build_tree(db, scratch_path(spark, "tree"), vec="db_vec", n_cells=64)
+
+
+def knn_tree_all_cells(spark: SparkSession, d: str) -> DataFrame:
+    """A beam of all top cells and all their leaves is exact."""
+    q, db = sides(spark, d)
+    return cell_tree.knn_tree(q, _tree(spark, db), k=s.K, beam=8, nprobe=64, by=LABEL, min_group_size=2, **VECS)
+
+
+def knn_tree_tuned(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a beam chosen from sampled queries finds nine of ten hits of all queries."""
+    q = s.vectors(spark, d, "q")
+    found = cell_tree.knn_tree(q, _tree(spark, s.vectors(spark, d, "db")), k=s.K, **VECS)
+    recall = evaluate.recall(found, knn_global(spark, d), ["q_id", "db_id"])
+    return recall.select("n_exact", (F.col("recall") >= 0.9).alias("reached"))
+
+
+def tree_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a tree, and rows that are not in the nearest leaf of their nearest top cell.
+
+    Distances are computed by SQL functions here.
+    """
+    tree = _tree(spark, s.vectors(spark, d, "db"))
+    far = F.aggregate(F.zip_with("x", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, y: t + y)
+    tops = F.explode(F.array(*(F.struct(F.lit(i).alias("top"), F.lit(c.tolist()).alias("c")) for i, c in enumerate(tree.tops()))))
+    rows = tree.rows().select("db_id", "cell", F.col("db_vec").cast("array<double>").alias("x"))
+    by_top = rows.withColumn("t", tops).select("*", "t.top", "t.c").withColumn("far", far)
+    top = by_top.groupBy("db_id").agg(
+        F.min(F.struct("far", "top"))["top"].alias("_top"), F.first("cell").alias("cell"), F.first("x").alias("x")
+    )
+    leaves = tree.leaves().withColumnRenamed("_centroid", "c")
+    leaf = top.join(leaves, "_top").withColumn("far", far)
+    nearest = leaf.groupBy("db_id").agg(F.min("far").alias("least"), F.min(F.when(F.col("_cell") == F.col("cell"), F.col("far"))).alias("own"))
+    near = F.coalesce(F.col("own") <= F.col("least") + 1e-9, F.lit(False))
+    return nearest.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~near).alias("misplaced"))
+
+
 def knn_lsh(spark: SparkSession, d: str) -> DataFrame:
     q, db = sides(spark, d)
     return ann.knn_planes(q, db, k=s.K, width=64, tables=6, bits=8, probes=60, by=LABEL, **VECS)
@@ -699,6 +737,7 @@ def stage_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = [
     knn_exact_by_category, knn_small_blocks, knn_global, knn_self, knn_exclude_self, knn_cosine,
     knn_payload, knn_nested, exploded_hits, ivf_cells, ivf_totals, ivf_reused, knn_ivf,
+    knn_tree_all_cells, knn_tree_tuned, tree_facts,
     knn_ivf_all_cells, knn_ivf_bounded, knn_ivf_recall, knn_ivf_tuned, knn_lsh, knn_lsh_global,
     knn_lsh_recall, match_by_text, match_by_cells, rerank_fusion,
     rerank_one_modality, rerank_written, category_union, encoder_hits, encoder_overlap,

@@ -31,7 +31,7 @@ class MatchConfig:
     encoder: str | None = None
     exclude_self: bool = False
     # "exact"; "bounded", as exact, but cells that can hold no hit are not read; or approximate
-    # by the nearest k-means "cells" or by hyperplane "planes"
+    # by the nearest k-means "cells", by a "tree" of cells in two levels or by hyperplane "planes"
     method: str = "exact"
     # Where the cells are kept; an index that is already there is used as it is.
     index_path: str | None = None
@@ -40,6 +40,8 @@ class MatchConfig:
     target_recall: float = 0.95
     n_cells: int | None = None
     nprobe: int | None = None
+    # Top cells whose leaves a query looks at, in a tree.
+    beam: int | None = None
     plane_tables: int | None = None
     plane_bits: int | None = None
     plane_probes: int | None = None
@@ -47,8 +49,8 @@ class MatchConfig:
     vector_width: int | None = None
 
     def __post_init__(self) -> None:
-        if self.method not in ("exact", "bounded", "cells", "planes"):
-            raise ValueError(f"method must be exact, bounded, cells or planes, not {self.method!r}")
+        if self.method not in ("exact", "bounded", "cells", "tree", "planes"):
+            raise ValueError(f"method must be exact, bounded, cells, tree or planes, not {self.method!r}")
         if not 0 < self.target_recall <= 1:
             raise ValueError("target_recall must be above 0 and at most 1")
         if self.method == "planes" and self.vector_width is None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from twinshelf.config import DATABASE, QUERY, MatchConfig, require_columns
 from twinshelf.operators.ann import build_cells, knn_cells, knn_planes
+from twinshelf.operators.cell_tree import build_tree, knn_tree
 from twinshelf.operators.encode import embed, embed_once
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.rows import guard_groups
@@ -87,6 +88,10 @@ def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
         index = build_cells(db, path, vec=config.vector_col, n_cells=config.n_cells)
         return knn_cells(q, index, nprobe=config.nprobe, exact=config.method == "bounded",
                          target_recall=config.target_recall, **common)
+    if config.method == "tree":
+        tree = build_tree(db, config.index_path or scratch_path(db.sparkSession, "tree"), vec=config.vector_col,
+                          n_cells=config.n_cells)
+        return knn_tree(q, tree, beam=config.beam, nprobe=config.nprobe, target_recall=config.target_recall, **common)
     if config.method == "planes":
         return knn_planes(q, db, width=config.vector_width, tables=config.plane_tables,
                           bits=config.plane_bits, probes=config.plane_probes,

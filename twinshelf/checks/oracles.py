@@ -377,6 +377,9 @@ ORACLES = {
     "knn_ivf": GLOBAL,
     "knn_ivf_all_cells": EXACT,
     "knn_ivf_bounded": EXACT,
+    "code_totals": "SELECT count(*) AS n_rows, 16::BIGINT AS parts, 16 * count(*) AS n_bytes FROM embeddings",
+    "knn_codes_by_category": EXACT,
+    "knn_codes_reached": f"SELECT count(*) AS n_exact, true AS reached FROM ({GLOBAL})",
     "knn_tree_all_cells": EXACT,
     "knn_tree_tuned": f"SELECT count(*) AS n_exact, true AS reached FROM ({GLOBAL})",
     "tree_facts": "SELECT count(*) AS n_rows, 0::BIGINT AS misplaced FROM embeddings",

@@ -10,7 +10,7 @@ from twinshelf.checks import standins as s
 from twinshelf.config import MatchConfig
 from twinshelf.functions import scores, text
 from twinshelf.functions.vectors import dot, l2_normalize, to_float32
-from twinshelf.operators import ann, cell_tree, evaluate, rows
+from twinshelf.operators import ann, cell_tree, codes, evaluate, rows
 from twinshelf.operators.columns import replace_columns
 from twinshelf.operators.encode import (
     embed, embed_once, grid_mean, histogram, reduce_dimensions, register_encoder, word_hash,
@@ -161,6 +161,33 @@ def knn_ivf_recall(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.recall(knn_ivf(spark, d), knn_global(spark, d), ["q_id", "db_id"])
 
 
+def _codes(spark: SparkSession, d: str) -> codes.CodedIndex:
+    db = s.table(spark, d, "embeddings").selectExpr("vec_id AS db_id", "label AS db_label", "embedding AS db_vec")
+    index = ann.build_cells(db, scratch_path(spark, "cells"), vec="db_vec", n_cells=16, max_iter=5)
+    return codes.build_codes(index, scratch_path(spark, "codes"), vec="db_vec", parts=16)
+
+
+def code_totals(spark: SparkSession, d: str) -> DataFrame:
+    """A quarter of a byte for each dimension."""
+    return codes.code_info(_codes(spark, d)).agg(
+        F.sum("n_rows").alias("n_rows"), F.max("parts").alias("parts"), F.sum("n_bytes").alias("n_bytes"),
+    )
+
+
+def knn_codes_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """Exact where all cells are probed and whole categories are scored again."""
+    q, _ = sides(spark, d)
+    whole = spark.read.parquet(f"{d}/embeddings.parquet").count()
+    return codes.knn_codes(q, _codes(spark, d), k=s.K, nprobe=16, rerank=whole, by=LABEL, min_group_size=2, **VECS)
+
+
+def knn_codes_reached(spark: SparkSession, d: str) -> DataFrame:
+    """Whether as many rows by codes as sampled queries need hold nine of ten hits of all queries."""
+    found = codes.knn_codes(s.vectors(spark, d, "q"), _codes(spark, d), k=s.K, **VECS)
+    recall = evaluate.recall(found, knn_global(spark, d), ["q_id", "db_id"])
+    return recall.select("n_exact", (F.col("recall") >= 0.9).alias("reached"))
+
+
 def _tree(spark: SparkSession, db: DataFrame) -> cell_tree.CellTree:
     return cell_tree.build_tree(db, scratch_path(spark, "tree"), vec="db_vec", n_cells=64)
 
@@ -737,7 +764,7 @@ def stage_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = [
     knn_exact_by_category, knn_small_blocks, knn_global, knn_self, knn_exclude_self, knn_cosine,
     knn_payload, knn_nested, exploded_hits, ivf_cells, ivf_totals, ivf_reused, knn_ivf,
-    knn_tree_all_cells, knn_tree_tuned, tree_facts,
+    code_totals, knn_codes_by_category, knn_codes_reached, knn_tree_all_cells, knn_tree_tuned, tree_facts,
     knn_ivf_all_cells, knn_ivf_bounded, knn_ivf_recall, knn_ivf_tuned, knn_lsh, knn_lsh_global,
     knn_lsh_recall, match_by_text, match_by_cells, rerank_fusion,
     rerank_one_modality, rerank_written, category_union, encoder_hits, encoder_overlap,

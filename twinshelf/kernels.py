@@ -199,6 +199,45 @@ def least_sums(values: np.ndarray, n: int) -> np.ndarray:
     return np.sort(sums, axis=1)
 
 
+def nearest_words(points: np.ndarray, words: Sequence[np.ndarray]) -> np.ndarray:
+    """For each stretch of the points' columns the number of its nearest word, less 128."""
+    out = np.empty((len(points), len(words)), np.int8)
+    step, at = max(1, SCORE_BUFFER // max(map(len, words))), 0
+    for part, some in enumerate(words):
+        own = points[:, at : at + some.shape[1]]
+        half = (some**2).sum(axis=1) / 2
+        for lo in range(0, len(points), step):
+            out[lo : lo + step, part] = (half - own[lo : lo + step] @ some.T).argmin(axis=1) - 128
+        at += some.shape[1]
+    return out
+
+
+def decoded(codes: np.ndarray, words: Sequence[np.ndarray]) -> np.ndarray:
+    """Points that the codes stand for."""
+    return np.concatenate([some[codes[:, part] + 128] for part, some in enumerate(words)], axis=1)
+
+
+@dataclass(frozen=True)
+class CodeScorer(Scorer):
+    """Scores queries against decoded rows: ``_vec`` of the database side is a code.
+
+    The key column ``cell`` tells whose centroid the decoded residuals belong to.
+    """
+
+    words: Sequence[np.ndarray] = ()
+    centroids: np.ndarray = None
+
+    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+        db = db.filter(pc.is_valid(db["_vec"]))
+        if db.num_rows:
+            codes = to_matrix(db["_vec"]).astype(np.int64)
+            points = decoded(codes, self.words) + self.centroids[db["cell"][0].as_py()]
+            offsets = np.arange(len(points) + 1, dtype=np.int32) * points.shape[1]
+            place = db.schema.get_field_index("_vec")
+            db = db.set_column(place, "_vec", pa.ListArray.from_arrays(offsets, pa.array(points.ravel())))
+        return super().score(q, db)
+
+
 @dataclass(frozen=True)
 class ProbeScorer(Scorer):
     """Scores only rows in buckets that the query probes.

@@ -270,6 +270,27 @@ def test_coverage(spark):
         assert rows(grains.where(F.col("grain") == grain).select(columns)) == rows(one.select(columns))
 
 
+def test_estimated_coverage(spark, fresh):
+    as_of, path = date(2024, 3, 31), fresh("sketches")
+    # 3,000 items, each on two days; those of category "few" only long ago, one category is null
+    data = [(i, date(2024, 3 - d, 1 + i % 28), "many", "b", "c", "d", "e") for i in range(3000) for d in (0, 1)]
+    data += [(i % 5, date(2024, 1, 5), "few", "b", "c", "d", "e") for i in range(20)]
+    data += [(None, date(2024, 3, 30), "none", "b", "c", "d", "e"), (1, date(2024, 3, 30), None, "b", "c", "d", "e"),
+             (1, date(2023, 3, 30), "old", "b", "c", "d", "e")]
+    facts = _facts(spark, data)
+    for month in (1, 2, 3):
+        days = facts.where(F.month("grass_date") == month)
+        coverage.daily_sketches(days, coverage.LEVELS_3).write.mode("append").parquet(path)
+    daily = spark.read.parquet(path)
+    got = {r[0]: tuple(r)[3:] for r in coverage.estimated_counts(daily, coverage.LEVELS_3, as_of).collect()}
+    assert got["few"] == (0, 0, 5) and got["none"] == (0, 0, 0) and got[None] == (1, 1, 1) and "old" not in got
+    assert got["many"][1] == pytest.approx(3000, rel=coverage.relative_error())
+    both = coverage.estimates_beside_counts(facts, daily, coverage.LEVELS_3, as_of, coverage.relative_error()).collect()
+    assert len(both) == 4 and all(all(tuple(r)[6:]) for r in both)
+    wrong = coverage.estimates_beside_counts(facts.where("item_id < 1000"), daily, coverage.LEVELS_3, as_of, 0.065)
+    assert not all(r["within_60d"] for r in wrong.collect())
+
+
 def test_brands(spark):
     yesterday = DAY.replace(day=9)
     df = spark.createDataFrame(

@@ -493,6 +493,10 @@ ORACLES = {
     "coverage_stats_l3": _stats(3),
     "coverage_stats_l5": _stats(5),
     "coverage_grouping_sets": _GRAINS,
+    "coverage_estimated": _coverage(3) + """
+    SELECT level1_global_be_category, level2_global_be_category, level3_global_be_category, total_items_30d,
+           total_items_60d, total_items_90d, true AS within_30d, true AS within_60d, true AS within_90d
+    FROM counted""",
     "brand_list": """
         SELECT DISTINCT p_type AS level1_global_be_category, p_brand AS final_brand
         FROM part

@@ -522,6 +522,18 @@ def coverage_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
     return coverage.coverage_both_grains(s.orders(spark, d), s.map_snapshots(spark, d), s.AS_OF)
 
 
+def coverage_estimated(spark: SparkSession, d: str) -> DataFrame:
+    """Counts, and whether those from stored daily sketches are within their bound."""
+    orders, path = s.orders(spark, d), scratch_path(spark, "sketches")
+    days = coverage.daily_sketches(orders, coverage.LEVELS_3)
+    # the table is written in two goes, as days arrive
+    for part in (F.col("grass_date") < "2001-10-01", F.col("grass_date") >= "2001-10-01"):
+        days.where(part).write.mode("append").parquet(path)
+    return coverage.estimates_beside_counts(
+        orders, spark.read.parquet(path), coverage.LEVELS_3, s.AS_OF, coverage.relative_error()
+    )
+
+
 def brand_list(spark: SparkSession, d: str) -> DataFrame:
     return extract.brand_list(s.brands(spark, d), s.AS_OF)
 
@@ -772,7 +784,7 @@ QUERIES = [
     row_index, asset_manifest_join, image_scan, image_embed, match_by_image, first_image_url,
     duplicate_keys, distinct_columns, category_leaf, path_rewrite, export_columns,
     csv_round_trip, latest_snapshot, catalogue_extract, sample_limit, extract_materialised,
-    coverage_stats_l3, coverage_stats_l5, coverage_grouping_sets, brand_list,
+    coverage_estimated, coverage_stats_l3, coverage_stats_l5, coverage_grouping_sets, brand_list,
     ratio_to_min_report, text_hash_vectors, text_knn, match_names, pca_knn, pca_rotation, ivf_facts,
     embed_once_documents, match_resume, match_resume_queries, batch_assign, shard_concat,
     overwrite_target, stream_match, stream_match_db, peek_head, peek_tail, format_score, round_scores,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
 
@@ -88,3 +89,52 @@ def coverage_both_grains(orders: DataFrame, map_snapshots: DataFrame, as_of: dat
     )
     counts = last.groupBy("grain", *LEVELS_5).agg(*_distinct_item_counts(as_of))
     return with_cluster(counts, map_snapshots)
+
+
+def daily_sketches(orders: DataFrame, levels: Sequence[str], log2_registers: int = 12) -> DataFrame:
+    """One mergeable sketch of the distinct items for each category and day.
+
+    A table of these can be kept and appended to day by day; a horizon is then a union of its days' sketches,
+    without a look at the orders. A sketch takes at most about 2 ** ``log2_registers`` bytes, however many items it has.
+    """
+    return orders.groupBy(*levels, "grass_date").agg(
+        F.hll_sketch_agg("item_id", F.lit(log2_registers)).alias("items")
+    )
+
+
+def relative_error(log2_registers: int = 12, deviations: float = 4.0) -> float:
+    """Bound on the relative error of a merged count that holds up to so many standard deviations.
+
+    The standard error of the estimate from a union is at most 1.04 over the root of the number of registers.
+    """
+    return deviations * 1.04 / math.sqrt(2**log2_registers)
+
+
+def estimated_counts(daily: DataFrame, levels: Sequence[str], as_of: date) -> DataFrame:
+    """As :func:`category_counts`, from daily sketches: counts are estimates, within :func:`relative_error`.
+
+    The union combines before the shuffle, so a category sends one sketch a task and horizon.
+    """
+    recent = daily.where(F.col("grass_date") >= days_before(as_of, HORIZONS[-1]))
+    unions = [
+        F.hll_union_agg(F.when(F.col("grass_date") >= days_before(as_of, n), F.col("items"))) for n in HORIZONS
+    ]
+    return recent.groupBy(*levels).agg(*(
+        F.coalesce(F.hll_sketch_estimate(u), F.lit(0)).cast("long").alias(f"total_items_{n}d")
+        for n, u in zip(HORIZONS, unions)
+    ))
+
+
+def estimates_beside_counts(orders: DataFrame, daily: DataFrame, levels: Sequence[str], as_of: date, error: float) -> DataFrame:
+    """Exact counts, and for each horizon whether the estimate is within ``error`` (relative, half an item at least)."""
+    exact, guess = category_counts(orders, levels, as_of), estimated_counts(daily, levels, as_of)
+    columns = {f"total_items_{n}d": f"_guess_{n}d" for n in HORIZONS}
+    renamed = guess.select(*(F.col(c).alias(f"_{c}") for c in levels), *(F.col(c).alias(g) for c, g in columns.items()))
+    # categories may be null, which is a category of its own in both
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in levels]
+    joined = exact.join(renamed, same, "full")
+    within = [
+        F.coalesce(F.abs(F.col(c) - F.col(g)) <= F.greatest(F.col(c) * error, F.lit(0.5)), F.lit(False)).alias(f"within_{c[12:]}")
+        for c, g in columns.items()
+    ]
+    return joined.select(*exact.columns, *within)

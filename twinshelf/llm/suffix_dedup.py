@@ -227,18 +227,18 @@ def sort_columns(bodies: list[bytes], size: int) -> np.ndarray:
         order = order[: len(order) - np.count_nonzero(lengths < j)]
         fresh = np.zeros(len(bwt), bool)
         fresh[newest] = True
-        fresh = fresh[order]
-        at = np.flatnonzero(fresh)
+        fresh = fresh.take(order)
+        at, old = np.flatnonzero(fresh), ~fresh
         parents = order[at]
         who = who[np.searchsorted(newest, parents)]
         grown = np.empty(m + len(order), np.uint8)
         grown[:m] = bwt[:m]
         tail = grown[m:]
-        tail[~fresh] = bwt[m:]
+        tail[old] = bwt[m:]
         tail[at] = before[j + 1, who]
         shared = np.zeros(m + len(order), np.uint8)
         own = shared[m:]
-        own[~fresh] = lcp[m:]
+        own[old] = lcp[m:]
         # new rows and the rows below them: one more than the least between their parents
         change = np.unique(np.concatenate([at, at + 1]))
         change = change[change < len(order)]

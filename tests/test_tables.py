@@ -1,6 +1,7 @@
 """Sources, sinks, encoders, resumed runs and the stream."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from twinshelf.plans import resume
 from twinshelf.session import scratch_path, scratch_root
 from twinshelf.sources import images, tables
 from twinshelf.sources import vectors as vector_tables
-from twinshelf.streaming.match_stream import match_stream
+from twinshelf.streaming.match_stream import arriving_rows, match_stream
 
 # ---- tables -------------------------------------------------------------------
 
@@ -364,3 +365,20 @@ def test_stream_matches_each_arrival_once(spark, fresh, tmp_path):
     table(spark, "q", data[5:]).write.mode("append").parquet(source)
     assert run() == brute_force(data, db, 3)
     assert run() == brute_force(data, db, 3)
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_of_a_folder_or_one_file(spark, fresh, tmp_path, files):
+    """A table of several files is a folder; read by the name of its files alone, it gave no rows and no result."""
+    data, db = random_rows(1, {"a": 8, "b": 5}), random_rows(2, {"a": 9, "b": 4})
+    path, out, db_table = str(tmp_path / "vectors.parquet"), fresh(), table(spark, "db", db)
+    written = table(spark, "q", data)
+    if files == 1:
+        pq.write_table(written.toArrow(), path)
+    else:
+        written.repartition(files).write.parquet(path)
+    arriving = arriving_rows(spark, path, written.schema)
+    match_stream(
+        arriving, lambda new: knn_join(new, db_table, k=3, q_vec="q_vec", db_vec="db_vec", by=BY), out, fresh()
+    ).awaitTermination()
+    assert rows(spark.read.parquet(out).drop("batch_id")) == brute_force(data, db, 3)

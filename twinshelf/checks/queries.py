@@ -22,7 +22,7 @@ from twinshelf.session import cut, scratch_path
 from twinshelf.sources import images, tables
 from twinshelf.sources import vectors as vector_tables
 from twinshelf.streaming.database_stream import match_database_stream, read_state
-from twinshelf.streaming.match_stream import match_stream
+from twinshelf.streaming.match_stream import arriving_rows, match_stream
 
 LABEL = [("q_label", "db_label", "category")]
 VECS = dict(q_vec="q_vec", db_vec="db_vec")
@@ -706,10 +706,7 @@ def overwrite_target(spark: SparkSession, d: str) -> DataFrame:
 def stream_match(spark: SparkSession, d: str) -> DataFrame:
     """Query vectors read as a stream, matched per micro-batch."""
     schema = T.StructType.fromDDL("vec_id long, embedding array<float>, label int")
-    arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(d)
-        .toDF("q_id", "q_vec", "q_label")
-    )
+    arriving = arriving_rows(spark, f"{d}/embeddings.parquet", schema).toDF("q_id", "q_vec", "q_label")
     # prepared once, not by every micro-batch
     db = cut(s.vectors(spark, d, "db"))
     out = scratch_path(spark, "stream")

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+def arriving_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stream of the rows of a Parquet table, which may be one file or a folder of files.
+
+    A stream takes a plain path for a folder only; a pattern that fits this one path is taken for both.
+    """
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def match_stream(
     queries: DataFrame,
     match_batch: Callable[[DataFrame], DataFrame],

@@ -196,3 +196,14 @@ def test_explode_nulls_and_uneven_lists(spark):
     uneven = spark.createDataFrame([(1, [5, 6], [0.2])], schema)
     with pytest.raises(Exception, match="different lengths"):
         explode_hits(uneven).collect()
+
+
+@pytest.mark.parametrize("fetched", [5_000, 0])
+def test_a_row_is_sent_to_few_blocks(spark, monkeypatch, fetched):
+    """Cells grow with the square of a group's blocks; these were its rows over ``block_rows`` without bound."""
+    monkeypatch.setattr(small, "ROWS_FETCHED", fetched)
+    sizes = spark.createDataFrame([("a", 1_000, 3_000), ("b", 20, 33), ("c", 400_000, 17)], "category string, n_q long, n_db long")
+    _, total = knn.group_totals(sizes, 16)
+    assert (total.gd, total.cells) == (8, 8 * 8 + 2 * 3 + 25 * 2)
+    got = sizes.select(knn.blocks(F.col("n_q"), 16).alias("n")).toArrow()["n"].to_pylist()
+    assert sorted(got) == [2, 8, 25]

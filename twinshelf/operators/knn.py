@@ -15,7 +15,8 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,6 +40,8 @@ SALTS = (64, 4096)
 # upper one keeps tasks of large inputs in the range of seconds.
 PAIRS_TO_SPREAD = 1_000_000
 PAIRS_PER_TASK = 200_000_000
+# A row is sent to so many blocks of the other side at most, as long as blocks of HELD_ROWS allow it.
+MOST_COPIES = 8
 # Spreading the scanned side over more tasks pays if each of its rows meets this many.
 ROWS_WORTH_A_SHUFFLE = 1_000
 
@@ -68,6 +71,7 @@ def knn_join(
     hits.  Ids are unique inside a group.  Ranking is by rounded score, then by
     database id; a group with fewer than k rows returns them all.  Another ``scorer``
     may leave pairs out; it gets the columns ``q_more`` and ``db_more`` as well.
+    Blocks have ``block_rows`` rows, or more in groups with over ``MOST_COPIES`` such blocks.
 
     Returns the group columns, ``q_id``, ``db_id``, ``score`` and ``rank``.
     """
@@ -134,15 +138,26 @@ class Totals:
         return max(1, spread, math.ceil(self.pairs / PAIRS_PER_TASK))
 
 
+def blocks(n: Column, block_rows: int) -> Column:
+    """Blocks of a group of ``n`` rows: of ``block_rows``, but no more than ``MOST_COPIES`` unless these
+    would have over ``HELD_ROWS`` rows."""
+    fewest = F.greatest(F.ceil(n / HELD_ROWS), F.lit(MOST_COPIES))
+    return F.least(F.ceil(n / block_rows), fewest).cast("int")
+
+
+def blocks_of(n: np.ndarray, block_rows: int) -> np.ndarray:
+    return np.minimum(-(-n // block_rows), np.maximum(-(-n // HELD_ROWS), MOST_COPIES))
+
+
 def group_totals(sizes: DataFrame, block_rows: int) -> tuple[Small, Totals]:
     """Group sizes, computed once, and their totals."""
     small = measured(sizes)
     if small.rows is not None:
         q, db = (small.rows[n].to_numpy() for n in ("n_q", "n_db"))
-        gq, gd = -(-q // block_rows), -(-db // block_rows)
+        gq, gd = blocks_of(q, block_rows), blocks_of(db, block_rows)
         return small, Totals(int(q.sum()), int(db.sum()), int(gd.max(initial=0)),
                              int((gq * gd).sum()), float((q.astype(float) * db).sum()))
-    gq, gd = (F.ceil(F.col(n) / block_rows) for n in ("n_q", "n_db"))
+    gq, gd = (blocks(F.col(n), block_rows).cast("long") for n in ("n_q", "n_db"))
     row = small.frame.agg(
         F.sum("n_q"), F.sum("n_db"), F.max(gd), F.sum(gq * gd),
         F.sum(F.col("n_q").cast("double") * F.col("n_db")),
@@ -178,11 +193,11 @@ def score_grid(
     names = scorer.keys
     grid = sizes.frame.select(
         *names,
-        F.ceil(F.col("n_q") / block_rows).cast("int").alias("gq"),
-        F.ceil(F.col("n_db") / block_rows).cast("int").alias("gd"),
+        blocks(F.col("n_q"), block_rows).alias("gq"),
+        blocks(F.col("n_db"), block_rows).alias("gd"),
     )
     salts = min(max(SALTS[0], max(total.n_q, total.n_db) // ROWS_PER_SALT), SALTS[1])
-    one = [math.ceil(n / block_rows) for n in (total.n_q, total.n_db)]
+    one = blocks_of(np.array([total.n_q, total.n_db]), block_rows).tolist()
     cores = q_rows.sparkSession.sparkContext.defaultParallelism
     tasks = min(total.tasks(cores), total.cells)
     cell = [*names, "_qb", "_db"]

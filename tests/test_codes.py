@@ -92,3 +92,15 @@ def test_self_short_null_and_empty(spark, sides, fresh):
     assert coded(spark, null, fresh).rows().where("db_id % 2 = 1").isEmpty()
     none = q.withColumn("q_vec", F.when(F.col("q_id") < 0, F.col("q_vec")))
     assert codes.knn_codes(none, found, k=3, **args).count() == 0
+
+
+def test_whole_groups_leave_a_cell_as_k_rows_a_query(spark, sides, fresh, monkeypatch):
+    """They left it as all pairs, which are as many as the square of a group."""
+    seen = []
+    monkeypatch.setattr(codes, "knn_join", lambda *args, **kw: seen.append(kw["k"]) or knn_join(*args, **kw))
+    q, db = (table(spark, m, rows) for m, rows in zip(("q", "db"), sides))
+    found = coded(spark, db, fresh)
+    for rerank, k in (65, 4), (64, 64):
+        seen.clear()
+        assert codes.knn_codes(q, found, k=4, nprobe=4, rerank=rerank, by=BY, **VECS).count() == 38 * 4
+        assert seen == [k]

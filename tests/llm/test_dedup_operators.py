@@ -273,6 +273,44 @@ def test_every_two_blocks_meet_once(spark, monkeypatch):
     assert all(len(fps) == len(set(fps)) <= 32 for fps in shards.values())
 
 
+def test_blocks_that_meet_are_one_row(spark, monkeypatch):
+    """Each node was a row of its own for every block that it met."""
+    monkeypatch.setattr(simhash, "MAX_SHARD", 8)
+    hot = spark.createDataFrame([(1, k, k) for k in range(90)], "key long, fp long, known long")
+    got = simhash.block_shards(hot).collect()
+    assert len(got) <= 12 * 13 / 2 + 12 and {r.shard for r in got} == {1}
+    assert all(len({n.fp for n in r.nodes}) == len(r.nodes) <= 32 for r in got)
+
+
+def test_wide_tree_is_the_tree_of_one_row_after_the_other():
+    """The pipeline's shards had no tree."""
+    pick = random.Random(16)
+    base = [pick.getrandbits(512) for _ in range(5)]
+    values = [pick.choice(base) ^ sum(1 << b for b in pick.sample(range(512), pick.randint(0, 90))) for _ in range(150)]
+    values += [pick.getrandbits(512) for _ in range(50)] + values[:3]
+    words = np.frombuffer(b"".join(v.to_bytes(64, "little") for v in values), np.uint64).reshape(-1, 8)
+    tree, plain = simhash.WideTree(words), simhash.BKTree()
+    for v in values:
+        plain.add(v)
+    children = {(at, int(tree.edge[c]), int(c)) for at in range(len(values))
+                for c in tree.children[tree.start[at] : tree.start[at] + tree.count[at]]}
+    assert children == {(at, d, c) for at, some in enumerate(plain.children) for d, c in some.items()}
+    query, at, bits = tree.search(words, 131)
+    got = sorted(zip(query.tolist(), at.tolist(), bits.tolist()))
+    assert got == [(i, j, (a ^ b).bit_count()) for i, a in enumerate(values) for j, b in enumerate(values) if (a ^ b).bit_count() <= 131]
+
+
+def test_a_pair_counts_in_its_first_large_key():
+    more = [np.array([1] * 8 + [n], np.uint64).tobytes() for n in (10, 8, 7)]
+    keys = [[1, 2, 3], [9, 2, 3], [9, 2, 3]]
+
+    def pairs(shard):
+        return list(simhash.near_pairs(shard, [0, 1, 2], more, keys, 131, 0.8))
+
+    assert pairs(None) == [(1, [0]), (2, [1])]      # 7 of 10 cannot be similar enough
+    assert (pairs(9), pairs(2), pairs(3)) == ([(2, [1])], [(1, [0])], [])
+
+
 def test_near_dedup_keeps_columns(odd_docs):
     kept = simhash.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

@@ -101,7 +101,7 @@ def fingerprints(
     sketch: bool = False,
 ) -> DataFrame:
     """``id`` and ``fp`` of each row. With ``sketch``, ``fp`` is a hash of the whole set of
-    shingles (equal sets only have the same), and there are ``WORDS`` words and the minima."""
+    shingles (equal sets only have the same), and there are ``WORDS`` words with the size of the set, and the minima."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +114,8 @@ def fingerprints(
                     hashes = np.unique(hashes)  # as similarity is of sets, a repeat must not weigh
                     out["fp"].append(set_hash(hashes))
                     derived = [remixed(hashes, k) for k in range(1, WORDS)]
-                    out["more"].append(np.array([majority(x) for x in [hashes, *derived]], np.uint64).tobytes())
+                    words = [majority(x) for x in [hashes, *derived]]
+                    out["more"].append(np.array([*words, len(hashes)], np.uint64).tobytes())
                     lows = [int((x * MIX[20]).min()) if len(x) else 0 for x in [hashes, *derived][:MINIMA]]
                     out["minima"].append(np.array(lows, np.uint64).view(np.int64))
             arrays = [batch.column(0), pa.array(np.array(out["fp"], np.uint64).view(np.int64))]
@@ -260,13 +261,82 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
-def near_places(more: list[bytes], most_bits: int) -> Iterator[tuple[int, list[int]]]:
-    """Each place, and all places before it within ``most_bits``, nearest first."""
-    words = np.frombuffer(b"".join(more), np.uint64).reshape(-1, WORDS)
-    for i in range(1, len(words)):
-        bits = np.bitwise_count(words[:i] ^ words[i]).sum(1, dtype=np.int64)
-        near = np.flatnonzero(bits <= most_bits)
-        yield i, near[np.argsort(bits[near], kind="stable")].tolist()
+class WideTree:
+    """A BK-tree of fingerprints of ``WORDS`` words, in arrays: built and searched level by level.
+
+    It is the tree that adding the rows one after the other gives; all rows, and all queries, go down
+    one level at a time.
+    """
+
+    def __init__(self, words: np.ndarray) -> None:
+        n = len(words)
+        self.words, self.edge = words, np.zeros(n, np.int64)
+        parent, at, open_ = np.full(n, -1), np.zeros(n, np.int64), np.arange(1, n)
+        while len(open_):
+            d = bits_apart(words[open_], words[at[open_]])
+            slots, first, slot = np.unique(at[open_] * (64 * WORDS + 1) + d, return_index=True, return_inverse=True)
+            child = open_[first]
+            parent[child], self.edge[child] = at[child], d[first]
+            at[open_] = child[slot]
+            open_ = np.delete(open_, first)
+        self.children = np.argsort(parent, kind="stable")[1:]
+        self.start = np.searchsorted(parent[self.children], np.arange(n))
+        self.count = np.bincount(parent[self.children], minlength=n)
+
+    def search(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of queries, positions of entries within ``radius`` bits of them, and these bits."""
+        query, at = np.arange(len(queries)), np.zeros(len(queries), np.int64)
+        found = [(query[:0], at[:0], at[:0])]
+        while len(query):
+            d = bits_apart(self.words[at], queries[query])
+            hit = d <= radius
+            found.append((query[hit], at[hit], d[hit]))
+            count = self.count[at]
+            row = np.repeat(np.arange(len(query)), count)
+            child = self.children[np.arange(len(row)) + np.repeat(self.start[at] - np.cumsum(count) + count, count)]
+            near = np.abs(self.edge[child] - d[row]) <= radius
+            query, at = query[row[near]], child[near]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+
+
+#: Queries that go down a tree together.
+SEARCHED = 128
+
+
+def near_pairs(
+    shard: int | None, known: list[int], more: list[bytes], keys: list[list[int]], most_bits: int, similarity: float,
+) -> Iterator[tuple[int, list[int]]]:
+    """Each place, and the places before it that a shard's BK-tree has within ``most_bits``, nearest first.
+
+    Without those of one class ``known``, and those whose sizes alone make them less similar. In the shard of a
+    large key, ``shard``, two nodes count only if that is the first key that they share: in shards of
+    other keys they meet as well.
+    """
+    if len(more) < 2:
+        return
+    sketch = np.frombuffer(b"".join(more), np.uint64).reshape(-1, WORDS + 1)
+    words, size = np.ascontiguousarray(sketch[:, :WORDS]), sketch[:, WORDS].astype(np.int64)
+    klass, minima = np.array(known), np.array(keys)
+    tree = WideTree(words)
+    for start in range(0, len(words), SEARCHED):
+        i, j, bits = tree.search(words[start : start + SEARCHED], most_bits)
+        i += start
+        fit = (j < i) & (klass[i] != klass[j])
+        fit &= np.minimum(size[i], size[j]) / np.maximum(np.maximum(size[i], size[j]), 1) >= similarity
+        i, j, bits = i[fit], j[fit], bits[fit]
+        if shard is not None and len(i):
+            same = minima[i] == minima[j]
+            fit = minima[i, same.argmax(1)] == shard
+            i, j, bits = i[fit], j[fit], bits[fit]
+        order = np.lexsort((j, bits, i))
+        i, j = i[order], j[order].tolist()
+        ends = np.searchsorted(i, np.unique(i), side="right").tolist()
+        for lo, hi in zip([0, *ends], ends):
+            yield int(i[lo]), j[lo:hi]
 
 
 def known_classes(known: list[int]) -> list[int]:
@@ -275,43 +345,59 @@ def known_classes(known: list[int]) -> list[int]:
     return [first.setdefault(c, at) for at, c in enumerate(known)]
 
 
-def candidates(keyed: DataFrame, most_bits: int) -> DataFrame:
-    """(fps): the nodes of each shard of ``keyed`` (key, fp, known, more) that may be similar by
-    their bits, one row for each local component; pairs of one class ``known`` do not count."""
+#: What candidates are told by: number, class, sketch with the size of the set, keys of all minima.
+NODE = ["fp", "known", "more", "keys"]
+
+
+def candidates(shards: DataFrame, most_bits: int, similarity: float) -> DataFrame:
+    """(shard, fps): the nodes of each shard that may be similar by their bits and sizes, one row for each local component.
+
+    ``shards`` has rows (key, *NODE), or whole shards (shard, nodes) of large keys; ``shard`` is null for the former.
+    """
+    whole = "nodes" in shards.columns
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches):
+        if whole:
+            met = ((k, [n.values() for n in nodes]) for b in batches for k, nodes in zip(*(c.to_pylist() for c in b.columns)))
+        else:
+            met = ((None, [row[1:] for row in rows]) for rows in groups(batches))
+        for shard, rows in met:
             if len(rows) == 1:
                 continue
-            _, fps, known, more = zip(*rows)
-            klass = known_classes(known)
-            parent = list(range(len(rows)))
-            for i, near in near_places(more, most_bits):
+            fps, known, more, keys = zip(*sorted(map(tuple, rows)))
+            parent = list(range(len(fps)))
+            for i, near in near_pairs(shard, known, more, keys, most_bits, similarity):
                 for j in near:
-                    if klass[i] != klass[j]:
-                        parent[root_of(parent, i)] = root_of(parent, j)
+                    parent[root_of(parent, i)] = root_of(parent, j)
             found: dict[int, list[int]] = {}
             for at, fp in enumerate(fps):
                 found.setdefault(root_of(parent, at), []).append(fp)
             out = [x for x in found.values() if len(x) > 1]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], names=["fps"])
-
-    dealt = keyed.select("key", "fp", "known", "more").repartition(partitions(keyed.sparkSession), "key")
-    return dealt.sortWithinPartitions("key", "fp").mapInArrow(find, "fps array<long>").dropDuplicates(["fps"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard] * len(out), pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["shard", "fps"]
+                )
+
+    n = partitions(shards.sparkSession)
+    if whole:
+        dealt = shards.select("shard", F.transform("nodes", lambda x: F.struct(*(x[c].alias(c) for c in NODE))).alias("nodes"))
+        dealt = dealt.repartition(n)
+    else:
+        dealt = shards.select("key", *NODE).repartition(n, "key").sortWithinPartitions("key", "fp")
+    return dealt.mapInArrow(find, "shard long, fps array<long>").dropDuplicates(["shard", "fps"])
 
 
 def confirmed(found: DataFrame, texts: DataFrame, shingle: int, similarity: float, most_bits: int) -> DataFrame:
-    """Links (a, b) of ``found`` (fps) by the whole shingle sets of ``texts`` (fp, known, more, body).
+    """Links (a, b) of ``found`` (shard, fps) by the whole shingle sets of ``texts`` (*NODE, body).
 
     A pair is only left out if it is known, or links confirmed before it tell, that both are of one
-    class. So there are fewer links than nodes in a group, and none is lost.
+    class, or if it is held in the shard of another key. So there are fewer links than nodes in a group, and none is lost.
     """
 
-    def linked(fps: list[int], known: list[int], more: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+    def linked(shard, fps, known, more, keys, sets: list[np.ndarray]) -> pa.RecordBatch:
         parent = known_classes(known)
         a, b = [], []
-        for i, near in near_places(more, most_bits) if len(fps) > 1 else ():
+        for i, near in near_pairs(shard, known, more, keys, most_bits, similarity):
             for j in near:
                 if root_of(parent, i) != root_of(parent, j) and jaccard(sets[i], sets[j], similarity) >= similarity:
                     parent[root_of(parent, i)] = root_of(parent, j)
@@ -320,22 +406,22 @@ def confirmed(found: DataFrame, texts: DataFrame, shingle: int, similarity: floa
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, ([], [], [], [])
+        key, shard, held = None, None, ([], [], [], [], [])
         for batch in batches:
-            for *row, body in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(4)):
+            for *row, body in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(6)):
                 if row[0] != key:
-                    yield linked(*held)
-                    key, held = row[0], ([], [], [], [])
+                    yield linked(shard, *held)
+                    key, shard, held = row[0], row[1], ([], [], [], [], [])
                 # a text is let go as soon as its set of shingles is known
                 own = np.unique(shingle_hashes(body.as_py(), shingle))
                 # rows of one id may have different texts; each node has one set
-                if set_hash(own) == row[1] & 0xFFFFFFFFFFFFFFFF and row[1] not in held[0][-1:]:
-                    for column, value in zip(held, (*row[1:], own)):
+                if set_hash(own) == row[2] & 0xFFFFFFFFFFFFFFFF and row[2] not in held[0][-1:]:
+                    for column, value in zip(held, (*row[2:], own)):
                         column.append(value)
-        yield linked(*held)
+        yield linked(shard, *held)
 
-    members = found.select(F.xxhash64("fps").alias("key"), F.explode("fps").alias("fp"))
-    dealt = members.join(texts, "fp").select("key", "fp", "known", "more", "body")
+    members = found.select(F.xxhash64("shard", "fps").alias("key"), "shard", F.explode("fps").alias("fp"))
+    dealt = members.join(texts, "fp").select("key", "shard", *NODE, "body")
     dealt = dealt.repartition(partitions(found.sparkSession), "key").sortWithinPartitions("key", "fp")
     return dealt.mapInArrow(check, "a long, b long")
 
@@ -352,22 +438,29 @@ def jaccard(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> float:
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(fp, known, more, body) of the nodes in ``found`` (fps)."""
+    """(*NODE, body) of the nodes in ``found`` (fps)."""
     ends = found.select(F.explode("fps").alias("fp")).distinct()
-    wanted = nodes.join(ends, "fp", "left_semi").select("fp", F.col("id").alias("__id"), "known", "more")
+    wanted = nodes.join(ends, "fp", "left_semi").select(F.col("id").alias("__id"), *NODE)
     bodies = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("body"))
     met = bodies.join(wanted, F.col("id").eqNullSafe(F.col("__id")))
-    return met.select("fp", "known", "more", "body").distinct()
+    return met.select(*NODE, "body").distinct()
+
+
+def blocks_in(count: Column) -> Column:
+    return F.ceil(count / MAX_SHARD)
 
 
 def block_of(count: Column, salt: Column | str) -> Column:
-    """A block of ``MAX_SHARD / 2`` nodes or so, of a key with ``count`` nodes."""
-    return F.pmod(F.xxhash64("fp", salt), F.greatest(F.ceil(count / (MAX_SHARD // 2)), F.lit(1)))
+    """A block of ``MAX_SHARD`` nodes or so, of a key with ``count`` nodes."""
+    return F.pmod(F.xxhash64("fp", salt), F.greatest(blocks_in(count), F.lit(1)))
 
 
-def block_pairs(hot: DataFrame) -> DataFrame:
-    """Shards (key, fp) for keys of ``hot`` (key, fp, known) with too many nodes: every two blocks of a
-    key meet once. Nodes of the largest class that is known are not held against each other."""
+def block_shards(hot: DataFrame) -> DataFrame:
+    """Shards (shard, pair, nodes) for keys of ``hot`` (key, fp, known, …) with too many nodes: every two blocks of a
+    key meet once. Nodes of the largest class that is known are not held against each other.
+
+    A block is one row from the start, so two blocks that meet are one row and not one for each node.
+    """
     sizes = hot.groupBy("key", "known").count()
     plan = stored(
         sizes.groupBy("key").agg(F.max(F.struct("count", "known")).alias("most"), F.sum("count").alias("n"))
@@ -376,15 +469,24 @@ def block_pairs(hot: DataFrame) -> DataFrame:
         .filter("n_rest > 0"),
         "large-key-blocks",
     )
-    rest, mains = (F.ceil(F.col(c) / (MAX_SHARD // 2)) for c in ("n_rest", "n_main"))
-    placed = hot.join(plan, "key").withColumn("in_main", F.col("known") == F.col("main"))
-    placed = placed.withColumn("block", F.when(F.col("in_main"), rest + block_of(F.col("n_main"), "key")).otherwise(
+    rest, mains = blocks_in(F.col("n_rest")), blocks_in(F.col("n_main"))
+    node = F.struct(*(c for c in hot.columns if c != "key")).alias("node")
+    block = F.when(F.col("known") == F.col("main"), rest + block_of(F.col("n_main"), "key")).otherwise(
         block_of(F.col("n_rest"), "key")
-    )).withColumn("other", F.explode(F.sequence(
-        F.lit(0), F.when(F.col("in_main"), rest - 1).otherwise(rest + mains - 1)
-    )))
-    pair = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    return placed.select(pair.alias("key"), "fp")
+    )
+    placed = hot.join(plan, "key").select("key", block.alias("block"), rest.alias("rest"), (rest + mains).alias("all"), node)
+    packed = stored(placed.groupBy("key", "block", "rest", "all").agg(F.collect_list("node").alias("nodes")), "large-blocks")
+    ours = packed.filter("block < rest").withColumn("other", F.explode(F.sequence("block", F.col("all") - 1)))
+    theirs = packed.select("key", F.col("block").alias("other"), F.col("nodes").alias("met"))
+    both = F.when(F.col("block") == F.col("other"), F.col("nodes")).otherwise(F.concat("nodes", "met"))
+    return ours.join(theirs, ["key", "other"]).select(
+        F.col("key").alias("shard"), F.xxhash64("key", "block", "other").alias("pair"), both.alias("nodes")
+    )
+
+
+def block_pairs(hot: DataFrame) -> DataFrame:
+    """The shards of ``block_shards``, a row (key, fp) for each node."""
+    return block_shards(hot).select(F.col("pair").alias("key"), F.explode("nodes.fp").alias("fp"))
 
 
 def link_similar(
@@ -393,8 +495,8 @@ def link_similar(
     """Links (a, b) of ``nodes`` (fp, id, more, minima) whose shingle sets are similar enough."""
     most_bits = bits_in_reach(similarity)
 
-    def links(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-        found = stored(candidates(keyed, most_bits), "similar-groups")
+    def links(shards: DataFrame, nodes: DataFrame) -> DataFrame:
+        found = stored(candidates(shards, most_bits, similarity), "similar-groups")
         texts = texts_of(docs, nodes, found, id_col, text_col)
         return stored(confirmed(found, texts, shingle, similarity, most_bits), "similar-links")
 
@@ -402,10 +504,10 @@ def link_similar(
     # narrow, and written once; a minimum that no other node has is no shard
     keys = stored(nodes.select(F.explode(F.array(*single)).alias("key"), "fp").distinct(), "minima")
     sizes = stored(keys.groupBy("key").count().filter("count > 1"), "shard-sizes")
-    nodes = nodes.drop("minima").withColumn("known", F.col("fp"))
+    nodes = nodes.withColumn("keys", F.array(*single)).drop("minima").withColumn("known", F.col("fp"))
 
     def sketched(placed: DataFrame, nodes: DataFrame) -> DataFrame:
-        return placed.join(nodes.select("fp", "known", "more"), "fp").select("key", "fp", "known", "more")
+        return placed.join(nodes.select(*NODE), "fp").select("key", *NODE)
 
     # blocks of a large key differ from key to key, so the first round leaves few classes of a family of copies
     large = F.col("count") > MAX_SHARD
@@ -418,8 +520,7 @@ def link_similar(
     roots = stored(components(first).withColumnRenamed("node", "fp"), "first-classes")
     nodes = nodes.join(roots, "fp", "left").withColumn("known", F.coalesce("root", "fp")).drop("root")
     nodes = stored(nodes, "nodes-known")
-    placed = block_pairs(stored(hot.join(nodes.select("fp", "known"), "fp"), "large-keys-known"))
-    return first.union(links(sketched(placed, nodes), nodes))
+    return first.union(links(block_shards(stored(sketched(hot, nodes), "large-keys-known")), nodes))
 
 
 def classes(prints: DataFrame, links: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from twinshelf.operators import knn, small
+from twinshelf.operators.encode import word_hash
 from twinshelf.operators.knn import knn_join, with_payload
 from twinshelf.operators.nest import explode_hits, nest_hits
 
@@ -207,3 +208,22 @@ def test_a_row_is_sent_to_few_blocks(spark, monkeypatch, fetched):
     assert (total.gd, total.cells) == (8, 8 * 8 + 2 * 3 + 25 * 2)
     got = sizes.select(knn.blocks(F.col("n_q"), 16).alias("n")).toArrow()["n"].to_pylist()
     assert sorted(got) == [2, 8, 25]
+
+
+@pytest.mark.parametrize("by", [BY, ()])
+def test_equal_values_are_scored_once(spark, monkeypatch, by):
+    """Cells had all pairs of the rows; now of different values, with k rows of each on the database side."""
+    words = [f"{a} {b}" for a in ("red", "blue", "green") for b in ("cup", "cap", "cub")]
+    q = [(i, "ab"[i % 9 % 2], words[i % 9]) for i in range(180)] + [(500, "a", None), (501, None, "red cup"), (3, "a", "")]
+    db = [(1_000 - i, "ab"[i % 9 % 2], words[i % 9]) for i in range(270)] + [(2_000, "a", None), (7, "b", ""), (8, "c", "x")]
+    sides = [spark.createDataFrame(rows, f"{p}_id long, {c} string, {p}_text string")
+             for rows, p, c in ((q, "q", "qc"), (db, "db", "dc"))]
+    seen = []
+    grid = knn.score_grid
+    monkeypatch.setattr(knn, "score_grid", lambda *args: seen.append(args[3]) or grid(*args))
+    args = dict(k=4, by=by, block_rows=2, min_group_size=2)
+    got = knn.knn_join_values(*sides, q_value="q_text", db_value="db_text", vectors=word_hash(16), **args)
+    plain = [side.withColumn(f"{p}_vec", word_hash(16)(F.col(f"{p}_text"))) for side, p in zip(sides, ("q", "db"))]
+    expected = join(*plain, **args)
+    assert rows(got) == rows(expected) and got.columns == expected.columns
+    assert seen[0].n_q == 10 and seen[0].n_db <= 9 * 4 + 2 and seen[1].n_q > 180

@@ -7,6 +7,10 @@ hashed into ``gq`` blocks, its database rows into ``gd`` blocks, and each of the
 A group that holds a third of the table becomes many cells, a small one is a single
 cell.  A cell returns its k best rows per query, never its pairs; cells of the same
 query are merged by rank.
+
+Where vectors are made from values such as names, rows of a group with equal values have equal scores:
+each different value of the query side is encoded and scored once, against the k lowest ids of each different
+value of the database side, and its hits are given to all its rows. Work does not grow with the copies.
 """
 
 from __future__ import annotations
@@ -23,8 +27,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from twinshelf.config import require_columns
 from twinshelf.kernels import Scorer
-from twinshelf.operators.rows import group_sizes
+from twinshelf.operators.rows import group_sizes, guard_groups
 from twinshelf.operators.small import Small, measured
+from twinshelf.session import cut
 
 # A side of at most so many rows (and one block) is sent to every task, whatever block size
 # is asked for, if its vectors take no more bytes than that.
@@ -42,6 +47,10 @@ PAIRS_TO_SPREAD = 1_000_000
 PAIRS_PER_TASK = 200_000_000
 # A row is sent to so many blocks of the other side at most, as long as blocks of HELD_ROWS allow it.
 MOST_COPIES = 8
+# Copies are put together if at most this share of the pairs is left.
+WORTH_PUTTING_TOGETHER = 0.5
+# Hits that a task gives to rows with equal values.
+HITS_PER_TASK = 1_000_000
 # Spreading the scanned side over more tasks pays if each of its rows meets this many.
 ROWS_WORTH_A_SHUFFLE = 1_000
 
@@ -114,6 +123,69 @@ def knn_join(
     return top_k(hits, [*names, q_id], k, score, db_id) if total.gd > 1 else hits
 
 
+def knn_join_values(
+    q: DataFrame, db: DataFrame, *, k: int, q_value: str, db_value: str, vectors: Callable[[Column], Column],
+    q_id: str = "q_id", db_id: str = "db_id", by: Sequence[tuple[str, str, str]] = (), min_group_size: int = 1,
+    block_rows: int = 16_384, exclude_self: bool = False, score: str = "score",
+) -> DataFrame:
+    """:func:`knn_join` of the ``vectors`` that are made from a value of each row.
+
+    If both sides are larger than a block, their values are counted; equal ones are scored once if that
+    saves half of the pairs. With ``exclude_self`` each row has its own hits, so all are scored.
+    """
+    names = [n for _, _, n in by]
+    common = dict(k=k, q_vec="_vec", db_vec="_vec", block_rows=block_rows, score=score)
+
+    def side(df: DataFrame, keys: Sequence[str], row_id: str, value: str) -> DataFrame:
+        groups = [F.col(c).alias(n) for c, n in zip(keys, names)]
+        rows = df.select(*groups, F.col(row_id).alias("_id"), F.col(value).alias("_value"))
+        return rows.where(F.col("_id").isNotNull())
+
+    q_rows, db_rows = side(q, [c for c, _, _ in by], q_id, q_value), side(db, [c for _, c, _ in by], db_id, db_value)
+    found = F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*names, "_value"))
+    (n_q, values), (n_db, db_values) = (
+        (None, None) if exclude_self else rows.agg(*found).first() for rows in (q_rows, db_rows)
+    )
+    few = exclude_self or min(n_q, n_db) <= min(block_rows, HELD_ROWS)
+    if few or values * min(k * db_values, n_db) > WORTH_PUTTING_TOGETHER * n_q * n_db:
+        return knn_join(
+            q.withColumn("_vec", vectors(F.col(q_value))), db.withColumn("_vec", vectors(F.col(db_value))), by=by,
+            q_id=q_id, db_id=db_id, min_group_size=min_group_size, exclude_self=exclude_self, **common,
+        )
+    by_name = [(n, n, n) for n in names]
+    # the size of a group counts rows, not values
+    q_rows, db_rows = guard_groups(q_rows, db_rows, by_name, min_group_size)
+    valued = present_in(names, "_value")
+    q_rows, db_rows = (rows.where(valued) for rows in (q_rows, db_rows))
+    same = [*names, "_value"]
+    # numbered once they are stored; ids may be repeated
+    asked = cut(q_rows.select(*same).distinct()).withColumn("_asked", F.monotonically_increasing_id())
+    # however few files the table has, a task sorts a bounded number of rows
+    db_rows = db_rows.repartition(math.ceil(n_db * k / HITS_PER_TASK), "_id")
+    lowest = Window.partitionBy(*same).orderBy("_id")
+    kept = db_rows.withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= k).drop("_n")
+    hits = knn_join(
+        asked.withColumn("_vec", vectors(F.col("_value"))), kept.withColumn("_vec", vectors(F.col("_value"))),
+        by=by_name, q_id="_asked", db_id="_id", **common,
+    )
+    # at most k of them
+    hits = hits.groupBy("_asked").agg(F.collect_list(F.struct(F.col("_id").alias(db_id), score, "rank")).alias("_hits"))
+    hits = asked.join(hits, "_asked").select(*same, "_hits")
+    tasks = math.ceil(n_q * k / HITS_PER_TASK)
+    given = q_rows.repartition(tasks, "_id").join(hits, same).select(
+        *names, F.col("_id").alias(q_id), F.explode("_hits").alias("_hit")
+    )
+    return given.select(*names, q_id, *[F.col("_hit")[c].alias(c) for c in (db_id, score, "rank")])
+
+
+def present_in(names: Sequence[str], value: str) -> Column:
+    """Whether a row has a value and a group."""
+    condition = F.col(value).isNotNull()
+    for n in names:
+        condition = condition & F.col(n).isNotNull()
+    return condition
+
+
 def fits_tasks(rows: DataFrame, n: int) -> bool:
     """Whether ``n`` vectors as wide as the first one take few enough bytes."""
     if n <= ROWS_SURELY_HELD:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from twinshelf.config import DATABASE, QUERY, MatchConfig, require_columns
 from twinshelf.operators.ann import build_cells, knn_cells, knn_planes
 from twinshelf.operators.cell_tree import build_tree, knn_tree
-from twinshelf.operators.encode import embed, embed_once
-from twinshelf.operators.knn import knn_join, with_payload
+from twinshelf.operators.encode import embed, embed_once, get_encoder
+from twinshelf.operators.knn import knn_join, knn_join_values, with_payload
 from twinshelf.operators.rows import guard_groups
 from twinshelf.plans.ledger import Ledger, config_key
 from twinshelf.plans.resume import pending_categories
@@ -65,12 +65,10 @@ def image_vectors(
     return made.select(source, config.vector_col)
 
 
-def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
-    """Hits by the configured method: category, both ids, score and rank."""
-    common = dict(
+def join_settings(config: MatchConfig) -> dict:
+    """What all joins take from the configuration."""
+    return dict(
         k=config.top_k,
-        q_vec=config.vector_col,
-        db_vec=config.vector_col,
         q_id=config.side(QUERY, config.id_col),
         db_id=config.side(DATABASE, config.id_col),
         by=[(config.side(QUERY, config.category), config.side(DATABASE, config.category),
@@ -80,6 +78,11 @@ def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
         exclude_self=config.exclude_self,
         score=config.score_col,
     )
+
+
+def nearest(q: DataFrame, db: DataFrame, config: MatchConfig) -> DataFrame:
+    """Hits by the configured method: category, both ids, score and rank."""
+    common = dict(join_settings(config), q_vec=config.vector_col, db_vec=config.vector_col)
     if config.method != "exact":
         # these look at the vectors several times: the encoder must not run as often
         q, db = cut(q), cut(db)
@@ -117,13 +120,23 @@ def match(
     require_columns(q, [q_id, q_cat], "query side")
     require_columns(db, [db_id, db_cat], "database side")
     q_table, db_table = vector_tables or (None, None)
-    hits = nearest(
-        with_vectors(q, QUERY, config, images, q_table).select(q_id, q_cat, config.vector_col),
-        with_vectors(db, DATABASE, config, images, db_table).select(
-            db_id, db_cat, config.vector_col
-        ),
-        config,
-    )
+    made_here = config.vector_col not in q.columns and config.vector_col not in db.columns
+    if config.method == "exact" and config.match_by == "text" and made_here and not (q_table or db_table):
+        texts = [config.side(mode, config.input_col) for mode in (QUERY, DATABASE)]
+        for df, text, mode in zip((q, db), texts, (QUERY, DATABASE)):
+            require_columns(df, [text], f"{mode} side")
+        hits = knn_join_values(
+            q.select(q_id, q_cat, texts[0]), db.select(db_id, db_cat, texts[1]), q_value=texts[0], db_value=texts[1],
+            vectors=get_encoder(config.encoder_name), **join_settings(config),
+        )
+    else:
+        hits = nearest(
+            with_vectors(q, QUERY, config, images, q_table).select(q_id, q_cat, config.vector_col),
+            with_vectors(db, DATABASE, config, images, db_table).select(
+                db_id, db_cat, config.vector_col
+            ),
+            config,
+        )
     q_cols = [c for c in q.columns if c != config.vector_col]
     db_cols = [c for c in db.columns if c != config.vector_col]
     hits = with_payload(hits, q, {q_id: q_id, "category": q_cat}, q_cols)

@@ -318,3 +318,18 @@ def test_pca_scores_match_a_projection(spark):
     want = projected @ projected.T
     assert all(s == pytest.approx(want[i, j], abs=2e-5) for (i, j), s in got.items())
     assert len(got) == 1600
+
+
+@pytest.mark.parametrize("by", [BY, []])
+def test_planes_meet_each_pair_once_where_many_buckets_are_probed(spark, monkeypatch, by):
+    """Database rows were sent once for each table; results of both layouts are the same."""
+    q, db = (random_rows(seed, {"a": 70, "b": 40}) for seed in (41, 42))
+    sides = table(spark, "q", [*q, (900, "a", None)]), table(spark, "db", [*db, (901, "a", None)])
+    args = dict(k=3, width=8, tables=4, bits=5, probes=6, by=by, block_rows=16, **VECS)
+    seen = []
+    monkeypatch.setattr(ann, "knn_join", lambda *a, **kw: seen.append(kw["by"]) or knn_join(*a, **kw))
+    once = rows(ann.knn_planes(*sides, **args))
+    assert once and all(list(groups) == list(by) for groups in seen)
+    monkeypatch.setattr(ann, "DENSE_SHARE", 2.0)
+    assert rows(ann.knn_planes(*sides, **args)) == once
+    assert any(len(groups) == len(by) + 2 for groups in seen)

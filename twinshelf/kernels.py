@@ -310,6 +310,59 @@ class ProbeScorer(Scorer):
         return pair[best] + at, col[best], value[best], rank[best]
 
 
+@dataclass(frozen=True)
+class ReachScorer(Scorer):
+    """Scores rows that lie, in some table, in a bucket that the query probes.
+
+    For queries that probe a good share of the buckets: all pairs of a block are one matrix product, and
+    those out of reach are left out. The database side has ``_codes``, its bucket in each table, the query side
+    ``_limits``, the largest cost of a bucket that it probes. Rows of one id and vector count once.
+    """
+
+    planes: np.ndarray = None
+
+    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+        q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
+        if q.num_rows == 0 or db.num_rows == 0:
+            return self.schema.empty_table()
+        db = db.take(pc.sort_indices(db["_id"]))
+        rows = to_matrix(db["_vec"])
+        ids = pc.rank(db["_id"], sort_keys="ascending", tiebreaker="min").to_numpy()
+        if (ids[1:] == ids[:-1]).any():
+            _, first = np.unique(np.column_stack([ids.astype(np.float64), rows]), axis=0, return_index=True)
+            first.sort()
+            db, rows = db.take(pa.array(first)), rows[first]
+        queries, limits = to_matrix(q["_vec"]), to_matrix(q["_limits"])
+        if queries.shape[1] != rows.shape[1]:
+            raise ValueError(f"vectors of different lengths: {queries.shape[1]} and {rows.shape[1]}")
+        # per table: bits of the buckets that have rows, and which of them each row is in
+        bits = np.arange(self.planes.shape[1])
+        found = [np.unique(codes, return_inverse=True) for codes in to_matrix(db["_codes"]).astype(np.int64).T]
+        buckets = [(((codes[:, None] >> bits) & 1).astype(np.float64), own) for codes, own in found]
+        barred = self.own_columns(q, db) if self.exclude_self else np.full(q.num_rows, -1)
+        parts, step = [], max(1, SCORE_BUFFER // len(rows))
+        for at in range(0, len(queries), step):
+            some = queries[at:at + step]
+            reached = np.zeros((len(some), len(rows)), bool)
+            for table, planes in enumerate(self.planes):
+                sides = some @ planes.T
+                positive, margins = sides > 0, sides**2
+                set_bits, own = buckets[table]
+                cost = (margins * positive).sum(axis=1)[:, None] + (margins * (1 - 2 * positive)) @ set_bits.T
+                reached |= np.take(cost <= limits[at:at + step, table, None], own, axis=1)
+            scores = some @ rows.T
+            scores[~reached | np.isnan(scores)] = -np.inf
+            mine = barred[at:at + step]
+            scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
+            row, col, value = best_columns(scores, self.k)
+            parts.append((row + at, col, value, np.arange(len(row)) - np.searchsorted(row, row) + 1))
+        row, col, value, rank = (np.concatenate(p) for p in zip(*parts))
+        columns = [q[name].take(pa.array(row)) for name in self.keys]
+        columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
+                    pa.array(value), pa.array(rank.astype(np.int32))]
+        return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
+
+
 def vectors_to_arrow(matrix: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
     """Unit float32 rows; zero and invalid rows become null."""
     norms = np.linalg.norm(matrix.astype(np.float64), axis=1)

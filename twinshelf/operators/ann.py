@@ -11,7 +11,8 @@ cell is left whose bound reaches its k-th score, so nothing is missed and cells
 read; otherwise only queries with too few hits do.
 
 *Planes* are sign bits. A query takes, in each table, the buckets that its vector is nearest to
-leaving its own: those whose flipped bits have the least sum of squared margins.
+leaving its own: those whose flipped bits have the least sum of squared margins. Where the probes of all tables
+are a good share of the buckets, pairs meet once in a grid, and those out of reach are left out there.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinshelf.kernels import ProbeScorer, least_sums, to_matrix
+from twinshelf.kernels import ProbeScorer, ReachScorer, least_sums, to_matrix
 from twinshelf.operators import centroids as fitting
 from twinshelf.operators.knn import knn_join, top_k
 from twinshelf.operators.rows import By, guard_groups, matching
@@ -43,6 +44,8 @@ TUNING_QUERIES = 200
 # A score is rounded; a row that rounds to the k-th score may be this much below it.
 ROUNDING, COARSE_ROUNDING = 1.1e-5, 0.11
 MOST_TABLES, MOST_BITS = 16, 20
+# A matrix product of all pairs costs less than the pairs of the probed buckets if these are such a share, tables added up.
+DENSE_SHARE = 0.125
 CENTROIDS = "cell int, centroid array<double>, n_cells int"
 # Cells that a query goes on to at once; every further step takes four times as many.
 FIRST_STEP = 4
@@ -427,6 +430,27 @@ def plane_probes(planes: np.ndarray, probes: int, shift: int) -> Callable[[Colum
     return apply.asNondeterministic()
 
 
+def plane_limits(planes: np.ndarray, probes: int) -> Callable[[Column], Column]:
+    """The limit of :func:`plane_probes` in each table."""
+
+    @F.arrow_udf("array<double>")
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for vectors in batches:
+            valid = vectors.is_valid().to_numpy(zero_copy_only=False)
+            if not valid.any():
+                yield pa.nulls(len(vectors), pa.list_(pa.float64()))
+                continue
+            points = to_matrix(vectors.drop_null())
+            # see plane_probes
+            limits = np.stack([least_sums(squared_margins(points, t)[1], probes)[:, -1] for t in planes], axis=1)
+            offsets = np.concatenate([[0], np.cumsum(valid * len(planes))]).astype(np.int32)
+            yield pa.ListArray.from_arrays(
+                offsets, pa.array((limits * (1 + 1e-9) + 1e-12).ravel()), mask=pa.array(~valid)
+            )
+
+    return apply.asNondeterministic()
+
+
 def knn_planes(
     q: DataFrame, db: DataFrame, *, k: int, width: int, q_vec: str, db_vec: str,
     tables: int | None = None, bits: int | None = None, probes: int | None = None,
@@ -446,6 +470,16 @@ def knn_planes(
     if tables is None or bits is None or probes is None:
         tables, bits, probes = choose_planes(q, db, most, width, by, target_recall, common, tables, bits, probes)
     planes = sign_planes(tables, bits, width)
+    keys = [*(n for _, _, n in by), q_id]
+    if tables * probes >= DENSE_SHARE * (1 << bits):
+        found = knn_join(
+            q.withColumn("_limits", plane_limits(planes, probes)(F.col(q_vec))),
+            db.withColumn("_codes", plane_codes(planes)(F.col(db_vec))), by=by, q_more=["_limits"], db_more=["_codes"],
+            scorer=lambda *args: ReachScorer(*args, planes=planes), **common,
+        )
+        # a query that comes twice has its hits once
+        pairs = found.select(*keys, db_id, score).repartition(*keys).distinct()
+        return complete(top_k(pairs, keys, k, score, db_id), q, db, by=by, **common)
     # rows of a table whose codes begin alike are one group, of a block or so, and not a group a bucket
     shift = max(0, bits - max(0, math.ceil(math.log2(max(most, 1) / block_rows))))
     held = db.select("*", F.posexplode(plane_codes(planes)(F.col(db_vec))).alias("_table", "_code"))
@@ -457,7 +491,6 @@ def knn_planes(
         q_more=["_limit"], db_more=["_code"],
         scorer=lambda *args: ProbeScorer(*args, planes=planes, table="_table"), **common,
     )
-    keys = [*(n for _, _, n in by), q_id]
     # One shuffle by query serves both the removal of repeated pairs and the rank.
     pairs = found.select(*keys, db_id, score).repartition(*keys).distinct()
     return complete(top_k(pairs, keys, k, score, db_id), q, db, by=by, **common)

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 from unittest import mock
 
 import numpy as np
@@ -170,3 +171,14 @@ def test_a_scan_keeps_k_rows_per_query_over_many_blocks(monkeypatch):
         want += scorer.score(*pair).to_pylist()
     order = lambda r: (r["category"], r["q_id"], r["rank"])
     assert sorted(got.to_pylist(), key=order) == sorted(want, key=order)
+
+
+def test_texts_are_counted_in_small_parts():
+    """Places of the words of 32 MB of text took several times as much at a time."""
+    texts = pa.array(["one two three four five six " * 1_000] * 800)
+    tracemalloc.start()
+    got = hashed_counts(texts, 8, 0, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.sum() == 800 * 6_000
+    assert peak < 80 << 20

@@ -18,7 +18,7 @@ SCORE_BUFFER = 1_000_000
 # Rows of a scanned side scored together.
 SCAN_ROWS = 16_384
 # Bytes of text split at a time inside a task.
-TEXT_BUFFER = 32 << 20
+TEXT_BUFFER = 4 << 20
 
 # Channel means and deviations of the public ImageNet statistics.
 CHANNEL_MEAN = (0.485, 0.456, 0.406)

@@ -333,3 +333,27 @@ def test_planes_meet_each_pair_once_where_many_buckets_are_probed(spark, monkeyp
     monkeypatch.setattr(ann, "DENSE_SHARE", 2.0)
     assert rows(ann.knn_planes(*sides, **args)) == once
     assert any(len(groups) == len(by) + 2 for groups in seen)
+
+
+@pytest.mark.parametrize("block_rows", [1000, 9])
+@pytest.mark.parametrize("by", [BY, []])
+def test_pairs_meet_once_where_many_cells_are_probed(spark, fresh, monkeypatch, by, block_rows):
+    """A query was sent once to each of its cells; results of both layouts are the same."""
+    q, db = (random_rows(seed, {"a": 70, "b": 40}) for seed in (51, 52))
+    left = table(spark, "q", [*q, q[0], (900, "a", None), (901, None, q[1][2])])
+    right = table(spark, "db", [*db, db[0], (901, "a", None)])
+    index = ann.build_cells(right, fresh("cells"), vec="db_vec", n_cells=30)
+    monkeypatch.setattr(ann, "FIRST_STEP", 9)       # more than ``MOST_COPIES``
+    seen = []
+    monkeypatch.setattr(ann, "knn_join", lambda *a, **kw: seen.append((len(kw["by"]), a[0].columns)) or knn_join(*a, **kw))
+
+    def results():
+        seen.clear()
+        return [rows(ann.knn_cells(left, index, k=3, by=by, block_rows=block_rows, **args, **VECS))
+                for args in (dict(nprobe=12), dict(nprobe=1, exact=True), dict(nprobe=12, exclude_self=True))]
+
+    once = results()
+    assert all(once) and [n for n, columns in seen if "_probed" in columns] == [len(by)] * 3
+    monkeypatch.setattr(ann, "DENSE_SHARE", 2.0)
+    assert results() == once
+    assert not any("_probed" in columns for _, columns in seen)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from test_ann import VECS, clustered
 from test_knn import BY, brute_force, random_rows, table
-from twinshelf.operators import cell_tree, evaluate
+from twinshelf.operators import ann, cell_tree, evaluate
 from twinshelf.operators.knn import knn_join
 
 
@@ -89,3 +89,18 @@ def test_a_finished_tree_is_used_as_it_is(spark, sides, fresh):
     first = cell_tree.build_tree(db, path, vec="db_vec", n_cells=9).rows().collect()
     again = cell_tree.build_tree(db, path, vec="db_vec", n_cells=9).rows().collect()
     assert sorted(map(repr, first)) == sorted(map(repr, again))
+
+
+def test_pairs_meet_once_where_many_leaves_are_probed(spark, fresh, monkeypatch):
+    """A query was sent once to each leaf of its beam; results of both layouts are the same."""
+    q, db = (random_rows(seed, {"a": 70, "b": 40}) for seed in (61, 62))
+    left, right = table(spark, "q", q), table(spark, "db", db)
+    tree = cell_tree.build_tree(right, fresh("tree"), vec="db_vec", n_cells=25)
+    seen = []
+    monkeypatch.setattr(ann, "knn_join", lambda *a, **kw: seen.append(a[0].columns) or knn_join(*a, **kw))
+    args = dict(k=4, beam=4, nprobe=13, by=BY, **VECS)
+    once = rows(cell_tree.knn_tree(left, tree, **args))
+    assert once and "_probed" in seen[0]
+    monkeypatch.setattr(ann, "DENSE_SHARE", 2.0)
+    assert rows(cell_tree.knn_tree(left, tree, **args)) == once
+    assert "_cell" in seen[-1]

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 SCORE_BUFFER = 1_000_000
 # Rows of a scanned side scored together.
 SCAN_ROWS = 16_384
+# Hits that a task makes at a time.
+HITS_PER_TASK = 1_000_000
 # Bytes of text split at a time inside a task.
 TEXT_BUFFER = 4 << 20
 
@@ -123,7 +125,9 @@ class Scorer:
                     if name not in partners:
                         continue
                     if held_is_db:  # a query meets all its rows at once
-                        yield from self.score(rows, partners[name]).to_batches()
+                        few = max(1, HITS_PER_TASK // min(self.k, max(partners[name].num_rows, 1)))
+                        for at in range(0, rows.num_rows, few):
+                            yield from self.score(rows.slice(at, few), partners[name]).to_batches()
                         continue
                     # the task keeps k rows per query, however many blocks it scans
                     hits = self.score(partners[name], rows)
@@ -160,10 +164,13 @@ class Scorer:
             )
         finite = np.isfinite(q_matrix).all() and np.isfinite(db_matrix).all()
         own = self.own_columns(q, db) if self.exclude_self else None
+        reach = self.reach(q, db)
         step = max(1, SCORE_BUFFER // db.num_rows)
         parts = []
         for start in range(0, q.num_rows, step):
             scores = q_matrix[start:start + step] @ db_matrix.T
+            if reach is not None:
+                scores += reach(start, start + step)
             if not finite:
                 scores[np.isnan(scores)] = -np.inf
             if own is not None:
@@ -178,6 +185,10 @@ class Scorer:
                     pa.array(value), pa.array(rank.astype(np.int32))]
         return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
 
+    def reach(self, q: pa.Table, db: pa.Table) -> Callable[[int, int], np.ndarray] | None:
+        """For the queries of a stretch, 0 for database rows that count and -inf for others; None if all count."""
+        return None
+
     @staticmethod
     def own_columns(q: pa.Table, db: pa.Table) -> np.ndarray:
         """Position of each query among the database rows, -1 if it is not there."""
@@ -218,24 +229,76 @@ def decoded(codes: np.ndarray, words: Sequence[np.ndarray]) -> np.ndarray:
 
 
 @dataclass(frozen=True)
-class CodeScorer(Scorer):
+class CellScorer(Scorer):
+    """Scores rows of the cells that a query probes, where these are a good share of all cells.
+
+    All pairs of a block are one matrix product, and those of other cells are left out. The database side has
+    its ``cell``, the query side ``_probed``, one bit for each cell; without that column all cells count.
+    """
+
+    def reach(self, q: pa.Table, db: pa.Table) -> Callable[[int, int], np.ndarray] | None:
+        if "_probed" not in q.column_names:
+            return None
+        cells, own = np.unique(db["cell"].to_numpy(), return_inverse=True)
+        bits = np.frombuffer(b"".join(q["_probed"].to_pylist()), np.uint8).reshape(q.num_rows, -1)
+        return lambda lo, hi: np.take(np.where(bits[lo:hi][:, cells >> 3] >> (cells & 7) & 1, 0.0, -np.inf), own, axis=1)
+
+
+@dataclass(frozen=True)
+class CodeScorer(CellScorer):
     """Scores queries against decoded rows: ``_vec`` of the database side is a code.
 
-    The key column ``cell`` tells whose centroid the decoded residuals belong to.
+    The column ``cell`` tells whose centroid a decoded residual belongs to. Rows are decoded ``SCAN_ROWS`` at a
+    time, so a block may have very many; the best so far go along.
     """
 
     words: Sequence[np.ndarray] = ()
     centroids: np.ndarray = None
 
     def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
-        db = db.filter(pc.is_valid(db["_vec"]))
-        if db.num_rows:
-            codes = to_matrix(db["_vec"]).astype(np.int64)
-            points = decoded(codes, self.words) + self.centroids[db["cell"][0].as_py()]
-            offsets = np.arange(len(points) + 1, dtype=np.int32) * points.shape[1]
-            place = db.schema.get_field_index("_vec")
-            db = db.set_column(place, "_vec", pa.ListArray.from_arrays(offsets, pa.array(points.ravel())))
-        return super().score(q, db)
+        q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
+        if q.num_rows == 0 or db.num_rows == 0:
+            return self.schema.empty_table()
+        db = db.take(pc.sort_indices(db["_id"]))
+        queries, cells = to_matrix(q["_vec"]), db["cell"].to_numpy()
+        own = self.own_columns(q, db) if self.exclude_self else np.full(q.num_rows, -1)
+        k = min(self.k, db.num_rows)
+        # places in the order of ids, so that ties go to the lower id
+        best, place = np.full((len(queries), k), -np.inf), np.zeros((len(queries), k), np.int64)
+        for at in range(0, db.num_rows, SCAN_ROWS):
+            some = db.slice(at, SCAN_ROWS)
+            points = decoded(to_matrix(some["_vec"]).astype(np.int64), self.words) + self.centroids[cells[at:at + SCAN_ROWS]]
+            reach = self.reach(q, some)
+            step = max(1, SCORE_BUFFER // (k + len(points)))
+            for lo in range(0, len(queries), step):
+                hi = min(lo + step, len(queries))
+                scores = queries[lo:hi] @ points.T
+                if reach is not None:
+                    scores += reach(lo, hi)
+                scores[np.isnan(scores)] = -np.inf
+                mine = own[lo:hi] - at
+                barred = np.flatnonzero((mine >= 0) & (mine < len(points)))
+                scores[barred, mine[barred]] = -np.inf
+                if at:
+                    scores = np.concatenate([best[lo:hi], scores], axis=1)
+                row, col, value = best_columns(scores, k)
+                by_id = np.lexsort((col, row))
+                row, col, value = row[by_id], col[by_id], value[by_id]
+                new = col - k + at if at else col
+                if at:
+                    new = np.where(col < k, place[lo + row, np.minimum(col, k - 1)], new)
+                free = np.arange(len(row)) - np.searchsorted(row, row)
+                best[lo:hi] = -np.inf
+                best[lo + row, free], place[lo + row, free] = value, new
+        row, col = np.nonzero(best > -np.inf)
+        value, col = best[row, col], place[row, col]
+        order = np.lexsort((col, -value, row))
+        row, col, value = row[order], col[order], value[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
+        columns = [q[name].take(pa.array(row)) for name in self.keys]
+        columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
+                    pa.array(value), pa.array(rank.astype(np.int32))]
+        return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
 
 
 @dataclass(frozen=True)

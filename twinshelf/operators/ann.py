@@ -8,7 +8,8 @@ other group.
 in the order of a bound, through cells that may still hold a better row: no row of a cell with
 centroid c and radius r scores more than q·c + |q| r. With ``exact`` every query goes on until no
 cell is left whose bound reaches its k-th score, so nothing is missed and cells far away are never
-read; otherwise only queries with too few hits do.
+read; otherwise only queries with too few hits do. Where the cells that queries take are a good share of all cells,
+pairs meet once in a grid instead of once a cell, and those of other cells are left out there.
 
 *Planes* are sign bits. A query takes, in each table, the buckets that its vector is nearest to
 leaving its own: those whose flipped bits have the least sum of squared margins. Where the probes of all tables
@@ -24,12 +25,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinshelf.kernels import ProbeScorer, ReachScorer, least_sums, to_matrix
+from twinshelf.kernels import CellScorer, ProbeScorer, ReachScorer, least_sums, to_matrix
 from twinshelf.operators import centroids as fitting
-from twinshelf.operators.knn import knn_join, top_k
+from twinshelf.operators.knn import MOST_COPIES, knn_join, top_k
 from twinshelf.operators.rows import By, guard_groups, matching
 from twinshelf.operators.small import measured
 from twinshelf.session import cut
@@ -96,13 +98,34 @@ def nearest_places(vectors: np.ndarray, centroids: np.ndarray, n: int) -> np.nda
     return out
 
 
+def in_reach(
+    vectors: pa.Array, kth: pa.Array, centroids: np.ndarray, radii: np.ndarray, nprobe: int,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Stretches of the valid rows: their numbers, how many cells they go on to, and all cells in the order of bounds."""
+    valid = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))
+    if not len(valid) or not len(centroids):
+        return
+    points = to_matrix(vectors.drop_null())
+    floor = kth.to_numpy(zero_copy_only=False).astype(np.float64)[valid]
+    floor = floor - np.where(floor > 1, COARSE_ROUNDING, ROUNDING)
+    step = max(1, DISTANCE_BYTES // (16 * len(centroids)))
+    for at in range(0, len(points), step):
+        part = points[at:at + step]
+        near = nearest_places(part, centroids, nprobe)
+        bounds = part @ centroids.T + np.linalg.norm(part, axis=1)[:, None] * radii
+        np.put_along_axis(bounds, near, -np.inf, axis=1)
+        # a null k-th score is nan, below which nothing is
+        bounds[bounds < floor[at:at + step, None]] = -np.inf
+        yield valid[at:at + step], np.isfinite(bounds).sum(axis=1), np.argsort(-bounds, axis=1, kind="stable")
+
+
 def further_cells(
     centroids: np.ndarray, radii: np.ndarray, nprobe: int, start: int, stop: int,
 ) -> Callable[[Column, Column], Column]:
     """Cells, of all but the ``nprobe`` nearest, that may hold a row to beat ``kth``.
 
     They come in the order of their bounds, the ``start``-th to the ``stop``-th of them; a
-    null ``kth`` lets every cell in. A last element of -1 tells that more would follow.
+    null ``kth`` lets every cell in. A last element below 0 tells how many more would follow.
     """
     centroids = np.asarray(centroids, dtype=np.float64)
 
@@ -110,29 +133,79 @@ def further_cells(
     def apply(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for vectors, kth in batches:
             out: list[list[int] | None] = [None] * len(vectors)
-            valid = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))
-            if len(valid) and len(centroids):
-                points = to_matrix(vectors.drop_null())
-                floor = kth.to_numpy(zero_copy_only=False).astype(np.float64)[valid]
-                floor = floor - np.where(floor > 1, COARSE_ROUNDING, ROUNDING)
-                step = max(1, DISTANCE_BYTES // (16 * len(centroids)))
-                for at in range(0, len(points), step):
-                    part = points[at:at + step]
-                    near = nearest_places(part, centroids, nprobe)
-                    bounds = part @ centroids.T + np.linalg.norm(part, axis=1)[:, None] * radii
-                    np.put_along_axis(bounds, near, -np.inf, axis=1)
-                    # a null k-th score is nan, below which nothing is
-                    bounds[bounds < floor[at:at + step, None]] = -np.inf
-                    count = np.isfinite(bounds).sum(axis=1)
-                    order = np.argsort(-bounds, axis=1, kind="stable")
-                    for row, n, cells in zip(valid[at:at + step], count, order):
-                        taken = cells[start:min(stop, n)].tolist()
-                        out[row] = [*taken, -1] if n > stop else taken
+            for some, counts, order in in_reach(vectors, kth, centroids, radii, nprobe):
+                for row, n, cells in zip(some, counts.tolist(), order):
+                    taken = cells[start:min(stop, n)].tolist()
+                    out[row] = [*taken, stop - n] if n > stop else taken
             yield pa.array(out, pa.list_(pa.int32()))
 
     return apply.asNondeterministic()
 
 
+def all_further_cells(
+    centroids: np.ndarray, radii: np.ndarray, nprobe: int, start: int,
+) -> Callable[[Column, Column], Column]:
+    """All the cells of :func:`further_cells` from the ``start``-th on, as one bit for each cell."""
+    centroids = np.asarray(centroids, dtype=np.float64)
+
+    @F.arrow_udf("binary")
+    def apply(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for vectors, kth in batches:
+            out: list[bytes | None] = [None] * len(vectors)
+            for some, counts, order in in_reach(vectors, kth, centroids, radii, nprobe):
+                place = np.arange(order.shape[1])
+                taken = np.zeros(order.shape, bool)
+                np.put_along_axis(taken, order, (place >= start) & (place < counts[:, None]), axis=1)
+                for row, bits in zip(some, np.packbits(taken, axis=1, bitorder="little")):
+                    out[row] = bits.tobytes()
+            yield pa.array(out, pa.binary())
+
+    return apply.asNondeterministic()
+
+
+def cell_bits(n_cells: int) -> Callable[[Column], Column]:
+    """A list of cells as one bit for each cell."""
+
+    @F.arrow_udf("binary")
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            out = np.zeros((len(lists), -(-n_cells // 8)), np.uint8)
+            row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+            cell = lists.flatten().to_numpy(zero_copy_only=False)
+            np.bitwise_or.at(out, (row, cell >> 3), (1 << (cell & 7)).astype(np.uint8))
+            yield pa.array([bits.tobytes() for bits in out], pa.binary())
+
+    return apply.asNondeterministic()
+
+
+def many_cells(nprobe: int, n_cells: int) -> bool:
+    """Whether queries that take so many cells each meet the rows in a grid."""
+    return nprobe > MOST_COPIES and nprobe >= DENSE_SHARE * n_cells
+
+
+def knn_in_cells(
+    q: DataFrame, db: DataFrame, nprobe: int, n_cells: int, by: By, *, join: Callable[..., DataFrame] | None = None, **args,
+) -> DataFrame:
+    """Hits of ``q`` in the about ``nprobe`` cells that its column ``_cells`` lists; ranks are not final.
+
+    A query is sent to each of its cells, or, if these are many, once for each block of rows.
+    """
+    join = join or knn_join
+    if many_cells(nprobe, n_cells):
+        asked = q.where(F.col("_cells").isNotNull()).withColumn("_probed", cell_bits(n_cells)(F.col("_cells")))
+        return knn_dense(asked.drop("_cells"), db, by, join=join, **args)
+    probes = q.withColumn("_cell", F.explode("_cells")).drop("_cells").where("_cell >= 0")
+    return join(probes, db, by=[*by, ("_cell", "cell", "cell")], **args).drop("cell", "rank")
+
+
+def knn_dense(
+    q: DataFrame, db: DataFrame, by: By, *, join: Callable[..., DataFrame] | None = None,
+    scorer: Callable[..., CellScorer] = CellScorer, **args,
+) -> DataFrame:
+    """Hits of ``q`` in the cells of its column ``_probed``; ranks are not final."""
+    return (join or knn_join)(q, db, by=by, q_more=["_probed"], db_more=["cell"], scorer=scorer, **args).drop("rank")
+
+
 def train_centroids(
     vectors: DataFrame, vec: str, n_cells: int, max_iter: int = 10, seed: int = 7,
 ) -> np.ndarray:
@@ -275,25 +348,28 @@ def knn_cells(
     if nprobe is None:
         nprobe = 1 if exact else choose_nprobe(q, db, centroids, by, target_recall, common)
 
-    def probed(rows: DataFrame) -> DataFrame:
-        """Hits of ``rows`` in the cells listed in their column ``_cells``."""
-        probes = rows.withColumn("_cell", F.explode("_cells")).drop("_cells").where("_cell >= 0")
-        return knn_join(probes, db, by=[*by, ("_cell", "cell", "cell")], **common).drop("cell", "rank")
-
+    n_cells = len(centroids)
     near = q.withColumn("_cells", nearest_cells(centroids, nprobe)(F.col(q_vec)))
-    hits = cut(top_k(probed(near), keys, k, score, db_id))
-    if nprobe >= len(centroids):
+    hits = cut(top_k(knn_in_cells(near, db, nprobe, n_cells, by, **common), keys, k, score, db_id))
+    if nprobe >= n_cells:
         return hits
     open_ = queries_to_go_on(hits, q, db, by, exact, q_id, q_vec, k, exclude_self, score)
-    radii, start, width = index.radii(len(centroids)), 0, max(nprobe, FIRST_STEP)
+    radii, start, width = index.radii(n_cells), 0, max(nprobe, FIRST_STEP)
     while True:
         further = further_cells(centroids, radii, nprobe, start, start + width)
         # cells depend on the k-th score, which is better after each round; those probed
         # before are always the first in the order, or out of reach
         open_ = cut(open_.withColumn("_cells", further(F.col(q_vec), F.col("_kth"))).where(F.size("_cells") > 0))
-        if open_.isEmpty():
+        last = F.element_at("_cells", -1)
+        reach = F.when(last < 0, F.size("_cells") - 1 - last).otherwise(F.size("_cells"))
+        asked, cells = open_.agg(F.count(F.lit(1)), F.sum(reach)).first()
+        if not asked:
             return hits
-        found = probed(open_.drop("_kth"))
+        if width > MOST_COPIES and many_cells(cells / asked, n_cells):
+            rest = all_further_cells(centroids, radii, nprobe, start)(F.col(q_vec), F.col("_kth"))
+            found = knn_dense(open_.withColumn("_probed", rest).drop("_cells", "_kth"), db, by, **common)
+            return cut(top_k(hits.drop("rank").unionByName(found), keys, k, score, db_id))
+        found = knn_in_cells(open_.drop("_kth"), db, 0, n_cells, by, **common)
         hits = cut(top_k(hits.drop("rank").unionByName(found), keys, k, score, db_id))
         left = open_.where(F.element_at("_cells", -1) < 0).drop("_cells", "_kth")
         open_ = with_kth(left, hits, by, q_id, k, score)

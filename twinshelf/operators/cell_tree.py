@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from twinshelf.kernels import to_matrix
 from twinshelf.operators import centroids as fitting
-from twinshelf.operators.ann import complete, nearest_cells, nearest_places, tuning_sample
+from twinshelf.operators.ann import complete, knn_in_cells, nearest_cells, nearest_places, tuning_sample
 from twinshelf.operators.knn import knn_join, top_k
 from twinshelf.operators.rows import By, guard_groups
 from twinshelf.operators.small import measured
@@ -211,8 +211,9 @@ def knn_tree(
     if beam is None or nprobe is None:
         beam, nprobe = choose_probes(q, db, tree, tops, by, target_recall, common, beam, nprobe)
     near = cells_in_beam(q, tree, tops, keys, q_vec, beam, nprobe)
-    probes = q.select(*keys, q_vec).join(near, keys).withColumn("_cell", F.explode("_cells")).drop("_cells")
-    found = knn_join(probes, db, by=[*by, ("_cell", "cell", "cell")], **common).drop("cell", "rank")
+    # leaves of all top cells are numbered through
+    n_cells = (tree.leaves().agg(F.max("_cell")).first()[0] or 0) + 1
+    found = knn_in_cells(q.select(*keys, q_vec).join(near, keys), db, nprobe, n_cells, by, **common)
     return complete(top_k(found, [*names, q_id], k, score, db_id), q, db, by=by, **common)
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +7,7 @@ from helpers import rows
 from test_ann import VECS, clustered
 from test_knn import BY, brute_force, random_rows, table
 from twinshelf import kernels
-from twinshelf.operators import ann, codes, evaluate
+from twinshelf.operators import ann, codes, evaluate, knn
 from twinshelf.operators.knn import knn_join
 
 
@@ -104,3 +105,61 @@ def test_whole_groups_leave_a_cell_as_k_rows_a_query(spark, sides, fresh, monkey
         seen.clear()
         assert codes.knn_codes(q, found, k=4, nprobe=4, rerank=rerank, by=BY, **VECS).count() == 38 * 4
         assert seen == [k]
+
+
+def test_codes_in_parts_and_pairs_that_meet_once(spark, fresh, monkeypatch):
+    """A task made all hits of 16,384 queries at once, and a query met the codes once a cell."""
+    q, db = (random_rows(seed, {"a": 70, "b": 40}) for seed in (71, 72))
+    left, right = table(spark, "q", q), table(spark, "db", db)
+    found = coded(spark, right, fresh, n_cells=12, parts=2)
+    args = dict(k=4, nprobe=9, rerank=9, **VECS)
+    seen = []
+    for exclude_self in (False, True):
+        monkeypatch.undo()
+        monkeypatch.setattr(codes, "knn_join", lambda *a, **kw: seen.append(a[0].columns) or knn_join(*a, **kw))
+        once = rows(codes.knn_codes(left, found, exclude_self=exclude_self, **args))
+        assert once and "_probed" in seen[-1]
+        monkeypatch.setattr(ann, "DENSE_SHARE", 2.0)
+        assert rows(codes.knn_codes(left, found, exclude_self=exclude_self, **args)) == once
+        assert "_cell" in seen[-1]
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_scores_by_codes_do_not_depend_on_parts(monkeypatch, own):
+    pick = np.random.default_rng(3)
+    words, centroids = [pick.normal(size=(6, 2)) for _ in range(2)], pick.normal(size=(3, 4))
+    db = pa.table({
+        "_id": pa.array(pick.permutation(60)), "cell": pa.array(pick.integers(0, 3, 60), pa.int32()),
+        "_vec": pa.array((pick.integers(0, 6, (60, 2)) - 128).tolist(), pa.list_(pa.int8())),
+    })
+    q = pa.table({"_id": pa.array(range(20)), "_vec": pa.array(pick.normal(size=(20, 4)).tolist())})
+    schema = pa.schema([("q", pa.int64()), ("db", pa.int64()), ("score", pa.float64()), ("rank", pa.int32())])
+    score = kernels.CodeScorer([], 7, own, schema, words=words, centroids=centroids).score
+    whole = score(q, db)
+    points = kernels.decoded(np.array(db["_vec"].to_pylist()), words) + centroids[db["cell"].to_numpy()]
+    for i, vector in enumerate(np.array(q["_vec"].to_pylist())):
+        values = [(-kernels.rounded(np.array([s]))[0], j) for s, j in zip(points @ vector, db["_id"].to_pylist()) if not own or i != j]
+        want = [(j, -s) for s, j in sorted(values)[:7]]
+        got = [(r["db"], r["score"]) for r in whole.to_pylist() if r["q"] == i]
+        assert [j for j, _ in got] == [j for j, _ in want] and np.allclose([s for _, s in got], [s for _, s in want])
+    monkeypatch.setattr(kernels, "SCAN_ROWS", 9)
+    monkeypatch.setattr(kernels, "SCORE_BUFFER", 40)
+    assert score(q, db).equals(whole)
+
+
+def test_a_task_makes_a_bounded_number_of_hits(spark, monkeypatch):
+    """A block had as many queries whatever k was, so that its hits grew with both."""
+    layout = knn.Layout(16_384, None, 640)
+    n = np.array([600_000, 10])
+    gq, gd = layout.numbers(n, n)
+    assert gq.tolist() == [384, 1] and gd.tolist() == [37, 1]
+    sizes = spark.createDataFrame([(600_000, 600_000), (10, 10)], "n_q long, n_db long")
+    columns = sizes.select(*layout.columns(F.col("n_q"), F.col("n_db"))).collect()
+    assert [tuple(r) for r in columns] == list(zip(gq.tolist(), gd.tolist()))
+    q, db = random_rows(1, {"a": 30, "b": 20}), random_rows(2, {"a": 40, "b": 9})
+    want = brute_force(q, db, 12)
+    for module in (kernels, knn):
+        monkeypatch.setattr(module, "HITS_PER_TASK", 60)
+    for block_rows in (1000, 5):
+        got = knn_join(table(spark, "q", q), table(spark, "db", db), k=12, by=BY, block_rows=block_rows, **VECS)
+        assert rows(got) == want

@@ -248,6 +248,21 @@ def test_match_by_image_against_brute_force(spark, sf_dir):
         assert mine == pytest.approx(sorted(-s for s, _ in best), abs=2e-5)
 
 
+def test_images_are_read_once_for_both_sides(spark, pictures, monkeypatch):
+    """The files were read and embedded once for each side."""
+    listed = images.image_manifest(spark, pictures).select(F.col("path_idx").alias("item_id"), F.lit("a").alias("category"), "file_path")
+    q, db = (listed.withColumnsRenamed({c: f"{m}_{c}" for c in listed.columns}) for m in ("q", "db"))
+    q = q.unionByName(q.limit(1).selectExpr("'none' q_item_id", "q_category", "'/none.jpg' q_file_path"))
+    register_encoder("once", lambda: encode.grid_mean(grid=8, size=8))
+    made = []
+    embed = match_plan.embed
+    monkeypatch.setattr(match_plan, "embed", lambda *a: made.append(a[1]) or embed(*a))
+    got = match_plan.match(q, db, MatchConfig(match_by="image", encoder="once", top_k=2), images=images.read_images(spark, pictures))
+    n = listed.count()
+    assert made == ["image"] and got.count() == 2 * n
+    assert got.where("q_item_id = db_item_id").count() == n
+
+
 def test_image_files_to_matches(spark, sf_dir, pictures, fresh):
     """Raw rows, image files by row index, both sides prepared, matched and written."""
     raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(

@@ -396,11 +396,12 @@ def image_embed(spark: SparkSession, d: str) -> DataFrame:
 def match_by_image(spark: SparkSession, d: str) -> DataFrame:
     """Pictures scanned, prepared, embedded and matched inside their label."""
     folder = _picture_folder(spark, d)
-    listed = images.image_manifest(spark, folder).select(
+    # one listing for both sides
+    listed = cut(images.image_manifest(spark, folder).select(
         text.file_number(F.col("file_path")).alias("item_id"),
         F.element_at(F.split("file_path", "/"), -2).alias("category"),
         "file_path",
-    )
+    ).hint("rebalance"))
     q, db = (listed.withColumnsRenamed({c: f"{m}_{c}" for c in listed.columns}) for m in ("q", "db"))
     register_encoder("pixels", lambda: grid_mean(grid=8, size=8))
     config = MatchConfig(match_by="image", encoder="pixels", top_k=5)

@@ -55,7 +55,9 @@ def image_vectors(
     paths = side.select(source).where(F.col(source).isNotNull()).distinct()
     named = images.withColumnRenamed("file_path", source)
     if vector_table is None:
-        made = embed(named, "image", config.vector_col, config.encoder_name)
+        made = named
+        if config.vector_col not in images.columns:
+            made = embed(named, "image", config.vector_col, config.encoder_name)
         return made.select(source, config.vector_col).join(paths, source, "left_semi")
     wanted = named.join(paths, source, "left_semi")
     made = embed_once(
@@ -130,6 +132,10 @@ def match(
             vectors=get_encoder(config.encoder_name), **join_settings(config),
         )
     else:
+        if config.match_by == "image" and images is not None and made_here and not (q_table or db_table):
+            # both sides take their vectors from one reading of the files
+            made = embed(images, "image", config.vector_col, config.encoder_name)
+            images = cut(made.select("file_path", config.vector_col).hint("rebalance"))
         hits = nearest(
             with_vectors(q, QUERY, config, images, q_table).select(q_id, q_cat, config.vector_col),
             with_vectors(db, DATABASE, config, images, db_table).select(

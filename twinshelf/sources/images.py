@@ -77,10 +77,14 @@ def write_files(df: DataFrame, folder: str, path_col: str, content_col: str) ->
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = fs.FileSystem.from_uri(located)
+        made = set()
         for batch in batches:
             for name, content in zip(batch[0].to_pylist(), batch[1].to_pylist()):
                 path = f"{root}/{name}"
-                target.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                folder = path.rsplit("/", 1)[0]
+                if folder not in made:
+                    target.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with target.open_output_stream(path) as out:
                     out.write(content)
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})

@@ -94,7 +94,8 @@ def test_a_finished_tree_is_used_as_it_is(spark, sides, fresh):
 def test_pairs_meet_once_where_many_leaves_are_probed(spark, fresh, monkeypatch):
     """A query was sent once to each leaf of its beam; results of both layouts are the same."""
     q, db = (random_rows(seed, {"a": 70, "b": 40}) for seed in (61, 62))
-    left, right = table(spark, "q", q), table(spark, "db", db)
+    # of a query that is there twice, leaves are listed twice
+    left, right = table(spark, "q", [*q, q[0]]), table(spark, "db", [*db, db[0]])
     tree = cell_tree.build_tree(right, fresh("tree"), vec="db_vec", n_cells=25)
     seen = []
     monkeypatch.setattr(ann, "knn_join", lambda *a, **kw: seen.append(a[0].columns) or knn_join(*a, **kw))

@@ -25,7 +25,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,16 +163,21 @@ def all_further_cells(
 
 
 def cell_bits(n_cells: int) -> Callable[[Column], Column]:
-    """A list of cells as one bit for each cell."""
+    """A list of cells as one bit for each cell; once more for cells that are listed again."""
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("array<binary>")
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            out = np.zeros((len(lists), -(-n_cells // 8)), np.uint8)
-            row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-            cell = lists.flatten().to_numpy(zero_copy_only=False)
-            np.bitwise_or.at(out, (row, cell >> 3), (1 << (cell & 7)).astype(np.uint8))
-            yield pa.array([bits.tobytes() for bits in out], pa.binary())
+            out: list[list[bytes] | None] = []
+            for cells in lists.to_numpy(zero_copy_only=False):
+                cells = np.sort(cells if cells is not None else np.empty(0, np.int64))
+                again = np.arange(len(cells)) - np.searchsorted(cells, cells)
+                out.append([])
+                for time in range(again.max(initial=-1) + 1):
+                    taken = np.zeros(n_cells, bool)
+                    taken[cells[again == time]] = True
+                    out[-1].append(np.packbits(taken, bitorder="little").tobytes())
+            yield pa.array(out, pa.list_(pa.binary()))
 
     return apply.asNondeterministic()
 
@@ -223,7 +227,7 @@ def knn_in_cells(
     if "_probed" in q.columns:
         return knn_dense(q, db, by, join=join, **args)
     if many_cells(nprobe, n_cells):
-        asked = q.withColumn("_probed", cell_bits(n_cells)(F.col("_cells")))
+        asked = q.withColumn("_probed", F.explode(cell_bits(n_cells)(F.col("_cells"))))
         return knn_dense(asked.drop("_cells"), db, by, join=join, **args)
     probes = q.withColumn("_cell", F.explode("_cells")).drop("_cells").where("_cell >= 0")
     return join(probes, db, by=[*by, ("_cell", "cell", "cell")], **args).drop("cell", "rank")

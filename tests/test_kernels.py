@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from hypothesis.extra import numpy as hnp
 
+from twinshelf import kernels
 from twinshelf.kernels import (
     CHANNEL_MEAN, CHANNEL_STD, Scorer, best_columns, by_group, hashed_counts, in_blocks,
     prepared_pixels, rounded, to_matrix, unit_bucket, vectors_to_arrow, word_units,
@@ -182,3 +183,36 @@ def test_texts_are_counted_in_small_parts():
     tracemalloc.stop()
     assert got.sum() == 800 * 6_000
     assert peak < 80 << 20
+
+
+@pytest.mark.parametrize("kind", ["spread", "copies", "long", "ties"])
+def test_few_entries_are_scored_in_double_precision(monkeypatch, kind):
+    """All pairs were one product in double precision, of which every row was partitioned."""
+    pick = np.random.default_rng(8)
+    q, db = pick.normal(size=(30, 24)), pick.normal(size=(4_000, 24))
+    if kind == "spread":
+        db /= np.linalg.norm(db, axis=1)[:, None]
+    elif kind == "copies":
+        db[:20] = q[0]
+    elif kind == "long":
+        q, db = q * 1e6, db * 1e3
+    else:
+        q, db = np.round(q), np.round(db)
+    q, db = q.astype(np.float32), db.astype(np.float32)
+    schema = pa.schema([("q", pa.int64()), ("db", pa.int64()), ("score", pa.float64()), ("rank", pa.int32())])
+    sides = [pa.table({"_id": pa.array(range(len(m))), "_vec": pa.array(list(m), pa.list_(pa.float32()))}) for m in (q, db)]
+    row, col, value = kernels.best_columns(q.astype(float) @ db.T.astype(float), 7)
+    tried = []
+    monkeypatch.setattr(kernels, "best_columns", lambda *args: tried.append(args))
+    got = kernels.Scorer([], 7, False, schema).score(*sides)
+    assert not tried
+    assert got["q"].to_pylist() == row.tolist() and got["db"].to_pylist() == col.tolist()
+    assert np.allclose(got["score"].to_numpy(), value, rtol=1e-12)
+    monkeypatch.undo()
+    # copies in most columns, or vectors that single precision does not hold, are scored as they were
+    for other in (np.repeat(db[:1], 4_000, axis=0), db.astype(float) * 1e30, np.where(np.arange(4_000)[:, None] == 5, np.nan, db)):
+        side = pa.table({"_id": pa.array(range(4_000)), "_vec": pa.array(list(other), pa.list_(pa.float64()))})
+        full = q.astype(float) @ other.T
+        row, col, _ = kernels.best_columns(np.where(np.isnan(full), -np.inf, full), 7)
+        got = kernels.Scorer([], 7, False, schema).score(sides[0], side)
+        assert got["q"].to_pylist() == row.tolist() and got["db"].to_pylist() == col.tolist()

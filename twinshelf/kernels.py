@@ -17,6 +17,10 @@ import pyarrow.compute as pc
 SCORE_BUFFER = 1_000_000
 # Rows of a scanned side scored together.
 SCAN_ROWS = 16_384
+# Columns whose largest score is looked at first, and how many such groups there are for each hit.
+GROUP_COLUMNS, GROUPS_PER_HIT = 32, 8
+# Lengths of vectors whose products single precision can hold.
+LONGEST = 1e15
 # Hits that a task makes at a time.
 HITS_PER_TASK = 1_000_000
 # Bytes of text split at a time inside a task.
@@ -58,13 +62,22 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
     rounded.  Entries above the k-th rounded score are all in; those level with it
     fill up by column, so many copies of a vector cost no sort.  -inf is no hit.
     """
-    rows, n = scores.shape
+    n = scores.shape[1]
     k = min(k, n)
     kth = np.partition(scores, n - k, axis=1)[:, n - k]
-    # a little more than one rounding step below the k-th score
-    least = kth - np.where(kth <= 1, 1.1e-5, 0.11)
-    row, col = np.nonzero(scores >= least[:, None])
-    value = rounded(scores[row, col])
+    row, col = np.nonzero(scores >= one_step_below(kth)[:, None])
+    return best_entries(row, col, scores[row, col], kth, k)
+
+
+def one_step_below(score: np.ndarray) -> np.ndarray:
+    """A little more than one rounding step below."""
+    return score - np.where(score <= 1, 1.1e-5, 0.11)
+
+
+def best_entries(row: np.ndarray, col: np.ndarray, value: np.ndarray, kth: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """:func:`best_columns` of entries in the order of rows and columns; ``kth`` is the k-th score of each row."""
+    rows = len(kth)
+    value = rounded(value)
     bar = rounded(kth)[row]
     above = np.flatnonzero(value > bar)
     level = np.flatnonzero((value == bar) & (value > -np.inf))
@@ -78,6 +91,37 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
     return row[order], col[order], value[order]
 
 
+def best_of_product(
+    q: np.ndarray, db: np.ndarray, single: np.ndarray, longest: float, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """:func:`best_columns` of ``q @ db.T``; None if it would not pay.
+
+    The product is made in single precision (``single`` is ``db`` in it), which tells the few entries that can
+    be among the best; only these are scored in double precision. The k-th of the largest entries of some groups
+    of columns is at most the k-th score. A single product is off by at most (width + 4) / 2^24 of the lengths.
+    """
+    rows, n = len(q), len(db)
+    width = n // GROUP_COLUMNS
+    if width < GROUPS_PER_HIT * k:
+        return None
+    scores = q.astype(np.float32) @ single.T
+    tops = scores[:, :width * GROUP_COLUMNS].reshape(rows, GROUP_COLUMNS, width).max(axis=1)
+    low = np.partition(tops, width - k, axis=1)[:, width - k].astype(np.float64)
+    off = 2.0**-23 * (q.shape[1] + 4) * np.linalg.norm(q, axis=1) * longest
+    floor = one_step_below(low - off) - off - 2.0**-23 * np.abs(low)
+    near = scores >= np.nextafter(floor.astype(np.float32), np.float32(-np.inf))[:, None]
+    if not np.isfinite(low).all() or np.count_nonzero(near) > rows * n // GROUP_COLUMNS:
+        return None
+    row, col = np.nonzero(near)
+    value = np.einsum("ij,ij->i", q[row], db[col])
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    beside = np.full((rows, place.max() + 1), -np.inf)
+    beside[row, place] = value
+    kth = np.partition(beside, beside.shape[1] - k, axis=1)[:, beside.shape[1] - k]
+    fit = value >= one_step_below(kth)[row]
+    return best_entries(row[fit], col[fit], value[fit], kth, k)
+
+
 def by_group(table: pa.Table, keys: Sequence[str]) -> dict[tuple, pa.Table]:
     """Rows of each combination of the key columns."""
     if not keys:
@@ -166,25 +210,35 @@ class Scorer:
         own = self.own_columns(q, db) if self.exclude_self else None
         reach = self.reach(q, db)
         step = max(1, SCORE_BUFFER // db.num_rows)
+        lengths = [np.linalg.norm(side, axis=1).max() for side in (q_matrix, db_matrix)]
+        single = db_matrix.astype(np.float32) if finite and max(lengths) < LONGEST else None
         parts = []
         for start in range(0, q.num_rows, step):
-            scores = q_matrix[start:start + step] @ db_matrix.T
-            if reach is not None:
-                scores += reach(start, start + step)
+            some = q_matrix[start:start + step]
+            least = reach(start, start + step) if reach is not None else None
+            mine = own[start:start + step] if own is not None else np.empty(0, np.int64)
+            if single is not None and least is None and not len(mine):
+                best = best_of_product(some, db_matrix, single, lengths[1], min(self.k, db.num_rows))
+                if best is not None:
+                    parts.append(self.ranked(*best, start))
+                    continue
+            scores = some @ db_matrix.T
+            if least is not None:
+                scores += least
             if not finite:
                 scores[np.isnan(scores)] = -np.inf
-            if own is not None:
-                mine = own[start:start + step]
-                scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
-            row, col, value = best_columns(scores, self.k)
-            rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
-            parts.append((row + start, col, value, rank))
+            scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
+            parts.append(self.ranked(*best_columns(scores, self.k), start))
         row, col, value, rank = (np.concatenate(p) for p in zip(*parts))
         columns = [q[name].take(pa.array(row)) for name in self.keys]
         columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
                     pa.array(value), pa.array(rank.astype(np.int32))]
         return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
 
+    @staticmethod
+    def ranked(row: np.ndarray, col: np.ndarray, value: np.ndarray, start: int) -> tuple[np.ndarray, ...]:
+        return row + start, col, value, np.arange(len(row)) - np.searchsorted(row, row) + 1
+
     def reach(self, q: pa.Table, db: pa.Table) -> Callable[[int, int], np.ndarray] | None:
         """For the queries of a stretch, 0 for database rows that count and -inf for others; None if all count."""
         return None

@@ -412,6 +412,50 @@ def test_columns_against_counting():
             ]
 
 
+@pytest.mark.parametrize("wide", [1, 2, 4, 8])
+def test_columns_of_wide_symbols_against_counting(monkeypatch, wide):
+    """Windows start at every place of a symbol, and end at every place of a body."""
+    monkeypatch.setattr(suffix_dedup, "WIDE", wide)
+    pick = random.Random(4)
+    for _ in range(40):
+        letters, size = pick.choice([b"a", b"ab", b"abcdefgh"]), pick.choice([8, 12, 16, 24, 31])
+        shared = bytes(pick.choice(letters) for _ in range(size + 5))
+        bodies = []
+        for _ in range(pick.randint(1, 12)):
+            ends = (bytes(pick.choice(letters) for _ in range(pick.randint(0, 20))) for _ in range(2))
+            bodies.append(next(ends) + shared[pick.randint(0, 5) :] + next(ends))
+        count = Counter(b[k : k + size] for b in bodies for k in range(len(b) - size + 1))
+        for body, found in zip(bodies, suffix_dedup.sort_columns(bodies, size)):
+            assert [bool(x) for x in found[: len(body) - size + 1]] == [
+                count[body[k : k + size]] > 1 for k in range(len(body) - size + 1)
+            ]
+
+
+def test_columns_go_over_few_rows(monkeypatch):
+    """Byte by byte, the passes over 16 bodies of 336 bytes go over 910,000 rows."""
+    pick = random.Random(5)
+    bodies = [bytes(pick.choices(b"abcdefgh ", k=336)) for _ in range(16)]
+    passed, argsort = [], np.argsort
+
+    def counted(values, *args, **kw):
+        passed.append(len(values))
+        return argsort(values, *args, **kw)
+
+    monkeypatch.setattr(np, "argsort", counted)
+    assert not suffix_dedup.sort_columns(bodies, 200).any()
+    assert len(passed) <= 336 // 8 + 1
+    assert sum(passed) < 910_000 / 7
+
+
+def test_least_between():
+    pick = random.Random(6)
+    values = np.array(pick.choices(range(200), k=70), np.uint8)
+    pairs = [(a, b) for a in range(70) for b in range(a, 70)]
+    first, last = (np.array(x) for x in zip(*pairs))
+    got = suffix_dedup.least_between(values, first, last)
+    assert got.tolist() == [values[a : b + 1].min() for a, b in pairs]
+
+
 def test_long_texts_are_cut_without_a_seam(monkeypatch):
     data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
     whole = list(suffix_dedup.runs(data, 200, 64))

@@ -11,13 +11,16 @@ document or the same, is removed; strings are judged on the input.
 2. *Shards.* The bytes under each remaining run, a fragment of at most 336 bytes, go
    to the shard of its anchor, equal fragments of a task as one. Equal fragments are
    repeated as a whole. Different fragments of an anchor are sorted together.
-3. *Column-wise construction* (``sort_columns``). Fragments are aligned at their ends; each round
-   puts one more symbol in front of every fragment's suffix and inserts it where the
+3. *Column-wise construction* (``sort_columns``). A symbol is ``WIDE`` bytes, and a fragment is
+   ``WIDE`` strings, one for each place in a symbol where it may end. Strings are aligned at their ends; each round
+   puts one more symbol in front of every string's suffix and inserts it where the
    collection's Burrows-Wheeler transform says, by one stable sequential pass over the transform,
    with the common prefixes of the new suffix and its successor updated from range minima.
-   A suffix that shares ``size`` bytes with a neighbour starts a repeated window. A collection is
+   A suffix that shares ``size`` bytes with a neighbour starts a repeated window. The suffixes are
+   those of single bytes, one for each place, but a round inserts ``WIDE`` of a fragment, so that the passes go
+   over ``WIDE`` times fewer rows in all. A collection is
    sorted as soon as it has ``MAX_FRAGMENTS``, so the two sequential files, the transform and the
-   common prefixes, are arrays of some ten thousand bytes; there is no need to keep them on disk.
+   common prefixes, are arrays of some ten thousand entries; there is no need to keep them on disk.
 4. *Hot anchors* with more than ``MAX_DISTINCT`` different fragments (a passage in very many
    documents, each with other words around it) have no bound there. Their windows are dealt
    out by a hash of all ``size`` bytes, many in a row, and counted.
@@ -49,7 +52,7 @@ PIECE = 1 << 21  # bytes of a text taken at a time; a place in it takes 22 bits
 PLACE = np.uint64((1 << 22) - 1)
 MAX_DISTINCT = 256
 MAX_FRAGMENTS = 128
-END = 0xFF  # in no UTF-8 text
+WIDE = 8  # most bytes in a symbol, a power of two up to a machine word
 
 
 def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -207,21 +210,52 @@ def fragments(texts: DataFrame, found: DataFrame, size: int) -> DataFrame:
     return met.mapInArrow(cut, "anchor long, tied boolean, body binary, ids binary, starts binary")
 
 
+def least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The least of ``values[first : last + 1]`` for each pair, from the least over powers of two."""
+    level = (np.frexp(last - first + 1)[1] - 1).astype(np.int64)
+    table = np.empty((int(level.max()) + 1, len(values)), values.dtype)
+    table[0] = values
+    for k in range(len(table) - 1):
+        step = 1 << k
+        np.minimum(table[k, :-step], table[k, step:], out=table[k + 1, :-step])
+    flat, row = table.reshape(-1), level * len(values)
+    return np.minimum(flat.take(row + first), flat.take(row + last + 1 - (1 << level)))
+
+
+def columns(bodies: list[bytes], wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of ``wide`` bytes by distance from the end, and how many each string has.
+
+    A body is ``wide`` strings, read from its end and from the ``wide - 1`` places before it,
+    so that a symbol starts at every place. Symbols are numbered; the last number is the end.
+    """
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    grams = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, wide)).view(f"u{wide}").reshape(-1)
+    known, symbol = np.unique(grams, return_inverse=True)
+    sizes = np.array([len(b) for b in bodies])
+    skipped = np.arange(wide)
+    lengths = ((sizes[:, None] - skipped) // wide).reshape(-1)
+    ends = (np.cumsum(sizes)[:, None] - skipped).reshape(-1)
+    before = np.full((int(lengths.max()) + 2, len(ends)), len(known), np.min_scalar_type(len(known)))
+    back = np.arange(1, len(before) - 1)[:, None]
+    live = back <= lengths
+    before[1:-1][live] = symbol.take((ends - wide * back)[live])
+    return before, lengths
+
+
 def sort_columns(bodies: list[bytes], size: int) -> np.ndarray:
     """For each body and each place in it: does the window there occur again in the bodies?
 
     Rows are the suffixes inserted so far, in order; ``bwt`` has the symbol before each, or
-    ``END``, and ``lcp`` how many symbols (at most ``size``) it shares with the row above.
+    the end, and ``lcp`` how many symbols (at most a window's) it shares with the row above.
+    A symbol is as many bytes, up to ``WIDE``, as divide ``size``: a round then reads so
+    many bytes of every string, and there are that much fewer rounds over the rows.
     """
-    m = len(bodies)
-    lengths = np.array([len(b) for b in bodies])
-    rounds = int(lengths.max())
-    before = np.full((rounds + 2, m), END, np.uint8)  # by distance from the end
-    for i, body in enumerate(bodies):
-        before[1 : len(body) + 1, i] = np.frombuffer(body, np.uint8)[::-1]
+    wide = math.gcd(size, WIDE)
+    need = size // wide
+    before, lengths = columns(bodies, wide)
+    m, rounds, end = len(lengths), len(before) - 2, before[-1, 0]
     bwt, lcp = before[1].copy(), np.zeros(m, np.uint8)
     newest, who = np.arange(m), np.arange(m)
-    cap = np.uint8(size)
     for j in range(1, rounds + 1):
         order = np.argsort(bwt, kind="stable")
         order = order[: len(order) - np.count_nonzero(lengths < j)]
@@ -229,9 +263,9 @@ def sort_columns(bodies: list[bytes], size: int) -> np.ndarray:
         fresh[newest] = True
         fresh = fresh.take(order)
         at, old = np.flatnonzero(fresh), ~fresh
-        parents = order[at]
+        parents = order.take(at)
         who = who[np.searchsorted(newest, parents)]
-        grown = np.empty(m + len(order), np.uint8)
+        grown = np.empty(m + len(order), bwt.dtype)
         grown[:m] = bwt[:m]
         tail = grown[m:]
         tail[old] = bwt[m:]
@@ -240,33 +274,31 @@ def sort_columns(bodies: list[bytes], size: int) -> np.ndarray:
         own = shared[m:]
         own[old] = lcp[m:]
         # new rows and the rows below them: one more than the least between their parents
-        change = np.unique(np.concatenate([at, at + 1]))
-        change = change[change < len(order)]
+        fresh[1:] |= ~old[:-1]
+        change = np.flatnonzero(fresh)
         inner = change[change > 0]
-        low, high = order[inner - 1], order[inner]
-        same = bwt[low] == bwt[high]
+        low, high = order.take(inner - 1), order.take(inner)
+        same = bwt.take(low) == bwt.take(high)
         own[change] = 0
         inner, low, high = inner[same], low[same], high[same]
         if len(inner):
-            by = np.argsort(high, kind="stable")
-            pairs = np.empty(2 * len(by), np.int64)
-            pairs[0::2], pairs[1::2] = low[by] + 1, high[by] + 1
-            padded = np.append(lcp, np.uint8(0))
-            own[inner[by]] = np.minimum(np.minimum.reduceat(padded, pairs)[0::2], cap - np.uint8(1)) + np.uint8(1)
+            own[inner] = np.minimum(least_between(lcp, low + 1, high), need - 1) + 1
         bwt, lcp, newest = grown, shared, m + at
     order = np.argsort(bwt, kind="stable")
-    order = order[: len(order) - np.count_nonzero(bwt == END)]
+    order = order[: len(order) - np.count_nonzero(bwt == end)]
     longer = np.zeros(len(bwt), np.int64)  # row of a suffix with one more symbol
     longer[order] = m + np.arange(len(order))
-    again = lcp >= size
-    again[:-1] |= again[1:].copy() & (lcp[1:] >= size)
-    out = np.zeros((m, rounds - size + 1), bool)
+    again = lcp >= need
+    again[:-1] |= again[1:].copy()
+    sizes = np.array([len(b) for b in bodies])
+    out = np.zeros((len(bodies), int(sizes.max()) - size + 1), bool)
     row, live = np.arange(m), np.arange(m)
     for j in range(1, rounds + 1):
         keep = lengths[live] >= j
         row, live = longer[row[keep]], live[keep]
-        if j >= size:
-            out[live, lengths[live] - j] = again[row]
+        if j >= need:
+            body, skipped = np.divmod(live, wide)
+            out[body, sizes[body] - skipped - wide * j] = again[row]
     return out
 
 

@@ -216,3 +216,35 @@ def test_few_entries_are_scored_in_double_precision(monkeypatch, kind):
         row, col, _ = kernels.best_columns(np.where(np.isnan(full), -np.inf, full), 7)
         got = kernels.Scorer([], 7, False, schema).score(sides[0], side)
         assert got["q"].to_pylist() == row.tolist() and got["db"].to_pylist() == col.tolist()
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "copies", "no number"])
+def test_blocks_met_one_after_the_other(kind):
+    """The running best rows of a block of queries are those of all rows at once."""
+    pick = np.random.default_rng(5)
+    q, db = pick.normal(size=(40, 16)), pick.normal(size=(6_000, 16))
+    if kind == "ties":
+        q, db = np.round(q), np.round(db)
+    elif kind == "copies":
+        db[::3] = q[0]
+    elif kind == "no number":
+        db[7, 3] = np.nan
+    ids = pick.permutation(6_000)
+    schema = pa.schema([("q", pa.int32()), ("db", pa.int64()), ("score", pa.float64()), ("rank", pa.int32())])
+    kind_ = pa.list_(pa.float64())
+    asked = pa.table({"_id": pa.array(range(40), pa.int32()), "_vec": pa.array([*map(list, q[:39]), None], kind_)})
+    side = pa.table({"_id": pa.array(ids), "_vec": pa.array(list(db), kind_)})
+    scorer = kernels.Scorer([], 7, False, schema)
+    want = scorer.score(asked, side)
+    order = [("q", "ascending"), ("rank", "ascending")]
+    for sizes in ([2_500, 3, 1_000, 2_497], [5, 1, 5_994], [0, 3_000, 3_000]):
+        places = np.split(np.arange(6_000), np.cumsum(sizes)[:-1])
+        batch = pa.RecordBatch.from_pydict({
+            "_db": [kernels.packed(side.take(pa.array(p))) for p in places],
+            "_qb": pa.array([3] * len(places), pa.int32()), "_q": [kernels.packed(asked)] * len(places),
+        })
+        got = pa.Table.from_batches(scorer.streamed()(iter([batch.slice(0, 1), batch.slice(1)])))
+        got, wanted = got.sort_by(order), want.sort_by(order)
+        for name in ("q", "db", "rank"):
+            assert got[name].to_pylist() == wanted[name].to_pylist()
+        assert np.allclose(got["score"].to_numpy(), wanted["score"].to_numpy(), rtol=1e-12)

@@ -227,3 +227,60 @@ def test_equal_values_are_scored_once(spark, monkeypatch, by):
     expected = join(*plain, **args)
     assert rows(got) == rows(expected) and got.columns == expected.columns
     assert seen[0].n_q == 10 and seen[0].n_db <= 9 * 4 + 2 and seen[1].n_q > 180
+
+
+@pytest.mark.parametrize("by", [BY, []])
+@pytest.mark.parametrize("kind", ["cells", "slices", "self"])
+def test_large_groups_are_streamed(spark, skewed, monkeypatch, by, kind):
+    """A group's rows were copied once for each block of the other side, however many these were."""
+    q, db = skewed
+    monkeypatch.setattr(knn, "HELD_ROWS", 4)
+    monkeypatch.setattr(knn, "ROWS_PER_STREAM", 8)
+    if kind == "slices":
+        monkeypatch.setattr(knn, "BLOCKS_PER_SLICE", 3)
+    # ties between blocks, a row without vector, one without id, and rows without a group
+    db = db + [(1000 + i, "big", q[i][2]) for i in range(6)] + [(2000 + i, "big", q[0][2]) for i in range(6)]
+    q = q + [(5000 + i, "big", q[i][2]) for i in range(6)]
+    if not by:
+        q, db = ([(i, "", v) for i, _, v in side] for side in (q, db))
+    else:
+        q, db = q + [(300, None, q[0][2])], db + [(301, None, q[0][2])]
+    odd = [(None, q[0][1], q[0][2]), (4000, q[0][1], None)]
+    if kind == "self":
+        db = [(i, c, v) for i, c, v in q]
+        want = brute_force(q, db, 5)
+        want = [r for r in want if r[1] != r[2]]
+    got = join(table(spark, "q", q + odd), table(spark, "db", db + odd), k=4, by=by, block_rows=1,
+               exclude_self=kind == "self")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and ("Generate" in plan) == bool(by)
+    if by:
+        got = got.select("category", "q_id", "db_id", "score", "rank")
+    else:
+        got = got.selectExpr("'' AS category", "q_id", "db_id", "score", "rank")
+    if kind == "self":
+        pairs = {(c, a, b) for c, a, b, _, _ in rows(got)}
+        left = {}
+        for c, a, b, s, _ in sorted(want, key=lambda r: (r[1], -r[3], r[2])):
+            left.setdefault((c, a), []).append(b)
+        assert pairs == {(c, a, b) for (c, a), found in left.items() for b in found[:4]}
+    else:
+        assert rows(got) == brute_force(q, db, 4)
+
+
+def test_streamed_rows_are_made_once(spark, skewed, monkeypatch, tmp_path):
+    """Rows of large and small groups come from one run of an encoder."""
+    q, db = skewed
+    monkeypatch.setattr(knn, "HELD_ROWS", 4)
+    monkeypatch.setattr(knn, "ROWS_PER_STREAM", 8)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def encode(v):
+        seen.add(1)
+        return v
+
+    made = table(spark, "q", q).withColumn("q_vec", encode.asNondeterministic()("q_vec"))
+    got = join(made, table(spark, "db", db), k=4, block_rows=1)
+    assert rows(got) == brute_force(q, db, 4)
+    assert seen.value == len(q)

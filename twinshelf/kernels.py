@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 # Scores held at a time inside a task; few enough to stay in the processor cache.
 SCORE_BUFFER = 1_000_000
+# In single precision as many bytes hold twice as many, and a product of more rows costs less a row.
+SINGLE_BUFFER = 4 * SCORE_BUFFER
 # Rows of a scanned side scored together.
 SCAN_ROWS = 16_384
 # Columns whose largest score is looked at first, and how many such groups there are for each hit.
@@ -92,34 +94,72 @@ def best_entries(row: np.ndarray, col: np.ndarray, value: np.ndarray, kth: np.nd
 
 
 def best_of_product(
-    q: np.ndarray, db: np.ndarray, single: np.ndarray, longest: float, k: int,
+    q: np.ndarray, db: np.ndarray, single: np.ndarray, longest: float, k: int, floor: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """:func:`best_columns` of ``q @ db.T``; None if it would not pay.
 
     The product is made in single precision (``single`` is ``db`` in it), which tells the few entries that can
-    be among the best; only these are scored in double precision. The k-th of the largest entries of some groups
+    be among the best; only these are scored in double precision. ``floor`` has a rounded score for each row below
+    which entries are of no use; such entries may be left out.
+    """
+    found = near_entries(q, single, longest, k, floor)
+    if found is None:
+        return None
+    row, col, _ = found
+    value = np.einsum("ij,ij->i", q[row], db[col])
+    return best_of_entries(row, col, value, len(q), k)[:3]
+
+
+def near_entries(
+    q: np.ndarray, single: np.ndarray, longest: float, k: int, floor: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Row and column of all entries of ``q @ db.T`` that reach a bound, in their order, and the bound of each row.
+
+    No more than that many entries of a row without a ``floor`` lie above its bound than the ``k`` best, or about so; with
+    one, the bound is that floor if it is higher. The k-th of the largest entries of some groups
     of columns is at most the k-th score. A single product is off by at most (width + 4) / 2^24 of the lengths.
     """
-    rows, n = len(q), len(db)
+    rows, n = len(q), len(single)
     width = n // GROUP_COLUMNS
     if width < GROUPS_PER_HIT * k:
         return None
     scores = q.astype(np.float32) @ single.T
-    tops = scores[:, :width * GROUP_COLUMNS].reshape(rows, GROUP_COLUMNS, width).max(axis=1)
-    low = np.partition(tops, width - k, axis=1)[:, width - k].astype(np.float64)
+    grouped = scores[:, :width * GROUP_COLUMNS].reshape(rows, GROUP_COLUMNS, width)
+    tops = grouped.max(axis=1)
+    if floor is None or not np.isfinite(floor).all():
+        low = np.partition(tops, width - k, axis=1)[:, width - k].astype(np.float64)
+        # not the other way round: a low that is no number is told by the check below
+        low = low if floor is None else np.where(floor > low, floor, low)
+    else:
+        low = floor
     off = 2.0**-23 * (q.shape[1] + 4) * np.linalg.norm(q, axis=1) * longest
-    floor = one_step_below(low - off) - off - 2.0**-23 * np.abs(low)
-    near = scores >= np.nextafter(floor.astype(np.float32), np.float32(-np.inf))[:, None]
-    if not np.isfinite(low).all() or np.count_nonzero(near) > rows * n // GROUP_COLUMNS:
+    bound = one_step_below(low - off)
+    least = np.nextafter((bound - off - 2.0**-23 * np.abs(low)).astype(np.float32), np.float32(-np.inf))[:, None]
+    if not np.isfinite(low).all():
         return None
-    row, col = np.nonzero(near)
-    value = np.einsum("ij,ij->i", q[row], db[col])
+    # the few groups of columns that have such an entry are looked at
+    row, group = np.divmod(np.flatnonzero(tops >= least), width)
+    if len(row) > rows * n // GROUP_COLUMNS // 2:
+        return None
+    place, member = np.nonzero(grouped[row, :, group] >= least[row])
+    last, rest = np.nonzero(scores[:, width * GROUP_COLUMNS:] >= least)
+    row, col = np.r_[row[place], last], np.r_[member * width + group[place], rest + width * GROUP_COLUMNS]
+    if len(row) > rows * n // GROUP_COLUMNS:
+        return None
+    order = np.argsort(row * n + col)
+    return row[order], col[order], bound
+
+
+def best_of_entries(
+    row: np.ndarray, col: np.ndarray, value: np.ndarray, rows: int, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`best_columns` of entries in the order of rows and columns, and the k-th score of each row, -inf if there are fewer."""
     place = np.arange(len(row)) - np.searchsorted(row, row)
-    beside = np.full((rows, place.max() + 1), -np.inf)
+    beside = np.full((rows, max(place.max(initial=0) + 1, k)), -np.inf)
     beside[row, place] = value
     kth = np.partition(beside, beside.shape[1] - k, axis=1)[:, beside.shape[1] - k]
     fit = value >= one_step_below(kth)[row]
-    return best_entries(row[fit], col[fit], value[fit], kth, k)
+    return *best_entries(row[fit], col[fit], value[fit], kth, k), kth
 
 
 def by_group(table: pa.Table, keys: Sequence[str]) -> dict[tuple, pa.Table]:
@@ -181,6 +221,25 @@ class Scorer:
 
         return scan
 
+    def streamed(self) -> Callable:
+        """Function of pairs of packed blocks: ``_db`` meets ``_q``, the block of queries with the number ``_qb``.
+
+        The queries of a block keep k rows each, however many blocks they meet.
+        """
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: dict[int, Running] = {}
+            for batch in batches:
+                for number, q, db in zip(batch["_qb"].to_pylist(), batch["_q"], batch["_db"]):
+                    if number not in met:
+                        # a copy, as the batch has all pairs that came along
+                        met[number] = Running(self, unpacked(pa.py_buffer(q.as_py())))
+                    met[number].meet(unpacked(db.as_buffer()))
+            for running in met.values():
+                yield from running.finished().to_batches()
+
+        return scan
+
     def merged(self, *tables: pa.Table) -> pa.Table:
         """The k best hits per query of tables that score different database rows."""
         q_id, db_id, score = self.schema.names[-4:-1]
@@ -195,9 +254,13 @@ class Scorer:
         ranked = hits.set_column(hits.num_columns - 1, "rank", pa.array(rank.astype(np.int32)))
         return ranked.filter(pa.array(rank <= self.k))
 
-    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
-        """The k best database rows per query; a score that is no number is no hit."""
-        q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
+    def score(self, q: pa.Table, db: pa.Table, floor: np.ndarray | None = None) -> pa.Table:
+        """The k best database rows per query; a score that is no number is no hit.
+
+        ``floor`` has a rounded score for each query, or -inf; rows that score less may be left out.
+        """
+        q, floor = with_vectors(q, floor)
+        db = db.filter(pc.is_valid(db["_vec"]))
         if q.num_rows == 0 or db.num_rows == 0:
             return self.schema.empty_table()
         db = db.take(pc.sort_indices(db["_id"]))
@@ -209,30 +272,43 @@ class Scorer:
         finite = np.isfinite(q_matrix).all() and np.isfinite(db_matrix).all()
         own = self.own_columns(q, db) if self.exclude_self else None
         reach = self.reach(q, db)
-        step = max(1, SCORE_BUFFER // db.num_rows)
         lengths = [np.linalg.norm(side, axis=1).max() for side in (q_matrix, db_matrix)]
-        single = db_matrix.astype(np.float32) if finite and max(lengths) < LONGEST else None
+        single = None
+        if finite and max(lengths) < LONGEST and reach is None and own is None:
+            single = db_matrix.astype(np.float32)
+        step = max(1, SCORE_BUFFER // db.num_rows)
         parts = []
-        for start in range(0, q.num_rows, step):
-            some = q_matrix[start:start + step]
-            least = reach(start, start + step) if reach is not None else None
-            mine = own[start:start + step] if own is not None else np.empty(0, np.int64)
-            if single is not None and least is None and not len(mine):
-                best = best_of_product(some, db_matrix, single, lengths[1], min(self.k, db.num_rows))
-                if best is not None:
-                    parts.append(self.ranked(*best, start))
-                    continue
-            scores = some @ db_matrix.T
-            if least is not None:
-                scores += least
-            if not finite:
-                scores[np.isnan(scores)] = -np.inf
-            scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
-            parts.append(self.ranked(*best_columns(scores, self.k), start))
-        row, col, value, rank = (np.concatenate(p) for p in zip(*parts))
+
+        def in_double(start: int, stop: int) -> None:
+            for start in range(start, stop, step):
+                end = min(start + step, stop)
+                scores = q_matrix[start:end] @ db_matrix.T
+                if reach is not None:
+                    scores += reach(start, end)
+                if not finite:
+                    scores[np.isnan(scores)] = -np.inf
+                if own is not None:
+                    mine = own[start:end]
+                    scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
+                parts.append(self.ranked(*best_columns(scores, self.k), start))
+
+        longer = step if single is None else max(1, SINGLE_BUFFER // db.num_rows)
+        for start in range(0, q.num_rows, longer):
+            stop = min(start + longer, q.num_rows)
+            best = None
+            if single is not None:
+                least = floor[start:stop] if floor is not None else None
+                best = best_of_product(q_matrix[start:stop], db_matrix, single, lengths[1], min(self.k, db.num_rows), least)
+            if best is None:
+                in_double(start, stop)
+            else:
+                parts.append(self.ranked(*best, start))
+        return self.hits(q, db, *(np.concatenate(p) for p in zip(*parts)))
+
+    def hits(self, q: pa.Table, db: pa.Table, row: np.ndarray, col: np.ndarray, value: np.ndarray, rank: np.ndarray) -> pa.Table:
         columns = [q[name].take(pa.array(row)) for name in self.keys]
         columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
-                    pa.array(value), pa.array(rank.astype(np.int32))]
+                    pa.array(value, pa.float64()), pa.array(rank.astype(np.int32))]
         return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
 
     @staticmethod
@@ -250,6 +326,54 @@ class Scorer:
         return found.fill_null(-1).to_numpy(zero_copy_only=False)
 
 
+def with_vectors(q: pa.Table, floor: np.ndarray | None) -> tuple[pa.Table, np.ndarray | None]:
+    """Queries that have a vector, and their floors."""
+    valid = pc.is_valid(q["_vec"])
+    return q.filter(valid), floor if floor is None else floor[valid.to_numpy()]
+
+
+def packed(table: pa.Table) -> bytes:
+    """A table as one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: pa.Buffer) -> pa.Table:
+    return pa.ipc.open_stream(value).read_all()
+
+
+class Running:
+    """The k best hits so far of a block of queries, which meets blocks of the database one after the other.
+
+    Hits are merged when there are half as many new ones as kept ones. From then on rows below the k-th score
+    of a query are left out, so that later blocks give few.
+    """
+
+    def __init__(self, scorer: Scorer, q: pa.Table) -> None:
+        self.scorer, self.q = scorer, q
+        self.best, self.new, self.floor = scorer.schema.empty_table(), [], None
+
+    def meet(self, db: pa.Table) -> None:
+        self.new.append(self.scorer.score(self.q, db, self.floor))
+        if 2 * sum(hits.num_rows for hits in self.new) >= self.best.num_rows:
+            self.merge()
+
+    def merge(self) -> None:
+        self.best, self.new = self.scorer.merged(self.best, *self.new), []
+        last = self.best.filter(pc.equal(self.best["rank"], self.scorer.k))
+        query, score = last.column_names[-4], last.column_names[-2]
+        place = pc.index_in(self.q["_id"].cast(last.schema.field(query).type), value_set=last[query].combine_chunks())
+        known = place.is_valid().to_numpy()
+        self.floor = np.full(self.q.num_rows, -np.inf)
+        self.floor[known] = last[score].to_numpy()[place.drop_null().to_numpy()]
+
+    def finished(self) -> pa.Table:
+        self.merge()
+        return self.best
+
+
 def least_sums(values: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` least sums of subsets of each row, in order, all of them if there are fewer.
 
@@ -309,7 +433,7 @@ class CodeScorer(CellScorer):
     words: Sequence[np.ndarray] = ()
     centroids: np.ndarray = None
 
-    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+    def score(self, q: pa.Table, db: pa.Table, floor: np.ndarray | None = None) -> pa.Table:
         q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
         if q.num_rows == 0 or db.num_rows == 0:
             return self.schema.empty_table()
@@ -366,7 +490,7 @@ class ProbeScorer(Scorer):
     planes: np.ndarray = None
     table: str = ""
 
-    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+    def score(self, q: pa.Table, db: pa.Table, floor: np.ndarray | None = None) -> pa.Table:
         q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
         if q.num_rows == 0 or db.num_rows == 0:
             return self.schema.empty_table()
@@ -438,7 +562,7 @@ class ReachScorer(Scorer):
 
     planes: np.ndarray = None
 
-    def score(self, q: pa.Table, db: pa.Table) -> pa.Table:
+    def score(self, q: pa.Table, db: pa.Table, floor: np.ndarray | None = None) -> pa.Table:
         q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
         if q.num_rows == 0 or db.num_rows == 0:
             return self.schema.empty_table()

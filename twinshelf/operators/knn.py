@@ -8,6 +8,10 @@ A group that holds a third of the table becomes many cells, a small one is a sin
 cell.  A cell returns its k best rows per query, never its pairs; cells of the same
 query are merged by rank.
 
+In a grid every row is shuffled once for each block of the other side. Groups for which these would be many copies
+are streamed instead: blocks are packed and stored once, and a task reads the stored database blocks of its group one after
+the other beside a block of queries, which keep their k best rows so far. What is written grows with the rows, not with the pairs.
+
 Where vectors are made from values such as names, rows of a group with equal values have equal scores:
 each different value of the query side is encoded and scored once, against the k lowest ids of each different
 value of the database side, and its hits are given to all its rows. Work does not grow with the copies.
@@ -15,21 +19,23 @@ value of the database side, and its hits are given to all its rows. Work does no
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from twinshelf.config import require_columns
-from twinshelf.kernels import HITS_PER_TASK, Scorer
+from twinshelf.kernels import HITS_PER_TASK, Scorer, packed
 from twinshelf.operators.rows import group_sizes, guard_groups
 from twinshelf.operators.small import Small, measured
-from twinshelf.session import cut
+from twinshelf.session import cut, scratch_path
 
 # A side of at most so many rows (and one block) is sent to every task, whatever block size
 # is asked for, if its vectors take no more bytes than that.
@@ -41,12 +47,19 @@ ROWS_SURELY_HELD = 1_024
 # one for so many rows of the larger side, within these bounds.
 ROWS_PER_SALT = 1_000_000
 SALTS = (64, 4096)
+# Packed blocks of groups.
+BLOCK_TABLE = "_g int, _b int, _block binary"
 # Scored pairs per task: the lower value spreads small inputs over the cores, the
 # upper one keeps tasks of large inputs in the range of seconds.
 PAIRS_TO_SPREAD = 1_000_000
 PAIRS_PER_TASK = 200_000_000
 # A row is sent to so many blocks of the other side at most, as long as blocks of HELD_ROWS allow it.
 MOST_COPIES = 8
+# Blocks of the database that a task reads beside one block of queries; a group has so many times as many for
+# each of at most ``MOST_COPIES`` slices, whose hits are merged.
+BLOCKS_PER_SLICE = 128
+# A streamed query side has as many blocks for each core, if these have so many rows.
+STREAMS_PER_CORE, ROWS_PER_STREAM = 4, 4_096
 # Copies are put together if at most this share of the pairs is left.
 WORTH_PUTTING_TOGETHER = 0.5
 # Spreading the scanned side over more tasks pays if each of its rows meets this many.
@@ -119,9 +132,30 @@ def knn_join(
     if few and fits_tasks(q_rows, total.n_q):
         hits = scan_against(db_rows, q_rows, sizes, total, score_cells, schema, held_is_db=False)
         return top_k(hits, [*names, q_id], k, score, db_id)
-    hits = score_grid(q_rows, db_rows, sizes, total, score_cells, schema, Layout(block_rows, db_block_rows, k))
-    # with one database block per group the rank inside the cell is final
-    return top_k(hits, [*names, q_id], k, score, db_id) if total.gd > 1 else hits
+    layout = Layout(block_rows, db_block_rows, k)
+
+    def merged(hits: DataFrame, blocks: int) -> DataFrame:
+        # with one database block, or slice, per group the rank inside the cell is final
+        return top_k(hits, [*names, q_id], k, score, db_id) if blocks > 1 else hits
+
+    large = large_groups(sizes, total, names, layout)
+    found = []
+    if large:
+        if len(large) < total.groups:
+            # both ways read the rows, which an encoder may make
+            q_rows, db_rows = cut(q_rows), cut(db_rows)
+        numbered = number_groups(q.sparkSession, large, names, q_rows)
+        hits = score_streams(q_rows, db_rows, numbered, large, score_cells, schema, k)
+        found.append(merged(hits, max(g.slices for g in large)))
+        if len(large) == total.groups:
+            return found[0]
+        others = sizes.frame.join(F.broadcast(numbered), names, "left_anti")
+        sizes, total = group_totals(others, block_rows, db_block_rows, k)
+        # streamed groups have no place in the grid, so their rows don't reach it
+        q_rows, db_rows = (rows.join(F.broadcast(numbered.select(*names)), names, "left_anti") for rows in (q_rows, db_rows))
+    hits = score_grid(q_rows, db_rows, sizes, total, score_cells, schema, layout)
+    found.append(merged(hits, total.gd))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def knn_join_values(
@@ -204,6 +238,7 @@ class Totals:
     gd: int
     cells: int
     pairs: float
+    groups: int
 
     def tasks(self, cores: int) -> int:
         """Work grows with pairs, not with bytes, so Spark cannot tell."""
@@ -251,11 +286,11 @@ def group_totals(
         q, db = (small.rows[n].to_numpy() for n in ("n_q", "n_db"))
         gq, gd = layout.numbers(q, db)
         return small, Totals(int(q.sum()), int(db.sum()), int(gd.max(initial=0)),
-                             int((gq * gd).sum()), float((q.astype(float) * db).sum()))
+                             int((gq * gd).sum()), float((q.astype(float) * db).sum()), len(q))
     gq, gd = (n.cast("long") for n in layout.columns(F.col("n_q"), F.col("n_db")))
     row = small.frame.agg(
         F.sum("n_q"), F.sum("n_db"), F.max(gd), F.sum(gq * gd),
-        F.sum(F.col("n_q").cast("double") * F.col("n_db")),
+        F.sum(F.col("n_q").cast("double") * F.col("n_db")), F.count(F.lit(1)),
     ).first()
     return small, Totals(*(value or 0 for value in row))
 
@@ -321,6 +356,93 @@ def score_grid(
     )
 
 
+@dataclass(frozen=True)
+class LargeGroup:
+    """A group that is streamed: its key, and its blocks on both sides."""
+
+    key: tuple
+    q_blocks: int
+    db_blocks: int
+    slices: int
+
+
+def copied_too_often(layout: Layout) -> Column:
+    """Whether the rows of a group of ``n_q`` and ``n_db`` rows are copied more than ``MOST_COPIES`` times in a grid."""
+    gq, gd = layout.columns(F.col("n_q"), F.col("n_db"))
+    copies = F.col("n_q").cast("double") * gd + F.col("n_db").cast("double") * gq
+    return copies > MOST_COPIES * (F.col("n_q").cast("double") + F.col("n_db"))
+
+
+def large_groups(sizes: Small, total: Totals, names: Sequence[str], layout: Layout) -> list[LargeGroup]:
+    """Groups that are streamed; each has more than ``MOST_COPIES`` blocks, so they are few beside the rows."""
+    # ids that are repeated have hits of their own where a group has one block of vectors
+    if total.cells <= MOST_COPIES or (total.gd <= 1 and layout.db_block_rows is None):
+        return []
+    found = sizes.frame.where(copied_too_often(layout)).select(*names, "n_q", "n_db").collect()
+    cores = sizes.frame.sparkSession.sparkContext.defaultParallelism
+    large = []
+    for row in found:
+        n_q, n_db = row["n_q"], row["n_db"]
+        spread = min(STREAMS_PER_CORE * cores, n_q // ROWS_PER_STREAM)
+        hits = math.ceil(n_q * min(layout.k, n_db) / HITS_PER_TASK)
+        db_blocks = math.ceil(n_db / HELD_ROWS)
+        slices = min(MOST_COPIES, math.ceil(db_blocks / BLOCKS_PER_SLICE))
+        large.append(LargeGroup(tuple(row[n] for n in names), max(math.ceil(n_q / HELD_ROWS), spread, hits), db_blocks, slices))
+    return large
+
+
+def number_groups(spark: SparkSession, large: Sequence[LargeGroup], names: Sequence[str], rows: DataFrame) -> DataFrame:
+    """The large groups with their numbers, and the blocks of both sides."""
+    fields = [T.StructField(n, rows.schema[n].dataType) for n in names]
+    fields += [T.StructField(n, T.IntegerType()) for n in ("_g", "gq", "gd")]
+    data = [(*g.key, i, g.q_blocks, g.db_blocks) for i, g in enumerate(large)]
+    return spark.createDataFrame(data, T.StructType(fields))
+
+
+def score_streams(
+    q_rows: DataFrame, db_rows: DataFrame, numbered: DataFrame, large: Sequence[LargeGroup],
+    scorer: Scorer, schema: T.StructType, k: int,
+) -> DataFrame:
+    """Score every query block of the large groups with all database blocks of its group, read one after the other.
+
+    Each group is a product of partitions: one for each query block, and one for each slice of the database.
+    """
+    spark = q_rows.sparkSession
+    names = scorer.keys
+
+    def stored(rows: DataFrame, blocks: str, n: int) -> DataFrame:
+        """Number of group and block, and the packed rows; each block is a file, so that none is read with others."""
+        if names:
+            rows = rows.join(F.broadcast(numbered), names)
+        else:
+            rows = rows.crossJoin(F.broadcast(numbered))
+        rows = rows.withColumn("_b", F.pmod(F.xxhash64("_id"), F.col(blocks)).cast("int")).drop("gq", "gd")
+        path = scratch_path(spark, "blocks")
+        in_blocks = rows.repartition(n, "_g", "_b").groupBy("_g", "_b").applyInArrow(pack_block, BLOCK_TABLE)
+        in_blocks.write.option("maxRecordsPerFile", 1).parquet(path)
+        return spark.read.schema(BLOCK_TABLE).parquet(path)
+
+    q_blocks = stored(q_rows, "gq", sum(g.q_blocks for g in large))
+    db_blocks = stored(db_rows, "gd", sum(g.db_blocks for g in large))
+    hits = []
+    for number, group in enumerate(large):
+        queries = q_blocks.where(F.col("_g") == number).select(F.col("_b").alias("_qb"), F.col("_block").alias("_q"))
+        rows = db_blocks.where(F.col("_g") == number).select(F.col("_b"), F.col("_block").alias("_db"))
+        queries = queries.repartitionById(group.q_blocks, "_qb")
+        rows = rows.repartitionById(group.slices, F.col("_b") % group.slices).drop("_b")
+        # the side on the right is held, one block a task; that on the left goes by
+        pairs = rows.hint("shuffle_replicate_nl").crossJoin(queries)
+        hits.append(pairs.mapInArrow(scorer.streamed(), schema))
+    return functools.reduce(DataFrame.unionByName, hits)
+
+
+def pack_block(key: tuple, rows: pa.Table) -> pa.Table:
+    """One row with all rows of a block."""
+    number, block = key
+    return pa.table({"_g": pa.array([number.as_py()], pa.int32()), "_b": pa.array([block.as_py()], pa.int32()),
+                     "_block": pa.array([packed(rows.drop_columns(["_g", "_b"]))], pa.binary())})
+
+
 def top_k(hits: DataFrame, keys: Sequence[str], k: int, score: str, tie: str) -> DataFrame:
     """The k best hits per key.  Spark cuts to k before the shuffle as well."""
     w = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(score), F.asc(tie))

@@ -248,3 +248,49 @@ def test_blocks_met_one_after_the_other(kind):
         for name in ("q", "db", "rank"):
             assert got[name].to_pylist() == wanted[name].to_pylist()
         assert np.allclose(got["score"].to_numpy(), wanted["score"].to_numpy(), rtol=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["spread", "copies", "ties", "far", "self"])
+def test_rows_in_reach_are_found_among_the_nearest(monkeypatch, kind):
+    """Buckets of all pairs were looked at in every table; now of those that can be among the best."""
+    pick = np.random.default_rng(4)
+    planes = np.where(pick.random((3, 6, 16)) < 0.5, -1.0, 1.0)
+    q, db = pick.normal(size=(60, 16)), pick.normal(size=(8_000, 16))
+    if kind == "copies":
+        db[::50] = q[1]
+    elif kind == "ties":
+        q, db = np.round(q), np.round(db)
+    probes = 2 if kind == "far" else 20
+    codes = np.stack([(db @ t.T > 0) @ (1 << np.arange(6)) for t in planes], axis=1)
+    cost = [(q @ t.T)**2 for t in planes]
+    limits = np.stack([kernels.least_sums(c, probes)[:, -1] * (1 + 1e-9) + 1e-12 for c in cost], axis=1)
+    own = kind == "self"
+    if own:
+        q, limits = db[:60], np.stack([kernels.least_sums((db[:60] @ t.T)**2, probes)[:, -1] * (1 + 1e-9) + 1e-12 for t in planes], axis=1)
+    schema = pa.schema([("q", pa.int64()), ("db", pa.int64()), ("score", pa.float64()), ("rank", pa.int32())])
+    numbers, ints = pa.list_(pa.float64()), pa.list_(pa.int32())
+    asked = pa.table({"_id": pa.array(range(60)), "_vec": pa.array(list(q), numbers), "_limits": pa.array(list(limits), numbers)})
+    side = pa.table({"_id": pa.array(range(8_000)), "_vec": pa.array(list(db), numbers), "_codes": pa.array(codes.tolist(), ints)})
+    scorer = kernels.ReachScorer([], 5, own, schema, planes=planes)
+    # all rows, plainly
+    scores = q @ db.T
+    flipped = [((codes[:, t][None, :, None] ^ codes_q[:, t][:, None, None]) >> np.arange(6) & 1) @ np.eye(6)
+               for codes_q in [np.stack([(q @ p.T > 0) @ (1 << np.arange(6)) for p in planes], axis=1)] for t in range(3)]
+    costs = [np.einsum("qnb,qb->qn", f, (q @ p.T)**2) for f, p in zip(flipped, planes)]
+    reached = np.any([c <= limits[:, t, None] for t, c in enumerate(costs)], axis=0)
+    scores[~reached] = -np.inf
+    if own:
+        scores[np.arange(60), np.arange(60)] = -np.inf
+    row, col, value = kernels.best_columns(scores, 5)
+    every = kernels.ReachScorer.best_of_all
+    dense = []
+    monkeypatch.setattr(kernels.ReachScorer, "best_of_all", lambda self, q, *args: dense.append(len(q)) or every(self, q, *args))
+    order = [("q", "ascending"), ("rank", "ascending")]
+    at_once = scorer.score(asked, side)
+    assert sum(dense) < 20 or kind in ("far", "ties")
+    running = kernels.Running(scorer, asked)
+    for at in range(0, 8_000, 4_000):
+        running.meet(side.slice(at, 4_000))
+    for got in (at_once.sort_by(order), running.finished().sort_by(order)):
+        assert got["q"].to_pylist() == row.tolist() and got["db"].to_pylist() == col.tolist()
+        assert np.allclose(got["score"].to_numpy(), value, rtol=1e-12)

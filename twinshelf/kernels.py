@@ -21,6 +21,8 @@ SINGLE_BUFFER = 4 * SCORE_BUFFER
 SCAN_ROWS = 16_384
 # Columns whose largest score is looked at first, and how many such groups there are for each hit.
 GROUP_COLUMNS, GROUPS_PER_HIT = 32, 8
+# So many near rows for each hit are looked at before all are, where some are out of reach.
+NEAR_PER_HIT = 4
 # Lengths of vectors whose products single precision can hold.
 LONGEST = 1e15
 # Hits that a task makes at a time.
@@ -115,9 +117,9 @@ def near_entries(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Row and column of all entries of ``q @ db.T`` that reach a bound, in their order, and the bound of each row.
 
-    No more than that many entries of a row without a ``floor`` lie above its bound than the ``k`` best, or about so; with
-    one, the bound is that floor if it is higher. The k-th of the largest entries of some groups
-    of columns is at most the k-th score. A single product is off by at most (width + 4) / 2^24 of the lengths.
+    The bound is a little below the ``floor`` of a row, if it has one, or else below the k-th of the largest entries of
+    some groups of columns, which is at most the k-th score, so that few more than ``k`` entries reach it.
+    A single product is off by at most (width + 4) / 2^24 of the lengths.
     """
     rows, n = len(q), len(single)
     width = n // GROUP_COLUMNS
@@ -128,8 +130,7 @@ def near_entries(
     tops = grouped.max(axis=1)
     if floor is None or not np.isfinite(floor).all():
         low = np.partition(tops, width - k, axis=1)[:, width - k].astype(np.float64)
-        # not the other way round: a low that is no number is told by the check below
-        low = low if floor is None else np.where(floor > low, floor, low)
+        low = low if floor is None else np.where(np.isfinite(floor), floor, low)
     else:
         low = floor
     off = 2.0**-23 * (q.shape[1] + 4) * np.linalg.norm(q, axis=1) * longest
@@ -555,15 +556,17 @@ class ProbeScorer(Scorer):
 class ReachScorer(Scorer):
     """Scores rows that lie, in some table, in a bucket that the query probes.
 
-    For queries that probe a good share of the buckets: all pairs of a block are one matrix product, and
-    those out of reach are left out. The database side has ``_codes``, its bucket in each table, the query side
+    For queries that probe a good share of the buckets: all pairs of a block are one matrix product. Most of the best
+    rows are in reach then, so that only these are looked at, in the order of their bounds; a query of which fewer
+    than k of them are in reach looks at all rows. The database side has ``_codes``, its bucket in each table, the query side
     ``_limits``, the largest cost of a bucket that it probes. Rows of one id and vector count once.
     """
 
     planes: np.ndarray = None
 
     def score(self, q: pa.Table, db: pa.Table, floor: np.ndarray | None = None) -> pa.Table:
-        q, db = (side.filter(pc.is_valid(side["_vec"])) for side in (q, db))
+        q, floor = with_vectors(q, floor)
+        db = db.filter(pc.is_valid(db["_vec"]))
         if q.num_rows == 0 or db.num_rows == 0:
             return self.schema.empty_table()
         db = db.take(pc.sort_indices(db["_id"]))
@@ -576,32 +579,78 @@ class ReachScorer(Scorer):
         queries, limits = to_matrix(q["_vec"]), to_matrix(q["_limits"])
         if queries.shape[1] != rows.shape[1]:
             raise ValueError(f"vectors of different lengths: {queries.shape[1]} and {rows.shape[1]}")
-        # per table: bits of the buckets that have rows, and which of them each row is in
-        bits = np.arange(self.planes.shape[1])
-        found = [np.unique(codes, return_inverse=True) for codes in to_matrix(db["_codes"]).astype(np.int64).T]
-        buckets = [(((codes[:, None] >> bits) & 1).astype(np.float64), own) for codes, own in found]
+        codes = to_matrix(db["_codes"]).astype(np.int64)
         barred = self.own_columns(q, db) if self.exclude_self else np.full(q.num_rows, -1)
-        parts, step = [], max(1, SCORE_BUFFER // len(rows))
-        for at in range(0, len(queries), step):
-            some = queries[at:at + step]
-            reached = np.zeros((len(some), len(rows)), bool)
-            for table, planes in enumerate(self.planes):
-                sides = some @ planes.T
-                positive, margins = sides > 0, sides**2
-                set_bits, own = buckets[table]
-                cost = (margins * positive).sum(axis=1)[:, None] + (margins * (1 - 2 * positive)) @ set_bits.T
-                reached |= np.take(cost <= limits[at:at + step, table, None], own, axis=1)
-            scores = some @ rows.T
-            scores[~reached | np.isnan(scores)] = -np.inf
-            mine = barred[at:at + step]
-            scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
-            row, col, value = best_columns(scores, self.k)
-            parts.append((row + at, col, value, np.arange(len(row)) - np.searchsorted(row, row) + 1))
-        row, col, value, rank = (np.concatenate(p) for p in zip(*parts))
-        columns = [q[name].take(pa.array(row)) for name in self.keys]
-        columns += [q["_id"].take(pa.array(row)), db["_id"].take(pa.array(col)),
-                    pa.array(value), pa.array(rank.astype(np.int32))]
-        return pa.Table.from_arrays(columns, names=self.schema.names).cast(self.schema)
+        finite = np.isfinite(queries).all() and np.isfinite(rows).all()
+        lengths = [np.linalg.norm(side, axis=1).max() for side in (queries, rows)]
+        single = rows.astype(np.float32) if finite and max(lengths) < LONGEST else None
+        parts, left = [], np.arange(len(queries))
+        if single is not None:
+            step = max(1, SINGLE_BUFFER // len(rows))
+            open_ = []
+            for at in range(0, len(queries), step):
+                some = slice(at, at + step)
+                row, col, value, done = self.best_near(
+                    queries[some], limits[some], barred[some], rows, codes, single, lengths[1],
+                    None if floor is None else floor[some],
+                )
+                parts.append(self.ranked(row, col, value, at))
+                open_.append(np.flatnonzero(~done) + at)
+            left = np.concatenate(open_)
+        if len(left):
+            # per table: bits of the buckets that have rows, and which of them each row is in
+            bits = np.arange(self.planes.shape[1])
+            found = [np.unique(own, return_inverse=True) for own in codes.T]
+            buckets = [(((own[:, None] >> bits) & 1).astype(np.float64), place) for own, place in found]
+            step = max(1, SCORE_BUFFER // len(rows))
+            for at in range(0, len(left), step):
+                some = left[at:at + step]
+                row, col, value = self.best_of_all(queries[some], limits[some], barred[some], rows, buckets)
+                parts.append((some[row], col, value, np.arange(len(row)) - np.searchsorted(row, row) + 1))
+        return self.hits(q, db, *(np.concatenate(p) for p in zip(*parts)))
+
+    def best_near(
+        self, queries: np.ndarray, limits: np.ndarray, barred: np.ndarray, rows: np.ndarray, codes: np.ndarray,
+        single: np.ndarray, longest: float, floor: np.ndarray | None,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The best rows in reach of the queries that these are known of, and which queries that are."""
+        k = min(self.k, len(rows))
+        near = near_entries(queries, single, longest, min(NEAR_PER_HIT * k, len(rows)), floor)
+        if near is None:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.zeros(len(queries), bool)
+        row, col, bound = near
+        reached = np.zeros(len(row), bool)
+        bits = np.arange(self.planes.shape[1])
+        for table, planes in enumerate(self.planes):
+            sides = queries @ planes.T
+            positive, margins = sides > 0, sides**2
+            other = (codes[col, table][:, None] >> bits & 1) != positive[row]
+            reached |= np.einsum("ij,ij->i", other, margins[row]) <= limits[row, table]
+        reached &= col != barred[row]
+        row, col = row[reached], col[reached]
+        value = np.einsum("ij,ij->i", queries[row], rows[col])
+        row, col, value, kth = best_of_entries(row, col, value, len(queries), k)
+        # all rows above the bound are known, and none below it can be as good as the k-th, or as the floor
+        done = one_step_below(kth) >= bound
+        if floor is not None:
+            done |= one_step_below(floor) >= bound
+        return row[done[row]], col[done[row]], value[done[row]], done
+
+    def best_of_all(
+        self, queries: np.ndarray, limits: np.ndarray, barred: np.ndarray, rows: np.ndarray,
+        buckets: list[tuple[np.ndarray, np.ndarray]],
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        reached = np.zeros((len(queries), len(rows)), bool)
+        for table, planes in enumerate(self.planes):
+            sides = queries @ planes.T
+            positive, margins = sides > 0, sides**2
+            set_bits, own = buckets[table]
+            cost = (margins * positive).sum(axis=1)[:, None] + (margins * (1 - 2 * positive)) @ set_bits.T
+            reached |= np.take(cost <= limits[:, table, None], own, axis=1)
+        scores = queries @ rows.T
+        scores[~reached | np.isnan(scores)] = -np.inf
+        scores[np.flatnonzero(barred >= 0), barred[barred >= 0]] = -np.inf
+        return best_columns(scores, self.k)
 
 
 def vectors_to_arrow(matrix: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:

@@ -45,6 +45,8 @@ TUNING_QUERIES = 200
 # A score is rounded; a row that rounds to the k-th score may be this much below it.
 ROUNDING, COARSE_ROUNDING = 1.1e-5, 0.11
 MOST_TABLES, MOST_BITS = 16, 20
+# Sums of margins of some rows that a task holds at once.
+SUM_BYTES = 512 << 10
 # A matrix product of all pairs costs less than the pairs of the probed buckets if these are such a share, tables added up.
 DENSE_SHARE = 0.125
 CENTROIDS = "cell int, centroid array<double>, n_cells int"
@@ -495,6 +497,16 @@ def squared_margins(vectors: np.ndarray, planes: np.ndarray) -> tuple[np.ndarray
     return sides > 0, sides**2
 
 
+def largest_costs(margins: np.ndarray, probes: int) -> np.ndarray:
+    """The ``probes``-th least cost of a bucket, for each row; a little more, as sums in another order differ in their last digits.
+
+    So few rows are taken at a time that their sums stay in the processor cache.
+    """
+    step = max(1, SUM_BYTES // (16 * probes))
+    sums = [least_sums(margins[at:at + step], probes)[:, -1] for at in range(0, len(margins), step)]
+    return np.concatenate(sums) * (1 + 1e-9) + 1e-12
+
+
 def plane_codes(planes: np.ndarray) -> Callable[[Column], Column]:
     """Bucket number per table: one bit per hyperplane, set on its positive side."""
     weights = 1 << np.arange(planes.shape[1])
@@ -527,8 +539,7 @@ def plane_probes(planes: np.ndarray, probes: int, shift: int) -> Callable[[Colum
                 step = max(1, DISTANCE_BYTES // (8 * len(prefixes)))
                 for t, table in enumerate(planes):
                     positive, margins = squared_margins(points, table)
-                    # a little more, as sums in another order differ in their last digits
-                    limits = least_sums(margins, probes)[:, -1] * (1 + 1e-9) + 1e-12
+                    limits = largest_costs(margins, probes)
                     for at in range(0, len(points), step):
                         some = slice(at, at + step)
                         high, cost = positive[some, shift:], margins[some, shift:]
@@ -552,12 +563,9 @@ def plane_limits(planes: np.ndarray, probes: int) -> Callable[[Column], Column]:
                 yield pa.nulls(len(vectors), pa.list_(pa.float64()))
                 continue
             points = to_matrix(vectors.drop_null())
-            # see plane_probes
-            limits = np.stack([least_sums(squared_margins(points, t)[1], probes)[:, -1] for t in planes], axis=1)
+            limits = np.stack([largest_costs(squared_margins(points, t)[1], probes) for t in planes], axis=1)
             offsets = np.concatenate([[0], np.cumsum(valid * len(planes))]).astype(np.int32)
-            yield pa.ListArray.from_arrays(
-                offsets, pa.array((limits * (1 + 1e-9) + 1e-12).ravel()), mask=pa.array(~valid)
-            )
+            yield pa.ListArray.from_arrays(offsets, pa.array(limits.ravel()), mask=pa.array(~valid))
 
     return apply.asNondeterministic()
 

@@ -8,7 +8,7 @@ from test_ann import VECS, clustered
 from test_knn import BY, brute_force, random_rows, table
 from twinshelf import kernels
 from twinshelf.operators import ann, codes, evaluate, knn
-from twinshelf.operators.knn import knn_join
+from twinshelf.operators.knn import knn_join, with_payload
 
 
 def coded(spark, db, fresh, n_cells=4, **args):
@@ -163,3 +163,48 @@ def test_a_task_makes_a_bounded_number_of_hits(spark, monkeypatch):
     for block_rows in (1000, 5):
         got = knn_join(table(spark, "q", q), table(spark, "db", db), k=12, by=BY, block_rows=block_rows, **VECS)
         assert rows(got) == want
+
+
+@pytest.mark.parametrize("by", [BY, ()])
+@pytest.mark.parametrize("streamed", [False, True])
+def test_candidates_bring_no_vectors(spark, fresh, monkeypatch, by, streamed):
+    """Each candidate was a row that was joined with two whole vectors."""
+    q, db = (random_rows(seed, {"a": 70, "b": 40}) for seed in (81, 82))
+    left, right = table(spark, "q", q), table(spark, "db", db)
+    found = coded(spark, right, fresh, n_cells=12, parts=2)
+    if streamed:
+        monkeypatch.setattr(knn, "HELD_ROWS", 5)
+        monkeypatch.setattr(knn, "HITS_PER_TASK", 200)
+        monkeypatch.setattr(knn, "ROWS_PER_STREAM", 8)
+    joined = []
+    monkeypatch.setattr(codes, "with_payload", lambda *a: joined.append(a[3]) or with_payload(*a))
+    got = rows(codes.knn_codes(left, found, k=4, nprobe=9, rerank=12, by=by, block_rows=5, **VECS))
+    assert joined == [["_listed"]]
+    # candidates by plain means: the 12 best decoded rows of the nine nearest cells
+    centroids, words = found.index.centroids(), found.words()
+    coded_rows = {r["db_id"]: r for r in found.rows().collect()}
+    vectors = {i: np.float32(v).astype(float) for i, _, v in db}
+    want = []
+    for i, c, v in q:
+        v = np.float32(v).astype(float)
+        cells = set(ann.nearest_places(v[None], centroids, 9)[0].tolist())
+        near = []
+        for j, d, _ in db:
+            r = coded_rows[j]
+            if r["cell"] in cells and (not by or c == d):
+                point = kernels.decoded(np.array([r["code"]]), words)[0] + centroids[r["cell"]]
+                near.append((-kernels.rounded(np.array([v @ point]))[0], j))
+        near = [(-kernels.rounded(np.array([v @ vectors[j]]))[0], j) for _, j in sorted(near)[:12]]
+        want += [(*((c,) if by else ()), i, j, -s, rank) for rank, (s, j) in enumerate(sorted(near)[:4], 1)]
+    assert [r[:-2] + r[-1:] for r in got] == [r[:-2] + r[-1:] for r in sorted(want, key=repr)]
+    assert np.allclose([r[-2] for r in got], [r[-2] for r in sorted(want, key=repr)])
+
+
+def test_listed_rows_are_scored_as_often_as_they_are_listed():
+    schema = pa.schema([("q", pa.string()), ("db", pa.string()), ("score", pa.float64()), ("rank", pa.int32())])
+    numbers, names = pa.list_(pa.float64()), pa.list_(pa.string())
+    q = pa.table({"_id": ["x", "y", "z"], "_vec": pa.array([[1.0, 0.0], [0.0, 1.0], None], numbers),
+                  "_listed": pa.array([["b", "a", "a", "lost"], [], ["a"]], names)})
+    db = pa.table({"_id": ["b", "a", "c", "a"], "_vec": pa.array([[0.5, 0.0], [0.25, 0.0], [9.0, 9.0], [0.125, 0.0]], numbers)})
+    got = kernels.ListedScorer([], 4, False, schema).score(q, db).to_pylist()
+    assert [tuple(r.values()) for r in got] == [("x", "b", 0.5, 1), ("x", "a", 0.25, 2), ("x", "a", 0.25, 3), ("x", "a", 0.125, 4)]
